@@ -33,6 +33,7 @@ def _on_retail(fn, **kw) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from martlake.operators import inventory as inv
     from martlake.operators import supplier as sup
 
     A = RETAIL_AS_OF
@@ -46,14 +47,28 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "procurement_comparison": _on_retail(sup.procurement_comparison),
         "supplier_item_sales_monthly": _on_retail(sup.supplier_item_sales_monthly),
         "supplier_item_sales": _on_retail(sup.supplier_item_sales, as_of=A, min_qty=20),
+        "previous_month_item_sales": _on_retail(inv.previous_month_item_sales, as_of=A),
+        "current_stock": _on_retail(inv.current_stock),
+        "inventory_turnover_by_item": _on_retail(inv.inventory_turnover_by_item, as_of=A),
+        "inventory_turnover_by_category": _on_retail(
+            inv.inventory_turnover_by_category, as_of=A,
+            categories=("STANDARD", "ECONOMY", "MEDIUM", "PROMO", "LARGE", "SMALL"), min_qty=200),
+        "branch_stock_total": _on_retail(inv.branch_stock_total),
+        "branch_stock_status": _on_retail(inv.branch_stock_status, threshold=50),
+        "branch_stock_by_category": _on_retail(inv.branch_stock_by_category),
+        "branch_stock_summary": _on_retail(inv.branch_stock_summary, min_total=39000),
+        "item_stock_distribution": _on_retail(inv.item_stock_distribution),
+        "branch_stock_in_out": _on_retail(inv.branch_stock_in_out),
+        "stock_reorder": _on_retail(inv.stock_reorder, threshold=15),
+        "branch_stock_listing": _on_retail(inv.branch_stock_listing),
     }
     return q
 
 
 def _oracle_bodies() -> dict[str, str]:
-    from martlake.oracle import supplier_sql
+    from martlake.oracle import inventory_sql, supplier_sql
     out: dict[str, str] = {}
-    for mod in (supplier_sql,):
+    for mod in (supplier_sql, inventory_sql):
         out.update(mod.SQL)
     return out
 
