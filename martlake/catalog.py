@@ -34,6 +34,7 @@ def _on_retail(fn, **kw) -> Callable[[SparkSession, str], DataFrame]:
 
 def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from martlake.operators import inventory as inv
+    from martlake.operators import sales
     from martlake.operators import supplier as sup
 
     A = RETAIL_AS_OF
@@ -61,14 +62,24 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "branch_stock_in_out": _on_retail(inv.branch_stock_in_out),
         "stock_reorder": _on_retail(inv.stock_reorder, threshold=15),
         "branch_stock_listing": _on_retail(inv.branch_stock_listing),
+        "item_sales_totals": _on_retail(sales.item_sales_totals),
+        "top_selling_items": _on_retail(sales.top_selling_items, k=10),
+        "order_channel_trend": _on_retail(sales.order_channel_trend),
+        "order_channel_trend_latest": _on_retail(sales.order_channel_trend_latest),
+        "item_sales_window": _on_retail(sales.item_sales_window, as_of=A, months=24),
+        "item_price_sales_top": _on_retail(sales.item_price_sales_top, as_of=A, k=10),
+        "item_pair_frequency": _on_retail(sales.item_pair_frequency, min_support=2),
+        "top_item_pairs_with_stock": _on_retail(sales.top_item_pairs_with_stock, min_support=5, k=20),
+        "category_sales_summary": _on_retail(sales.category_sales_summary),
+        "promotion_performance": _on_retail(sales.promotion_performance, start="2001-07-01", end="2001-07-31"),
     }
     return q
 
 
 def _oracle_bodies() -> dict[str, str]:
-    from martlake.oracle import inventory_sql, supplier_sql
+    from martlake.oracle import inventory_sql, sales_sql, supplier_sql
     out: dict[str, str] = {}
-    for mod in (supplier_sql, inventory_sql):
+    for mod in (supplier_sql, inventory_sql, sales_sql):
         out.update(mod.SQL)
     return out
 
