@@ -34,6 +34,7 @@ def _on_retail(fn, **kw) -> Callable[[SparkSession, str], DataFrame]:
 
 def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from martlake.operators import inventory as inv
+    from martlake.operators import member as mem
     from martlake.operators import sales
     from martlake.operators import supplier as sup
 
@@ -72,14 +73,22 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "top_item_pairs_with_stock": _on_retail(sales.top_item_pairs_with_stock, min_support=5, k=20),
         "category_sales_summary": _on_retail(sales.category_sales_summary),
         "promotion_performance": _on_retail(sales.promotion_performance, start="2001-07-01", end="2001-07-31"),
+        "member_purchase_behavior": _on_retail(mem.member_purchase_behavior),
+        "member_segments": _on_retail(mem.member_segments),
+        "member_total_spending": _on_retail(mem.member_total_spending),
+        "customer_rfm": _on_retail(mem.customer_rfm, as_of=A),
+        "top_members_with_items": _on_retail(mem.top_members_with_items, m=5, n=3),
+        "monthly_member_spending": _on_retail(mem.monthly_member_spending, as_of=A, n=10),
+        "member_order_history": _on_retail(mem.member_order_history),
+        "member_point_activity": _on_retail(mem.member_point_activity, start="2024-01-01", end="2024-01-15"),
     }
     return q
 
 
 def _oracle_bodies() -> dict[str, str]:
-    from martlake.oracle import inventory_sql, sales_sql, supplier_sql
+    from martlake.oracle import inventory_sql, member_sql, sales_sql, supplier_sql
     out: dict[str, str] = {}
-    for mod in (supplier_sql, inventory_sql, sales_sql):
+    for mod in (supplier_sql, inventory_sql, sales_sql, member_sql):
         out.update(mod.SQL)
     return out
 

@@ -1,10 +1,19 @@
-"""Global ranking without a single-partition window.
+"""Ranking without a single-task window.
 
-``Window.orderBy(...)`` with no partition key moves every row into one task. For a rank
-over a whole table we range-partition on the sort keys instead (equal keys always land
-in the same range partition), rank inside each partition, and add the number of rows of
-all earlier partitions. The per-partition counts are one row per partition -- a table
-whose size is bounded by the partition count, so it is joined back by broadcast.
+``Window.orderBy(...)`` with no partition key moves every row into one task, and
+``Window.partitionBy(g)`` moves a whole group into one task -- a hot group (a branch
+holding a third of all members) becomes one huge sort. ``global_rank`` instead
+range-partitions on (group keys, sort keys): equal keys always land in the same range
+partition, a big group is spread over several partitions, and each partition ranks its
+own rows. The rows of earlier partitions of the same group are then added as an offset.
+The offsets table has one row per (partition, group) present in it -- at most
+groups + partitions rows, since a group's rows occupy consecutive range partitions. No
+broadcast hint is given: AQE measures that table at run time and broadcasts it only when
+it is small (few groups), otherwise it is a plain shuffle join.
+
+The range-partitioned frame is read twice (rank, counts). Two exchanges would each sample
+their own range bounds, so the frame is checkpointed (lazily, into the shared
+``spark.checkpoint.dir``): both reads see one partitioning, and lineage is cut there.
 """
 
 from __future__ import annotations
@@ -12,26 +21,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martlake.session import checkpoint_dir
+
 
 def global_rank(df: DataFrame, order: list[Column], name: str = "rank",
-                kind: str = "rank", partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = RANK() / ROW_NUMBER() over ``order`` across the whole frame.
+                kind: str = "rank", partitions: int | None = None,
+                partition_by: list[str] | None = None) -> DataFrame:
+    """Add ``name`` = RANK() / ROW_NUMBER() over ``order`` (within ``partition_by`` groups).
 
     ``order`` is a list of sort columns (``F.col('x').desc()`` etc.). For ``row_number``
-    the caller must make the order total (end with a unique key), as the reference's
-    counters are deterministic only then.
+    the caller makes the order total (ending with a unique key) so results are
+    deterministic, as the reference's counters are only then.
     """
     spark = df.sparkSession
+    keys = list(partition_by or [])
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     fn = {"rank": F.rank, "row_number": F.row_number}[kind]
-    parted = (df.repartitionByRange(n, *order)
-                .withColumn("_pid", F.spark_partition_id()))
-    local = parted.withColumn("_lr", fn().over(Window.partitionBy("_pid").orderBy(*order)))
-    counts = parted.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    if n == 1:  # a bounded input (a top-k result): one small window
+        return df.withColumn(name, fn().over(Window.partitionBy(*keys).orderBy(*order)).cast("int"))
+    checkpoint_dir(spark)
+    parted = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+                .withColumn("_pid", F.spark_partition_id())
+                .checkpoint(eager=False))
+    local = parted.withColumn("_lr", fn().over(Window.partitionBy("_pid", *keys).orderBy(*order)))
+    counts = parted.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    out = local.join(F.broadcast(offsets), "_pid")
+        "_pid", *keys,
+        F.sum("_n").over(Window.partitionBy(*keys).orderBy("_pid")
+                         .rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    out = local.join(offsets, ["_pid", *keys])
     return (out.withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lr")).cast("int"))
                .drop("_pid", "_lr", "_off"))
