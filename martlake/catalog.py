@@ -33,7 +33,9 @@ def _on_retail(fn, **kw) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from martlake.operators import branch as br
     from martlake.operators import inventory as inv
+    from martlake.operators import voucher as vou
     from martlake.operators import member as mem
     from martlake.operators import sales
     from martlake.operators import supplier as sup
@@ -81,14 +83,32 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "monthly_member_spending": _on_retail(mem.monthly_member_spending, as_of=A, n=10),
         "member_order_history": _on_retail(mem.member_order_history),
         "member_point_activity": _on_retail(mem.member_point_activity, start="2024-01-01", end="2024-01-15"),
+        "branch_staff_count": _on_retail(br.branch_staff_count),
+        "monthly_branch_sales": _on_retail(br.monthly_branch_sales),
+        "branch_efficiency": _on_retail(br.branch_efficiency, as_of=A, months=24),
+        "branch_revenue": _on_retail(br.branch_revenue, as_of=A, years=2),
+        "branch_cost": _on_retail(br.branch_cost, as_of=A, years=2),
+        "branch_profitability": _on_retail(br.branch_profitability, as_of=A, years=2),
+        "branch_profit_ranked": _on_retail(br.branch_profit_ranked, as_of=A, years=2),
+        "company_summary": _on_retail(br.company_summary),
+        "table_row_counts": _on_retail(br.table_row_counts),
+        "voucher_redemption": _on_retail(vou.voucher_redemption, as_of=A, months=24, min_redemptions=10),
+        "voucher_effectiveness_top": _on_retail(vou.voucher_effectiveness_top, as_of=A, k=10),
+        "member_voucher_redemptions": _on_retail(vou.member_voucher_redemptions),
+        "promotion_lines": _on_retail(vou.promotion_lines),
+        "active_promotions": _on_retail(vou.active_promotions, as_of=A),
+        "order_line_totals": _on_retail(vou.order_line_totals),
+        "order_member_points": _on_retail(vou.order_member_points),
+        "delivery_company_performance": _on_retail(vou.delivery_company_performance, start="2001-01-01", end="2001-08-16"),
+        "delivery_management_summary": _on_retail(vou.delivery_management_summary, start="2001-01-01", end="2001-08-16"),
     }
     return q
 
 
 def _oracle_bodies() -> dict[str, str]:
-    from martlake.oracle import inventory_sql, member_sql, sales_sql, supplier_sql
+    from martlake.oracle import branch_sql, inventory_sql, member_sql, sales_sql, supplier_sql
     out: dict[str, str] = {}
-    for mod in (supplier_sql, inventory_sql, sales_sql, member_sql):
+    for mod in (supplier_sql, inventory_sql, sales_sql, member_sql, branch_sql):
         out.update(mod.SQL)
     return out
 
