@@ -6,21 +6,34 @@ retail tables, 2024-01-31 for the events-derived requests).
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from martlake.oracle.adapter_sql import with_adapter
-from martlake.sources.retail import RETAIL_AS_OF, load_retail
+from martlake.session import checkpoint_dir
+from martlake.sources.retail import RETAIL_AS_OF, load_retail, materialize
 
 _cache: dict = {}
 
 
 def retail(spark: SparkSession, sf_dir: str):
-    """Lazy retail frames, shared by all queries of one session and folder (plans only, no data)."""
+    """Retail tables for one session and source folder.
+
+    By default the derived tables are written once as a parquet snapshot under the shared
+    ``spark.checkpoint.dir`` (the retail tables are stored tables in the reference too), and
+    every query reads that snapshot with column pruning and filter pushdown. Set
+    MARTLAKE_MATERIALIZE=0 to plan every query on the lazy derivation instead.
+    """
     key = (id(spark), sf_dir)
     if key not in _cache:
-        _cache[key] = load_retail(spark, sf_dir)
+        t = load_retail(spark, sf_dir)
+        if os.environ.get("MARTLAKE_MATERIALIZE", "1") != "0":
+            out = f"{checkpoint_dir(spark).rstrip('/')}/retail-{uuid.uuid4().hex}"
+            t = materialize(t, out)
+        _cache[key] = t
     return _cache[key]
 
 
