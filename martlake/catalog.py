@@ -52,6 +52,7 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from martlake.operators import member as mem
     from martlake.operators import sales
     from martlake.operators import supplier as sup
+    from martlake.operators import validations as val
 
     A = RETAIL_AS_OF
     q = {
@@ -114,14 +115,28 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "order_member_points": _on_retail(vou.order_member_points),
         "delivery_company_performance": _on_retail(vou.delivery_company_performance, start="2001-01-01", end="2001-08-16"),
         "delivery_management_summary": _on_retail(vou.delivery_management_summary, start="2001-01-01", end="2001-08-16"),
+        "stock_ledger_violations": _on_retail(val.stock_ledger_rule),
+        "low_stock_alerts": _on_retail(val.low_stock_alerts, threshold=20),
+        "points_ledger_violations": _on_retail(val.points_ledger_rule),
+        "member_points_balances": _on_retail(val.member_balances),
+        "duplicate_redemption": _on_retail(val.duplicate_redemption),
+        "expired_redemption": _on_retail(val.expired_redemption),
+        "stock_restore_cancelled": _on_retail(val.stock_restore_cancelled),
+        "discount_above_price": _on_retail(val.discount_above_price),
+        "price_below_cost": _on_retail(val.price_below_cost),
+        "member_expiry_past": _on_retail(val.member_expiry_past, as_of=A),
+        "voucher_expiry_past": _on_retail(val.voucher_expiry_past, as_of=A),
+        "expired_member_order": _on_retail(val.expired_member_order),
+        "expired_member_points": _on_retail(val.expired_member_points),
     }
     return q
 
 
 def _oracle_bodies() -> dict[str, str]:
-    from martlake.oracle import branch_sql, inventory_sql, member_sql, sales_sql, supplier_sql
+    from martlake.oracle import (branch_sql, inventory_sql, member_sql, sales_sql, supplier_sql,
+                                 validation_sql)
     out: dict[str, str] = {}
-    for mod in (supplier_sql, inventory_sql, sales_sql, member_sql, branch_sql):
+    for mod in (supplier_sql, inventory_sql, sales_sql, member_sql, branch_sql, validation_sql):
         out.update(mod.SQL)
     return out
 

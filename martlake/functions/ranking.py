@@ -52,3 +52,30 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank",
     out = local.join(offsets, ["_pid", *keys])
     return (out.withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lr")).cast("int"))
                .drop("_pid", "_lr", "_off"))
+
+
+def running_sum(df: DataFrame, order: list[Column], value: str, name: str,
+                partition_by: list[str] | None = None, partitions: int | None = None) -> DataFrame:
+    """Add ``name`` = SUM(value) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED PRECEDING).
+
+    Same scheme as ``global_rank``: a hot key is spread over consecutive range partitions,
+    each partition computes its local running sum, and the totals of the key's earlier
+    partitions are added. ``order`` must be total within a key.
+    """
+    spark = df.sparkSession
+    keys = list(partition_by or [])
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_dir(spark)
+    parted = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+                .withColumn("_pid", F.spark_partition_id())
+                .checkpoint(eager=False))
+    w = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = parted.withColumn("_ls", F.sum(value).over(w))
+    totals = parted.groupBy("_pid", *keys).agg(F.sum(value).alias("_t"))
+    offsets = totals.select(
+        "_pid", *keys,
+        F.sum("_t").over(Window.partitionBy(*keys).orderBy("_pid")
+                         .rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    out = local.join(offsets, ["_pid", *keys])
+    return (out.withColumn(name, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_ls"))
+               .drop("_pid", "_ls", "_off"))

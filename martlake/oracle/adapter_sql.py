@@ -57,6 +57,8 @@ def with_adapter(body: str) -> str:
         return body
     ctes = ",\n".join(f"{n} as ({ADAPTER_CTES[n]})" for n in used)
     stripped = body.lstrip()
+    if stripped[:15].lower() == "with recursive ":
+        return f"with recursive {ctes},\n{stripped[15:]}"
     if stripped[:5].lower() == "with ":
         return f"with {ctes},\n{stripped[5:]}"
     return f"with {ctes}\n{body}"
