@@ -47,6 +47,7 @@ def _on_retail(fn, **kw) -> Callable[[SparkSession, str], DataFrame]:
 
 def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from martlake.operators import branch as br
+    from martlake.operators import constraints as con
     from martlake.operators import inventory as inv
     from martlake.operators import voucher as vou
     from martlake.operators import member as mem
@@ -128,15 +129,22 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "voucher_expiry_past": _on_retail(val.voucher_expiry_past, as_of=A),
         "expired_member_order": _on_retail(val.expired_member_order),
         "expired_member_points": _on_retail(val.expired_member_points),
+        "pk_unique_not_null": _on_retail(con.constraint_violations, checks=("C01",)),
+        "fk_orphans": _on_retail(con.constraint_violations, checks=("C02",)),
+        "unique_columns": _on_retail(con.constraint_violations, checks=("C03",)),
+        "length_and_not_null": _on_retail(con.constraint_violations, checks=("C04",)),
+        "pattern_checks": _on_retail(con.constraint_violations, checks=("C05",)),
+        "domain_checks": _on_retail(con.constraint_violations, checks=("C06",)),
+        "range_checks": _on_retail(con.constraint_violations, checks=("C07",)),
     }
     return q
 
 
 def _oracle_bodies() -> dict[str, str]:
-    from martlake.oracle import (branch_sql, inventory_sql, member_sql, sales_sql, supplier_sql,
+    from martlake.oracle import (branch_sql, constraint_sql, inventory_sql, member_sql, sales_sql, supplier_sql,
                                  validation_sql)
     out: dict[str, str] = {}
-    for mod in (supplier_sql, inventory_sql, sales_sql, member_sql, branch_sql, validation_sql):
+    for mod in (supplier_sql, inventory_sql, sales_sql, member_sql, branch_sql, validation_sql, constraint_sql):
         out.update(mod.SQL)
     return out
 
