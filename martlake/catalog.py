@@ -149,6 +149,11 @@ def _oracle_bodies() -> dict[str, str]:
     return out
 
 
+# Registered queries with no SQL oracle (order-dependent folds over request streams,
+# streaming jobs); they are checked against brute-force loops in tests/.
+NON_SQL_QUERIES: tuple[str, ...] = ()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return _spark_queries()
 

@@ -251,6 +251,10 @@ class Retail(dict):
         self.spark = spark
         self.sf_dir = sf_dir
 
+    def available(self) -> list[str]:
+        """Table names this object can serve (all of them when backed by a source folder)."""
+        return list(TABLES) if self.sf_dir else [n for n in TABLES if n in self]
+
     def __missing__(self, name: str) -> DataFrame:
         if name not in _BUILDERS:
             raise KeyError(name)
