@@ -45,6 +45,16 @@ def _on_retail(fn, **kw) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _job(fn, requests, output: str, **kw) -> Callable[[SparkSession, str], DataFrame]:
+    """A batch job over a request table built from the source folder; returns one output."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = retail(spark, sf_dir)
+        return fn(t, requests(spark, sf_dir, t), **kw)[output]
+    run.__name__ = f"{fn.__name__}_{output}"
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from martlake.operators import branch as br
     from martlake.operators import constraints as con
@@ -54,6 +64,9 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from martlake.operators import sales
     from martlake.operators import supplier as sup
     from martlake.operators import validations as val
+    from martlake.plans import jobs
+    from martlake.sources import requests as rq
+    from martlake.sources.retail import EVENTS_AS_OF
 
     A = RETAIL_AS_OF
     q = {
@@ -136,22 +149,38 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pattern_checks": _on_retail(con.constraint_violations, checks=("C05",)),
         "domain_checks": _on_retail(con.constraint_violations, checks=("C06",)),
         "range_checks": _on_retail(con.constraint_violations, checks=("C07",)),
+        "update_item_prices": _job(jobs.update_item_prices, lambda s, d, t: rq.price_changes(s, d), "decisions"),
+        "update_item_prices_snapshot": _job(jobs.update_item_prices, lambda s, d, t: rq.price_changes(s, d), "snapshot"),
+        "transfer_stock": _job(jobs.transfer_stock, lambda s, d, t: rq.transfers(s, d), "decisions", as_of=EVENTS_AS_OF),
+        "transfer_stock_snapshot": _job(jobs.transfer_stock, lambda s, d, t: rq.transfers(s, d), "snapshot",
+                                        as_of=EVENTS_AS_OF),
+        "receive_procurements": _job(jobs.receive_procurements, lambda s, d, t: rq.receipts_from_procurement(t),
+                                     "decisions", as_of=A),
+        "receive_procurements_snapshot": _job(jobs.receive_procurements, lambda s, d, t: rq.receipts_from_procurement(t),
+                                              "snapshot", as_of=A),
+        "redeem_vouchers": _job(jobs.redeem_vouchers, lambda s, d, t: rq.redemptions(s, d), "decisions", as_of=A),
+        "price_order_lines": _on_retail(jobs.reprice_order_lines),
+        "award_points": _on_retail(jobs.award_points_history),
+        "apply_pickup_updates": _job(jobs.apply_pickup_updates, lambda s, d, t: rq.pickup_events(s, d), "decisions"),
+        "apply_pickup_updates_snapshot": _job(jobs.apply_pickup_updates, lambda s, d, t: rq.pickup_events(s, d),
+                                              "snapshot"),
     }
     return q
 
 
 def _oracle_bodies() -> dict[str, str]:
-    from martlake.oracle import (branch_sql, constraint_sql, inventory_sql, member_sql, sales_sql, supplier_sql,
-                                 validation_sql)
+    from martlake.oracle import (branch_sql, constraint_sql, inventory_sql, jobs_sql, member_sql, sales_sql,
+                                 supplier_sql, validation_sql)
     out: dict[str, str] = {}
-    for mod in (supplier_sql, inventory_sql, sales_sql, member_sql, branch_sql, validation_sql, constraint_sql):
+    for mod in (supplier_sql, inventory_sql, sales_sql, member_sql, branch_sql, validation_sql, constraint_sql,
+                jobs_sql):
         out.update(mod.SQL)
     return out
 
 
 # Registered queries with no SQL oracle (order-dependent folds over request streams,
 # streaming jobs); they are checked against brute-force loops in tests/.
-NON_SQL_QUERIES: tuple[str, ...] = ()
+NON_SQL_QUERIES: tuple[str, ...] = ("transfer_stock", "transfer_stock_snapshot")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

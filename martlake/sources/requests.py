@@ -48,3 +48,10 @@ def pickup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_id") % 1600).alias("order_id"),
         F.when(k == 0, "Preparing").when(k == 1, "Ready").when(k == 2, "Completed")
          .when(k == 3, "Expired").when(k == 4, "Rescheduled").otherwise("Shipped").alias("new_status"))
+
+
+def receipts_from_procurement(t) -> DataFrame:
+    """Procurement rows read as receipt requests for the stock-receiving job."""
+    return t["procurement"].select(
+        F.col("procurement_id").alias("req_id"), F.col("procurement_date").alias("req_ts"),
+        "branch_id", "item_id", "supplier_id", "quantity", "unit_cost")
