@@ -55,6 +55,17 @@ def _job(fn, requests, output: str, **kw) -> Callable[[SparkSession, str], DataF
     return run
 
 
+def _replay(po, output: str) -> Callable[[SparkSession, str], DataFrame]:
+    """W11 over the data: every stored order re-placed against the opening stock."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = retail(spark, sf_dir)
+        headers, lines = po.replay_orders(t)
+        return po.place_orders(t, headers, lines, RETAIL_AS_OF)[output]
+    run.__name__ = f"place_orders_{output}"
+    run.__doc__ = po.place_orders.__doc__
+    return run
+
+
 def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from martlake.operators import branch as br
     from martlake.operators import constraints as con
@@ -65,6 +76,7 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from martlake.operators import supplier as sup
     from martlake.operators import validations as val
     from martlake.plans import jobs
+    from martlake.plans import orders as po
     from martlake.sources import requests as rq
     from martlake.sources.retail import EVENTS_AS_OF
 
@@ -164,6 +176,9 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "apply_pickup_updates": _job(jobs.apply_pickup_updates, lambda s, d, t: rq.pickup_events(s, d), "decisions"),
         "apply_pickup_updates_snapshot": _job(jobs.apply_pickup_updates, lambda s, d, t: rq.pickup_events(s, d),
                                               "snapshot"),
+        "place_orders": _replay(po, "decisions"),
+        "place_orders_snapshot": _replay(po, "snapshot"),
+        "place_orders_low_stock_alerts": _replay(po, "low_stock_alerts"),
     }
     return q
 
@@ -180,7 +195,8 @@ def _oracle_bodies() -> dict[str, str]:
 
 # Registered queries with no SQL oracle (order-dependent folds over request streams,
 # streaming jobs); they are checked against brute-force loops in tests/.
-NON_SQL_QUERIES: tuple[str, ...] = ("transfer_stock", "transfer_stock_snapshot")
+NON_SQL_QUERIES: tuple[str, ...] = ("transfer_stock", "transfer_stock_snapshot", "place_orders",
+                                     "place_orders_snapshot", "place_orders_low_stock_alerts")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
