@@ -33,6 +33,28 @@ f(member_id, rn, bal, pid, rej) as (
   from f join ev on ev.member_id = f.member_id and ev.rn = f.rn + 1)"""
 
 SQL = {
+    # streams run to completion equal the batch ledgers' detail
+    "points_ledger_stream": _V02_FOLD + """
+select point_redemption_id, member_id, cast(amount as bigint) as amount, transaction_type, redemption_date,
+  cast(scode as varchar) as code, cast(null as bigint) as balance_after from ev0 where scode is not null
+union all
+select ev.point_redemption_id, ev.member_id, cast(ev.amount as bigint), ev.transaction_type, ev.redemption_date,
+  case when f.rej then '-20023' end, f.bal
+from f join ev on ev.point_redemption_id = f.pid""",
+
+    "low_stock_stream": _V01_FOLD + """
+select order_id, item_id, branch_id, order_date, cast(quantity as bigint) as quantity, cast(scode as varchar) as code,
+  cast(null as bigint) as stock_after, false as low_stock from l where scode is not null
+union all
+select f.order_id, f.item_id, f.branch_id, f.order_date, cast(ev.quantity as bigint), case when f.rej then '-20013' end,
+  f.bal, (not f.rej) and f.bal < 20
+from f join ev on ev.branch_id = f.branch_id and ev.item_id = f.item_id and ev.rn = f.rn""",
+
+    "dedupe_redemptions_stream": """
+select redemption_id, voucher_id, order_id, redeemed_date from (
+  select r.*, row_number() over (partition by r.voucher_id, r.order_id order by r.redeemed_date asc nulls last, r.redemption_id) as rn
+  from r_redemption r where r.order_id in (select order_id from r_orders)) where rn = 1""",
+
     "stock_ledger_violations": _V01_FOLD + """
 select 'V01' as rule_id, 'order_item' as table_name, cast(order_id as varchar) || '|' || cast(item_id as varchar) as row_key,
   cast(code as integer) as code

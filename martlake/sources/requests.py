@@ -41,7 +41,12 @@ def redemptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pickup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = _events(spark, sf_dir, "signup")
+    return pickup_events_from(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def pickup_events_from(events: DataFrame) -> DataFrame:
+    """Pickup status requests from an events frame (batch or stream)."""
+    e = events.filter(F.col("event_type") == "signup")
     k = F.col("event_id") % 6
     return e.select(
         F.col("event_id").alias("req_id"), F.col("ts").alias("req_ts"),

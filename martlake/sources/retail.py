@@ -250,6 +250,7 @@ class Retail(dict):
         super().__init__()
         self.spark = spark
         self.sf_dir = sf_dir
+        self.snapshot_dir = None  # set when the tables were written as a parquet snapshot
 
     def available(self) -> list[str]:
         """Table names this object can serve (all of them when backed by a source folder)."""
@@ -289,7 +290,9 @@ def materialize(t: Retail, out_dir: str) -> Retail:
             df = df.repartitionByRange(*_CLUSTER[name]).sortWithinPartitions(*_CLUSTER[name])
         df.write.mode("overwrite").parquet(f"{out_dir}/{name}")
         out[name] = spark.read.parquet(f"{out_dir}/{name}")
-    return from_frames(spark, out)
+    r = from_frames(spark, out)
+    r.snapshot_dir = out_dir
+    return r
 
 
 # Write-time clustering of the facts: by date where operators cut date ranges, by the join
