@@ -116,42 +116,41 @@ _STOCK_OUT = T.StructType([
     T.StructField("branch_id", T.LongType()), T.StructField("order_date", T.TimestampNTZType()),
     T.StructField("quantity", T.LongType()), T.StructField("code", T.StringType()),
     T.StructField("stock_after", T.LongType()), T.StructField("low_stock", T.BooleanType())])
-_STOCK_STATE = "stock long, last_ts timestamp_ntz, last_id long"
+_STOCK_STATE = "stock map<bigint,bigint>, last_ts map<bigint,timestamp_ntz>, last_id map<bigint,bigint>"
 
 
 def _stock_fn_factory(threshold: int):
     def fn(key, pdfs, state):
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["order_date", "order_id"])
+        parts = list(pdfs)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        pdf = pdf.sort_values(["item_id", "order_date", "order_id"], kind="stable")
         if state.exists:
-            st, last_ts, last_id = state.get
+            st, lts, lid = (dict(x or {}) for x in state.get)
         else:
-            st, last_ts, last_id = None, None, None
-        codes, after, low = [], [], []
-        for r in pdf.itertuples(index=False):
-            if r.code is not None and not pd.isna(r.code):
-                codes.append(r.code)
-                after.append(None)
-                low.append(False)
+            st, lts, lid = {}, {}, {}
+        n = len(pdf)
+        codes, after, low = [None] * n, [None] * n, [False] * n
+        cols = [pdf[c].tolist() for c in ("item_id", "order_date", "order_id", "quantity", "code", "opening")]
+        for i, (it, ts, oid, q, code, opening) in enumerate(zip(*cols)):
+            if code is not None and code == code:
+                codes[i] = code
                 continue
-            if st is None:
-                st = int(r.opening)
-            if last_ts is not None and (r.order_date, r.order_id) <= (pd.Timestamp(last_ts), last_id):
-                codes.append("LATE")
-                after.append(None)
-                low.append(False)
+            cur = st.get(it)
+            if cur is None:
+                cur = int(opening)
+            last = lts.get(it)
+            if last is not None and (ts, oid) <= (pd.Timestamp(last), lid[it]):
+                codes[i] = "LATE"
                 continue
-            q = int(r.quantity)
-            if st >= q:
-                st -= q
-                codes.append(None)
-                low.append(st < threshold)
+            if cur >= q:
+                cur -= int(q)
+                low[i] = cur < threshold
             else:
-                codes.append("-20013")
-                low.append(False)
-            after.append(st)
-            last_ts, last_id = r.order_date, int(r.order_id)
-        if st is not None:
-            state.update((st, None if last_ts is None else pd.Timestamp(last_ts).to_pydatetime(), last_id))
+                codes[i] = "-20013"
+            after[i] = cur
+            st[it], lts[it], lid[it] = cur, pd.Timestamp(ts).to_pydatetime(), int(oid)
+        if st:
+            state.update((st, lts, lid))
         out = pdf[["order_id", "item_id", "branch_id", "order_date", "quantity"]].copy()
         out["code"] = codes
         out["stock_after"] = pd.array(after, dtype="Int64")
@@ -160,9 +159,14 @@ def _stock_fn_factory(threshold: int):
     return fn
 
 
-def low_stock_stream(t, lines: DataFrame, threshold: int = 20) -> DataFrame:
+def low_stock_stream(t, lines: DataFrame, threshold: int = 20, buckets: int = 64) -> DataFrame:
     """A stream of order lines deducts branch stock (V01 rules); ``low_stock`` marks
-    every accepted deduction leaving fewer than ``threshold`` units (V06)."""
+    every accepted deduction leaving fewer than ``threshold`` units (V06).
+
+    State is keyed by (branch, item bucket) and holds the stock of that bucket's items as a
+    map, so the per-group Python overhead is paid per bucket, not per item, while one state
+    value stays bounded by the items of a bucket (raise ``buckets`` with the item count).
+    """
     o = t["orders"].select("order_id", "branch_id", "order_date")
     stock = t["branch_stock"].select("branch_id", "item_id", F.col("stock_quantity").cast("bigint").alias("opening"))
     j = (lines.select("order_id", "item_id", "quantity").join(o, "order_id", "left")
@@ -172,8 +176,9 @@ def low_stock_stream(t, lines: DataFrame, threshold: int = 20) -> DataFrame:
              .when(F.col("order_date").isNull(), "-20010").when(F.col("_i").isNull(), "-20011")
              .when(F.col("opening").isNull(), "-20012"))
     j = j.select(F.col("order_id").cast("long"), F.col("item_id").cast("long"), F.col("branch_id").cast("long"),
-                 F.col("order_date").cast("timestamp_ntz"), F.col("quantity").cast("long"), code.alias("code"), "opening")
-    return j.groupBy("branch_id", "item_id").applyInPandasWithState(
+                 F.col("order_date").cast("timestamp_ntz"), F.col("quantity").cast("long"), code.alias("code"), "opening",
+                 F.pmod(F.xxhash64("item_id"), F.lit(buckets)).alias("_bucket"))
+    return j.groupBy("branch_id", "_bucket").applyInPandasWithState(
         _stock_fn_factory(threshold), _STOCK_OUT, _STOCK_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
@@ -185,29 +190,39 @@ _RED_OUT = T.StructType([
 
 
 def _first_per_key(key, pdfs, state):
-    if state.exists:  # key already redeemed in an earlier micro-batch
-        return
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["redeemed_date", "redemption_id"], na_position="last")
-    state.update((True,))
-    yield pdf.head(1)[["redemption_id", "voucher_id", "order_id", "redeemed_date"]]
-
-
-def dedupe_redemptions_stream(t, redemptions: DataFrame, within: str | None = None) -> DataFrame:
+    parts = list(pdfs)
+    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    seen = dict(state.get[0] or {}) if state.exists else {}
+    pdf = pdf.sort_values(["redeemed_date", "redemption_id"], na_position="last", kind="stable")
+    pdf = pdf.assign(_k=pdf["voucher_id"].astype(str) + "|" + pdf["order_id"].astype(str))
+    first = pdf.drop_duplicates("_k", keep="first")
+    first = first[~first["_k"].isin(seen.keys())]
+    if len(first):
+        seen.update(dict.fromkeys(first["_k"].tolist(), True))
+        state.update((seen,))
+    yield first[["redemption_id", "voucher_id", "order_id", "redeemed_date"]]
+
+
+def dedupe_redemptions_stream(t, redemptions: DataFrame, within: str | None = None, buckets: int = 256) -> DataFrame:
     """Keep the first redemption per (voucher, order) -- earliest (redeemed date, id),
     also when duplicates share a micro-batch; rows of unknown orders are dropped (V03
-    -20030). The key memory is one flag per (voucher, order) in the state store. With
-    ``within`` (e.g. '7 days') memory is bounded instead by a watermark on
-    ``redeemed_date`` (``dropDuplicatesWithinWatermark``; duplicates further apart are no
-    longer caught)."""
+    -20030).
+
+    The memory of seen keys is state keyed by a hash bucket of (voucher, order), one map
+    of keys per bucket (raise ``buckets`` with the data), so Python is entered once per
+    bucket and micro-batch. With ``within`` (e.g. '7 days') memory is bounded instead by a
+    watermark on ``redeemed_date`` (``dropDuplicatesWithinWatermark``; duplicates further
+    apart are no longer caught)."""
     r = redemptions.join(t["orders"].select("order_id"), "order_id", "left_semi")
     if within:
         return (r.withColumn("_event_time", F.col("redeemed_date").cast("timestamp"))
                  .withWatermark("_event_time", within)
                  .dropDuplicatesWithinWatermark(["voucher_id", "order_id"]).drop("_event_time"))
     r = r.select(F.col("redemption_id").cast("long"), "voucher_id", F.col("order_id").cast("long"),
-                 F.col("redeemed_date").cast("timestamp_ntz"))
-    return r.groupBy("voucher_id", "order_id").applyInPandasWithState(
-        _first_per_key, _RED_OUT, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+                 F.col("redeemed_date").cast("timestamp_ntz"),
+                 F.pmod(F.xxhash64("voucher_id", "order_id"), F.lit(buckets)).alias("_bucket"))
+    return r.groupBy("_bucket").applyInPandasWithState(
+        _first_per_key, _RED_OUT, "seen map<string,boolean>", "append", GroupStateTimeout.NoTimeout)
 
 
 # ------------------------------------------------------------------ S04 pickup lifecycle
