@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake.functions.ranking import running_sum
+from martlake.session import checkpoint_dir
 from martlake.plans import jobs
 
 LOW_STOCK = 20
@@ -99,15 +100,20 @@ def explode_lines(requests: DataFrame, col: str = "lines") -> DataFrame:
             .select("req_id", "line_no", F.col("l.item_id").alias("item_id"), F.col("l.quantity").alias("quantity")))
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate once (reliable checkpoint in the shared folder); later branches
+    of the job read it instead of re-deriving it, and its lineage is cut."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def place_orders(t, headers: DataFrame, lines: DataFrame, as_of) -> dict:
     bs = t["branch_stock"].select("branch_id", "item_id", F.col("stock_quantity").cast("bigint").alias("opening"))
-    n_lines = lines.groupBy("req_id").agg(F.count(F.lit(1)).alias("_n"))
     mem = t["member"].select("member_id", (F.col("address") if "address" in t["member"].columns
                                           else F.lit(None).cast("string")).alias("_maddr"))
-    h = headers.join(n_lines, "req_id", "left").join(mem, "member_id", "left")
     guest = F.col("member_id").isNull()
+    h = headers.join(mem, "member_id", "left")
     h = h.withColumn("early", jobs._first(
-        (F.coalesce(F.col("_n"), F.lit(0)) == 0, -20006),
         (guest & F.col("order_type").isin("Delivery", "Self Pickup"), -20008),
         (guest & F.col("voucher_id").isNotNull(), -20009)))
     h = h.withColumn("_addr", F.coalesce(F.col("address"), F.col("_maddr")))
@@ -128,12 +134,14 @@ def place_orders(t, headers: DataFrame, lines: DataFrame, as_of) -> dict:
         (has_v & F.col("_m").isNull(), -20041),
         (has_v & F.col("_used").isNotNull(), -20044)))
 
-    # line facts
-    li = (lines.join(h.select("req_id", "req_ts", "branch_id", "early"), "req_id")
-               .join(bs, ["branch_id", "item_id"], "left")
-               .withColumn("stocked", F.col("opening").isNotNull()))
-    order_has_unstocked = li.groupBy("req_id").agg(F.max((~F.col("stocked")).cast("int")).alias("_unst"))
-    h = h.join(order_has_unstocked, "req_id", "left")
+    # line facts, once
+    li = _materialize(
+        lines.join(h.select("req_id", "req_ts", "branch_id", "early"), "req_id")
+             .join(bs, ["branch_id", "item_id"], "left")
+             .withColumn("stocked", F.col("opening").isNotNull()))
+    facts = li.groupBy("req_id").agg(F.count(F.lit(1)).alias("_n"), F.max((~F.col("stocked")).cast("int")).alias("_unst"))
+    h = (h.join(facts, "req_id", "left")
+          .withColumn("early", F.when(F.coalesce(F.col("_n"), F.lit(0)) == 0, F.lit("-20006")).otherwise(F.col("early"))))
     # first-wins on (voucher, member) among requests passing every non-stock check
     cand = h.filter(F.col("early").isNull() & F.col("late").isNull() & F.col("voucher_id").isNotNull())
     wv = Window.partitionBy("voucher_id", "member_id").orderBy("req_ts", "req_id")
@@ -148,7 +156,9 @@ def place_orders(t, headers: DataFrame, lines: DataFrame, as_of) -> dict:
     li = li.join(contended_pairs.select("branch_id", "item_id", F.lit(True).alias("contended")),
                  ["branch_id", "item_id"], "left").withColumn("contended", F.coalesce("contended", F.lit(False)))
     touches = li.filter("contended").select("req_id").distinct().withColumn("_touch", F.lit(True))
-    h = h.join(touches, "req_id", "left")
+    h = _materialize(h.join(touches, "req_id", "left")
+                      .select("req_id", "req_ts", "member_id", "staff_id", "branch_id", "order_type", "voucher_id",
+                              "_addr", "early", "late", "_unst", "_touch"))
 
     # set-wise decisions for orders without a contended line
     simple = h.filter(F.col("early").isNotNull() | F.col("_touch").isNull())
