@@ -19,6 +19,15 @@ from martlake.sources.retail import RETAIL_AS_OF, load_retail, materialize
 _cache: dict = {}
 
 
+def _session_key(spark: SparkSession):
+    """Identity of a running session (a new session never reuses a dead one's frames)."""
+    try:
+        sc = spark.sparkContext
+        return (sc.applicationId, sc.startTime, id(spark))
+    except Exception:  # sessions without a local SparkContext
+        return (id(spark), spark.conf.get("spark.app.id", ""))
+
+
 def retail(spark: SparkSession, sf_dir: str):
     """Retail tables for one session and source folder.
 
@@ -27,7 +36,7 @@ def retail(spark: SparkSession, sf_dir: str):
     every query reads that snapshot with column pruning and filter pushdown. Set
     MARTLAKE_MATERIALIZE=0 to plan every query on the lazy derivation instead.
     """
-    key = (id(spark), sf_dir)
+    key = (_session_key(spark), sf_dir)
     if key not in _cache:
         t = load_retail(spark, sf_dir)
         if os.environ.get("MARTLAKE_MATERIALIZE", "1") != "0":

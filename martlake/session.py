@@ -54,5 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # core setting fixed at start-up; the context setter below suffices
             pass
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # no local SparkContext (remote session): the conf setting is used
+        pass
     return d
