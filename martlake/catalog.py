@@ -166,11 +166,11 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "member_point_activity": _on_retail(mem.member_point_activity, start="2024-01-01", end="2024-01-15"),
         "branch_staff_count": _on_retail(br.branch_staff_count),
         "monthly_branch_sales": _on_retail(br.monthly_branch_sales),
-        "branch_efficiency": _on_retail(br.branch_efficiency, as_of=A, months=24),
+        "branch_efficiency": _on_retail(br.branch_efficiency, as_of=A, months=24, prefix="Mart"),
         "branch_revenue": _on_retail(br.branch_revenue, as_of=A, years=2),
         "branch_cost": _on_retail(br.branch_cost, as_of=A, years=2),
-        "branch_profitability": _on_retail(br.branch_profitability, as_of=A, years=2),
-        "branch_profit_ranked": _on_retail(br.branch_profit_ranked, as_of=A, years=2),
+        "branch_profitability": _on_retail(br.branch_profitability, as_of=A, years=2, prefix="Mart"),
+        "branch_profit_ranked": _on_retail(br.branch_profit_ranked, as_of=A, years=2, prefix="Mart"),
         "company_summary": _on_retail(br.company_summary),
         "table_row_counts": _on_retail(br.table_row_counts),
         "voucher_redemption": _on_retail(vou.voucher_redemption, as_of=A, months=24, min_redemptions=10),

@@ -14,8 +14,9 @@ from martlake.operators.supplier import avg_item_cost
 
 MONEY = "decimal(18,2)"
 
-# Fixed value: the chain name that branch reports strip from branch names.
-CHAIN_PREFIX = "88 SpeedMart"
+# The chain name that branch reports strip from branch names is a parameter (``prefix``);
+# the test data's branches are named "Mart <nation>".
+CHAIN_PREFIX = None
 
 
 def _lines(t) -> DataFrame:
@@ -43,12 +44,14 @@ def monthly_branch_sales(t) -> DataFrame:
               .select("branch_id", "branch_name", "month", "monthly_sales", "monthly_orders")
 
 
-def _strip_prefix(c, prefix: str):
+def _strip_prefix(c, prefix: str | None):
     import re
+    if not prefix:
+        return F.trim(c)
     return F.trim(F.regexp_replace(c, "(?i)" + re.escape(prefix), ""))
 
 
-def branch_efficiency(t, as_of: _dt.date, months: int = 24, prefix: str = CHAIN_PREFIX,
+def branch_efficiency(t, as_of: _dt.date, months: int = 24, prefix: str | None = CHAIN_PREFIX,
                       min_sales: float = 1000, min_orders: int = 10) -> DataFrame:
     """Q29: last ``months`` months: orders, sales, sales per staff member; names without the
     chain prefix; HAVING sales > ``min_sales`` and orders >= ``min_orders``.
@@ -92,7 +95,7 @@ def branch_cost(t, as_of: _dt.date, years: int = 2) -> DataFrame:
     return j.groupBy("branch_id").agg(F.round(F.sum(F.col("_u") * F.col("avg_unit_cost")), 2).alias("total_cost"))
 
 
-def branch_profitability(t, as_of: _dt.date, years: int = 2, prefix: str = CHAIN_PREFIX) -> DataFrame:
+def branch_profitability(t, as_of: _dt.date, years: int = 2, prefix: str | None = CHAIN_PREFIX) -> DataFrame:
     """Q33: revenue, cost, profit, orders and revenue per order; HAVING profit > 0.
 
     Orders are counted from ``orders`` alone (orders without lines count), and three
@@ -111,9 +114,9 @@ def branch_profitability(t, as_of: _dt.date, years: int = 2, prefix: str = CHAIN
                      round_ratio(cents("total_revenue"), F.col("total_orders")).alias("avg_order_val")))
 
 
-def branch_profit_ranked(t, as_of: _dt.date, years: int = 2) -> DataFrame:
+def branch_profit_ranked(t, as_of: _dt.date, years: int = 2, prefix: str | None = CHAIN_PREFIX) -> DataFrame:
     """Q34: Q33 by profit, highest first, numbered 1..n (branch id breaks ties)."""
-    return global_rank(branch_profitability(t, as_of, years),
+    return global_rank(branch_profitability(t, as_of, years, prefix),
                        [F.col("net_profit").desc(), F.col("branch_id")], name="rank", kind="row_number")
 
 

@@ -13,7 +13,7 @@ from r_orders o join r_order_item oi on o.order_id = oi.order_id join ({_AIC}) a
 where o.order_date >= date '1999-08-01' group by o.branch_id"""
 
 _PROFIT = f"""
-select b.branch_id, trim(regexp_replace(b.branch_name, '88 SpeedMart', '', 'gi')) as branch_loc,
+select b.branch_id, trim(regexp_replace(b.branch_name, 'Mart', '', 'gi')) as branch_loc,
   count(distinct o.order_id) as total_orders, br.total_revenue, bc.total_cost,
   round(cast(br.total_revenue as double) - bc.total_cost, 2) as net_profit,
   {ratio2('cast(br.total_revenue * 100 as bigint)', 'count(distinct o.order_id)')} as avg_order_val
@@ -57,7 +57,7 @@ msv as (select b.branch_id, strftime(o.order_date, '%Y-%m') as month,
   sum(oi.quantity * oi.unit_price) as monthly_sales, count(distinct o.order_id) as monthly_orders
   from r_branch b join r_orders o on b.branch_id = o.branch_id join r_order_item oi on o.order_id = oi.order_id
   group by b.branch_id, strftime(o.order_date, '%Y-%m'))
-select b.branch_id, trim(regexp_replace(b.branch_name, '88 SpeedMart', '', 'gi')) as branch_location,
+select b.branch_id, trim(regexp_replace(b.branch_name, 'Mart', '', 'gi')) as branch_location,
   sc.staff_count as headcount, cast(sum(msv.monthly_orders) as bigint) as total_orders,
   cast(sum(msv.monthly_sales) as decimal(18,2)) as total_sales,
   cast(sum(msv.monthly_sales) as double) / sc.staff_count as sales_per_staff
