@@ -63,9 +63,10 @@ def register_members(t, requests: DataFrame, as_of: _dt.date) -> dict:
     ok = ok.withColumn("_ri", F.row_number().over(Window.partitionBy("ic").orderBy(*order)))
     ok = ok.withColumn("code", F.when(F.col("_ri") > 1, F.lit("-20001")))
     ok2 = ok.filter(F.col("code").isNull())
-    ok2 = ok2.withColumn("_re", F.when(F.col("email").isNotNull(),
-                                       F.row_number().over(Window.partitionBy("email").orderBy(*order))))
-    ok2 = ok2.withColumn("code", F.when(F.col("_re") > 1, F.lit("-20002")))
+    # NULL e-mails never collide; they stay out of the window (one NULL group = one task)
+    with_mail = ok2.filter(F.col("email").isNotNull()).withColumn(
+        "code", F.when(F.row_number().over(Window.partitionBy("email").orderBy(*order)) > 1, F.lit("-20002")))
+    ok2 = with_mail.unionByName(ok2.filter(F.col("email").isNull()))
     cols = ["req_id", "code"]
     dec = (r.filter(F.col("code").isNotNull()).select(*cols)
            .unionByName(ok.filter(F.col("code").isNotNull()).select(*cols))
@@ -363,8 +364,12 @@ def redeem_vouchers(t, requests: DataFrame, as_of) -> dict:
                                     (F.col("_owner").isNotNull() & (F.col("_owner") != F.col("member_id")), -20042),
                                     (F.col("_used").isNotNull(), -20044)))
     ok = r.filter(F.col("code").isNull())
+    # first-wins only among requests on member orders; guest-order requests never block each
+    # other and stay out of the window (a NULL key would put all of them in one task)
     w = Window.partitionBy("voucher_id", "_owner").orderBy("req_ts", "req_id")
-    ok = ok.withColumn("code", F.when(F.col("_owner").isNotNull() & (F.row_number().over(w) > 1), F.lit("-20044")))
+    owned = ok.filter(F.col("_owner").isNotNull()).withColumn(
+        "code", F.when(F.row_number().over(w) > 1, F.lit("-20044")))
+    ok = owned.unionByName(ok.filter(F.col("_owner").isNull()))
     dec = r.filter(F.col("code").isNotNull()).select("req_id", "code").unionByName(ok.select("req_id", "code"))
     new_red = ok.filter(F.col("code").isNull()).select(F.col("req_id").alias("redemption_id"), "voucher_id", "order_id",
                                                        F.col("req_ts").alias("redeemed_date"))
