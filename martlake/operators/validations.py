@@ -143,7 +143,7 @@ def cancelled_delivery_lines(t) -> DataFrame:
 
 
 def stock_restore_cancelled(t) -> DataFrame:
-    """V05 on the data: stock after returning the lines of cancelled deliveries."""
+    """Stock after returning the lines of cancelled deliveries (the deletions on the data)."""
     return stock_restore(t, cancelled_delivery_lines(t))
 
 

@@ -108,6 +108,8 @@ def _materialize(df: DataFrame) -> DataFrame:
 
 
 def place_orders(t, headers: DataFrame, lines: DataFrame, as_of) -> dict:
+    """Place multi-line orders all or nothing (see the module docstring for the rules
+    and outputs)."""
     bs = t["branch_stock"].select("branch_id", "item_id", F.col("stock_quantity").cast("bigint").alias("opening"))
     mem = t["member"].select("member_id", (F.col("address") if "address" in t["member"].columns
                                           else F.lit(None).cast("string")).alias("_maddr"))
