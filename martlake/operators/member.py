@@ -169,9 +169,8 @@ def monthly_member_spending(t, as_of: _dt.date, n: int = 10, products: int = 5,
     prods = prods.withColumn("product_rank", F.row_number().over(wp)).filter(F.col("product_rank") <= products)
     status = (F.when(F.col("expiry_date") < lit_date(as_of), "EXPIRED")
                .when(F.col("expiry_date") < F.date_add(lit_date(as_of), soon_days), "EXPIRING SOON").otherwise("ACTIVE"))
-    one_row = active.withColumn("_k", F.lit(1))  # a single global count, joined on a constant key
     return (top.join(fav, "member_id", "left").join(prods, "member_id", "left")
-               .withColumn("_k", F.lit(1)).join(one_row, "_k")
+               .withColumn("active_members", active.scalar())  # one global count: a scalar subquery
                .select("member_rank", "member_id", "name", "email", "points_balance", "order_count", "total_spent",
                        status.alias("member_status"), F.coalesce("fav_branch", F.lit("N/A")).alias("fav_branch"),
                        F.coalesce("fav_visits", F.lit(0)).cast("bigint").alias("fav_visits"),

@@ -193,9 +193,9 @@ def place_orders(t, headers: DataFrame, lines: DataFrame, as_of) -> dict:
         t, acc_lines.select(F.col("req_id").alias("order_id"), "item_id", "quantity", F.col("req_ts").alias("priced_at")))["lines"]
     couriers = t["delivery_company"].select("company_id")
     cw = couriers.withColumn("_idx", F.row_number().over(Window.orderBy("company_id")) - 1)
-    n_c = couriers.agg(F.count(F.lit(1)).alias("_nc")).withColumn("_k", F.lit(1))
-    dl = (acc.filter(F.col("order_type") == "Delivery").withColumn("_k", F.lit(1)).join(n_c, "_k")
-             .withColumn("_idx", F.pmod(F.col("req_id"), F.col("_nc"))).join(cw, "_idx")
+    n_c = couriers.agg(F.count(F.lit(1))).scalar()  # number of couriers: a scalar subquery
+    dl = (acc.filter(F.col("order_type") == "Delivery")
+             .withColumn("_idx", F.pmod(F.col("req_id"), n_c)).join(cw, "_idx")
              .select(F.col("req_id").alias("delivery_id"), F.col("req_id").alias("order_id"), "company_id",
                      F.col("_addr").alias("delivery_address"), F.lit(None).cast("timestamp_ntz").alias("delivery_date"),
                      F.lit("Preparing").alias("delivery_status")))
