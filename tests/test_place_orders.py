@@ -111,3 +111,14 @@ def test_replay_equals_loop(spark, small_dir):
     assert any(c == "-20001" for c in got.values()) and any(c is None for c in got.values())
     snap = {(r.branch_id, r.item_id): r.stock_quantity for r in res["snapshot"].collect()}
     assert snap == stock
+
+
+def test_delivery_with_given_address(spark):
+    t = base(spark)
+    h = spark.createDataFrame([(100, NOW, 9001, 9001, 9001, "Delivery", None, "1 Jalan Test")], HDR)
+    ln = spark.createDataFrame([(100, 0, 1, 2)], LIN)
+    res = place_orders(t, h, ln, NOW.date())
+    assert code(res) is None
+    (d,) = res["deliveries"].collect()
+    assert (d.order_id, d.company_id, d.delivery_address, d.delivery_status) == (100, 2001, "1 Jalan Test", "Preparing")
+    assert res["pickups"].count() == 0
