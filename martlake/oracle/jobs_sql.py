@@ -94,3 +94,110 @@ select sp.pickup_id, sp.order_id, last.done as pickup_datetime, coalesce(last.st
   last.lastset as pickup_exp_date
 from r_self_pickup sp left join last on last.order_id = sp.order_id""",
 }
+
+# A recursive CTE walks each item's transfers in order, carrying the item's stock per
+# branch as a MAP (branch -> units); an accepted transfer rewrites two entries.
+_TRANSFER = """
+with recursive r as (
+  select q.*, case when q.from_branch = q.to_branch then '-20010' when q.quantity <= 0 then '-20011'
+    when i.item_id is null or bf.branch_id is null or bt.branch_id is null then 'NOT_FOUND' end as scode
+  from q_transfer q left join r_item i on i.item_id = q.item_id
+  left join r_branch bf on bf.branch_id = q.from_branch left join r_branch bt on bt.branch_id = q.to_branch),
+ev as (select *, row_number() over (partition by item_id order by req_ts, req_id) as rn from r where scode is null),
+op as (select item_id, map(list(cast(branch_id as bigint)), list(cast(stock_quantity as bigint))) as m
+       from r_branch_stock group by item_id),
+f(item_id, rn, m, req_id, code) as (
+  select e.item_id, 0, coalesce(op.m, cast(map() as map(bigint, bigint))), cast(null as bigint), cast(null as varchar)
+  from (select distinct item_id from ev) e left join op on op.item_id = e.item_id
+  union all
+  select f.item_id, ev.rn,
+    case when not map_contains(f.m, ev.from_branch) or f.m[ev.from_branch] < ev.quantity then f.m
+         else map_concat(f.m, map([ev.from_branch, ev.to_branch],
+                                  [f.m[ev.from_branch] - ev.quantity, coalesce(f.m[ev.to_branch], 0) + ev.quantity])) end,
+    ev.req_id,
+    case when not map_contains(f.m, ev.from_branch) then '-20012' when f.m[ev.from_branch] < ev.quantity then '-20013' end
+  from f join ev on ev.item_id = f.item_id and ev.rn = f.rn + 1)"""
+
+SQL["transfer_stock"] = _TRANSFER + """
+select req_id, code is null as accepted, code from (
+  select req_id, scode as code from r where scode is not null
+  union all select req_id, code from f where rn > 0)"""
+
+SQL["transfer_stock_snapshot"] = _TRANSFER + """
+, last as (select item_id, m from (select *, row_number() over (partition by item_id order by rn desc) as k from f) where k = 1),
+cells as (select item_id, unnest(map_keys(m)) as branch_id, unnest(map_values(m)) as stock_quantity from last)
+select c.branch_id, cast(c.item_id as bigint) as item_id, c.stock_quantity,
+  coalesce(bs.last_restock_date, date '2024-01-31') as last_restock_date
+from cells c left join r_branch_stock bs on bs.branch_id = c.branch_id and bs.item_id = c.item_id
+union all
+select cast(bs.branch_id as bigint), cast(bs.item_id as bigint), cast(bs.stock_quantity as bigint), bs.last_restock_date
+from r_branch_stock bs where bs.item_id not in (select item_id from last)"""
+
+# W11 over the stored orders: a recursive CTE walks each branch's orders in (req_ts, req_id)
+# order, carrying the branch's stock per item as a MAP; an order's lines are lists checked
+# with lambdas (first failing line in line order), an accepted order rewrites its items.
+# The test tables carry no address, so every Delivery order falls to -20010.
+_PLACE = """
+with recursive hdr as (
+  select o.order_id as req_id, o.order_date as req_ts, o.member_id, o.branch_id, o.order_type, fr.voucher_id
+  from r_orders o left join (select order_id, arg_min(voucher_id, (redeemed_date, redemption_id)) as voucher_id
+                             from r_redemption group by order_id) fr on fr.order_id = o.order_id),
+ln as (select order_id as req_id, item_id as line_no, item_id, quantity from r_order_item),
+nl as (select req_id, count(*) as n from ln group by req_id),
+hist as (select distinct r.voucher_id, o.member_id from r_redemption r join r_orders o on o.order_id = r.order_id
+         where o.member_id is not null),
+h0 as (
+  select hdr.*,
+    case when coalesce(nl.n, 0) = 0 then '-20006'
+         when hdr.member_id is null and hdr.order_type in ('Delivery', 'Self Pickup') then '-20008'
+         when hdr.member_id is null and hdr.voucher_id is not null then '-20009' end as early,
+    case when hdr.order_type = 'Delivery' then '-20010'
+         when hdr.voucher_id is not null and v.voucher_id is null then '-20043'
+         when hdr.voucher_id is not null and v.exp_date < date '2001-08-01' then '-20040'
+         when hdr.voucher_id is not null and m.member_id is null then '-20041'
+         when hdr.voucher_id is not null and hi.voucher_id is not null then '-20044' end as late0
+  from hdr left join nl on nl.req_id = hdr.req_id left join r_voucher v on v.voucher_id = hdr.voucher_id
+  left join r_member m on m.member_id = hdr.member_id
+  left join hist hi on hi.voucher_id = hdr.voucher_id and hi.member_id = hdr.member_id),
+h as (
+  select h0.*, coalesce(late0, case when early is null and late0 is null and voucher_id is not null
+    and row_number() over (partition by early is null and late0 is null and voucher_id is not null, voucher_id, member_id
+                           order by req_ts, req_id) > 1 then '-20044' end) as late
+  from h0),
+ordl as (select h.req_id, h.branch_id, h.req_ts, h.late, list(ln.item_id order by ln.line_no) as items,
+           list(cast(ln.quantity as bigint) order by ln.line_no) as qtys
+         from h join ln on ln.req_id = h.req_id where h.early is null group by h.req_id, h.branch_id, h.req_ts, h.late),
+ev as (select *, row_number() over (partition by branch_id order by req_ts, req_id) as rn from ordl),
+op as (select branch_id, map(list(item_id), list(cast(stock_quantity as bigint))) as m from r_branch_stock group by branch_id),
+f(branch_id, rn, m, req_id, code) as (
+  select e.branch_id, 0, coalesce(op.m, cast(map() as map(bigint, bigint))), cast(null as bigint), cast(null as varchar)
+  from (select distinct branch_id from ev) e left join op on op.branch_id = e.branch_id
+  union all
+  select f.branch_id, ev.rn,
+    case when coalesce(list_filter(list_transform(ev.items, lambda x, i: case when not map_contains(f.m, x) then '-20002'
+                                     when f.m[x] < ev.qtys[i] then '-20001' end), lambda c: c is not null)[1], ev.late) is null
+         then map_concat(f.m, map(ev.items, list_transform(ev.items, lambda x, i: f.m[x] - ev.qtys[i])))
+         else f.m end,
+    ev.req_id,
+    coalesce(list_filter(list_transform(ev.items, lambda x, i: case when not map_contains(f.m, x) then '-20002'
+                           when f.m[x] < ev.qtys[i] then '-20001' end), lambda c: c is not null)[1], ev.late)
+  from f join ev on ev.branch_id = f.branch_id and ev.rn = f.rn + 1),
+dec as (select req_id, early as code from h where early is not null
+        union all select req_id, code from f where rn > 0)"""
+
+SQL["place_orders"] = _PLACE + "\nselect cast(req_id as bigint) as req_id, code is null as accepted, code from dec"
+
+SQL["place_orders_snapshot"] = _PLACE + """
+, moved as (select h.branch_id, ln.item_id, sum(ln.quantity) as q from dec join h on h.req_id = dec.req_id
+            join ln on ln.req_id = dec.req_id where dec.code is null group by h.branch_id, ln.item_id)
+select bs.branch_id, bs.item_id, cast(bs.stock_quantity - coalesce(moved.q, 0) as bigint) as stock_quantity, bs.last_restock_date
+from r_branch_stock bs left join moved on moved.branch_id = bs.branch_id and moved.item_id = bs.item_id"""
+
+SQL["place_orders_low_stock_alerts"] = _PLACE + """
+, acc as (select h.branch_id, h.req_id, h.req_ts, ln.item_id, ln.line_no, ln.quantity from dec join h on h.req_id = dec.req_id
+          join ln on ln.req_id = dec.req_id where dec.code is null),
+run as (select acc.*, bs.stock_quantity - sum(acc.quantity) over (partition by acc.branch_id, acc.item_id
+          order by acc.req_ts, acc.req_id, acc.line_no rows between unbounded preceding and current row) as stock_after
+        from acc join r_branch_stock bs on bs.branch_id = acc.branch_id and bs.item_id = acc.item_id)
+select branch_id, item_id, req_id as order_id, req_ts as order_date, cast(stock_after as bigint) as stock_after
+from run where stock_after < 20"""
