@@ -201,3 +201,29 @@ run as (select acc.*, bs.stock_quantity - sum(acc.quantity) over (partition by a
         from acc join r_branch_stock bs on bs.branch_id = acc.branch_id and bs.item_id = acc.item_id)
 select branch_id, item_id, req_id as order_id, req_ts as order_date, cast(stock_after as bigint) as stock_after
 from run where stock_after < 20"""
+
+# S04 run to completion: every request with the status and expiry after it (W10 rules),
+# plus one TIMER row per pickup left Ready / Rescheduled whose expiry is below the final
+# watermark (latest event time minus the 1 hour delay, in milliseconds as Spark keeps it).
+SQL["pickup_lifecycle_stream"] = _PICKUP + """
+, ok3 as (select *, case when new_status = 'Completed' and exp_in_force is not null and req_ts > exp_in_force
+                         then 'Expired' else new_status end as eff,
+                    case when new_status = 'Completed' and exp_in_force is not null and req_ts > exp_in_force
+                         then '-20640' end as code
+          from ok2),
+allrows as (select r.req_id, r.order_id, r.req_ts, r.new_status, coalesce(r.scode, ok3.code) as code, ok3.eff, ok3.sets,
+              r.pickup_status as status0
+            from (select q.*, sp.pickup_status, x.scode from q_pickup q left join r_self_pickup sp on sp.order_id = q.order_id
+                  join r x on x.req_id = q.req_id) r
+            left join ok3 on ok3.req_id = r.req_id),
+per as (select req_id, order_id, req_ts, new_status, code,
+          coalesce(last_value(eff ignore nulls) over w, status0) as status_after,
+          last_value(sets ignore nulls) over w as exp_after
+        from allrows window w as (partition by order_id order by req_ts, req_id rows between unbounded preceding and current row)),
+fin as (select order_id, arg_max(status_after, (req_ts, req_id)) as st, arg_max(exp_after, (req_ts, req_id)) as ex
+        from per where order_id is not null group by order_id)
+select cast(req_id as bigint) as req_id, cast(order_id as bigint) as order_id, req_ts, new_status, code, status_after, exp_after from per
+union all
+select cast(null as bigint), cast(order_id as bigint), ex, 'Expired', 'TIMER', 'Expired', ex from fin
+where st in ('Ready', 'Rescheduled') and ex is not null
+  and floor(epoch_us(ex) / 1000) < floor(epoch_us((select max(req_ts) from q_pickup)) / 1000) - 3600000"""
