@@ -37,10 +37,6 @@ def _src(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _money(expr: str):
-    return F.expr(expr).cast("decimal(8,2)")
-
-
 def _item_price_col():
     # item price as stored on the item row
     return F.expr("cast(cast(p_retailprice as decimal(8,2)) - 890 as decimal(8,2))")

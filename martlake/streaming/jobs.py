@@ -26,9 +26,6 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from martlake.session import checkpoint_dir
 from martlake.sources import retail as R
 
-EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-
-
 def run_available(df: DataFrame, name: str) -> DataFrame:
     """Run a streaming DataFrame until its input is exhausted; return what it wrote."""
     spark = df.sparkSession
@@ -236,7 +233,15 @@ _PICKUP_STATE = "status string, exp timestamp_ntz"
 THREE_DAYS = pd.Timedelta(days=3)
 
 
-def _pickup_fn(key, pdfs, state):
+def _pickup_fn_factory(tz: str):
+    """The watermark is the NTZ event time read in the session time zone; the timer is set
+    in the same zone so that the two compare."""
+    def fn(key, pdfs, state):
+        yield from _pickup_fn(key, pdfs, state, tz)
+    return fn
+
+
+def _pickup_fn(key, pdfs, state, tz="UTC"):
     (order_id,) = key
     if state.hasTimedOut:
         status, exp = state.get
@@ -271,7 +276,7 @@ def _pickup_fn(key, pdfs, state):
     if status is not None:
         state.update((status, None if exp is None else exp.to_pydatetime()))
         if status in ("Ready", "Rescheduled") and exp is not None:
-            state.setTimeoutTimestamp(int(exp.value // 1_000_000))
+            state.setTimeoutTimestamp(int(exp.tz_localize(tz, ambiguous=True, nonexistent="shift_forward").value // 1_000_000))
     yield pd.DataFrame(rows)
 
 
@@ -299,4 +304,5 @@ def pickup_lifecycle_stream(t, requests: DataFrame, delay: str = "1 hour") -> Da
                  "new_status", F.col("reschedule_date").cast("timestamp_ntz"), code.alias("code"),
                  "status0", F.col("exp0").cast("timestamp_ntz"), "_event_time")
     return r.groupBy("order_id").applyInPandasWithState(
-        _pickup_fn, _PICKUP_OUT, _PICKUP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        _pickup_fn_factory(requests.sparkSession.conf.get("spark.sql.session.timeZone")),
+        _PICKUP_OUT, _PICKUP_STATE, "append", GroupStateTimeout.EventTimeTimeout)

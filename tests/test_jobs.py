@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from martlake.catalog import retail
 from martlake.plans import jobs
