@@ -176,6 +176,14 @@ def promotion_performance(t, start, end, promotion_id=None) -> DataFrame:
         F.sum("sales_revenue").cast(MONEY).alias("sales_revenue"),
         F.sum("order_lines").cast("bigint").alias("order_lines"))
     r = r.filter(F.col("_g") < 3)
+    # promotions without detail lines still get their (zero) totals row
+    empty = (promo.join(det.select("promotion_id"), "promotion_id", "left_anti")
+             .select("promotion_id", F.lit(1).alias("_g"), F.lit(None).cast(r.schema["item_id"].dataType).alias("item_id"),
+                     F.lit(None).cast("string").alias("item_name"), F.lit(None).cast("string").alias("discount_type"),
+                     F.lit(None).cast(r.schema["discount_value"].dataType).alias("discount_value"),
+                     F.lit(0).cast("bigint").alias("quantity_sold"), F.lit(0).cast(MONEY).alias("sales_revenue"),
+                     F.lit(0).cast("bigint").alias("order_lines")))
+    r = r.unionByName(empty.select(*r.columns))
     item = F.col("_g") == 0
     out = r.join(promo, "promotion_id")
     return out.select(

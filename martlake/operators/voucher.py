@@ -77,7 +77,7 @@ def promotion_lines(t, promotion_id=None) -> DataFrame:
 
 def active_promotions(t, as_of, items=None) -> DataFrame:
     """Q39: promotion lines whose promotion covers ``as_of`` (start <= as_of <= end)."""
-    ts = F.lit(as_of).cast("timestamp_ntz") if not isinstance(as_of, str) else F.lit(as_of).cast("timestamp_ntz")
+    ts = F.lit(as_of).cast("timestamp_ntz")
     p = t["promotion"].filter((F.col("start_date").cast("timestamp_ntz") <= ts) & (ts <= F.col("end_date").cast("timestamp_ntz")))
     d = t["promotion_details"]
     if items is not None:

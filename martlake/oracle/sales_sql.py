@@ -102,7 +102,9 @@ from r_promotion p join r_promotion_details pd on pd.promotion_id = p.promotion_
 join r_item i on pd.item_id = i.item_id left join s on s.item_id = pd.item_id)
 select 'ITEM' as level, * from d
 union all
-select 'PROMOTION', promotion_id, promotion_name, status, start_date, end_date, null, null, null, null,
-  cast(sum(quantity_sold) as bigint), cast(sum(sales_revenue) as decimal(18,2)), cast(sum(order_lines) as bigint)
-from d group by promotion_id, promotion_name, status, start_date, end_date""",
+select 'PROMOTION', p.promotion_id, p.promotion_name, p.status, p.start_date, p.end_date, null, null, null, null,
+  cast(coalesce(sum(d.quantity_sold), 0) as bigint), cast(coalesce(sum(d.sales_revenue), 0) as decimal(18,2)),
+  cast(coalesce(sum(d.order_lines), 0) as bigint)
+from r_promotion p left join d on d.promotion_id = p.promotion_id
+group by p.promotion_id, p.promotion_name, p.status, p.start_date, p.end_date""",
 }
