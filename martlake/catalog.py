@@ -19,6 +19,12 @@ from martlake.sources.retail import RETAIL_AS_OF, load_retail, materialize
 _cache: dict = {}
 
 
+def reset_job_cache() -> None:
+    """Forget memoized job runs (W11 outputs); the retail snapshot is kept."""
+    for k in [k for k in _cache if len(k) == 3]:
+        del _cache[k]
+
+
 def _session_key(spark: SparkSession):
     """Identity of a running session (a new session never reuses a dead one's frames)."""
     try:

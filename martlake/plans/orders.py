@@ -100,6 +100,26 @@ def explode_lines(requests: DataFrame, col: str = "lines") -> DataFrame:
             .select("req_id", "line_no", F.col("l.item_id").alias("item_id"), F.col("l.quantity").alias("quantity")))
 
 
+class _Outputs(dict):
+    """Job outputs; the optional ones are planned only when asked for."""
+
+    def __init__(self, ready: dict, deferred: dict):
+        super().__init__(ready)
+        self._deferred = deferred
+
+    def __missing__(self, key):
+        if key not in self._deferred:
+            raise KeyError(key)
+        self[key] = self._deferred.pop(key)()
+        return self[key]
+
+    def keys(self):
+        return list(super().keys()) + list(self._deferred)
+
+    def __iter__(self):
+        return iter(self.keys())
+
+
 def _materialize(df: DataFrame) -> DataFrame:
     """Write an intermediate once (reliable checkpoint in the shared folder); later branches
     of the job read it instead of re-deriving it, and its lineage is cut."""
@@ -213,15 +233,18 @@ def place_orders(t, headers: DataFrame, lines: DataFrame, as_of) -> dict:
     moved = ded.groupBy("branch_id", "item_id").agg(F.sum("d").alias("_d"))
     snap = (t["branch_stock"].join(moved, ["branch_id", "item_id"], "left")
             .withColumn("stock_quantity", (F.col("stock_quantity") + F.coalesce("_d", F.lit(0))).cast("bigint")).drop("_d"))
-    run = running_sum(ded, [F.col("req_ts"), F.col("req_id"), F.col("line_no")], "d", "_rs",
-                      partition_by=["branch_id", "item_id"])
-    alerts = (run.join(bs, ["branch_id", "item_id"])
-                 .withColumn("stock_after", F.col("opening") + F.col("_rs"))
-                 .filter(F.col("stock_after") < LOW_STOCK)
-                 .select("branch_id", "item_id", F.col("req_id").alias("order_id"), F.col("req_ts").alias("order_date"),
-                         "stock_after"))
-    return {"decisions": decisions, "orders": orders, "order_lines": priced, "deliveries": dl, "pickups": pk,
-            "redemptions": red, "points": points, "snapshot": snap, "low_stock_alerts": alerts}
+
+    def alerts() -> DataFrame:
+        run = running_sum(ded, [F.col("req_ts"), F.col("req_id"), F.col("line_no")], "d", "_rs",
+                          partition_by=["branch_id", "item_id"])
+        return (run.join(bs, ["branch_id", "item_id"])
+                   .withColumn("stock_after", F.col("opening") + F.col("_rs"))
+                   .filter(F.col("stock_after") < LOW_STOCK)
+                   .select("branch_id", "item_id", F.col("req_id").alias("order_id"), F.col("req_ts").alias("order_date"),
+                           "stock_after"))
+
+    return _Outputs({"decisions": decisions, "orders": orders, "order_lines": priced, "deliveries": dl, "pickups": pk,
+                     "redemptions": red, "points": points, "snapshot": snap}, {"low_stock_alerts": alerts})
 
 
 def replay_orders(t):
