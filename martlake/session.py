@@ -20,6 +20,10 @@ _SCALE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    # streaming state (ledgers, de-duplication keys, pickup state machine) in RocksDB:
+    # kept on local disk per partition and checkpointed, not held on the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.showConsoleProgress": "false",
 }
 
