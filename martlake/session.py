@@ -20,6 +20,8 @@ _SCALE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    # checkpoints written by ranks and folds are removed once their data is out of scope
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # streaming state (ledgers, de-duplication keys, pickup state machine) in RocksDB:
     # kept on local disk per partition and checkpointed, not held on the JVM heap
     "spark.sql.streaming.stateStore.providerClass":
