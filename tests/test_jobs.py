@@ -146,3 +146,13 @@ def test_price_and_points_fixture(spark):
     orders = spark.createDataFrame([(100402, 9001, when)], "order_id long, member_id long, order_date timestamp_ntz")
     pts = jobs.award_points(t, res["lines"], orders, spark.createDataFrame([], "order_id long")).collect()
     assert [(p.member_id, p.amount) for p in pts] == [(9001, 27)]
+
+
+def test_write_snapshot_new_version(spark, small_dir, tmp_path):
+    from martlake.sources.snapshot import write_snapshot
+    t = retail(spark, small_dir)
+    res = jobs.transfer_stock(t, rq.transfers(spark, small_dir), EVENTS_AS_OF)
+    p1 = write_snapshot(res["snapshot"], str(tmp_path), partition_by=["branch_id"], cluster_by=["item_id"])
+    p2 = write_snapshot(res["snapshot"], str(tmp_path))
+    assert p1 != p2
+    assert spark.read.parquet(p1).count() == spark.read.parquet(p2).count() == res["snapshot"].count()
