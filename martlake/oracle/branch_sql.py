@@ -32,7 +32,7 @@ where o.order_date >= date '1999-08-01'
 group by r.voucher_id having count(distinct r.redemption_id) >= 10"""
 
 _DCP = f"""
-select dc.company_id, dc.company_name, count(d.delivery_id) as total_deliveries,
+select cast(dc.company_id as bigint) as company_id, dc.company_name, count(d.delivery_id) as total_deliveries,
   cast(sum(case when d.delivery_status = 'Delivered' then 1 else 0 end) as bigint) as delivered,
   cast(sum(case when d.delivery_status = 'Out for Delivery' then 1 else 0 end) as bigint) as out_for_delivery,
   cast(sum(case when d.delivery_status = 'Pending' then 1 else 0 end) as bigint) as pending,
@@ -46,7 +46,7 @@ SQL = {
     "branch_staff_count": "select branch_id, count(staff_id) as staff_count from r_staff group by branch_id",
 
     "monthly_branch_sales": """
-select b.branch_id, b.branch_name, strftime(o.order_date, '%Y-%m') as month,
+select cast(b.branch_id as bigint) as branch_id, b.branch_name, strftime(o.order_date, '%Y-%m') as month,
   cast(sum(oi.quantity * oi.unit_price) as decimal(18,2)) as monthly_sales, count(distinct o.order_id) as monthly_orders
 from r_branch b join r_orders o on b.branch_id = o.branch_id join r_order_item oi on o.order_id = oi.order_id
 group by b.branch_id, b.branch_name, strftime(o.order_date, '%Y-%m')""",
@@ -57,7 +57,7 @@ msv as (select b.branch_id, strftime(o.order_date, '%Y-%m') as month,
   sum(oi.quantity * oi.unit_price) as monthly_sales, count(distinct o.order_id) as monthly_orders
   from r_branch b join r_orders o on b.branch_id = o.branch_id join r_order_item oi on o.order_id = oi.order_id
   group by b.branch_id, strftime(o.order_date, '%Y-%m'))
-select b.branch_id, trim(regexp_replace(b.branch_name, 'Mart', '', 'gi')) as branch_location,
+select cast(b.branch_id as bigint) as branch_id, trim(regexp_replace(b.branch_name, 'Mart', '', 'gi')) as branch_location,
   sc.staff_count as headcount, cast(sum(msv.monthly_orders) as bigint) as total_orders,
   cast(sum(msv.monthly_sales) as decimal(18,2)) as total_sales,
   cast(sum(msv.monthly_sales) as double) / sc.staff_count as sales_per_staff
