@@ -192,6 +192,7 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "order_member_points": _on_retail(vou.order_member_points),
         "delivery_company_performance": _on_retail(vou.delivery_company_performance, start="2001-01-01", end="2001-08-16"),
         "delivery_management_summary": _on_retail(vou.delivery_management_summary, start="2001-01-01", end="2001-08-16"),
+        "validation_violations": _on_retail(val.run_rules, as_of=A),
         "stock_ledger_violations": _on_retail(val.stock_ledger_rule),
         "low_stock_alerts": _on_retail(val.low_stock_alerts, threshold=20),
         "points_ledger_violations": _on_retail(val.points_ledger_rule),

@@ -120,3 +120,12 @@ from r_orders o join r_member m on m.member_id = o.member_id where m.expiry_date
 select 'V14' as rule_id, 'point_history' as table_name, cast(ph.point_redemption_id as varchar) as row_key, -20033 as code
 from r_point_history ph join r_member m on m.member_id = ph.member_id where m.expiry_date < cast(ph.redemption_date as date)""",
 }
+
+
+# run_rules: every rule the test tables can feed, as one frame
+_RULE_QUERIES = ("stock_ledger_violations", "points_ledger_violations", "duplicate_redemption", "expired_redemption",
+                 "discount_above_price", "price_below_cost", "member_expiry_past", "voucher_expiry_past",
+                 "expired_member_order", "expired_member_points")
+SQL["validation_violations"] = "\nunion all\n".join(
+    f"select rule_id, table_name, row_key, cast(code as integer) as code from ({SQL[n]}) v_{i}"
+    for i, n in enumerate(_RULE_QUERIES))
