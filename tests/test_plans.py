@@ -11,7 +11,7 @@ import __spark_entry__ as E
 QUERIES = E.queries()
 STREAMS = {n for n in QUERIES if n.endswith("_stream")}
 # queries whose plan holds the ordered fold (mapInPandas over key-partitioned sorted input)
-FOLDS = {"stock_ledger_violations", "low_stock_alerts", "points_ledger_violations", "member_points_balances",
+FOLDS = {"validation_violations", "stock_ledger_violations", "low_stock_alerts", "points_ledger_violations", "member_points_balances",
          "transfer_stock", "transfer_stock_snapshot", "place_orders", "place_orders_snapshot",
          "place_orders_low_stock_alerts"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
