@@ -222,6 +222,9 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                      "decisions", as_of=A),
         "receive_procurements_snapshot": _job(jobs.receive_procurements, lambda s, d, t: rq.receipts_from_procurement(t),
                                               "snapshot", as_of=A),
+        "apply_delivery_updates": _job(jobs.apply_delivery_updates, lambda s, d, t: rq.delivery_events(s, d), "decisions"),
+        "apply_delivery_updates_snapshot": _job(jobs.apply_delivery_updates, lambda s, d, t: rq.delivery_events(s, d),
+                                                "snapshot"),
         "redeem_vouchers": _job(jobs.redeem_vouchers, lambda s, d, t: rq.redemptions(s, d), "decisions", as_of=A),
         "price_order_lines": _on_retail(jobs.reprice_order_lines),
         "award_points": _on_retail(jobs.award_points_history),

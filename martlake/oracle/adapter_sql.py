@@ -47,6 +47,11 @@ ADAPTER_CTES = {
  user_id as member_id from events where event_type='purchase'""",
     "q_pickup": """select event_id as req_id, ts as req_ts, event_id % 1600 as order_id, case event_id % 6 when 0 then 'Preparing' when 1 then 'Ready'
  when 2 then 'Completed' when 3 then 'Expired' when 4 then 'Rescheduled' else 'Shipped' end as new_status from events where event_type='signup'""",
+    "q_delivery": """select event_id as req_id, ts as req_ts, case when event_id % 4 = 0 then 'create' else 'update' end as action,
+ case when event_id % 4 = 0 then 90001 + event_id else 50001 + event_id % 1600 end as delivery_id, event_id % 1600 as order_id,
+ 2001 + event_id % 7 as company_id, case when event_id % 7 = 0 then null else 'Addr ' || cast(user_id as varchar) end as address,
+ case event_id % 6 when 0 then 'Delivered' when 1 then 'Out for Delivery' when 2 then 'Pending' when 3 then 'Preparing'
+ when 4 then 'Cancelled' else 'Lost' end as status from events where event_type = 'error'""",
 }
 
 

@@ -227,3 +227,44 @@ union all
 select cast(null as bigint), cast(order_id as bigint), ex, 'Expired', 'TIMER', 'Expired', ex from fin
 where st in ('Ready', 'Rescheduled') and ex is not null
   and floor(epoch_us(ex) / 1000) < floor(epoch_us((select max(req_ts) from q_pickup)) / 1000) - 3600000"""
+
+
+_DELIVERY = """
+with ex as (select delivery_id, order_id, delivery_status from r_delivery),
+cr as (
+  select q.*, case when q.status is null or q.status not in ('Delivered', 'Out for Delivery', 'Pending', 'Preparing', 'Cancelled') then '-20050'
+    when o.order_id is null then '-20053' when eo.order_id is not null then '-20054' when dc.company_id is null then '-20055'
+    when coalesce(trim(q.address), '') = '' then '-20056' end as scode
+  from q_delivery q left join r_orders o on o.order_id = q.order_id
+  left join (select distinct order_id from ex) eo on eo.order_id = q.order_id
+  left join r_delivery_company dc on dc.company_id = q.company_id where q.action = 'create'),
+cr2 as (select *, case when scode is null and row_number() over (partition by scode is null, order_id order by req_ts, req_id) > 1
+                       then '-20054' else scode end as code from cr),
+created as (select delivery_id, status, req_ts as cts, req_id as cid from cr2 where code is null),
+known as (select delivery_id, delivery_status as s0, cast(null as timestamp) as cts, cast(null as bigint) as cid from ex
+          union all select delivery_id, status, cts, cid from created),
+up as (
+  select q.*, k.s0, case when q.status is null or q.status not in ('Delivered', 'Out for Delivery', 'Pending', 'Preparing', 'Cancelled') then '-20050'
+    when (k.s0 is null and k.cts is null) or (k.cts is not null and (q.req_ts < k.cts or (q.req_ts = k.cts and q.req_id < k.cid))) then '-20052'
+    end as scode
+  from q_delivery q left join known k on k.delivery_id = q.delivery_id where q.action <> 'create'),
+up2 as (select *, case when scode is null and (s0 = 'Delivered' or coalesce(max(case when status = 'Delivered' then 1 else 0 end)
+          over (partition by scode is null, delivery_id order by req_ts, req_id rows between unbounded preceding and 1 preceding), 0) = 1)
+          then '-20051' else scode end as code from up)"""
+
+SQL["apply_delivery_updates"] = _DELIVERY + """
+select req_id, code is null as accepted, code from (select req_id, code from cr2 union all select req_id, code from up2)"""
+
+SQL["apply_delivery_updates_snapshot"] = _DELIVERY + """
+, last as (select delivery_id, arg_max(status, (req_ts, req_id)) as st, arg_max(req_ts, (req_ts, req_id)) as ts
+           from up2 where code is null group by delivery_id),
+base as (select delivery_id, order_id, company_id, cast(null as varchar) as delivery_address,
+           cast(null as timestamp) as delivery_date, delivery_status from r_delivery
+         union all
+         select delivery_id, order_id, company_id, address, case when status = 'Delivered' then req_ts end, status
+         from cr2 where code is null)
+select b.delivery_id, b.order_id, b.company_id, b.delivery_address,
+  case when l.st is null then b.delivery_date when l.st = 'Delivered' then l.ts when l.st = 'Cancelled' then null
+       else b.delivery_date end as delivery_date,
+  coalesce(l.st, b.delivery_status) as delivery_status
+from base b left join last l on l.delivery_id = b.delivery_id"""

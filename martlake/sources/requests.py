@@ -60,3 +60,26 @@ def receipts_from_procurement(t) -> DataFrame:
     return t["procurement"].select(
         F.col("procurement_id").alias("req_id"), F.col("procurement_date").alias("req_ts"),
         "branch_id", "item_id", "supplier_id", "quantity", "unit_cost")
+
+
+def delivery_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivery create / status-update requests from the ``error`` events.
+
+    Every fourth event creates a delivery (new id 90001 + event) for order event mod 1600;
+    the others update delivery 50001 + (event mod 1600), which exists for open orders.
+    Couriers 2001-2007 (2006 and 2007 unknown), every seventh address missing, and the status
+    cycles through the five known values and one unknown.
+    """
+    e = _events(spark, sf_dir, "error")
+    create = F.col("event_id") % 4 == 0
+    k = F.col("event_id") % 6
+    return e.select(
+        F.col("event_id").alias("req_id"), F.col("ts").alias("req_ts"),
+        F.when(create, "create").otherwise("update").alias("action"),
+        F.when(create, F.lit(90001) + F.col("event_id")).otherwise(F.lit(50001) + F.col("event_id") % 1600).alias("delivery_id"),
+        (F.col("event_id") % 1600).alias("order_id"),
+        (F.lit(2001) + F.col("event_id") % 7).alias("company_id"),
+        F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("string"))
+         .otherwise(F.concat(F.lit("Addr "), F.col("user_id").cast("string"))).alias("address"),
+        F.when(k == 0, "Delivered").when(k == 1, "Out for Delivery").when(k == 2, "Pending").when(k == 3, "Preparing")
+         .when(k == 4, "Cancelled").otherwise("Lost").alias("status"))
