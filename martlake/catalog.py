@@ -117,6 +117,19 @@ def _stream(kind: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _promotions(output: str) -> Callable[[SparkSession, str], DataFrame]:
+    """W09 over promotion requests derived from the events (headers plus detail lines)."""
+    from martlake.plans import jobs
+    from martlake.sources import requests as rq
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        headers, lines = rq.promotion_requests(spark, sf_dir)
+        return jobs.create_promotions(retail(spark, sf_dir), headers, lines)[output]
+    run.__name__ = f"create_promotions_{output}"
+    run.__doc__ = jobs.create_promotions.__doc__
+    return run
+
+
 def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from martlake.operators import branch as br
     from martlake.operators import constraints as con
@@ -225,6 +238,8 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "apply_delivery_updates": _job(jobs.apply_delivery_updates, lambda s, d, t: rq.delivery_events(s, d), "decisions"),
         "apply_delivery_updates_snapshot": _job(jobs.apply_delivery_updates, lambda s, d, t: rq.delivery_events(s, d),
                                                 "snapshot"),
+        "create_promotions": _promotions("decisions"),
+        "create_promotions_details": _promotions("promotion_details"),
         "redeem_vouchers": _job(jobs.redeem_vouchers, lambda s, d, t: rq.redemptions(s, d), "decisions", as_of=A),
         "price_order_lines": _on_retail(jobs.reprice_order_lines),
         "award_points": _on_retail(jobs.award_points_history),

@@ -52,6 +52,13 @@ ADAPTER_CTES = {
  2001 + event_id % 7 as company_id, case when event_id % 7 = 0 then null else 'Addr ' || cast(user_id as varchar) end as address,
  case event_id % 6 when 0 then 'Delivered' when 1 then 'Out for Delivery' when 2 then 'Pending' when 3 then 'Preparing'
  when 4 then 'Cancelled' else 'Lost' end as status from events where event_type = 'error'""",
+    "q_promo_hdr": """select event_id as req_id, ts as req_ts, 7000000 + event_id as promotion_id,
+ case when event_id % 9 = 0 then '' else 'Promo ' || cast(user_id as varchar) end as name, cast(null as varchar) as description,
+ cast(ts as date) as start_date, cast(ts as date) + cast(event_id % 40 - 5 as int) as end_date from events where event_type = 'view'""",
+    "q_promo_lines": """select req_id, pos, (req_id * 7 + (pos % 3) * 13) % 2100 as item_id,
+ case when (req_id + pos) % 7 = 0 then 'Bogus' when (req_id + pos) % 7 < 4 then 'Percentage' else 'Amount' end as discount_type,
+ cast(((req_id + pos * 17) % 130) - 10 as decimal(8,2)) as discount_value
+ from (select event_id as req_id, unnest(range(0, event_id % 5)) as pos from events where event_type = 'view' and event_id % 5 > 0)""",
 }
 
 

@@ -268,3 +268,26 @@ select b.delivery_id, b.order_id, b.company_id, b.delivery_address,
        else b.delivery_date end as delivery_date,
   coalesce(l.st, b.delivery_status) as delivery_status
 from base b left join last l on l.delivery_id = b.delivery_id"""
+
+
+_PROMO = """
+with ln as (select l.*, i.item_id is not null as known,
+              row_number() over (partition by l.req_id, l.item_id order by l.pos) > 1 as dup
+            from q_promo_lines l left join r_item i on i.item_id = l.item_id),
+lc as (select req_id, arg_min(c, pos) as lc from (
+         select *, case when not known then '-20005' when discount_type not in ('Percentage', 'Amount') then '-20006'
+                        when discount_value < 0 or (discount_type = 'Percentage' and discount_value > 100) then '-20007'
+                        when dup then '-20008' end as c from ln) where c is not null group by req_id),
+nd as (select req_id, count(*) as n from q_promo_lines group by req_id),
+dec as (select h.req_id, h.promotion_id,
+          coalesce(case when coalesce(trim(h.name), '') = '' then '-20001'
+                        when h.start_date is null or h.end_date is null then '-20002'
+                        when h.end_date < h.start_date then '-20003'
+                        when coalesce(nd.n, 0) <= 0 then '-20004' end, lc.lc) as code
+        from q_promo_hdr h left join nd on nd.req_id = h.req_id left join lc on lc.req_id = h.req_id)"""
+
+SQL["create_promotions"] = _PROMO + "\nselect req_id, code is null as accepted, code from dec"
+
+SQL["create_promotions_details"] = _PROMO + """
+select d.promotion_id, l.item_id, l.discount_type, l.discount_value
+from dec d join q_promo_lines l on l.req_id = d.req_id where d.code is null"""

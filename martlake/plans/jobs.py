@@ -437,25 +437,33 @@ def reprice_order_lines(t) -> DataFrame:
 
 # ------------------------------------------------------------------ W09 create promotions
 
-def create_promotions(t, requests: DataFrame) -> dict:
+def create_promotions(t, requests: DataFrame, lines: DataFrame | None = None) -> dict:
     """Requests (req_id, req_ts, promotion_id, name, description, start_date, end_date,
-    details array<struct<item_id, discount_type, discount_value>>).
+    details array<struct<item_id, discount_type, discount_value>>) -- or, with ``lines``,
+    the details already exploded as (req_id, pos, item_id, discount_type, discount_value).
 
     A promotion is rejected whole on the first failing check: empty name (-20001); missing
     dates (-20002); end before start (-20003); no details (-20004); unknown item (-20005);
     bad discount type (-20006); negative value or percentage above 100 (-20007); an item
-    twice (-20008). Details are exploded to one row per line and checked set-wise; the
-    promotion keeps the smallest failing check code.
+    twice (-20008). Details are one row per line and checked set-wise; the promotion takes
+    the code of its first failing line.
     """
-    hdr = requests.withColumn(
+    if lines is None:
+        lines = (requests.select("req_id", F.posexplode_outer("details").alias("_pos", "d"))
+                 .select("req_id", "_pos", F.col("d.item_id").alias("item_id"),
+                         F.col("d.discount_type").alias("discount_type"), F.col("d.discount_value").alias("discount_value"))
+                 .filter(F.col("_pos").isNotNull()))
+        hdr = requests
+        n_lines = F.coalesce(F.size("details"), F.lit(0))
+    else:
+        lines = lines.select("req_id", F.col("pos").alias("_pos"), "item_id", "discount_type", "discount_value")
+        hdr = requests.join(lines.groupBy("req_id").agg(F.count(F.lit(1)).alias("_nd")), "req_id", "left")
+        n_lines = F.coalesce(F.col("_nd"), F.lit(0))
+    hdr = hdr.withColumn(
         "_h", _first((F.coalesce(F.trim("name"), F.lit("")) == "", -20001),
                      (F.col("start_date").isNull() | F.col("end_date").isNull(), -20002),
                      (F.col("end_date") < F.col("start_date"), -20003),
-                     (F.coalesce(F.size("details"), F.lit(0)) <= 0, -20004)))
-    lines = (requests.select("req_id", F.posexplode_outer("details").alias("_pos", "d"))
-             .select("req_id", "_pos", F.col("d.item_id").alias("item_id"), F.col("d.discount_type").alias("discount_type"),
-                     F.col("d.discount_value").alias("discount_value"))
-             .filter(F.col("_pos").isNotNull()))
+                     (n_lines <= 0, -20004)))
     lines = lines.join(_exists(t["item"], "item_id", "_i"), "item_id", "left")
     w = Window.partitionBy("req_id", "item_id").orderBy("_pos")
     lines = lines.withColumn("_dup", F.row_number().over(w) > 1)

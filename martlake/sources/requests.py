@@ -83,3 +83,30 @@ def delivery_events(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.concat(F.lit("Addr "), F.col("user_id").cast("string"))).alias("address"),
         F.when(k == 0, "Delivered").when(k == 1, "Out for Delivery").when(k == 2, "Pending").when(k == 3, "Preparing")
          .when(k == 4, "Cancelled").otherwise("Lost").alias("status"))
+
+
+def promotion_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Promotion creation requests from the ``view`` events: (headers, detail lines).
+
+    Header: promotion id 7000000 + event, name empty for every ninth event, dates from the
+    event day to 5 days before .. 34 days after it (some reversed). Each request has
+    event mod 5 detail lines (0 = none): item (7 event + 13 (pos mod 3)) mod 2100, so the
+    fourth line repeats the first item; type and value cycle through valid and invalid ones.
+    """
+    e = _events(spark, sf_dir, "view")
+    day = F.to_date("ts")
+    headers = e.select(
+        F.col("event_id").alias("req_id"), F.col("ts").alias("req_ts"),
+        (F.lit(7000000) + F.col("event_id")).alias("promotion_id"),
+        F.when(F.col("event_id") % 9 == 0, F.lit("")).otherwise(F.concat(F.lit("Promo "), F.col("user_id").cast("string")))
+         .alias("name"),
+        F.lit(None).cast("string").alias("description"),
+        day.alias("start_date"), F.date_add(day, (F.col("event_id") % 40 - 5).cast("int")).alias("end_date"))
+    pos = F.explode(F.sequence(F.lit(0), (F.col("event_id") % 5 - 1).cast("int")))
+    lines = (e.filter(F.col("event_id") % 5 > 0).select("event_id", pos.alias("pos"))
+             .select(F.col("event_id").alias("req_id"), "pos",
+                     ((F.col("event_id") * 7 + (F.col("pos") % 3) * 13) % 2100).alias("item_id"),
+                     F.when((F.col("event_id") + F.col("pos")) % 7 == 0, "Bogus")
+                      .when((F.col("event_id") + F.col("pos")) % 7 < 4, "Percentage").otherwise("Amount").alias("discount_type"),
+                     (((F.col("event_id") + F.col("pos") * 17) % 130) - 10).cast("decimal(8,2)").alias("discount_value")))
+    return headers, lines
