@@ -238,6 +238,10 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "apply_delivery_updates": _job(jobs.apply_delivery_updates, lambda s, d, t: rq.delivery_events(s, d), "decisions"),
         "apply_delivery_updates_snapshot": _job(jobs.apply_delivery_updates, lambda s, d, t: rq.delivery_events(s, d),
                                                 "snapshot"),
+        "register_members": _job(jobs.register_members, lambda s, d, t: rq.member_registrations(s, d), "decisions",
+                                 as_of=EVENTS_AS_OF),
+        "register_members_new": _job(jobs.register_members, lambda s, d, t: rq.member_registrations(s, d),
+                                     "new_members", as_of=EVENTS_AS_OF),
         "create_promotions": _promotions("decisions"),
         "create_promotions_details": _promotions("promotion_details"),
         "redeem_vouchers": _job(jobs.redeem_vouchers, lambda s, d, t: rq.redemptions(s, d), "decisions", as_of=A),

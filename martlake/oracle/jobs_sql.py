@@ -291,3 +291,21 @@ SQL["create_promotions"] = _PROMO + "\nselect req_id, code is null as accepted,
 SQL["create_promotions_details"] = _PROMO + """
 select d.promotion_id, l.item_id, l.discount_type, l.discount_value
 from dec d join q_promo_lines l on l.req_id = d.req_id where d.code is null"""
+
+
+# First-wins per IC, then per e-mail, each among the requests still in play
+_REGISTER = """
+with r as (select q.*, case when q.date_of_birth > date '2024-01-31' then '-20003'
+             when q.email is not null and q.email in (select email from r_member where email is not null) then '-20002' end as scode
+           from q_register q),
+r2 as (select *, case when scode is null and row_number() over (partition by scode is null, ic order by req_ts, req_id) > 1
+                      then '-20001' else scode end as c1 from r),
+r3 as (select *, case when c1 is null and email is not null
+                       and row_number() over (partition by c1 is null and email is not null, email order by req_ts, req_id) > 1
+                      then '-20002' else c1 end as code from r2)"""
+
+SQL["register_members"] = _REGISTER + "\nselect req_id, code is null as accepted, code from r3"
+
+SQL["register_members_new"] = _REGISTER + """
+select req_id as member_id, name, ic, email, address, date_of_birth, date '2025-01-31' as expiry_date,
+  cast(0 as bigint) as points_balance from r3 where code is null"""

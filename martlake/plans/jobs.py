@@ -52,6 +52,8 @@ def register_members(t, requests: DataFrame, as_of: _dt.date) -> dict:
     requests that passed the earlier checks.
     """
     m = t["member"]
+    if "ic" not in m.columns:  # a member table without IC numbers knows none
+        m = m.withColumn("ic", F.lit(None).cast("string"))
     known_ic = _exists(m.filter(F.col("ic").isNotNull()), "ic", "_ic")
     known_em = _exists(m.filter(F.col("email").isNotNull()), "email", "_em")
     r = requests.join(known_ic, "ic", "left").join(known_em, "email", "left")

@@ -110,3 +110,26 @@ def promotion_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
                       .when((F.col("event_id") + F.col("pos")) % 7 < 4, "Percentage").otherwise("Amount").alias("discount_type"),
                      (((F.col("event_id") + F.col("pos") * 17) % 130) - 10).cast("decimal(8,2)").alias("discount_value")))
     return headers, lines
+
+
+def member_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Member registration requests from the ``signup`` events.
+
+    Birth date from the user (1950-01-01 + 37 user mod 25000 days; every eleventh event a
+    date in 2030), so repeated sign-ups of one user repeat the IC; IC = YYMMDD-NN-NNNN from
+    the birth date and user; e-mail of an existing customer for every fifth event, none
+    for every seventeenth, else a new address.
+    """
+    e = _events(spark, sf_dir, "signup")
+    dob = F.when(F.col("event_id") % 11 == 0, F.lit("2030-01-01").cast("date")).otherwise(
+        F.date_add(F.lit("1950-01-01").cast("date"), ((F.col("user_id") * 37) % 25000).cast("int")))
+    ic = F.concat(F.date_format(dob, "yyMMdd"), F.lit("-"), F.lpad((F.col("user_id") % 100).cast("string"), 2, "0"),
+                  F.lit("-"), F.lpad((F.col("user_id") % 10000).cast("string"), 4, "0"))
+    email = (F.when(F.col("event_id") % 17 == 0, F.lit(None).cast("string"))
+              .when(F.col("event_id") % 5 == 0,
+                    F.concat(F.lit("customer#"), F.lpad(F.col("user_id").cast("string"), 9, "0"), F.lit("@example.com")))
+              .otherwise(F.concat(F.lit("new"), F.col("event_id").cast("string"), F.lit("@example.com"))))
+    return e.select(F.col("event_id").alias("req_id"), F.col("ts").alias("req_ts"),
+                    F.concat(F.lit("New member "), F.col("user_id").cast("string")).alias("name"),
+                    ic.alias("ic"), email.alias("email"), dob.alias("date_of_birth"),
+                    F.lit(None).cast("string").alias("address"))
