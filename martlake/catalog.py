@@ -130,6 +130,18 @@ def _promotions(output: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _on_registrations(rule, **kw) -> Callable[[SparkSession, str], DataFrame]:
+    """A member-row rule (V07, V15) over the member rows of the registration requests."""
+    from martlake.sources import requests as rq
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = rq.member_registrations(spark, sf_dir).withColumnRenamed("req_id", "member_id")
+        return rule({"member": rows}, **kw)
+    run.__name__ = rule.__name__
+    run.__doc__ = rule.__doc__
+    return run
+
+
 def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from martlake.operators import branch as br
     from martlake.operators import constraints as con
@@ -213,6 +225,8 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "duplicate_redemption": _on_retail(val.duplicate_redemption),
         "expired_redemption": _on_retail(val.expired_redemption),
         "stock_restore_cancelled": _on_retail(val.stock_restore_cancelled),
+        "ic_dob_mismatch": _on_registrations(val.ic_dob_mismatch),
+        "member_age": _on_registrations(val.member_age, as_of=EVENTS_AS_OF),
         "discount_above_price": _on_retail(val.discount_above_price),
         "price_below_cost": _on_retail(val.price_below_cost),
         "member_expiry_past": _on_retail(val.member_expiry_past, as_of=A),

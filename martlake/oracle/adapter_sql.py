@@ -59,10 +59,11 @@ ADAPTER_CTES = {
  case when (req_id + pos) % 7 = 0 then 'Bogus' when (req_id + pos) % 7 < 4 then 'Percentage' else 'Amount' end as discount_type,
  cast(((req_id + pos * 17) % 130) - 10 as decimal(8,2)) as discount_value
  from (select event_id as req_id, unnest(range(0, event_id % 5)) as pos from events where event_type = 'view' and event_id % 5 > 0)""",
-    "q_register": """select req_id, req_ts, name, strftime(dob, '%y%m%d') || '-' || lpad(cast(user_id % 100 as varchar), 2, '0') || '-'
+    "q_register": """select req_id, req_ts, name, case when req_id % 19 = 0 then '991340' when req_id % 13 = 0
+ then strftime(dob + 1, '%y%m%d') else strftime(dob, '%y%m%d') end || '-' || lpad(cast(user_id % 100 as varchar), 2, '0') || '-'
  || lpad(cast(user_id % 10000 as varchar), 4, '0') as ic, email, dob as date_of_birth, cast(null as varchar) as address from (
  select event_id as req_id, ts as req_ts, user_id, 'New member ' || cast(user_id as varchar) as name,
- case when event_id % 11 = 0 then date '2030-01-01' else cast(date '1950-01-01' + cast((user_id * 37) % 25000 as int) as date) end as dob,
+ case when event_id % 11 = 0 then date '2030-01-01' else cast(date '1950-01-01' + cast((user_id * 3701) % 25000 as int) as date) end as dob,
  case when event_id % 17 = 0 then null when event_id % 5 = 0 then 'customer#' || lpad(cast(user_id as varchar), 9, '0') || '@example.com'
  else 'new' || cast(event_id as varchar) || '@example.com' end as email from events where event_type = 'signup')""",
 }

@@ -129,3 +129,26 @@ _RULE_QUERIES = ("stock_ledger_violations", "points_ledger_violations", "duplica
 SQL["validation_violations"] = "\nunion all\n".join(
     f"select rule_id, table_name, row_key, cast(code as integer) as code from ({SQL[n]}) v_{i}"
     for i, n in enumerate(_RULE_QUERIES))
+
+
+# V07 / V15 over the member rows of the registration requests (they carry IC and birth date)
+SQL["ic_dob_mismatch"] = """
+select 'V07' as rule_id, 'member' as table_name, cast(req_id as varchar) as row_key, cast(code as integer) as code from (
+  select req_id, case when ic is not null and bd is null then -20011
+                      when date_of_birth is not null and bd <> date_of_birth then -20012 end as code
+  from (select q.*, case when regexp_full_match(substr(ic, 1, 6), '[0-9]{6}')
+                         then cast(try_strptime(case when cast(substr(ic, 1, 2) as integer) >= 50 then '19' else '20' end
+                                                || substr(ic, 1, 6), '%Y%m%d') as date) end as bd
+        from q_register q))
+where code is not null"""
+
+# months between as the reference's database (and Spark) count them: whole months, plus
+# the day difference over 31 unless both days are equal or both are month ends
+_MONTHS = """((year(a) - year(b)) * 12 + (month(a) - month(b))
+  + case when day(a) = day(b) or (a = last_day(a) and b = last_day(b)) then 0 else (day(a) - day(b)) / 31.0 end)"""
+
+SQL["member_age"] = f"""
+select 'V15' as rule_id, 'member' as table_name, cast(req_id as varchar) as row_key, cast(code as integer) as code from (
+  select req_id, case when b > a then -20031 when {_MONTHS} / 12 < 12 then -20032 end as code
+  from (select req_id, date_of_birth as b, date '2024-01-31' as a from q_register where date_of_birth is not null))
+where code is not null"""

@@ -115,15 +115,19 @@ def promotion_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 def member_registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Member registration requests from the ``signup`` events.
 
-    Birth date from the user (1950-01-01 + 37 user mod 25000 days; every eleventh event a
+    Birth date from the user (1950-01-01 + 3701 user mod 25000 days; every eleventh event a
     date in 2030), so repeated sign-ups of one user repeat the IC; IC = YYMMDD-NN-NNNN from
-    the birth date and user; e-mail of an existing customer for every fifth event, none
+    the birth date and user (every 13th event a day off, every 19th not a date); e-mail
+    of an existing customer for every fifth event, none
     for every seventeenth, else a new address.
     """
     e = _events(spark, sf_dir, "signup")
     dob = F.when(F.col("event_id") % 11 == 0, F.lit("2030-01-01").cast("date")).otherwise(
-        F.date_add(F.lit("1950-01-01").cast("date"), ((F.col("user_id") * 37) % 25000).cast("int")))
-    ic = F.concat(F.date_format(dob, "yyMMdd"), F.lit("-"), F.lpad((F.col("user_id") % 100).cast("string"), 2, "0"),
+        F.date_add(F.lit("1950-01-01").cast("date"), ((F.col("user_id") * 3701) % 25000).cast("int")))
+    ic_day = (F.when(F.col("event_id") % 19 == 0, F.lit("991340"))
+               .when(F.col("event_id") % 13 == 0, F.date_format(F.date_add(dob, 1), "yyMMdd"))
+               .otherwise(F.date_format(dob, "yyMMdd")))
+    ic = F.concat(ic_day, F.lit("-"), F.lpad((F.col("user_id") % 100).cast("string"), 2, "0"),
                   F.lit("-"), F.lpad((F.col("user_id") % 10000).cast("string"), 4, "0"))
     email = (F.when(F.col("event_id") % 17 == 0, F.lit(None).cast("string"))
               .when(F.col("event_id") % 5 == 0,
