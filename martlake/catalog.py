@@ -142,6 +142,21 @@ def _on_registrations(rule, **kw) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def _pickup_expiry(rule) -> Callable[[SparkSession, str], DataFrame]:
+    """V12 over the pickup snapshot after the pickup events (expiries set by Ready/Rescheduled)."""
+    from martlake.plans import jobs
+    from martlake.sources import requests as rq
+    from martlake.sources.retail import EVENTS_AS_OF
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t = retail(spark, sf_dir)
+        snap = jobs.apply_pickup_updates(t, rq.pickup_events(spark, sf_dir))["snapshot"]
+        return rule({"self_pickup": snap}, EVENTS_AS_OF)
+    run.__name__ = rule.__name__
+    run.__doc__ = rule.__doc__
+    return run
+
+
 def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from martlake.operators import branch as br
     from martlake.operators import constraints as con
@@ -227,6 +242,7 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stock_restore_cancelled": _on_retail(val.stock_restore_cancelled),
         "ic_dob_mismatch": _on_registrations(val.ic_dob_mismatch),
         "member_age": _on_registrations(val.member_age, as_of=EVENTS_AS_OF),
+        "pickup_expiry_past": _pickup_expiry(val.pickup_expiry_past),
         "discount_above_price": _on_retail(val.discount_above_price),
         "price_below_cost": _on_retail(val.price_below_cost),
         "member_expiry_past": _on_retail(val.member_expiry_past, as_of=A),

@@ -309,3 +309,8 @@ SQL["register_members"] = _REGISTER + "\nselect req_id, code is null as accepted
 SQL["register_members_new"] = _REGISTER + """
 select req_id as member_id, name, ic, email, address, date_of_birth, date '2025-01-31' as expiry_date,
   cast(0 as bigint) as points_balance from r3 where code is null"""
+
+
+SQL["pickup_expiry_past"] = f"""
+select 'V12' as rule_id, 'self_pickup' as table_name, cast(pickup_id as varchar) as row_key, -20003 as code
+from ({SQL["apply_pickup_updates_snapshot"]}) s where pickup_exp_date < timestamp '2024-01-31 00:00:00'"""

@@ -88,3 +88,10 @@ def test_price_below_cost(spark):
             "procurement_id long, item_id long, unit_cost decimal(8,2), procurement_date date")
     t = _t(spark, item=item, procurement=proc)
     assert [(r.row_key, r.code) for r in V.price_below_cost(t).collect()] == [("1", -20020)]
+
+
+def test_pickup_expiry_past(spark):
+    sp = ([(1, 10, "Ready", dt.datetime(2026, 7, 19, 9)), (2, 11, "Ready", dt.datetime(2026, 7, 21)), (3, 12, "Preparing", None)],
+          "pickup_id long, order_id long, pickup_status string, pickup_exp_date timestamp_ntz")
+    t = _t(spark, self_pickup=sp)
+    assert [(r.row_key, r.code) for r in V.pickup_expiry_past(t, dt.datetime(2026, 7, 20)).collect()] == [("1", -20003)]
