@@ -1,8 +1,10 @@
 """Structured Streaming versions of four row triggers.
 
 Each stream shares its rule code with the batch form: the static checks are the same
-column expressions, and the order-dependent part runs in ``applyInPandasWithState`` keyed
-like the batch fold (member, (branch, item), order). State lives in the state store,
+column expressions, and the order-dependent part runs in ``applyInPandasWithState``. The
+ledgers and the de-duplication keep their per-key state in maps keyed by a hash bucket of
+the key (member, (branch, item), (voucher, order)), so Python is entered per bucket; the
+pickup state machine is keyed per order, as it needs one timer per pickup. State lives in the state store,
 partitioned by key across executors and checkpointed, so a lost executor is replayed from
 the checkpoint. Within a micro-batch a key's rows are sorted by event time; a row older than
 the last one already applied for its key is rejected as ``LATE`` (it cannot be applied in
@@ -51,48 +53,54 @@ _POINTS_OUT = T.StructType([
     T.StructField("amount", T.LongType()), T.StructField("transaction_type", T.StringType()),
     T.StructField("redemption_date", T.TimestampNTZType()), T.StructField("code", T.StringType()),
     T.StructField("balance_after", T.LongType())])
-_POINTS_STATE = "balance long, last_ts timestamp_ntz, last_id long"
+_POINTS_STATE = "balance map<bigint,bigint>, last_ts map<bigint,timestamp_ntz>, last_id map<bigint,bigint>"
 
 
 def _points_fn(key, pdfs, state):
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["redemption_date", "point_redemption_id"])
+    parts = list(pdfs)
+    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    pdf = pdf.sort_values(["member_id", "redemption_date", "point_redemption_id"], kind="stable")
     if state.exists:
-        bal, last_ts, last_id = state.get
+        bal, lts, lid = (dict(x or {}) for x in state.get)
     else:
-        bal, last_ts, last_id = None, None, None
-    codes, bals = [], []
-    for r in pdf.itertuples(index=False):
-        if r.code is not None and not pd.isna(r.code):
-            codes.append(r.code)
-            bals.append(None)
+        bal, lts, lid = {}, {}, {}
+    n = len(pdf)
+    codes, bals = [None] * n, [None] * n
+    cols = [pdf[c].tolist() for c in ("member_id", "redemption_date", "point_redemption_id", "amount",
+                                      "transaction_type", "code", "opening")]
+    for i, (m, ts, pid, amount, kind, code, opening) in enumerate(zip(*cols)):
+        if code is not None and code == code:
+            codes[i] = code
             continue
-        if bal is None:
-            bal = int(r.opening)
-        if last_ts is not None and (r.redemption_date, r.point_redemption_id) <= (pd.Timestamp(last_ts), last_id):
-            codes.append("LATE")
-            bals.append(None)
+        cur = bal.get(m)
+        if cur is None:
+            cur = int(opening)
+        last = lts.get(m)
+        if last is not None and (ts, pid) <= (pd.Timestamp(last), lid[m]):
+            codes[i] = "LATE"
             continue
-        d = -int(r.amount) if r.transaction_type == "Used" else int(r.amount)
-        if bal + d >= 0:
-            bal += d
-            codes.append(None)
+        d = -int(amount) if kind == "Used" else int(amount)
+        if cur + d >= 0:
+            cur += d
         else:
-            codes.append("-20023")
-        bals.append(bal)
-        last_ts, last_id = r.redemption_date, int(r.point_redemption_id)
-    if bal is not None:
-        state.update((bal, None if last_ts is None else pd.Timestamp(last_ts).to_pydatetime(), last_id))
+            codes[i] = "-20023"
+        bals[i] = cur
+        bal[m], lts[m], lid[m] = cur, pd.Timestamp(ts).to_pydatetime(), int(pid)
+    if bal:
+        state.update((bal, lts, lid))
     out = pdf[["point_redemption_id", "member_id", "amount", "transaction_type", "redemption_date"]].copy()
     out["code"] = codes
     out["balance_after"] = pd.array(bals, dtype="Int64")
     yield out
 
 
-def points_ledger_stream(t, events: DataFrame) -> DataFrame:
+def points_ledger_stream(t, events: DataFrame, buckets: int = 64) -> DataFrame:
     """Per-member balance with overdraft rejects over a stream of ``events``.
 
     Events become point rows with the batch adapter's expressions; the opening balance comes
     from the member table (stream-static join). Codes as V02 (-20020..-20023), plus LATE.
+    State is keyed by a hash bucket of the member and holds its members' balances as a map,
+    so Python is entered once per bucket and micro-batch (raise ``buckets`` with members).
     """
     ph = R.point_history(lambda _: events)
     mem = t["member"].select("member_id", F.col("points_balance").cast("bigint").alias("opening"), F.lit(True).alias("_m"))
@@ -101,8 +109,9 @@ def points_ledger_stream(t, events: DataFrame) -> DataFrame:
              .when(~F.coalesce(F.col("transaction_type").isin("Earned", "Used"), F.lit(False)), "-20021")
              .when(F.col("_m").isNull(), "-20022"))
     j = j.select(F.col("point_redemption_id").cast("long"), F.col("member_id").cast("long"), F.col("amount").cast("long"),
-                 "transaction_type", F.col("redemption_date").cast("timestamp_ntz"), code.alias("code"), "opening")
-    return j.groupBy("member_id").applyInPandasWithState(
+                 "transaction_type", F.col("redemption_date").cast("timestamp_ntz"), code.alias("code"), "opening",
+                 F.pmod(F.xxhash64("member_id"), F.lit(buckets)).alias("_bucket"))
+    return j.groupBy("_bucket").applyInPandasWithState(
         _points_fn, _POINTS_OUT, _POINTS_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
