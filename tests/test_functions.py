@@ -59,3 +59,22 @@ def test_running_sum_matches_window(spark):
     w = Window.partitionBy("g").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     exp = df.select("id", F.sum("v").over(w).alias("rs"))
     assert sorted(got.collect()) == sorted(exp.collect())
+
+
+def test_add_months_col_keeps_month_end(spark):
+    from martlake.functions.dates import add_months_col
+    df = spark.createDataFrame([(dt.date(2001, 2, 28),), (dt.date(2001, 1, 15),), (dt.date(2000, 1, 31),)], "d date")
+    got = [r[0] for r in df.select(add_months_col(F.col("d"), 1)).collect()]
+    assert got == [dt.date(2001, 3, 31), dt.date(2001, 2, 15), dt.date(2000, 2, 29)]
+
+
+def test_explode_lines_and_deleted_lines(spark):
+    from martlake.operators.validations import deleted_lines
+    from martlake.plans.orders import explode_lines
+    req = spark.createDataFrame([(1, [(7, 2), (8, 1)]), (2, [])],
+                                "req_id long, lines array<struct<item_id:long,quantity:int>>")
+    rows = sorted(tuple(r) for r in explode_lines(req).collect())
+    assert rows == [(1, 0, 7, 2), (1, 1, 8, 1)]
+    old = spark.createDataFrame([(1, 7, 2), (1, 8, 1)], "order_id long, item_id long, quantity int")
+    new = spark.createDataFrame([(1, 7, 2)], "order_id long, item_id long, quantity int")
+    assert [tuple(r) for r in deleted_lines(old, new).collect()] == [(1, 8, 1)]
