@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import line_dedup, mixing, quality, textkit
+from martlake.llm import bpe, line_dedup, mixing, ngram_join, quality, textkit
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -28,15 +28,27 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                         .otherwise(F.col("n_chars"))).select(*COLUMNS))
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by 75 % of their word 5-grams one stays."""
+    return ngram_join.keep_one(docs.select(*COLUMNS))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each source is cut to, or repeated up to, its budget of words."""
     return mixing.mix(docs.select(*COLUMNS))
 
 
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text: their number and digest, and the digest of what they decode to."""
+    return bpe.digests(docs)
+
+
 STAGES = [
     ("quality classifier", quality_stage),
     ("line dedup", line_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
     ("mixing", mixing_stage),
+    ("byte-level BPE", token_stage),
 ]
 
 #: the classifier's and the tokenizer's rows can't be expressed in SQL
@@ -46,5 +58,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = textkit.read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        out = textkit.stored(stage(spark, out, sf_dir), "stage-" + name.replace(" ", "-"))
+        out = textkit.stored(stage(spark, out, sf_dir), "stage")
     return out

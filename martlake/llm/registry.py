@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlake.llm import line_dedup, mixing, quality
+from martlake.llm import bpe, line_dedup, mixing, ngram_join, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
     "op4_mixing": mixing.op4_mixing,
+    "op5_byte_bpe": bpe.op5_byte_bpe,
+    "op6_ngram_jaccard": ngram_join.op6_ngram_jaccard,
     "op8_line_dedup": line_dedup.op8_line_dedup,
 }
 
