@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlake.llm import bpe, line_dedup, mixing, ngram_join, quality
+from martlake.llm import bpe, line_dedup, mixing, ngram_join, outliers, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
+    "op3_quality_rules": outliers.op3_quality_rules,
     "op4_mixing": mixing.op4_mixing,
     "op5_byte_bpe": bpe.op5_byte_bpe,
     "op6_ngram_jaccard": ngram_join.op6_ngram_jaccard,
