@@ -55,7 +55,7 @@ def takes(docs: DataFrame) -> DataFrame:
     sized = docs.withColumn("size", F.coalesce(F.regexp_count("text", F.lit(tk.WORD)), F.lit(0)).cast("long"))
     key = F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     slim = sized.select("doc_id", "source", "size", key.alias("key"))
-    n_ranges = max(8, -(-docs.count() // _ROWS_PER_RANGE))
+    n_ranges = max(64, -(-docs.count() // _ROWS_PER_RANGE))
     slice_ = F.floor(F.conv(F.substring("key", 1, 6), 16, 10).cast("long") * n_ranges / (1 << 24))
     slim = tk.stored(slim.withColumn("slice", slice_), "mix-sizes")
     part = slim.groupBy("source", "slice").agg(F.sum("size").alias("part"))
