@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlake.llm import ann, bpe, line_dedup, mixing, ngram_join, outliers, quality
+from martlake.llm import ann, bpe, line_dedup, mixing, ngram_join, outliers, quality, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": mixing.op4_mixing,
     "op5_byte_bpe": bpe.op5_byte_bpe,
     "op6_ngram_jaccard": ngram_join.op6_ngram_jaccard,
+    "op7_token_files": token_files.op7_token_files,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op10_ann": ann.op10_ann,
 }
