@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlake.llm import ann, bpe, line_dedup, mixing, ngram_join, outliers, quality, token_files
+from martlake.llm import ann, bpe, lattice_lm, line_dedup, mixing, ngram_join, outliers, quality, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
+    "op2_lattice_lm": lattice_lm.op2_lattice_lm,
     "op3_quality_rules": outliers.op3_quality_rules,
     "op4_mixing": mixing.op4_mixing,
     "op5_byte_bpe": bpe.op5_byte_bpe,
