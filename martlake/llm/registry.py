@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlake.llm import ann, bpe, lattice_lm, line_dedup, mixing, ngram_join, outliers, quality, token_files
+from martlake.llm import ann, bpe, lattice_lm, line_dedup, mixing, ngram_join, outliers, quality, suffix_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_ngram_jaccard": ngram_join.op6_ngram_jaccard,
     "op7_token_files": token_files.op7_token_files,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_ann": ann.op10_ann,
 }
 
