@@ -12,11 +12,12 @@ at most WINDOW - GRAM + 1 windows. Stretches are grouped by anchor:
   a partition settles its own copies before the shuffle, so a passage that every document
   holds costs one entry for each partition;
 * earliest stretches whose anchor no other stretch has are unique;
-* the rest, groups in which stretches differ, are read and their repeated windows found in
-  suffix order: a bucket's stretches form shards, each shard's Burrows-Wheeler transform is
-  built alone, and the shards' interleave is refined two symbols a step (a stable partition
-  by the merged transform), with the boundaries of equal prefixes carried along. When the
-  prefixes are WINDOW long, every interval of suffixes is one repeated string.
+* the rest, groups in which stretches differ, are read; those with a window hash in common
+  are put in suffix order to find the repeated windows: they form shards, each shard's
+  Burrows-Wheeler transform is built alone, and the shards' interleave is refined two symbols
+  a step (a stable partition by the merged transform), with the boundaries of equal prefixes
+  carried along. When the prefixes are WINDOW long, every interval of suffixes is one
+  repeated string.
 
 Texts are UTF-8 bytes, null and empty ones hold none. Rows that share a doc_id stand at the
 same place: neither is earlier than the other. Null doc_ids come after all others. Extra
@@ -136,14 +137,12 @@ def _scan(n_buckets):
     return run
 
 
-_SPANS = "bucket int, anchor long, doc_id long, row long, start long, stop long, judge boolean"
+_SPANS = "bucket int, doc_id long, row long, start long, stop long, judge boolean"
 
 
-def _span_table(bucket, anchor, doc_id, row, start, stop, judge):
-    n = len(row)
-    return pa.table({"bucket": np.full(n, bucket, np.int32), "anchor": anchor.astype(np.int64),
-                     "doc_id": pa.array(doc_id, mask=doc_id == _LAST), "row": row, "start": start.astype(np.int64),
-                     "stop": stop.astype(np.int64), "judge": judge})
+def _span_table(bucket, doc_id, row, start, stop, judge):
+    return pa.table({"bucket": np.full(len(row), bucket, np.int32), "doc_id": pa.array(doc_id, mask=doc_id == _LAST), "row": row,
+                     "start": start.astype(np.int64), "stop": stop.astype(np.int64), "judge": judge})
 
 
 def _match(rows):
@@ -171,11 +170,11 @@ def _match(rows):
     group = np.cumsum(head) - 1
     judged = order[first & mixed[group]] if len(a) else heads
     at = np.concatenate([repeat, judged])
-    return _span_table(rows.column("bucket")[0].as_py(), anchor[at], ids[doc[at]], row[doc[at]], start[at], start[at] + more[at] + WINDOW,
+    return _span_table(rows.column("bucket")[0].as_py(), ids[doc[at]], row[doc[at]], start[at], start[at] + more[at] + WINDOW,
                        np.arange(len(at)) >= len(repeat))
 
 
-_READ = "bucket int, anchor long, doc_id long, row long, start long, bytes binary"
+_READ = "bucket int, doc_id long, row long, start long, bytes binary"
 
 
 def _read(docs, asked):
@@ -191,7 +190,7 @@ def _read(docs, asked):
     start, stop = asked.column("start").to_numpy(), asked.column("stop").to_numpy()
     n = stop - start
     data = buf[tk.ragged(off[doc] + start, n)]
-    return pa.table({**{c: asked.column(c) for c in ("bucket", "anchor", "doc_id", "row", "start")},
+    return pa.table({**{c: asked.column(c) for c in ("bucket", "doc_id", "row", "start")},
                      "bytes": tk.blobs(data, np.concatenate([[0], np.cumsum(n)]))})
 
 
@@ -203,6 +202,11 @@ def shard_transform(symbols: np.ndarray, off: np.ndarray, depth: int) -> tuple[n
     begin, size = off[string], n[string]
     place = np.arange(len(symbols)) - begin
     rank, done = symbols.astype(np.int64), 1
+    if int(symbols.max()) < 1 << 7:  # eight symbols at once, in one number
+        for k in range(1, 8):
+            rank = (rank << 7) | symbols[begin + (place + k) % size]
+        _, rank = np.unique(rank, return_inverse=True)
+        done = 8
     while done < depth:
         key = rank * (int(rank.max()) + 1) + rank[begin + (place + done) % size]
         _, rank = np.unique(key, return_inverse=True)
@@ -249,9 +253,36 @@ def interleave(shards: list[tuple[np.ndarray, np.ndarray]], depth: int) -> tuple
     return order, suffix, new
 
 
+def _may_repeat(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Stretches with a window whose hash another window shares: a filter that keeps most
+    stretches with a common anchor in uncommon surroundings out of the suffix order."""
+    hashes, of = [], []
+    for i, j in tk.doc_groups(off):
+        n = np.diff(off[i:j + 1]) - WINDOW + 1
+        at = tk.ragged(off[i:j] - off[i], n)
+        hashes.append(tk.span_hashes(raw[off[i]:off[j]], at, at + WINDOW))
+        of.append(np.repeat(np.arange(i, j), n))
+    h, of = np.concatenate(hashes), np.concatenate(of)
+    order = np.argsort(h)
+    h = h[order]
+    twin = np.zeros(len(h), bool)
+    same = h[1:] == h[:-1]
+    twin[1:] |= same
+    twin[:-1] |= same
+    out = np.zeros(len(off) - 1, bool)
+    out[of[order[twin]]] = True
+    return out
+
+
 def _judge(rows):
     """Repeated windows among the differing stretches of one bucket, as byte ranges."""
     raw, off = tk.flat_text(rows.column("bytes"))
+    may = _may_repeat(raw, off)
+    if not may.any():
+        none = np.zeros(0, np.int64)
+        return _span_table(0, none, none, none, none, np.zeros(0, bool))
+    rows = rows.filter(pa.array(may))
+    raw, off = tk.flat_text(rows.column("bytes"))
     ids = rows.column("doc_id").fill_null(_LAST).to_numpy()
     start, row = rows.column("start").to_numpy(), rows.column("row").to_numpy()
     n = np.diff(off)
@@ -288,7 +319,7 @@ def _judge(rows):
     if not np.array_equal(of, same):  # windows of a stretch never reach its last bytes
         raise AssertionError("a run of windows crosses stretches")
     a = first - off[of] + start[of]
-    return _span_table(0, np.zeros(len(of)), ids[of], row[of], a, a + (last - first) + WINDOW, np.zeros(len(of), bool))
+    return _span_table(0, ids[of], row[of], a, a + (last - first) + WINDOW, np.zeros(len(of), bool))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
