@@ -9,7 +9,8 @@ occurrence in the corpus stays (smallest doc_id, first place), all others are re
 Lines are compared whole by their 64-bit hash. Blank lines are never removed. A null source
 is a site of its own, a null or empty text has no lines, rows with a null or repeated doc_id
 are cleaned like others (rows of one doc_id hold the same decision). Documents whose lines
-all go stay as empty texts. Extra columns pass through ``clean_lines`` untouched.
+all go stay as empty texts. Extra columns pass through ``clean_lines`` untouched, but for
+those named like its results, which replace them.
 """
 
 from __future__ import annotations
@@ -58,18 +59,19 @@ def clean_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
                .groupBy(F.col("doc_id").alias("_hit_id"))
                .agg(F.collect_set(F.when(~F.col("doc_id").eqNullSafe(F.col("first_doc")), F.col("line"))).alias("_drop"),
                     F.collect_set(F.when(F.col("doc_id").eqNullSafe(F.col("first_doc")), F.col("line"))).alias("_once")))
-    joined = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_hit_id")), "left")
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
+    joined = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_hit_id")), "left")
     hashed = F.transform("_lines", lambda x: F.xxhash64(x))
     later = F.filter("_lines", lambda x, i: ~F.coalesce(
         F.array_contains("_drop", F.xxhash64(x))
         | (F.array_contains("_once", F.xxhash64(x)) & (F.array_position("_hashes", F.xxhash64(x)) <= i)), F.lit(False)))
+    extra = [F.col("_row")[c].alias(c) for c in docs.columns if c not in ("kept_text", "n_lines", "n_removed")]
     return (joined.withColumn("_lines", F.split("text", "\n", -1))
             .withColumn("_hashes", F.when(F.size("_once") > 0, hashed))
-            .withColumn("_kept", F.when(F.col("_hit_id").isNull() & F.col("_drop").isNull(), F.col("_lines")).otherwise(later))
-            .withColumn("kept_text", F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n")))
-            .withColumn("n_lines", F.coalesce(F.size("_lines"), F.lit(0)).cast("long"))
-            .withColumn("n_removed", F.coalesce(F.size("_lines") - F.size("_kept"), F.lit(0)).cast("long"))
-            .select(*docs.columns, "kept_text", "n_lines", "n_removed"))
+            .withColumn("_kept", F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(later))
+            .select(*extra, F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n")).alias("kept_text"),
+                    F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
+                    F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines") - F.size("_kept")).cast("long").alias("n_removed")))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,21 +81,20 @@ def mix(docs: DataFrame) -> DataFrame:
     """The mix itself: the columns of ``docs``, one row for each time a document is taken;
     the document where a source's budget ends is cut after its last taken word. Documents
     are told apart by (doc_id, source); rows that agree in both are taken alike."""
-    plan = (takes(docs).filter("taken > 0").groupBy("doc_id", "source")
+    plan = (takes(docs.select("doc_id", "source", "text")).filter("taken > 0").groupBy("doc_id", "source")
             .agg(F.max("taken").alias("_taken"), F.max("size").alias("_size"))
             .withColumnsRenamed({"doc_id": "_id", "source": "_src"}))
     whole = F.array_repeat(F.col("_size"), F.floor(F.col("_taken") / F.col("_size")).cast("int"))
     cut = F.when(F.col("_taken") % F.col("_size") > 0, F.array(F.col("_taken") % F.col("_size"))) \
         .otherwise(F.array().cast("array<bigint>"))
-    rows = (docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src")))
-            .withColumn("_words", F.explode(F.concat(whole, cut))))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source", "text") \
+        .join(plan, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_src"))) \
+        .withColumn("_words", F.explode(F.concat(whole, cut)))
     head = F.array_join(F.slice(F.regexp_extract_all("text", F.lit("[\\x20\\x09-\\x0D]*" + tk.WORD), F.lit(0)),
                                 F.lit(1), F.col("_words").cast("int")), "")
-    text = F.when(F.col("_words") < F.col("_size"), head).otherwise(F.col("text"))
-    out = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast("long"))
-    return out.select(*docs.columns)
+    rows = rows.withColumn("text", F.when(F.col("_words") < F.col("_size"), head).otherwise(F.col("text")))
+    made = {"text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    return rows.select(*[made.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

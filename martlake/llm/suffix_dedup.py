@@ -86,7 +86,7 @@ def _stretches(buf: np.ndarray, off: np.ndarray):
         for o, x in zip(out, (h[at[lo]], tk.mix(text), doc + first_doc, start + shift, hi - lo)):
             o.append(x)
 
-    for i, j in tk.doc_groups(off):
+    for i, j in tk.doc_groups(off, min(tk.CHUNK, _SEGMENT)):
         if off[j] - off[i] <= _SEGMENT:
             add(buf[off[i]:off[j]], off[i:j + 1] - off[i], i, 0)
         else:  # one very long document, in segments that share WINDOW - 1 bytes
