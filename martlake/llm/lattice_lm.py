@@ -29,8 +29,8 @@ from martlake.llm import textkit as tk
 VOCABULARY = "piece_bpe_32k.model"
 #: probability of the end token in the lattice's own distribution
 _END = 1e-3
-_CHUNK_TEXT = 48 << 20
-_WORDS = 50_000  # of one lattice
+_CHUNK_TEXT = 16 << 20
+_WORDS = 25_000  # of one lattice
 
 
 class Pieces:
