@@ -80,21 +80,21 @@ def stock_ledger_rule(t, as_of=None) -> DataFrame:
 def points_ledger(t, events: DataFrame | None = None) -> DataFrame:
     """V02 detail: point rows folded over member balances in (date, id) order.
 
-    Checks: amount <= 0 (-20020); type not Earned/Used (-20021); member missing (-20022);
+    Checks: amount <= 0 (-20020); type not Earned/Used (-20021; NULL passes and moves nothing); member missing (-20022);
     Used more than the balance at that point (-20023). Earned adds, Used subtracts.
     """
     ev = events if events is not None else t["point_history"]
     mem = t["member"].select("member_id", F.col("points_balance").cast("bigint").alias("opening"))
     j = ev.join(mem.select("member_id", F.lit(True).alias("_m")), "member_id", "left")
     static = _first((F.col("amount").isNull() | (F.col("amount") <= 0), -20020),
-                    (~F.coalesce(F.col("transaction_type").isin("Earned", "Used"), F.lit(False)), -20021),
+                    (~F.col("transaction_type").isin("Earned", "Used"), -20021),
                     (F.col("_m").isNull(), -20022))
     j = j.withColumn("code", static)
     cols = ["point_redemption_id", "member_id", "amount", "transaction_type", "redemption_date"]
     bad = j.filter(F.col("code").isNotNull()).select(*cols, "code", F.lit(None).cast("bigint").alias("balance_after"))
     ok = (j.filter(F.col("code").isNull()).select(*cols)
-           .withColumn("delta", F.when(F.col("transaction_type") == "Used", -F.col("amount")).otherwise(F.col("amount"))
-                       .cast("bigint")))
+           .withColumn("delta", F.when(F.col("transaction_type") == "Used", -F.col("amount")).when(F.col("transaction_type") == "Earned", F.col("amount"))
+                       .otherwise(0).cast("bigint")))
     folded = ledger_fold(ok, mem, keys=["member_id"], order=["redemption_date", "point_redemption_id"])
     folded = folded.select(*cols, F.when(~F.col("accepted"), F.lit(-20023)).cast("int").alias("code"), "balance_after")
     return bad.unionByName(folded)
@@ -109,7 +109,7 @@ def points_ledger_rule(t, as_of=None) -> DataFrame:
 def member_balances(t) -> DataFrame:
     """Closing points balance per member after the V02 fold (opening + accepted deltas)."""
     d = points_ledger(t).filter(F.col("code").isNull())
-    delta = F.when(F.col("transaction_type") == "Used", -F.col("amount")).otherwise(F.col("amount"))
+    delta = F.when(F.col("transaction_type") == "Used", -F.col("amount")).when(F.col("transaction_type") == "Earned", F.col("amount")).otherwise(0)
     moves = d.groupBy("member_id").agg(F.sum(delta).cast("bigint").alias("_d"))
     return (t["member"].select("member_id", F.col("points_balance").cast("bigint").alias("opening"))
             .join(moves, "member_id", "left")

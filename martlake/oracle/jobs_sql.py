@@ -125,10 +125,12 @@ select req_id, code is null as accepted, code from (
 
 SQL["transfer_stock_snapshot"] = _TRANSFER + """
 , last as (select item_id, m from (select *, row_number() over (partition by item_id order by rn desc) as k from f) where k = 1),
+got as (select distinct ev.item_id, ev.to_branch as branch_id from f join ev on ev.req_id = f.req_id where f.rn > 0 and f.code is null),
 cells as (select item_id, unnest(map_keys(m)) as branch_id, unnest(map_values(m)) as stock_quantity from last)
 select c.branch_id, cast(c.item_id as bigint) as item_id, c.stock_quantity,
-  coalesce(bs.last_restock_date, date '2024-01-31') as last_restock_date
+  case when got.item_id is not null then date '2024-01-31' else bs.last_restock_date end as last_restock_date
 from cells c left join r_branch_stock bs on bs.branch_id = c.branch_id and bs.item_id = c.item_id
+left join got on got.branch_id = c.branch_id and got.item_id = c.item_id
 union all
 select cast(bs.branch_id as bigint), cast(bs.item_id as bigint), cast(bs.stock_quantity as bigint), bs.last_restock_date
 from r_branch_stock bs where bs.item_id not in (select item_id from last)"""
@@ -136,10 +138,12 @@ from r_branch_stock bs where bs.item_id not in (select item_id from last)"""
 # W11 over the stored orders: a recursive CTE walks each branch's orders in (req_ts, req_id)
 # order, carrying the branch's stock per item as a MAP; an order's lines are lists checked
 # with lambdas (first failing line in line order), an accepted order rewrites its items.
-# The test tables carry no address, so every Delivery order falls to -20010.
+# The member table carries no address, so a Delivery order without one falls to -20010.
+# A voucher is spent by an accepted order, of any branch: the walk goes through all orders.
 _PLACE = """
 with recursive hdr as (
-  select o.order_id as req_id, o.order_date as req_ts, o.member_id, o.branch_id, o.order_type, fr.voucher_id
+  select o.order_id as req_id, o.order_date as req_ts, o.member_id, o.staff_id, o.branch_id, o.order_type, fr.voucher_id,
+    case when o.order_id % 7 > 0 then 'Addr ' || o.order_id end as address
   from r_orders o left join (select order_id, arg_min(voucher_id, (redeemed_date, redemption_id)) as voucher_id
                              from r_redemption group by order_id) fr on fr.order_id = o.order_id),
 ln as (select order_id as req_id, item_id as line_no, item_id, quantity from r_order_item),
@@ -151,7 +155,7 @@ h0 as (
     case when coalesce(nl.n, 0) = 0 then '-20006'
          when hdr.member_id is null and hdr.order_type in ('Delivery', 'Self Pickup') then '-20008'
          when hdr.member_id is null and hdr.voucher_id is not null then '-20009' end as early,
-    case when hdr.order_type = 'Delivery' then '-20010'
+    case when m.expiry_date < cast(hdr.req_ts as date) then '-20030' when hdr.order_type = 'Delivery' and hdr.address is null then '-20010'
          when hdr.voucher_id is not null and v.voucher_id is null then '-20043'
          when hdr.voucher_id is not null and v.exp_date < date '2001-08-01' then '-20040'
          when hdr.voucher_id is not null and m.member_id is null then '-20041'
@@ -232,7 +236,7 @@ where st in ('Ready', 'Rescheduled') and ex is not null
 _DELIVERY = """
 with ex as (select delivery_id, order_id, delivery_status from r_delivery),
 cr as (
-  select q.*, case when q.status is null or q.status not in ('Delivered', 'Out for Delivery', 'Pending', 'Preparing', 'Cancelled') then '-20050'
+  select q.*, case when q.status not in ('Delivered', 'Out for Delivery', 'Pending', 'Preparing', 'Cancelled') then '-20050'
     when o.order_id is null then '-20053' when eo.order_id is not null then '-20054' when dc.company_id is null then '-20055'
     when coalesce(trim(q.address), '') = '' then '-20056' end as scode
   from q_delivery q left join r_orders o on o.order_id = q.order_id
@@ -244,7 +248,7 @@ created as (select delivery_id, status, req_ts as cts, req_id as cid from cr2 wh
 known as (select delivery_id, delivery_status as s0, cast(null as timestamp) as cts, cast(null as bigint) as cid from ex
           union all select delivery_id, status, cts, cid from created),
 up as (
-  select q.*, k.s0, case when q.status is null or q.status not in ('Delivered', 'Out for Delivery', 'Pending', 'Preparing', 'Cancelled') then '-20050'
+  select q.*, k.s0, case when q.status not in ('Delivered', 'Out for Delivery', 'Pending', 'Preparing', 'Cancelled') then '-20050'
     when (k.s0 is null and k.cts is null) or (k.cts is not null and (q.req_ts < k.cts or (q.req_ts = k.cts and q.req_id < k.cid))) then '-20052'
     end as scode
   from q_delivery q left join known k on k.delivery_id = q.delivery_id where q.action <> 'create'),
@@ -261,7 +265,7 @@ SQL["apply_delivery_updates_snapshot"] = _DELIVERY + """
 base as (select delivery_id, order_id, company_id, cast(null as varchar) as delivery_address,
            cast(null as timestamp) as delivery_date, delivery_status from r_delivery
          union all
-         select delivery_id, order_id, company_id, address, case when status = 'Delivered' then req_ts end, status
+         select delivery_id, order_id, company_id, trim(address), case when status = 'Delivered' then req_ts end, status
          from cr2 where code is null)
 select b.delivery_id, b.order_id, b.company_id, b.delivery_address,
   case when l.st is null then b.delivery_date when l.st = 'Delivered' then l.ts when l.st = 'Cancelled' then null
@@ -271,16 +275,17 @@ from base b left join last l on l.delivery_id = b.delivery_id"""
 
 
 _PROMO = """
-with ln as (select l.*, i.item_id is not null as known,
+with ln as (select l.*, i.item_id is not null as known, i.unit_price,
               row_number() over (partition by l.req_id, l.item_id order by l.pos) > 1 as dup
             from q_promo_lines l left join r_item i on i.item_id = l.item_id),
 lc as (select req_id, arg_min(c, pos) as lc from (
          select *, case when not known then '-20005' when discount_type not in ('Percentage', 'Amount') then '-20006'
                         when discount_value < 0 or (discount_type = 'Percentage' and discount_value > 100) then '-20007'
+                        when discount_type = 'Amount' and discount_value > unit_price then '-20020'
                         when dup then '-20008' end as c from ln) where c is not null group by req_id),
 nd as (select req_id, count(*) as n from q_promo_lines group by req_id),
 dec as (select h.req_id, h.promotion_id,
-          coalesce(case when coalesce(trim(h.name), '') = '' then '-20001'
+          coalesce(case when coalesce(h.name, '') = '' then '-20001'
                         when h.start_date is null or h.end_date is null then '-20002'
                         when h.end_date < h.start_date then '-20003'
                         when coalesce(nd.n, 0) <= 0 then '-20004' end, lc.lc) as code
@@ -293,16 +298,32 @@ select d.promotion_id, l.item_id, l.discount_type, l.discount_value
 from dec d join q_promo_lines l on l.req_id = d.req_id where d.code is null"""
 
 
-# First-wins per IC, then per e-mail, each among the requests still in play
+# A recursive CTE walks the requests in order, as the procedure is called once for each,
+# carrying the ICs and e-mails of the members registered so far
 _REGISTER = """
-with r as (select q.*, case when q.date_of_birth > date '2024-01-31' then '-20003'
-             when q.email is not null and q.email in (select email from r_member where email is not null) then '-20002' end as scode
-           from q_register q),
-r2 as (select *, case when scode is null and row_number() over (partition by scode is null, ic order by req_ts, req_id) > 1
-                      then '-20001' else scode end as c1 from r),
-r3 as (select *, case when c1 is null and email is not null
-                       and row_number() over (partition by c1 is null and email is not null, email order by req_ts, req_id) > 1
-                      then '-20002' else c1 end as code from r2)"""
+with recursive q as (
+  select r.*, row_number() over (order by req_ts, req_id) as rn,
+    case when regexp_full_match(substr(ic, 1, 6), '[0-9]{6}')
+         then cast(try_strptime(case when cast(substr(ic, 1, 2) as integer) >= 50 then '19' else '20' end || substr(ic, 1, 6), '%Y%m%d') as date)
+    end as bd, date '2024-01-31' as a, date_of_birth as b
+  from q_register r),
+s as (
+  select q.*, case when b > a then '-20003' when email in (select email from r_member where email is not null) then '-20002' end as before,
+    case when ic is not null and bd is null then '-20011' when bd <> b then '-20012'
+         when ((year(a) - year(b)) * 12 + (month(a) - month(b)) + case when day(a) = day(b) or (a = last_day(a) and b = last_day(b))
+               then 0 else (day(a) - day(b)) / 31.0 end) / 12 < 12 then '-20032' end as after
+  from q),
+w(rn, req_id, code, ics, mails) as (
+  select cast(0 as bigint), cast(null as bigint), cast(null as varchar), cast([] as varchar[]), cast([] as varchar[])
+  union all
+  select s.rn, s.req_id,
+    coalesce(s.before, case when list_contains(w.ics, s.ic) then '-20001' when list_contains(w.mails, s.email) then '-20002' end, s.after),
+    case when s.before is null and s.after is null and not coalesce(list_contains(w.ics, s.ic), false)
+           and not coalesce(list_contains(w.mails, s.email), false) then list_append(w.ics, s.ic) else w.ics end,
+    case when s.before is null and s.after is null and not coalesce(list_contains(w.ics, s.ic), false)
+           and not coalesce(list_contains(w.mails, s.email), false) and s.email is not null then list_append(w.mails, s.email) else w.mails end
+  from w join s on s.rn = w.rn + 1),
+r3 as (select s.*, w.code from s join w on w.rn = s.rn)"""
 
 SQL["register_members"] = _REGISTER + "\nselect req_id, code is null as accepted, code from r3"
 

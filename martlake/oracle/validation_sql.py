@@ -21,11 +21,11 @@ _V02_FOLD = """
 with recursive ev0 as (
   select ph.*, m.points_balance,
     case when ph.amount is null or ph.amount <= 0 then -20020
-         when not coalesce(ph.transaction_type in ('Earned', 'Used'), false) then -20021
+         when ph.transaction_type not in ('Earned', 'Used') then -20021
          when m.member_id is null then -20022 end as scode
   from r_point_history ph left join r_member m on m.member_id = ph.member_id),
 ev as (select *, row_number() over (partition by member_id order by redemption_date, point_redemption_id) as rn,
-  case when transaction_type = 'Used' then -amount else amount end as d from ev0 where scode is null),
+  case when transaction_type = 'Used' then -amount when transaction_type = 'Earned' then amount else 0 end as d from ev0 where scode is null),
 f(member_id, rn, bal, pid, rej) as (
   select distinct member_id, 0, cast(points_balance as bigint), cast(null as bigint), false from ev
   union all

@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlake.functions.dates import add_months_oracle, lit_date
+from martlake.functions.dates import add_months_oracle, ic_birth_date, lit_date
+from martlake.session import checkpoint_dir
 
 
 def _first(*checks) -> Column:
@@ -36,6 +37,13 @@ def _decisions(df: DataFrame, code: Column = None) -> DataFrame:
     return df.select("req_id", c.isNull().alias("accepted"), c.cast("string").alias("code"))
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate once (reliable checkpoint in the shared folder); later branches
+    of the job read it instead of re-deriving it, and its lineage is cut."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _exists(df: DataFrame, col: str, alias: str) -> DataFrame:
     return df.select(F.col(col), F.lit(True).alias(alias)).dropDuplicates([col])
 
@@ -45,35 +53,56 @@ def _exists(df: DataFrame, col: str, alias: str) -> DataFrame:
 def register_members(t, requests: DataFrame, as_of: _dt.date) -> dict:
     """Requests (req_id, req_ts, name, ic, email, date_of_birth, address).
 
-    Checks in order: birth date in the future (-20003); IC already known (-20001); email
-    already known, NULL allowed (-20002). Accepted members get 0 points and expiry
-    ``as_of`` + 12 months. Inside the batch the first request (req_ts, req_id) per IC wins
-    and a later one is rejected -20001; the same for email with -20002 -- judged among the
-    requests that passed the earlier checks.
+    Checks in order: birth date in the future (-20003); IC already registered (-20001);
+    email already registered, NULL allowed (-20002); then the member row's rules: IC not a
+    date (-20011) or not the birth date (-20012), younger than 12 years (-20032). Accepted
+    members get 0 points and expiry ``as_of`` + 12 months.
+
+    Only a registered request claims its IC and email, so inside the batch a request is
+    accepted iff no earlier accepted one shares either. Requests that share neither with
+    anyone are settled at once; of the others each round accepts those that are first in
+    both their groups and settles whoever collides with them, until none is left.
     """
     m = t["member"]
     if "ic" not in m.columns:  # a member table without IC numbers knows none
         m = m.withColumn("ic", F.lit(None).cast("string"))
     known_ic = _exists(m.filter(F.col("ic").isNotNull()), "ic", "_ic")
     known_em = _exists(m.filter(F.col("email").isNotNull()), "email", "_em")
+    dob, today = F.col("date_of_birth"), lit_date(as_of)
+    ic_date = ic_birth_date(F.col("ic"))
     r = requests.join(known_ic, "ic", "left").join(known_em, "email", "left")
-    order = [F.col("req_ts"), F.col("req_id")]
-    r = r.withColumn("code", _first((F.col("date_of_birth") > lit_date(as_of), -20003),
-                                    (F.col("_ic").isNotNull(), -20001), (F.col("_em").isNotNull(), -20002)))
-    # first-wins on IC among requests that passed the static checks
-    ok = r.filter(F.col("code").isNull())
-    ok = ok.withColumn("_ri", F.row_number().over(Window.partitionBy("ic").orderBy(*order)))
-    ok = ok.withColumn("code", F.when(F.col("_ri") > 1, F.lit("-20001")))
-    ok2 = ok.filter(F.col("code").isNull())
-    # NULL e-mails never collide; they stay out of the window (one NULL group = one task)
-    with_mail = ok2.filter(F.col("email").isNotNull()).withColumn(
-        "code", F.when(F.row_number().over(Window.partitionBy("email").orderBy(*order)) > 1, F.lit("-20002")))
-    ok2 = with_mail.unionByName(ok2.filter(F.col("email").isNull()))
-    cols = ["req_id", "code"]
-    dec = (r.filter(F.col("code").isNotNull()).select(*cols)
-           .unionByName(ok.filter(F.col("code").isNotNull()).select(*cols))
-           .unionByName(ok2.select(*cols)))
-    acc = ok2.filter(F.col("code").isNull())
+    r = r.withColumn("code", _first((dob > today, -20003), (F.col("_ic").isNotNull(), -20001), (F.col("_em").isNotNull(), -20002)))
+    r = r.withColumn("_row", _first((F.col("ic").isNotNull() & ic_date.isNull(), -20011), (ic_date != dob, -20012),
+                                    (F.months_between(today, dob) / 12 < 12, -20032)))
+    r = _materialize(r.drop("_ic", "_em"))
+    # rows that a rule keeps out claim nothing; they are judged against the registered ones
+    slim = r.filter(F.col("code").isNull() & F.col("_row").isNull()) \
+        .select("req_id", "ic", "email", F.struct("req_ts", "req_id").alias("_o"))
+
+    def firsts(u: DataFrame, key: str) -> DataFrame:
+        return u.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min("_o").alias(f"_first_{key}"))
+
+    taken, left = None, slim
+    while True:
+        u = left.join(firsts(left, "ic"), "ic", "left").join(firsts(left, "email"), "email", "left")
+        leads = lambda k: F.col(f"_first_{k}").isNull() | (F.col(f"_first_{k}") == F.col("_o"))
+        u = _materialize(u.withColumn("_in", leads("ic") & leads("email")).select("req_id", "ic", "email", "_o", "_in"))
+        won = u.filter("_in").select("req_id", "ic", "email", "_o")
+        taken = won if taken is None else taken.unionByName(won)
+        rest = u.filter("NOT _in").drop("_in")
+        for k in ("ic", "email"):
+            rest = rest.join(won.select(k), k, "left_anti")
+        left = _materialize(rest)
+        if left.isEmpty():
+            break
+    order = F.struct("req_ts", "req_id")
+    judged = r.filter(F.col("code").isNull()).join(taken.select("req_id", F.lit(True).alias("_in")), "req_id", "left") \
+        .join(taken.select("ic", F.col("_o").alias("_by_ic")), "ic", "left") \
+        .join(taken.select("email", F.col("_o").alias("_by_em")), "email", "left")
+    judged = judged.withColumn("code", F.when(F.col("_in").isNull(), F.coalesce(
+        _first((F.col("_by_ic") < order, -20001), (F.col("_by_em") < order, -20002)), F.col("_row"))))
+    dec = r.filter(F.col("code").isNotNull()).select("req_id", "code").unionByName(judged.select("req_id", "code"))
+    acc = judged.filter("_in")
     expiry = add_months_oracle(as_of, 12)
     new_members = acc.select(
         F.col("req_id").alias("member_id"), "name", "ic", "email", "address", "date_of_birth",
@@ -110,7 +139,7 @@ def update_item_prices(t, requests: DataFrame) -> dict:
 _TRANSFER_OUT = T.StructType([
     T.StructField("rec", T.StringType()), T.StructField("req_id", T.LongType()), T.StructField("code", T.StringType()),
     T.StructField("item_id", T.LongType()), T.StructField("branch_id", T.LongType()),
-    T.StructField("stock_quantity", T.LongType()), T.StructField("created", T.BooleanType())])
+    T.StructField("stock_quantity", T.LongType()), T.StructField("received", T.BooleanType())])
 
 
 def _transfer_fold(batches):
@@ -120,12 +149,12 @@ def _transfer_fold(batches):
     """
     cur = None
     stock: dict = {}
-    created: set = set()
+    received: set = set()
     touched: set = set()
 
     def flush(item):
         for b in sorted(touched):
-            yield ("S", None, None, item, b, stock[b], b in created)
+            yield ("S", None, None, item, b, stock[b], b in received)
 
     for pdf in batches:
         out = []
@@ -133,7 +162,7 @@ def _transfer_fold(batches):
             if row.item_id != cur:
                 if cur is not None:
                     out.extend(flush(cur))
-                cur, stock, created, touched = row.item_id, {}, set(), set()
+                cur, stock, received, touched = row.item_id, {}, set(), set()
             if row.kind == 0:
                 stock[row.from_branch] = int(row.quantity)
                 continue
@@ -145,10 +174,8 @@ def _transfer_fold(batches):
                 out.append(("D", row.req_id, "-20013", cur, None, None, None))
             else:
                 stock[src] -= q
-                if dst not in stock:
-                    stock[dst] = 0
-                    created.add(dst)
-                stock[dst] += q
+                stock[dst] = stock.get(dst, 0) + q
+                received.add(dst)
                 touched.update((src, dst))
                 out.append(("D", row.req_id, None, cur, None, None, None))
         if out:
@@ -163,8 +190,8 @@ def transfer_stock(t, requests: DataFrame, as_of: _dt.date) -> dict:
     """Requests (req_id, req_ts, from_branch, to_branch, item_id, quantity).
 
     Same branch (-20010); quantity <= 0 (-20011); unknown item or branch (NOT_FOUND); item
-    not stocked at the source (-20012); insufficient stock (-20013). The destination row is
-    created (restock date ``as_of``) when absent.
+    not stocked at the source (-20012); insufficient stock (-20013). The destination's restock
+    date becomes ``as_of``; its row is created when absent.
 
     Transfers of one item depend on each other (a transfer in can create or refill the
     source of a later one), so the order-dependent part runs per item. Fast path: an item
@@ -192,9 +219,9 @@ def transfer_stock(t, requests: DataFrame, as_of: _dt.date) -> dict:
     hard = ok.join(contended, "item_id", "left_semi")
 
     # fast path: all accepted; deltas per (branch, item)
-    easy_delta = (easy.select(F.col("from_branch").alias("branch_id"), "item_id", (-F.col("quantity")).alias("d"))
-                  .unionByName(easy.select(F.col("to_branch").alias("branch_id"), "item_id", F.col("quantity").alias("d")))
-                  .groupBy("branch_id", "item_id").agg(F.sum("d").cast("bigint").alias("_d")))
+    easy_delta = (easy.select(F.col("from_branch").alias("branch_id"), "item_id", (-F.col("quantity")).alias("d"), F.lit(False).alias("r"))
+                  .unionByName(easy.select(F.col("to_branch").alias("branch_id"), "item_id", F.col("quantity").alias("d"), F.lit(True).alias("r")))
+                  .groupBy("branch_id", "item_id").agg(F.sum("d").cast("bigint").alias("_d"), F.max("r").alias("_r")))
 
     # contended items: ordered fold
     opening_rows = (bs.join(contended, "item_id", "left_semi")
@@ -217,23 +244,18 @@ def transfer_stock(t, requests: DataFrame, as_of: _dt.date) -> dict:
 
     dec = (static_bad.unionByName(easy.select("req_id", F.lit(None).cast("string").alias("code")))
            .unionByName(folded.filter(F.col("rec") == "D").select("req_id", "code")))
-    hard_stock = folded.filter(F.col("rec") == "S").select("branch_id", "item_id", "stock_quantity", "created")
+    hard_stock = folded.filter(F.col("rec") == "S").select("branch_id", "item_id", "stock_quantity", "received")
 
     base = bs.select("branch_id", "item_id", F.col("stock_quantity").cast("bigint").alias("stock_quantity"),
                      "last_restock_date")
-    upd = (base.join(hard_stock.select("branch_id", "item_id", F.col("stock_quantity").alias("_h")),
-                     ["branch_id", "item_id"], "left")
-               .join(easy_delta, ["branch_id", "item_id"], "full_outer"))
-    snap = upd.select(
+    # an item is decided set-wise or by the fold, never by both
+    moved = easy_delta.join(hard_stock.select("branch_id", "item_id", F.col("stock_quantity").alias("_h"), F.col("received").alias("_hr")),
+                            ["branch_id", "item_id"], "full_outer")
+    snap = base.join(moved, ["branch_id", "item_id"], "full_outer").select(
         "branch_id", "item_id",
         F.coalesce(F.col("_h"), F.coalesce(F.col("stock_quantity"), F.lit(0)) + F.coalesce(F.col("_d"), F.lit(0)))
          .cast("bigint").alias("stock_quantity"),
-        F.when(F.col("stock_quantity").isNull(), lit_date(as_of)).otherwise(F.col("last_restock_date"))
-         .alias("last_restock_date"))
-    created_hard = (hard_stock.filter("created")
-                    .select("branch_id", "item_id", F.col("stock_quantity").cast("bigint"),
-                            lit_date(as_of).alias("last_restock_date")))
-    snap = snap.unionByName(created_hard)
+        F.when(F.coalesce("_hr", "_r", F.lit(False)), lit_date(as_of)).otherwise(F.col("last_restock_date")).alias("last_restock_date"))
     return {"decisions": _decisions(dec), "snapshot": snap}
 
 
@@ -275,7 +297,7 @@ def apply_delivery_updates(t, requests: DataFrame) -> dict:
     """Requests (req_id, req_ts, action 'create'|'update', delivery_id, order_id,
     company_id, address, status).
 
-    Bad status (-20050). Create: order missing (-20053); order already has a delivery
+    Bad status (-20050; NULL passes, as in the reference's NOT IN). The address is stored trimmed. Create: order missing (-20053); order already has a delivery
     (-20054, also an earlier accepted create in the batch); company missing (-20055);
     empty or NULL address (-20056). Update: delivery not found (-20052); already
     Delivered (-20051, terminal). Delivery date is set to req_ts on Delivered, cleared on
@@ -291,7 +313,7 @@ def apply_delivery_updates(t, requests: DataFrame) -> dict:
     for c, typ in (("delivery_address", "string"), ("delivery_date", "timestamp_ntz")):
         if c not in d.columns:
             d = d.withColumn(c, F.lit(None).cast(typ))
-    st_ok = F.col("status").isin(*DELIVERY_STATUSES)
+    st_bad = F.coalesce(~F.col("status").isin(*DELIVERY_STATUSES), F.lit(False))  # NOT IN lets NULL pass
     creates = requests.filter(F.col("action") == "create")
     updates = requests.filter(F.col("action") != "create")
     order = [F.col("req_ts"), F.col("req_id")]
@@ -299,14 +321,14 @@ def apply_delivery_updates(t, requests: DataFrame) -> dict:
     c = (creates.join(_exists(t["orders"], "order_id", "_o"), "order_id", "left")
          .join(_exists(d, "order_id", "_has"), "order_id", "left")
          .join(_exists(t["delivery_company"], "company_id", "_c"), "company_id", "left"))
-    c = c.withColumn("code", _first((~F.coalesce(st_ok, F.lit(False)), -20050), (F.col("_o").isNull(), -20053),
+    c = c.withColumn("code", _first((st_bad, -20050), (F.col("_o").isNull(), -20053),
                                     (F.col("_has").isNotNull(), -20054), (F.col("_c").isNull(), -20055),
                                     (F.coalesce(F.trim("address"), F.lit("")) == "", -20056)))
     c_ok = c.filter(F.col("code").isNull()).withColumn(
         "_n", F.row_number().over(Window.partitionBy("order_id").orderBy(*order)))
     c_ok = c_ok.withColumn("code", F.when(F.col("_n") > 1, F.lit("-20054")))
     created = c_ok.filter(F.col("code").isNull()).select(
-        "delivery_id", "order_id", "company_id", F.col("address").alias("delivery_address"),
+        "delivery_id", "order_id", "company_id", F.trim("address").alias("delivery_address"),
         F.when(F.col("status") == "Delivered", F.col("req_ts")).alias("delivery_date"),
         F.col("status").alias("delivery_status"), F.col("req_ts").alias("_created_ts"), F.col("req_id").alias("_created_id"))
 
@@ -314,15 +336,16 @@ def apply_delivery_updates(t, requests: DataFrame) -> dict:
                       F.lit(None).cast("long").alias("_cid"))
              .unionByName(created.select("delivery_id", "delivery_status", "delivery_date",
                                          F.col("_created_ts").alias("_cts"), F.col("_created_id").alias("_cid"))))
-    u = updates.join(known.select("delivery_id", F.col("delivery_status").alias("_s0"), "_cts", "_cid"), "delivery_id", "left")
+    u = updates.join(known.select("delivery_id", F.col("delivery_status").alias("_s0"), "_cts", "_cid",
+                                       F.lit(True).alias("_known")), "delivery_id", "left")
     # an update before the delivery's creation in the batch does not find it
     not_yet = F.col("_cts").isNotNull() & (F.struct(F.col("req_ts"), F.col("req_id")) < F.struct(F.col("_cts"), F.col("_cid")))
-    u = u.withColumn("code", _first((~F.coalesce(st_ok, F.lit(False)), -20050),
-                                    (F.col("_s0").isNull() & F.col("_cts").isNull() | not_yet, -20052)))
+    u = u.withColumn("code", _first((st_bad, -20050),
+                                    (F.col("_known").isNull() | not_yet, -20052)))
     u_ok = u.filter(F.col("code").isNull())
     w = Window.partitionBy("delivery_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     u_ok = u_ok.withColumn("_seen", F.coalesce(F.max((F.col("status") == "Delivered").cast("int")).over(w), F.lit(0)))
-    u_ok = u_ok.withColumn("code", F.when((F.col("_s0") == "Delivered") | (F.col("_seen") == 1), F.lit("-20051")))
+    u_ok = u_ok.withColumn("code", F.when(F.coalesce(F.col("_s0") == "Delivered", F.lit(False)) | (F.col("_seen") == 1), F.lit("-20051")))
     dec = (c.filter(F.col("code").isNotNull()).select("req_id", "code")
            .unionByName(c_ok.select("req_id", "code"))
            .unionByName(u.filter(F.col("code").isNotNull()).select("req_id", "code"))
@@ -337,7 +360,7 @@ def apply_delivery_updates(t, requests: DataFrame) -> dict:
          .when(F.col("_l.status") == "Delivered", F.col("_l.req_ts"))
          .when(F.col("_l.status") == "Cancelled", F.lit(None).cast("timestamp_ntz"))
          .otherwise(F.col("delivery_date")).alias("delivery_date"),
-        F.coalesce(F.col("_l.status"), F.col("delivery_status")).alias("delivery_status"))
+        F.when(F.col("_l").isNull(), F.col("delivery_status")).otherwise(F.col("_l.status")).alias("delivery_status"))
     return {"decisions": _decisions(dec), "snapshot": snap}
 
 
@@ -446,8 +469,8 @@ def create_promotions(t, requests: DataFrame, lines: DataFrame | None = None) ->
 
     A promotion is rejected whole on the first failing check: empty name (-20001); missing
     dates (-20002); end before start (-20003); no details (-20004); unknown item (-20005);
-    bad discount type (-20006); negative value or percentage above 100 (-20007); an item
-    twice (-20008). Details are one row per line and checked set-wise; the promotion takes
+    bad discount type (-20006, NULL passes); negative value or percentage above 100 (-20007);
+    an Amount above the item's price (-20020, the detail row's trigger); an item twice (-20008). Details are one row per line and checked set-wise; the promotion takes
     the code of its first failing line.
     """
     if lines is None:
@@ -462,17 +485,17 @@ def create_promotions(t, requests: DataFrame, lines: DataFrame | None = None) ->
         hdr = requests.join(lines.groupBy("req_id").agg(F.count(F.lit(1)).alias("_nd")), "req_id", "left")
         n_lines = F.coalesce(F.col("_nd"), F.lit(0))
     hdr = hdr.withColumn(
-        "_h", _first((F.coalesce(F.trim("name"), F.lit("")) == "", -20001),
+        "_h", _first((F.coalesce("name", F.lit("")) == "", -20001),  # the reference's empty string is its NULL; blanks pass
                      (F.col("start_date").isNull() | F.col("end_date").isNull(), -20002),
                      (F.col("end_date") < F.col("start_date"), -20003),
                      (n_lines <= 0, -20004)))
-    lines = lines.join(_exists(t["item"], "item_id", "_i"), "item_id", "left")
+    lines = lines.join(t["item"].select("item_id", "unit_price", F.lit(True).alias("_i")), "item_id", "left")
     w = Window.partitionBy("req_id", "item_id").orderBy("_pos")
     lines = lines.withColumn("_dup", F.row_number().over(w) > 1)
     lines = lines.withColumn("_c", _first(
-        (F.col("_i").isNull(), -20005), (~F.coalesce(F.col("discount_type").isin("Percentage", "Amount"), F.lit(False)), -20006),
+        (F.col("_i").isNull(), -20005), (~F.col("discount_type").isin("Percentage", "Amount"), -20006),
         ((F.col("discount_value") < 0) | ((F.col("discount_type") == "Percentage") & (F.col("discount_value") > 100)), -20007),
-        (F.col("_dup"), -20008)))
+        ((F.col("discount_type") == "Amount") & (F.col("discount_value") > F.col("unit_price")), -20020), (F.col("_dup"), -20008)))
     # the first failing line (in detail order) decides the promotion's code
     line_code = lines.filter(F.col("_c").isNotNull()).groupBy("req_id").agg(F.min_by("_c", "_pos").alias("_lc"))
     j = hdr.join(line_code, "req_id", "left").withColumn("code", F.coalesce(F.col("_h"), F.col("_lc")))
@@ -493,7 +516,7 @@ def apply_pickup_updates(t, requests: DataFrame) -> dict:
     """Requests (req_id, req_ts, order_id, new_status[, reschedule_date]).
 
     NULL order: ignored (code IGNORED, nothing changes). Bad status (-20638; Cancelled is
-    not accepted here); order missing (-20641); not a Self Pickup order (-20639); no pickup
+    not accepted here, NULL passes and becomes the status); order missing (-20641); not a Self Pickup order (-20639); no pickup
     row (-20641). Completed after the pickup's expiry sets status Expired and is rejected
     (-20640). Ready sets expiry to req_ts + 3 days; Rescheduled to the given date or
     req_ts + 3 days; Completed stamps pickup_datetime = req_ts.
@@ -513,7 +536,7 @@ def apply_pickup_updates(t, requests: DataFrame) -> dict:
     r = (requests.join(o, "order_id", "left")
          .join(sp.select("order_id", F.col("pickup_exp_date").alias("_exp0"), F.lit(True).alias("_p")), "order_id", "left"))
     r = r.withColumn("code", _first((F.col("order_id").isNull(), "IGNORED"),
-                                    (~F.coalesce(F.col("new_status").isin(*PICKUP_STATUSES), F.lit(False)), -20638),
+                                    (~F.col("new_status").isin(*PICKUP_STATUSES), -20638),
                                     (F.col("order_type").isNull(), -20641),
                                     (F.lower("order_type") != "self pickup", -20639),
                                     (F.col("_p").isNull(), -20641)))
@@ -530,12 +553,12 @@ def apply_pickup_updates(t, requests: DataFrame) -> dict:
     decisions = dec.select("req_id", F.col("code").isNull().alias("accepted"), "code")
     eff = ok.withColumn("_status", F.when(F.col("code") == "-20640", F.lit("Expired")).otherwise(F.col("new_status")))
     last = eff.groupBy("order_id").agg(
-        F.max_by("_status", F.struct("req_ts", "req_id")).alias("_st"),
+        F.max_by(F.struct("_status"), F.struct("req_ts", "req_id")).alias("_st"),
         F.max_by("_set", F.struct(F.col("_set").isNotNull(), "req_ts", "req_id")).alias("_lastset"),
         F.max(F.when((F.col("new_status") == "Completed") & F.col("code").isNull(), F.col("req_ts"))).alias("_done"))
     snap = sp.join(last, "order_id", "left").select(
         "pickup_id", "order_id",
         F.coalesce("_done", "pickup_datetime").alias("pickup_datetime"),
-        F.coalesce("_st", "pickup_status").alias("pickup_status"),
+        F.when(F.col("_st").isNull(), F.col("pickup_status")).otherwise(F.col("_st._status")).alias("pickup_status"),
         F.coalesce("_lastset", "pickup_exp_date").alias("pickup_exp_date"))
     return {"decisions": decisions, "snapshot": snap}

@@ -6,19 +6,22 @@ reference's line array, exploded. The new order id is the request id.
 
 Checks in the reference's order: no lines (-20006); guest with Delivery or Self Pickup
 (-20008); guest with a voucher (-20009); per line in line order: item not stocked at the
-branch (-20002) or stock short at that moment (-20001); Delivery without address and
-without a member address (-20010); voucher checks of the redemption job (-20043, -20040,
--20041, -20044). A rejected order changes nothing (atomic per order).
+branch (-20002) or stock short at that moment (-20001); member expired (-20030); Delivery
+without address and without a member address (-20010); voucher checks of the redemption
+job (-20043, -20040, -20041, -20044); per line again, as it is inserted: quantity NULL or
+not positive (-20014), stock short after the order's own earlier lines (-20013), an item
+twice (-1, the primary key). A rejected order changes nothing (atomic per order).
 
 Contention is per (branch, item): a pair whose total demand in the batch never exceeds
 its opening stock cannot run short, whatever the order. Only orders holding a line on a
 contended pair are folded, per branch, in (req_ts, req_id) order, with the stock of that
 branch's contended pairs as state; all other orders are decided set-wise.
 
-The voucher's once-per-member rule inside the batch is judged among requests that pass
-every check other than stock (first such request per (voucher, member) wins), as in the
-redemption job; an order that then fails on stock does not hand the voucher to a later
-order.
+The voucher's once-per-member rule counts accepted orders only, so it depends on the stock
+and the stock on it. Decisions start from the first order of each (voucher, member) that
+no other check rejects; while one of those fails on stock, the rule is judged anew by the
+decisions reached. An order depends on earlier orders alone, so this ends, and only at the
+sequential outcome.
 
 Outputs: decisions, orders, order_lines (promotional prices at req_ts, W07), deliveries
 (status Preparing; courier chosen as pmod(order_id, couriers) over couriers sorted by id
@@ -34,7 +37,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake.functions.ranking import running_sum
-from martlake.session import checkpoint_dir
 from martlake.plans import jobs
 
 LOW_STOCK = 20
@@ -47,7 +49,7 @@ def _order_fold(batches):
 
     Row kinds: 0 = opening stock of a contended pair, 1 = order line. Line flags:
     ``stocked`` (a stock row exists), ``contended``. ``late_code`` is the order's code from
-    the checks after the stock loop (address, voucher) -- such an order deducts nothing.
+    the checks between the stock loop and the line inserts -- such an order deducts nothing.
     """
     branch = None
     stock: dict = {}
@@ -55,39 +57,43 @@ def _order_fold(batches):
     lines: list = []
 
     def close(req, late):
-        code = None
         for it, q, stocked, contended in lines:
             if not stocked:
-                code = "-20002"
-                break
-            if contended and stock.get(it, 0) < q:
-                code = "-20001"
-                break
-        if code is None and late is not None:
-            code = late
-        if code is None:
-            for it, q, stocked, contended in lines:
-                if contended:
-                    stock[it] -= q
-        return (req, code)
+                return (req, "-20002")
+            if contended and q is not None and stock.get(it, 0) < q:
+                return (req, "-20001")
+        if late is not None:
+            return (req, late)
+        taken: dict = {}
+        for it, q, _, contended in lines:
+            if q is None or q <= 0:
+                return (req, "-20014")
+            if it in taken:
+                return (req, "-20013" if contended and stock.get(it, 0) - taken[it] < q else "-1")
+            taken[it] = q
+        for it, q, _, contended in lines:
+            if contended:
+                stock[it] -= q
+        return (req, None)
 
     late = None
     for pdf in batches:
         out = []
-        for r in pdf.itertuples(index=False):
-            if r.branch_id != branch:
+        columns = [pdf[c].tolist() for c in ("branch_id", "kind", "req_id", "item_id", "quantity", "stocked", "contended", "late_code")]
+        for b, kind, req, item, q, stocked, contended, late_code in zip(*columns):
+            if b != branch:
                 if cur_req is not None:
                     out.append(close(cur_req, late))
-                branch, stock, cur_req, lines = r.branch_id, {}, None, []
-            if r.kind == 0:
-                stock[r.item_id] = int(r.quantity)
+                branch, stock, cur_req, lines = b, {}, None, []
+            if kind == 0:
+                stock[item] = int(q)
                 continue
-            if r.req_id != cur_req:
+            if req != cur_req:
                 if cur_req is not None:
                     out.append(close(cur_req, late))
-                cur_req, lines = r.req_id, []
-                late = r.late_code
-            lines.append((r.item_id, int(r.quantity), bool(r.stocked), bool(r.contended)))
+                cur_req, lines = req, []
+                late = late_code
+            lines.append((item, None if q is None or q != q else int(q), bool(stocked), bool(contended)))
         if out:
             yield pd.DataFrame(out, columns=["req_id", "code"])
     if cur_req is not None:
@@ -120,18 +126,33 @@ class _Outputs(dict):
         return iter(self.keys())
 
 
-def _materialize(df: DataFrame) -> DataFrame:
-    """Write an intermediate once (reliable checkpoint in the shared folder); later branches
-    of the job read it instead of re-deriving it, and its lineage is cut."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _decide(h: DataFrame, li: DataFrame, contended_pairs: DataFrame, lost: DataFrame) -> DataFrame:
+    """(req_id, code) of the orders ``h``, given the orders that ``lost`` their voucher."""
+    h = h.join(lost, "req_id", "left").withColumn("late", F.coalesce("late", "_dupv"))
+    # set-wise decisions for orders without a contended line
+    simple = h.filter(F.col("_touch").isNull())
+    simple_dec = simple.select("req_id", F.coalesce(F.when(F.col("_unst") == 1, F.lit("-20002")), F.col("late"), F.col("_lines")).alias("code"))
+    # ordered fold for the rest, per branch
+    fold_lines = (li.join(lost, "req_id", "left")
+                  .select(F.lit(1).alias("kind"), F.col("branch_id").cast("long"), "req_ts", "req_id", "line_no", F.col("item_id").cast("long"),
+                          F.col("quantity").cast("long").alias("quantity"), "stocked", "contended",
+                          F.coalesce("late0", "_dupv").alias("late_code")))
+    open_rows = (contended_pairs.join(fold_lines.select("branch_id").distinct(), "branch_id", "left_semi")
+                 .select(F.lit(0).alias("kind"), F.col("branch_id").cast("long"), F.lit(None).cast("timestamp_ntz").alias("req_ts"),
+                         F.lit(None).cast("long").alias("req_id"), F.lit(None).cast("int").alias("line_no"), F.col("item_id").cast("long"),
+                         F.col("opening").cast("long").alias("quantity"), F.lit(True).alias("stocked"),
+                         F.lit(True).alias("contended"), F.lit(None).cast("string").alias("late_code")))
+    stream = (open_rows.unionByName(fold_lines.withColumn("req_ts", F.col("req_ts").cast("timestamp_ntz")))
+              .repartition(F.xxhash64("branch_id"))  # derived key: see jobs.transfer_stock
+              .sortWithinPartitions("branch_id", "kind", "req_ts", "req_id", "line_no"))
+    return simple_dec.unionByName(stream.mapInPandas(_order_fold, _FOLD_OUT))
 
 
 def place_orders(t, headers: DataFrame, lines: DataFrame, as_of) -> dict:
     """Place multi-line orders all or nothing (see the module docstring for the rules
     and outputs)."""
     bs = t["branch_stock"].select("branch_id", "item_id", F.col("stock_quantity").cast("bigint").alias("opening"))
-    mem = t["member"].select("member_id", (F.col("address") if "address" in t["member"].columns
+    mem = t["member"].select("member_id", "expiry_date", (F.col("address") if "address" in t["member"].columns
                                           else F.lit(None).cast("string")).alias("_maddr"))
     guest = F.col("member_id").isNull()
     h = headers.join(mem, "member_id", "left")
@@ -150,6 +171,7 @@ def place_orders(t, headers: DataFrame, lines: DataFrame, as_of) -> dict:
           .join(hist, ["voucher_id", "member_id"], "left"))
     has_v = F.col("voucher_id").isNotNull()
     h = h.withColumn("late", jobs._first(
+        (F.col("expiry_date") < F.to_date("req_ts"), -20030),
         (addr_bad, -20010),
         (has_v & F.col("_v").isNull(), -20043),
         (has_v & (F.col("exp_date") < F.lit(as_of)), -20040),
@@ -157,52 +179,51 @@ def place_orders(t, headers: DataFrame, lines: DataFrame, as_of) -> dict:
         (has_v & F.col("_used").isNotNull(), -20044)))
 
     # line facts, once
-    li = _materialize(
+    li = jobs._materialize(
         lines.join(h.select("req_id", "req_ts", "branch_id", "early"), "req_id")
              .join(bs, ["branch_id", "item_id"], "left")
              .withColumn("stocked", F.col("opening").isNotNull()))
-    facts = li.groupBy("req_id").agg(F.count(F.lit(1)).alias("_n"), F.max((~F.col("stocked")).cast("int")).alias("_unst"))
+    # what the line inserts would reject whatever the stock: the first such line's code
+    nth = Window.partitionBy("req_id", "item_id").orderBy("line_no")
+    bad_line = jobs._first((F.col("quantity").isNull() | (F.col("quantity") <= 0), -20014), (F.row_number().over(nth) > 1, -1))
+    li = li.withColumn("_bad", bad_line)
+    facts = li.groupBy("req_id").agg(F.count(F.lit(1)).alias("_n"), F.max((~F.col("stocked")).cast("int")).alias("_unst"),
+                                     F.min_by("_bad", F.when(F.col("_bad").isNotNull(), F.col("line_no"))).alias("_lines"))
     h = (h.join(facts, "req_id", "left")
           .withColumn("early", F.when(F.coalesce(F.col("_n"), F.lit(0)) == 0, F.lit("-20006")).otherwise(F.col("early"))))
-    # first-wins on (voucher, member) among requests passing every non-stock check
-    cand = h.filter(F.col("early").isNull() & F.col("late").isNull() & F.col("voucher_id").isNotNull())
-    wv = Window.partitionBy("voucher_id", "member_id").orderBy("req_ts", "req_id")
-    later = cand.withColumn("_k", F.row_number().over(wv)).filter(F.col("_k") > 1).select("req_id", F.lit(True).alias("_dupv"))
-    h = h.join(later, "req_id", "left").withColumn(
-        "late", F.coalesce(F.col("late"), F.when(F.col("_dupv"), F.lit("-20044"))))
 
     # contention per (branch, item) among orders still in play
     live = li.filter(F.col("early").isNull() & F.col("stocked"))
-    demand = live.groupBy("branch_id", "item_id").agg(F.sum("quantity").alias("_dem"), F.first("opening").alias("opening"))
+    demand = live.groupBy("branch_id", "item_id").agg(F.sum(F.greatest("quantity", F.lit(0))).alias("_dem"), F.first("opening").alias("opening"))
     contended_pairs = demand.filter(F.col("_dem") > F.col("opening")).select("branch_id", "item_id", "opening")
     li = li.join(contended_pairs.select("branch_id", "item_id", F.lit(True).alias("contended")),
                  ["branch_id", "item_id"], "left").withColumn("contended", F.coalesce("contended", F.lit(False)))
     touches = li.filter("contended").select("req_id").distinct().withColumn("_touch", F.lit(True))
-    h = _materialize(h.join(touches, "req_id", "left")
-                      .select("req_id", "req_ts", "member_id", "staff_id", "branch_id", "order_type", "voucher_id",
-                              "_addr", "early", "late", "_unst", "_touch"))
-
-    # set-wise decisions for orders without a contended line
-    simple = h.filter(F.col("early").isNotNull() | F.col("_touch").isNull())
-    simple_dec = simple.select("req_id", F.coalesce(
-        F.col("early"), F.when(F.col("_unst") == 1, F.lit("-20002")), F.col("late")).alias("code"))
-
-    # ordered fold for the rest, per branch
-    fold_h = h.filter(F.col("early").isNull() & F.col("_touch").isNotNull()).select("req_id", F.col("late").alias("late_code"))
-    fold_lines = (li.join(fold_h, "req_id")
-                  .select(F.lit(1).alias("kind"), "branch_id", "req_ts", "req_id", "line_no", "item_id",
-                          F.col("quantity").cast("long").alias("quantity"), "stocked", "contended", "late_code"))
-    open_rows = (contended_pairs.join(fold_lines.select("branch_id").distinct(), "branch_id", "left_semi")
-                 .select(F.lit(0).alias("kind"), "branch_id", F.lit(None).cast("timestamp_ntz").alias("req_ts"),
-                         F.lit(None).cast("long").alias("req_id"), F.lit(None).cast("int").alias("line_no"), "item_id",
-                         F.col("opening").cast("long").alias("quantity"), F.lit(True).alias("stocked"),
-                         F.lit(True).alias("contended"), F.lit(None).cast("string").alias("late_code")))
-    stream = (open_rows.unionByName(fold_lines.withColumn("req_ts", F.col("req_ts").cast("timestamp_ntz")))
-              .repartition(F.xxhash64("branch_id"))  # derived key: see jobs.transfer_stock
-              .sortWithinPartitions("branch_id", "kind", "req_ts", "req_id", "line_no"))
-    fold_dec = stream.mapInPandas(_order_fold, _FOLD_OUT)
-
-    codes = simple_dec.unionByName(fold_dec)
+    h = jobs._materialize(h.join(touches, "req_id", "left")
+                           .select("req_id", "req_ts", "member_id", "staff_id", "branch_id", "order_type", "voucher_id",
+                                   "_addr", "early", "late", "_unst", "_lines", "_touch"))
+
+    open_h = h.filter(F.col("early").isNull())
+    li = jobs._materialize(li.join(open_h.filter(F.col("_touch").isNotNull()).select("req_id", F.col("late").alias("late0")), "req_id"))
+    # orders that use a voucher of theirs at the same time as others of the batch
+    order = F.struct("req_ts", "req_id")
+    rivals = open_h.filter(F.col("late").isNull() & F.col("voucher_id").isNotNull())
+    several = rivals.groupBy("voucher_id", "member_id").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").drop("_k")
+    rivals = jobs._materialize(rivals.join(several, ["voucher_id", "member_id"])
+                               .select("req_id", "voucher_id", "member_id", order.alias("_o"), "_lines"))
+
+    def beaten(winners: DataFrame) -> DataFrame:
+        first = winners.groupBy("voucher_id", "member_id").agg(F.min("_o").alias("_first"))
+        return rivals.join(first, ["voucher_id", "member_id"]).filter("_o > _first").select("req_id", F.lit("-20044").alias("_dupv"))
+
+    lost = jobs._materialize(beaten(rivals.filter(F.col("_lines").isNull())))
+    while True:
+        codes = jobs._materialize(_decide(open_h, li, contended_pairs, lost))
+        again = jobs._materialize(beaten(rivals.join(codes.filter(F.col("code").isNull()).select("req_id"), "req_id", "left_semi")))
+        if again.join(lost, "req_id", "left_anti").isEmpty() and lost.join(again, "req_id", "left_anti").isEmpty():
+            break
+        lost = again
+    codes = codes.unionByName(h.filter(F.col("early").isNotNull()).select("req_id", F.col("early").alias("code")))
     decisions = codes.select("req_id", F.col("code").isNull().alias("accepted"), "code")
     acc = h.join(codes.filter(F.col("code").isNull()).select("req_id"), "req_id", "left_semi")
 
@@ -250,13 +271,14 @@ def place_orders(t, headers: DataFrame, lines: DataFrame, as_of) -> dict:
 def replay_orders(t):
     """Requests that re-place every stored order against the opening stock (W11 over the data).
 
-    Headers from ``orders`` (voucher = the order's first redemption, address = none, so the
-    member's address is used), lines from ``order_item`` in item order.
+    Headers from ``orders`` (voucher = the order's first redemption, address = none for
+    every seventh order, whose member's address is used), lines from ``order_item`` in item order.
     """
     first_red = (t["redemption"].groupBy("order_id")
                  .agg(F.min_by("voucher_id", F.struct("redeemed_date", "redemption_id")).alias("voucher_id")))
     headers = (t["orders"].join(first_red, "order_id", "left")
                .select(F.col("order_id").alias("req_id"), F.col("order_date").alias("req_ts"), "member_id", "staff_id",
-                       "branch_id", "order_type", "voucher_id", F.lit(None).cast("string").alias("address")))
+                       "branch_id", "order_type", "voucher_id",
+                       F.when(F.col("order_id") % 7 > 0, F.concat(F.lit("Addr "), F.col("order_id").cast("string"))).alias("address")))
     lines = t["order_item"].select(F.col("order_id").alias("req_id"), F.col("item_id").alias("line_no"), "item_id", "quantity")
     return headers, lines
