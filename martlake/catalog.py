@@ -99,20 +99,25 @@ def _stream(kind: str) -> Callable[[SparkSession, str], DataFrame]:
     from martlake.sources import requests as rq
     from martlake.streaming import jobs as S
 
+    # the tables' files are in no time order: a row may be as late as the whole span is long
+    delay = "3650 days"
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = retail(spark, sf_dir)
         if kind in ("points", "pickup"):
-            schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-            events = S.read_files(spark, sf_dir, schema, glob="events.parquet")
-            df = (S.points_ledger_stream(t, events) if kind == "points"
-                  else S.pickup_lifecycle_stream(t, rq.pickup_events_from(events)))
+            path = f"{sf_dir}/events.parquet"
+            src = S.Replay(spark, path, spark.read.parquet(path).schema, "ts", delay)
+            df = (S.points_ledger_stream(t, src.rows, delay) if kind == "points"
+                  else S.pickup_lifecycle_stream(t, rq.pickup_events_from(src.rows), delay))
         elif kind == "stock":
-            d = _table_dir(t, "order_item")
-            df = S.low_stock_stream(t, S.read_files(spark, d, t["order_item"].schema, max_files=64))
+            d = f"{checkpoint_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
+            S.with_order(t, t["order_item"]).write.parquet(d)
+            src = S.Replay(spark, d, spark.read.parquet(d).schema, "order_date", delay)
+            df = S.low_stock_stream(t, src.rows, delay=delay)
         else:
-            d = _table_dir(t, "redemption")
-            df = S.dedupe_redemptions_stream(t, S.read_files(spark, d, t["redemption"].schema, max_files=64))
-        return S.run_available(df, kind)
+            src = S.Replay(spark, _table_dir(t, "redemption"), t["redemption"].schema, "redeemed_date", delay)
+            df = S.dedupe_redemptions_stream(t, src.rows, delay)
+        return S.run_available(df, kind, src)
     run.__name__ = f"{kind}_stream"
     return run
 

@@ -207,8 +207,8 @@ select branch_id, item_id, req_id as order_id, req_ts as order_date, cast(stock_
 from run where stock_after < 20"""
 
 # S04 run to completion: every request with the status and expiry after it (W10 rules),
-# plus one TIMER row per pickup left Ready / Rescheduled whose expiry is below the final
-# watermark (latest event time minus the 1 hour delay, in milliseconds as Spark keeps it).
+# plus one TIMER row per pickup left Ready / Rescheduled whose expiry is not after the last
+# event of the input (in milliseconds, as Spark keeps the watermark).
 SQL["pickup_lifecycle_stream"] = _PICKUP + """
 , ok3 as (select *, case when new_status = 'Completed' and exp_in_force is not null and req_ts > exp_in_force
                          then 'Expired' else new_status end as eff,
@@ -230,7 +230,7 @@ select cast(req_id as bigint) as req_id, cast(order_id as bigint) as order_id, r
 union all
 select cast(null as bigint), cast(order_id as bigint), ex, 'Expired', 'TIMER', 'Expired', ex from fin
 where st in ('Ready', 'Rescheduled') and ex is not null
-  and floor(epoch_us(ex) / 1000) < floor(epoch_us((select max(req_ts) from q_pickup)) / 1000) - 3600000"""
+  and floor(epoch_us(ex) / 1000) <= floor(epoch_us((select max(ts) from events)) / 1000)"""
 
 
 _DELIVERY = """

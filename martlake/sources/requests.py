@@ -45,8 +45,9 @@ def pickup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pickup_events_from(events: DataFrame) -> DataFrame:
-    """Pickup status requests from an events frame (batch or stream)."""
-    e = events.filter(F.col("event_type") == "signup")
+    """Pickup status requests from an events frame (batch or stream, whose closing row has
+    a time only)."""
+    e = events.filter((F.col("event_type") == "signup") | F.col("event_id").isNull())
     k = F.col("event_id") % 6
     return e.select(
         F.col("event_id").alias("req_id"), F.col("ts").alias("req_ts"),

@@ -1,26 +1,35 @@
 """Structured Streaming versions of four row triggers.
 
 Each stream shares its rule code with the batch form: the static checks are the same
-column expressions, and the order-dependent part runs in ``applyInPandasWithState``. The
-ledgers and the de-duplication keep their per-key state in maps keyed by a hash bucket of
-the key (member, (branch, item), (voucher, order)), so Python is entered per bucket; the
-pickup state machine is keyed per order, as it needs one timer per pickup. State lives in the state store,
-partitioned by key across executors and checkpointed, so a lost executor is replayed from
-the checkpoint. Within a micro-batch a key's rows are sorted by event time; a row older than
-the last one already applied for its key is rejected as ``LATE`` (it cannot be applied in
-order any more).
-
-``run_available(df, name)`` runs a stream to completion (``availableNow``) into a parquet
-table under the shared checkpoint folder and returns that table -- how the registered
-queries and the batch = stream tests drive them.
+column expressions, and the order-dependent part runs in ``applyInPandasWithState``.
+
+Order: a row is applied once the watermark (latest event time minus ``delay``) has passed
+it; until then it waits in the state of its key, and an event-time timer wakes the key. What
+the watermark has passed is applied in (event time, id) order, so the result doesn't depend
+on how the input is cut into files or micro-batches, as long as no row is more than ``delay``
+behind the newest one. Rows later than that are dropped by Spark's watermark and counted in
+the query's progress (numRowsDroppedByWatermark).
+
+State lives in the state store, partitioned by key across executors and checkpointed, so a
+lost executor is replayed from the checkpoint. The ledgers and the de-duplication hold the
+keys of a hash bucket in one state value, since Python is entered once per state value; the
+number of buckets follows the number of members, items or redemptions (``_PER_BUCKET``). The
+pickup state machine has one state value per order.
+
+``run_available(df, name)`` runs a stream over the files that are there (``availableNow``) into
+a parquet table under the shared checkpoint folder and returns that table. With a ``Replay``
+as its source, a closing row then moves the watermark past the last event, so that nothing
+stays waiting.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import pickle
 import uuid
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -28,22 +37,110 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from martlake.session import checkpoint_dir
 from martlake.sources import retail as R
 
-def run_available(df: DataFrame, name: str) -> DataFrame:
+#: keys held by one state value, about
+_PER_BUCKET = 200
+_STATE = "held binary, waiting binary"
+
+
+class Replay:
+    """A stream over the files of ``path`` (one file or a folder of part files) that can be
+    closed: ``rows`` is the streaming DataFrame, ``close()`` adds a row with nothing but an event
+    time, ``delay`` behind which the watermark has passed every event."""
+
+    def __init__(self, spark: SparkSession, path: str, schema, time: str, delay: str, max_files: int = 8):
+        self.spark, self.schema, self.time, self.delay = spark, schema, time, delay
+        self.folder = f"{checkpoint_dir(spark).rstrip('/')}/close-{uuid.uuid4().hex}"
+        self.path = path
+        self._write([])
+        files = read_files(spark, path, schema, max_files=max_files)
+        self.rows = files.unionByName(spark.readStream.schema(schema).parquet(self.folder))
+
+    def _write(self, rows) -> None:
+        self.spark.createDataFrame(rows, self.schema).coalesce(1).write.mode("append").parquet(self.folder)
+
+    def close(self) -> None:
+        last = self.spark.read.schema(self.schema).parquet(self.path).agg(F.max(self.time).cast("timestamp_ntz")).first()[0]
+        if last is None:
+            return
+        n, unit = self.delay.split()
+        end = last + dt.timedelta(**{unit.rstrip("s") + "s": int(n)}) + dt.timedelta(milliseconds=1)
+        self._write([tuple(end if f.name == self.time else None for f in self.schema.fields)])
+
+
+def run_available(df: DataFrame, name: str, source: Replay | None = None) -> DataFrame:
     """Run a streaming DataFrame until its input is exhausted; return what it wrote."""
     spark = df.sparkSession
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex}"
-    q = (df.writeStream.format("parquet").outputMode("append")
-         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/state")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+
+    def run() -> None:
+        q = (df.writeStream.format("parquet").outputMode("append")
+             .option("path", f"{base}/out").option("checkpointLocation", f"{base}/state")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    run()
+    if source is not None:
+        source.close()
+        run()
+    return spark.read.schema(df.schema).parquet(f"{base}/out")
+
+
+def read_files(spark: SparkSession, path: str, schema, max_files: int = 8) -> DataFrame:
+    """A stream over a parquet file or a folder of part files; ``max_files`` bounds a
+    micro-batch. The path is given as a pattern, which matches either."""
+    at = path.rstrip("/")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(f"{at[:-1]}[{at[-1]}]")
 
 
-def read_files(spark: SparkSession, path: str, schema, glob: str | None = None, max_files: int = 1) -> DataFrame:
-    r = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    return r.parquet(path)
+def _buckets(keys: DataFrame, *columns: str) -> Column:
+    n = max(64, keys.count() // _PER_BUCKET)
+    return F.pmod(F.xxhash64(*columns), F.lit(n)).alias("_bucket")
+
+
+def _ms(ts) -> int:
+    return pd.Timestamp(ts).value // 1_000_000
+
+
+def _in_order(columns: list[str], apply, out: T.StructType, timers=None):
+    """A state function that applies rows in (first column: event time, second: id) order
+    behind the watermark. ``apply(held, row)`` changes the key's dict and gives an output row;
+    ``timers(key, held, watermark)`` may give further rows and the time to wake at."""
+    names = [f.name for f in out.fields]
+
+    def fn(key, pdfs, state):
+        held, waiting = (pickle.loads(x) for x in state.get) if state.exists else ({}, [])
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                waiting += zip(*[pdf[c].astype(object).where(pdf[c].notna(), None).tolist() for c in columns])
+        mark = state.getCurrentWatermarkMs()
+        ready = sorted((r for r in waiting if _ms(r[0]) < mark), key=lambda r: r[:2])
+        waiting = [r for r in waiting if _ms(r[0]) >= mark]
+        rows = [apply(held, r) for r in ready]
+        wake = [_ms(r[0]) + 1 for r in waiting]
+        if timers is not None:
+            more, at = timers(key, held, mark)
+            rows += more
+            wake += at
+        state.update((pickle.dumps(held), pickle.dumps(waiting)))
+        if wake:
+            state.setTimeoutTimestamp(max(min(wake), mark + 1))
+        rows = [r for r in rows if r is not None]
+        if rows:
+            frame = pd.DataFrame(rows, columns=names, dtype=object)
+            for f in out.fields:
+                if isinstance(f.dataType, T.LongType):
+                    frame[f.name] = pd.array(frame[f.name], dtype="Int64")
+                elif isinstance(f.dataType, T.TimestampNTZType):
+                    frame[f.name] = pd.to_datetime(frame[f.name])
+            yield frame
+    return fn
+
+
+def _stateful(rows: DataFrame, keys: list[str], time: str, delay: str, fn, out: T.StructType) -> DataFrame:
+    # watermarks need TIMESTAMP; read in UTC, so that it compares with the rows' own time
+    rows = rows.filter(F.col(time).isNotNull())
+    marked = rows.withColumn("_event_time", F.to_utc_timestamp(F.col(time).cast("timestamp"), "UTC")).withWatermark("_event_time", delay)
+    return marked.groupBy(*keys).applyInPandasWithState(fn, out, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 # ------------------------------------------------------------------ S01 points ledger
@@ -53,66 +150,43 @@ _POINTS_OUT = T.StructType([
     T.StructField("amount", T.LongType()), T.StructField("transaction_type", T.StringType()),
     T.StructField("redemption_date", T.TimestampNTZType()), T.StructField("code", T.StringType()),
     T.StructField("balance_after", T.LongType())])
-_POINTS_STATE = "balance map<bigint,bigint>, last_ts map<bigint,timestamp_ntz>, last_id map<bigint,bigint>"
-
-
-def _points_fn(key, pdfs, state):
-    parts = list(pdfs)
-    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    pdf = pdf.sort_values(["member_id", "redemption_date", "point_redemption_id"], kind="stable")
-    if state.exists:
-        bal, lts, lid = (dict(x or {}) for x in state.get)
-    else:
-        bal, lts, lid = {}, {}, {}
-    n = len(pdf)
-    codes, bals = [None] * n, [None] * n
-    cols = [pdf[c].tolist() for c in ("member_id", "redemption_date", "point_redemption_id", "amount",
-                                      "transaction_type", "code", "opening")]
-    for i, (m, ts, pid, amount, kind, code, opening) in enumerate(zip(*cols)):
-        if code is not None and code == code:
-            codes[i] = code
-            continue
-        cur = bal.get(m)
-        if cur is None:
-            cur = int(opening)
-        last = lts.get(m)
-        if last is not None and (ts, pid) <= (pd.Timestamp(last), lid[m]):
-            codes[i] = "LATE"
-            continue
-        d = -int(amount) if kind == "Used" else int(amount)
-        if cur + d >= 0:
-            cur += d
+
+
+def _apply_points(held, row):
+    ts, pid, member, amount, kind, code, opening = row
+    if amount is None and kind is None:  # the closing row
+        return None
+    balance = None
+    if code is None:
+        balance = held.get(member, opening)
+        moved = balance + (int(amount) if kind == "Earned" else -int(amount) if kind == "Used" else 0)
+        if moved >= 0:
+            balance = moved
         else:
-            codes[i] = "-20023"
-        bals[i] = cur
-        bal[m], lts[m], lid[m] = cur, pd.Timestamp(ts).to_pydatetime(), int(pid)
-    if bal:
-        state.update((bal, lts, lid))
-    out = pdf[["point_redemption_id", "member_id", "amount", "transaction_type", "redemption_date"]].copy()
-    out["code"] = codes
-    out["balance_after"] = pd.array(bals, dtype="Int64")
-    yield out
-
-
-def points_ledger_stream(t, events: DataFrame, buckets: int = 64) -> DataFrame:
+            code = "-20023"
+        held[member] = balance
+    return pid, member, amount, kind, ts, code, balance
+
+
+def points_ledger_stream(t, events: DataFrame, delay: str = "1 hours") -> DataFrame:
     """Per-member balance with overdraft rejects over a stream of ``events``.
 
     Events become point rows with the batch adapter's expressions; the opening balance comes
-    from the member table (stream-static join). Codes as V02 (-20020..-20023), plus LATE.
-    State is keyed by a hash bucket of the member and holds its members' balances as a map,
-    so Python is entered once per bucket and micro-batch (raise ``buckets`` with members).
+    from the member table (stream-static join). Codes as V02 (-20020..-20023).
     """
     ph = R.point_history(lambda _: events)
     mem = t["member"].select("member_id", F.col("points_balance").cast("bigint").alias("opening"), F.lit(True).alias("_m"))
     j = ph.join(mem, "member_id", "left")
     code = (F.when(F.col("amount").isNull() | (F.col("amount") <= 0), "-20020")
-             .when(~F.coalesce(F.col("transaction_type").isin("Earned", "Used"), F.lit(False)), "-20021")
+             .when(~F.col("transaction_type").isin("Earned", "Used"), "-20021")
              .when(F.col("_m").isNull(), "-20022"))
+    kind = F.when(F.col("point_redemption_id").isNotNull(), F.col("transaction_type")).alias("transaction_type")
     j = j.select(F.col("point_redemption_id").cast("long"), F.col("member_id").cast("long"), F.col("amount").cast("long"),
-                 "transaction_type", F.col("redemption_date").cast("timestamp_ntz"), code.alias("code"), "opening",
-                 F.pmod(F.xxhash64("member_id"), F.lit(buckets)).alias("_bucket"))
-    return j.groupBy("_bucket").applyInPandasWithState(
-        _points_fn, _POINTS_OUT, _POINTS_STATE, "append", GroupStateTimeout.NoTimeout)
+                 kind, F.col("redemption_date").cast("timestamp_ntz"), code.alias("code"), "opening",
+                 _buckets(t["member"], "member_id"))
+    fn = _in_order(["redemption_date", "point_redemption_id", "member_id", "amount", "transaction_type", "code", "opening"],
+                   _apply_points, _POINTS_OUT)
+    return _stateful(j, ["_bucket"], "redemption_date", delay, fn, _POINTS_OUT)
 
 
 # ------------------------------------------------------------------ S02 low stock
@@ -122,70 +196,47 @@ _STOCK_OUT = T.StructType([
     T.StructField("branch_id", T.LongType()), T.StructField("order_date", T.TimestampNTZType()),
     T.StructField("quantity", T.LongType()), T.StructField("code", T.StringType()),
     T.StructField("stock_after", T.LongType()), T.StructField("low_stock", T.BooleanType())])
-_STOCK_STATE = "stock map<bigint,bigint>, last_ts map<bigint,timestamp_ntz>, last_id map<bigint,bigint>"
 
 
-def _stock_fn_factory(threshold: int):
-    def fn(key, pdfs, state):
-        parts = list(pdfs)
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        pdf = pdf.sort_values(["item_id", "order_date", "order_id"], kind="stable")
-        if state.exists:
-            st, lts, lid = (dict(x or {}) for x in state.get)
-        else:
-            st, lts, lid = {}, {}, {}
-        n = len(pdf)
-        codes, after, low = [None] * n, [None] * n, [False] * n
-        cols = [pdf[c].tolist() for c in ("item_id", "order_date", "order_id", "quantity", "code", "opening")]
-        for i, (it, ts, oid, q, code, opening) in enumerate(zip(*cols)):
-            if code is not None and code == code:
-                codes[i] = code
-                continue
-            cur = st.get(it)
-            if cur is None:
-                cur = int(opening)
-            last = lts.get(it)
-            if last is not None and (ts, oid) <= (pd.Timestamp(last), lid[it]):
-                codes[i] = "LATE"
-                continue
-            if cur >= q:
-                cur -= int(q)
-                low[i] = cur < threshold
-            else:
-                codes[i] = "-20013"
-            after[i] = cur
-            st[it], lts[it], lid[it] = cur, pd.Timestamp(ts).to_pydatetime(), int(oid)
-        if st:
-            state.update((st, lts, lid))
-        out = pdf[["order_id", "item_id", "branch_id", "order_date", "quantity"]].copy()
-        out["code"] = codes
-        out["stock_after"] = pd.array(after, dtype="Int64")
-        out["low_stock"] = low
-        yield out
-    return fn
-
+def with_order(t, lines: DataFrame) -> DataFrame:
+    """Order lines with the branch and date of their order, as the event carries them."""
+    return lines.join(t["orders"].select("order_id", "branch_id", "order_date"), "order_id", "left")
 
-def low_stock_stream(t, lines: DataFrame, threshold: int = 20, buckets: int = 64) -> DataFrame:
-    """A stream of order lines deducts branch stock (V01 rules); ``low_stock`` marks
-    every accepted deduction leaving fewer than ``threshold`` units (V06).
 
-    State is keyed by (branch, item bucket) and holds the stock of that bucket's items as a
-    map, so the per-group Python overhead is paid per bucket, not per item, while one state
-    value stays bounded by the items of a bucket (raise ``buckets`` with the item count).
+def low_stock_stream(t, lines: DataFrame, threshold: int = 20, delay: str = "1 hours") -> DataFrame:
+    """A stream of order lines (order_id, item_id, quantity, branch_id, order_date)
+    deducts branch stock (V01 rules); ``low_stock`` marks every accepted deduction leaving
+    fewer than ``threshold`` units (V06). A line of an unknown order has no date to be ordered
+    by and is dropped.
     """
-    o = t["orders"].select("order_id", "branch_id", "order_date")
     stock = t["branch_stock"].select("branch_id", "item_id", F.col("stock_quantity").cast("bigint").alias("opening"))
-    j = (lines.select("order_id", "item_id", "quantity").join(o, "order_id", "left")
+    j = (lines.select("order_id", "item_id", "quantity", "branch_id", "order_date")
          .join(t["item"].select("item_id", F.lit(True).alias("_i")), "item_id", "left")
          .join(stock, ["branch_id", "item_id"], "left"))
     code = (F.when(F.col("quantity").isNull() | (F.col("quantity") <= 0), "-20014")
-             .when(F.col("order_date").isNull(), "-20010").when(F.col("_i").isNull(), "-20011")
+             .when(F.col("branch_id").isNull(), "-20010").when(F.col("_i").isNull(), "-20011")
              .when(F.col("opening").isNull(), "-20012"))
     j = j.select(F.col("order_id").cast("long"), F.col("item_id").cast("long"), F.col("branch_id").cast("long"),
                  F.col("order_date").cast("timestamp_ntz"), F.col("quantity").cast("long"), code.alias("code"), "opening",
-                 F.pmod(F.xxhash64("item_id"), F.lit(buckets)).alias("_bucket"))
-    return j.groupBy("branch_id", "_bucket").applyInPandasWithState(
-        _stock_fn_factory(threshold), _STOCK_OUT, _STOCK_STATE, "append", GroupStateTimeout.NoTimeout)
+                 _buckets(t["branch_stock"], "branch_id", "item_id"))
+
+    def apply(held, row):
+        ts, oid, item, branch, q, code, opening = row
+        if oid is None:  # the closing row
+            return None
+        left, low = None, False
+        if code is None:
+            left = held.get((branch, item), opening)
+            if left >= q:
+                left -= int(q)
+                low = left < threshold
+            else:
+                code = "-20013"
+            held[branch, item] = left
+        return oid, item, branch, ts, q, code, left, low
+
+    fn = _in_order(["order_date", "order_id", "item_id", "branch_id", "quantity", "code", "opening"], apply, _STOCK_OUT)
+    return _stateful(j, ["_bucket"], "order_date", delay, fn, _STOCK_OUT)
 
 
 # ------------------------------------------------------------------ S03 redemption de-duplication
@@ -195,40 +246,31 @@ _RED_OUT = T.StructType([
     T.StructField("order_id", T.LongType()), T.StructField("redeemed_date", T.TimestampNTZType())])
 
 
-def _first_per_key(key, pdfs, state):
-    parts = list(pdfs)
-    pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    seen = dict(state.get[0] or {}) if state.exists else {}
-    pdf = pdf.sort_values(["redeemed_date", "redemption_id"], na_position="last", kind="stable")
-    pdf = pdf.assign(_k=pdf["voucher_id"].astype(str) + "|" + pdf["order_id"].astype(str))
-    first = pdf.drop_duplicates("_k", keep="first")
-    first = first[~first["_k"].isin(seen.keys())]
-    if len(first):
-        seen.update(dict.fromkeys(first["_k"].tolist(), True))
-        state.update((seen,))
-    yield first[["redemption_id", "voucher_id", "order_id", "redeemed_date"]]
+def _apply_first(held, row):
+    ts, rid, voucher, order = row
+    if rid is None or (voucher, order) in held:
+        return None
+    held[voucher, order] = True
+    return rid, voucher, order, ts
 
 
-def dedupe_redemptions_stream(t, redemptions: DataFrame, within: str | None = None, buckets: int = 256) -> DataFrame:
+def dedupe_redemptions_stream(t, redemptions: DataFrame, delay: str = "1 hours", within: str | None = None) -> DataFrame:
     """Keep the first redemption per (voucher, order) -- earliest (redeemed date, id),
-    also when duplicates share a micro-batch; rows of unknown orders are dropped (V03
-    -20030).
-
-    The memory of seen keys is state keyed by a hash bucket of (voucher, order), one map
-    of keys per bucket (raise ``buckets`` with the data), so Python is entered once per
-    bucket and micro-batch. With ``within`` (e.g. '7 days') memory is bounded instead by a
-    watermark on ``redeemed_date`` (``dropDuplicatesWithinWatermark``; duplicates further
-    apart are no longer caught)."""
-    r = redemptions.join(t["orders"].select("order_id"), "order_id", "left_semi")
+    whenever the others arrive; rows of unknown orders are dropped (V03 -20030).
+
+    The memory of seen keys is state. With ``within`` (e.g. '7 days') it is bounded by a
+    watermark on ``redeemed_date`` instead (``dropDuplicatesWithinWatermark``: the first to
+    arrive stays, duplicates further apart are no longer caught)."""
+    orders = t["orders"].select("order_id", F.lit(True).alias("_o"))
+    r = redemptions.join(orders, "order_id", "left").filter(F.col("_o").isNotNull() | F.col("redemption_id").isNull())
     if within:
-        return (r.withColumn("_event_time", F.col("redeemed_date").cast("timestamp"))
+        return (r.drop("_o").withColumn("_event_time", F.col("redeemed_date").cast("timestamp"))
                  .withWatermark("_event_time", within)
                  .dropDuplicatesWithinWatermark(["voucher_id", "order_id"]).drop("_event_time"))
     r = r.select(F.col("redemption_id").cast("long"), "voucher_id", F.col("order_id").cast("long"),
-                 F.col("redeemed_date").cast("timestamp_ntz"),
-                 F.pmod(F.xxhash64("voucher_id", "order_id"), F.lit(buckets)).alias("_bucket"))
-    return r.groupBy("_bucket").applyInPandasWithState(
-        _first_per_key, _RED_OUT, "seen map<string,boolean>", "append", GroupStateTimeout.NoTimeout)
+                 F.col("redeemed_date").cast("timestamp_ntz"), _buckets(t["redemption"], "voucher_id", "order_id"))
+    fn = _in_order(["redeemed_date", "redemption_id", "voucher_id", "order_id"], _apply_first, _RED_OUT)
+    return _stateful(r, ["_bucket"], "redeemed_date", delay, fn, _RED_OUT)
 
 
 # ------------------------------------------------------------------ S04 pickup lifecycle
@@ -238,58 +280,38 @@ _PICKUP_OUT = T.StructType([
     T.StructField("req_ts", T.TimestampNTZType()), T.StructField("new_status", T.StringType()),
     T.StructField("code", T.StringType()), T.StructField("status_after", T.StringType()),
     T.StructField("exp_after", T.TimestampNTZType())])
-_PICKUP_STATE = "status string, exp timestamp_ntz"
 THREE_DAYS = pd.Timedelta(days=3)
 
 
-def _pickup_fn_factory(tz: str):
-    """The watermark is the NTZ event time read in the session time zone; the timer is set
-    in the same zone so that the two compare."""
-    def fn(key, pdfs, state):
-        yield from _pickup_fn(key, pdfs, state, tz)
-    return fn
-
-
-def _pickup_fn(key, pdfs, state, tz="UTC"):
-    (order_id,) = key
-    if state.hasTimedOut:
-        status, exp = state.get
-        state.update(("Expired", exp))
-        yield pd.DataFrame([{"req_id": None, "order_id": order_id, "req_ts": exp, "new_status": "Expired",
-                             "code": "TIMER", "status_after": "Expired", "exp_after": exp}])
-        return
-    pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(["req_ts", "req_id"])
-    if state.exists:
-        status, exp = state.get
-        exp = None if exp is None else pd.Timestamp(exp)
-    else:
-        status, exp = None, None
-    rows = []
-    for r in pdf.itertuples(index=False):
-        if status is None:
-            status = r.status0
-            exp = None if pd.isna(r.exp0) else pd.Timestamp(r.exp0)
-        code = None if (r.code is None or pd.isna(r.code)) else r.code
-        if code is None:
-            s = r.new_status
-            if s == "Completed" and exp is not None and r.req_ts > exp:
-                status, code = "Expired", "-20640"
-            else:
-                if s == "Ready":
-                    exp = r.req_ts + THREE_DAYS
-                elif s == "Rescheduled":
-                    exp = r.reschedule_date if not pd.isna(r.reschedule_date) else r.req_ts + THREE_DAYS
-                status = s
-        rows.append({"req_id": r.req_id, "order_id": order_id, "req_ts": r.req_ts, "new_status": r.new_status,
-                     "code": code, "status_after": status, "exp_after": exp})
-    if status is not None:
-        state.update((status, None if exp is None else exp.to_pydatetime()))
-        if status in ("Ready", "Rescheduled") and exp is not None:
-            state.setTimeoutTimestamp(int(exp.tz_localize(tz, ambiguous=True, nonexistent="shift_forward").value // 1_000_000))
-    yield pd.DataFrame(rows)
-
-
-def pickup_lifecycle_stream(t, requests: DataFrame, delay: str = "1 hour") -> DataFrame:
+def _apply_pickup(held, row):
+    ts, rid, order, s, reschedule, code, status0, exp0 = row
+    if rid is None:  # the closing row
+        return None
+    status, exp = held.get("pickup", (status0, exp0))
+    if code is None:
+        if s == "Completed" and exp is not None and ts > exp:
+            status, code = "Expired", "-20640"
+        else:
+            if s == "Ready":
+                exp = ts + THREE_DAYS
+            elif s == "Rescheduled":
+                exp = reschedule if reschedule is not None else ts + THREE_DAYS
+            status = s
+    held["pickup"] = status, exp
+    return rid, order, ts, s, code, status, exp
+
+
+def _expire(key, held, mark):
+    status, exp = held.get("pickup", (None, None))
+    if status not in ("Ready", "Rescheduled") or exp is None:
+        return [], []
+    if _ms(exp) >= mark:
+        return [], [_ms(exp) + 1]
+    held["pickup"] = "Expired", exp
+    return [(None, key[0], exp, "Expired", "TIMER", "Expired", exp)], []
+
+
+def pickup_lifecycle_stream(t, requests: DataFrame, delay: str = "1 hours") -> DataFrame:
     """Pickup status events (W10 rules) as a per-order state machine; additionally an
     event-time timer emits ``Expired`` (code TIMER) for a Ready / Rescheduled order whose
     expiry the watermark passes -- the batch job only expires on a completion attempt."""
@@ -298,20 +320,16 @@ def pickup_lifecycle_stream(t, requests: DataFrame, delay: str = "1 hour") -> Da
     sp = t["self_pickup"]
     if "pickup_exp_date" not in sp.columns:
         sp = sp.withColumn("pickup_exp_date", F.lit(None).cast("timestamp_ntz"))
-    o = t["orders"].select("order_id", "order_type")
-    # watermarks need TIMESTAMP; the session time zone is UTC, so the cast keeps the instant
-    r = (requests.withColumn("_event_time", F.col("req_ts").cast("timestamp")).withWatermark("_event_time", delay)
-         .join(o, "order_id", "left")
+    r = (requests.join(t["orders"].select("order_id", "order_type"), "order_id", "left")
          .join(sp.select("order_id", F.col("pickup_status").alias("status0"), F.col("pickup_exp_date").alias("exp0"),
                          F.lit(True).alias("_p")), "order_id", "left"))
     code = (F.when(F.col("order_id").isNull(), "IGNORED")
-             .when(~F.coalesce(F.col("new_status").isin("Preparing", "Ready", "Completed", "Expired", "Rescheduled"),
-                               F.lit(False)), "-20638")
+             .when(~F.col("new_status").isin("Preparing", "Ready", "Completed", "Expired", "Rescheduled"), "-20638")
              .when(F.col("order_type").isNull(), "-20641").when(F.lower("order_type") != "self pickup", "-20639")
              .when(F.col("_p").isNull(), "-20641"))
     r = r.select(F.col("req_id").cast("long"), F.col("order_id").cast("long"), F.col("req_ts").cast("timestamp_ntz"),
                  "new_status", F.col("reschedule_date").cast("timestamp_ntz"), code.alias("code"),
-                 "status0", F.col("exp0").cast("timestamp_ntz"), "_event_time")
-    return r.groupBy("order_id").applyInPandasWithState(
-        _pickup_fn_factory(requests.sparkSession.conf.get("spark.sql.session.timeZone")),
-        _PICKUP_OUT, _PICKUP_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+                 "status0", F.col("exp0").cast("timestamp_ntz"))
+    fn = _in_order(["req_ts", "req_id", "order_id", "new_status", "reschedule_date", "code", "status0", "exp0"],
+                   _apply_pickup, _PICKUP_OUT, _expire)
+    return _stateful(r, ["order_id"], "req_ts", delay, fn, _PICKUP_OUT)

@@ -1,8 +1,9 @@
-"""Batch = stream: each streaming job, fed the same data in several micro-batches, gives
-the batch operator's result (S04 adds timer rows on top)."""
+"""Batch = stream, however the input is cut: one file, several files and micro-batches in no
+time order, a folder of part files as Spark writes them (S04 adds timer rows on top)."""
 
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from martlake.catalog import retail
@@ -11,37 +12,37 @@ from martlake.plans import jobs
 from martlake.sources import requests as rq
 from martlake.streaming import jobs as S
 
+DELAY = "3650 days"
 
-def _chunks(df, ts_col, n, schema_df=None):
-    """Write ``df`` as ``n`` parquet files in event-time order; return (dir, schema)."""
+
+def _cut(df, n):
+    """``df`` as ``n`` parquet files, rows dealt without regard to time."""
     d = tempfile.mkdtemp(prefix="martlake-stream-in-")
-    lo, hi = df.agg(F.min(ts_col), F.max(ts_col)).first()
-    step = (hi - lo) / n
-    for i in range(n):
-        a, b = lo + step * i, lo + step * (i + 1)
-        part = df.filter((F.col(ts_col) >= a) & ((F.col(ts_col) < b) if i < n - 1 else F.lit(True)))
-        part.coalesce(1).write.mode("append").parquet(d)
-    return d, df.schema
+    df.repartition(n, F.xxhash64(*df.columns)).write.mode("append").parquet(d)
+    return d
+
+
+def _replay(spark, df, time, n):
+    return S.Replay(spark, _cut(df, n), df.schema, time, DELAY, max_files=max(1, n // 5))
 
 
-def test_points_stream_equals_batch(spark):
+@pytest.mark.parametrize("n", [1, 3, 20])
+def test_points_stream_equals_batch(spark, n):
     sf = "/root/testdata/sf0.01"  # the smallest data set has no overdraft
     t = retail(spark, sf)
-    ev = spark.read.parquet(f"{sf}/events.parquet")
-    d, schema = _chunks(ev, "ts", 3)
-    out = S.run_available(S.points_ledger_stream(t, S.read_files(spark, d, schema)), "s01")
+    src = _replay(spark, spark.read.parquet(f"{sf}/events.parquet"), "ts", n)
+    out = S.run_available(S.points_ledger_stream(t, src.rows, DELAY), "s01", src)
     got = {r.point_redemption_id: (r.code, r.balance_after) for r in out.collect()}
     exp = {r.point_redemption_id: (None if r.code is None else str(r.code), r.balance_after)
            for r in V.points_ledger(t).collect()}
     assert got == exp and any(c == "-20023" for c, _ in got.values())
 
 
-def test_low_stock_stream_equals_batch(spark, small_dir):
+@pytest.mark.parametrize("n", [1, 20])
+def test_low_stock_stream_equals_batch(spark, small_dir, n):
     t = retail(spark, small_dir)
-    lines = t["order_item"].join(t["orders"].select("order_id", "order_date"), "order_id")
-    d, _ = _chunks(lines, "order_date", 3)
-    src = S.read_files(spark, d, lines.schema).drop("order_date")
-    out = S.run_available(S.low_stock_stream(t, src), "s02")
+    src = _replay(spark, S.with_order(t, t["order_item"]), "order_date", n)
+    out = S.run_available(S.low_stock_stream(t, src.rows, delay=DELAY), "s02", src)
     got = {(r.order_id, r.item_id): (r.code, r.stock_after, r.low_stock) for r in out.collect()}
     exp = {(r.order_id, r.item_id): (None if r.code is None else str(r.code), r.stock_after,
                                      r.code is None and r.stock_after is not None and r.stock_after < 20)
@@ -49,25 +50,45 @@ def test_low_stock_stream_equals_batch(spark, small_dir):
     assert got == exp
 
 
-def test_dedupe_stream(spark, small_dir):
+@pytest.mark.parametrize("n", [1, 20])
+def test_dedupe_stream(spark, small_dir, n):
     t = retail(spark, small_dir)
     red = t["redemption"]
     dup = red.limit(50).withColumn("redemption_id", F.col("redemption_id") + 10**9) \
              .withColumn("redeemed_date", F.col("redeemed_date") + F.expr("INTERVAL 1 HOUR"))
     allr = red.unionByName(dup)
-    d, schema = _chunks(allr, "redeemed_date", 3)
-    out = S.run_available(S.dedupe_redemptions_stream(t, S.read_files(spark, d, schema)), "s03")
+    src = _replay(spark, allr, "redeemed_date", n)
+    out = S.run_available(S.dedupe_redemptions_stream(t, src.rows, DELAY), "s03", src)
     bad = {int(r.row_key) for r in V.duplicate_redemption({"redemption": allr, "orders": t["orders"]}).collect()}
     exp = {r.redemption_id for r in allr.collect()} - bad
     assert {r.redemption_id for r in out.collect()} == exp and len(bad) == 50
 
 
-def test_pickup_stream_matches_batch(spark, small_dir):
+@pytest.mark.parametrize("n", [1, 20])
+def test_pickup_stream_matches_batch(spark, small_dir, n):
     t = retail(spark, small_dir)
     ev = spark.read.parquet(f"{small_dir}/events.parquet")
-    d, schema = _chunks(ev, "ts", 3)
-    out = S.run_available(S.pickup_lifecycle_stream(t, rq.pickup_events_from(S.read_files(spark, d, schema))), "s04")
+    src = _replay(spark, ev, "ts", n)
+    out = S.run_available(S.pickup_lifecycle_stream(t, rq.pickup_events_from(src.rows), DELAY), "s04", src)
     rows = out.collect()
     got = {r.req_id: r.code for r in rows if r.code != "TIMER"}
     exp = {r.req_id: r.code for r in jobs.apply_pickup_updates(t, rq.pickup_events(spark, small_dir))["decisions"].collect()}
     assert got == exp
+
+
+def test_rows_wait_for_the_watermark(spark, small_dir):
+    """Without a closing row, what the watermark hasn't passed stays in state; nothing fails."""
+    t = retail(spark, small_dir)
+    ev = spark.read.parquet(f"{small_dir}/events.parquet")
+    stream = S.read_files(spark, f"{small_dir}/events.parquet", ev.schema)
+    out = S.run_available(S.points_ledger_stream(t, stream, "10 days"), "s01")
+    last = ev.agg(F.max("ts")).first()[0]
+    assert 0 < out.count() < ev.count()
+    assert (last - out.agg(F.max("redemption_date")).first()[0]).days >= 9
+
+
+def test_no_input(spark, small_dir):
+    t = retail(spark, small_dir)
+    ev = spark.read.parquet(f"{small_dir}/events.parquet").limit(0)
+    src = _replay(spark, ev, "ts", 1)
+    assert S.run_available(S.points_ledger_stream(t, src.rows, DELAY), "s01", src).count() == 0
