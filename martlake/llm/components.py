@@ -21,9 +21,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(v, root) for every vertex v of ``edges`` (u, v) that isn't the least vertex of its
     component; root is that least vertex. Self loops and repeats don't matter."""
     e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
-    e = tk.stored(e, "edges")
-    before = _state(e)
-    while before[0]:
+    e, before = tk.stored(e, "edges"), None
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()

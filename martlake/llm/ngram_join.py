@@ -104,7 +104,8 @@ def _local_repeats(batches):
 
 
 def _prefixes(sets, first, common, rank):
-    """(positions, doc) of the prefix entries of every set."""
+    """(entries, doc, place) of the prefix of every set; place counts the set's entries that
+    come before in the global order."""
     n = np.diff(first)
     need = np.where(n > 0, n - (n * PERCENT + 99) // 100 + 1, 0)
     doc = np.repeat(np.arange(len(n)), n)
@@ -116,15 +117,17 @@ def _prefixes(sets, first, common, rank):
     rare = np.concatenate([[0], np.cumsum(~hot)])
     turn = rare[:-1] - rare[first[:-1]][doc]
     pick = ~hot & (turn < need[doc])
+    place = turn.copy()
     short = need - (rare[first[1:]] - rare[first[:-1]])
     more = np.flatnonzero(hot & (short > 0)[doc])
     if len(more):
         more = more[np.lexsort((rank[at[more]], doc[more]))]
         d = doc[more]
-        place = np.arange(len(more)) - np.searchsorted(d, d)
-        pick[more[place < short[d]]] = True
+        nth = np.arange(len(more)) - np.searchsorted(d, d)
+        pick[more[nth < short[d]]] = True
+        place[more] = nth + (rare[first[1:]] - rare[first[:-1]])[d]
     where = np.flatnonzero(pick)
-    return where, doc[where]
+    return where, doc[where], place[where]
 
 
 def _deal(n_blocks, table):
@@ -143,27 +146,29 @@ def _deal(n_blocks, table):
                 n = np.diff(first)[at]
                 sets = sets[tk.ragged(first[at], n)]
                 first = np.concatenate([[0], np.cumsum(n)])
-                where, doc = _prefixes(sets, first, common, rank)
+                where, doc, place = _prefixes(sets, first, common, rank)
                 h = sets[where]
                 block = (h % np.uint64(n_blocks)).astype(np.int64)
                 order = np.argsort(block, kind="stable")
                 cut = np.searchsorted(block[order], np.arange(n_blocks + 1))
                 h, doc = h[order], doc[order].astype(np.uint32)
+                place = np.minimum(place[order], 65535).astype(np.uint16)  # a lower place only filters less
                 used = np.flatnonzero(np.diff(cut))
                 rows = pa.array([keys.tobytes()] * len(used), pa.binary())
                 sizes = pa.array([n.astype(np.int32).tobytes()] * len(used), pa.binary())
                 ends = np.append(cut[used], len(h))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(used.astype(np.int32)), rows, sizes, tk.blobs(h, ends), tk.blobs(doc, ends)],
-                    names=["block", "keys", "sizes", "h", "row"])
+                    [pa.array(used.astype(np.int32)), rows, sizes, tk.blobs(h, ends), tk.blobs(doc, ends), tk.blobs(place, ends)],
+                    names=["block", "keys", "sizes", "h", "row", "place"])
     return run
 
 
-_PAIRS = "a long, b long, na int, nb int, cell long"
+_PAIRS = "a long, b long, na int, nb int, met int, cell long"
 
 
 def _block_pairs(rows):
-    """Row pairs of one column block; with cell set, (cell, row a) of a crowded column."""
+    """Row pairs of one column block with the number of columns they meet in; with cell set,
+    the entry of row a in cell ``cell`` of crowded column b, nb its place in the row."""
     def column(name, kind):
         return [np.frombuffer(x.as_buffer(), kind) for x in rows.column(name)]
 
@@ -175,14 +180,16 @@ def _block_pairs(rows):
     rank = np.searchsorted(key_order, key)
     key, size = key_order, size[one]
     row = rank[row]
+    place = np.concatenate(column("place", np.uint16))
     order = np.argsort(h, kind="stable")
-    h, row = h[order], row[order]
+    h, row, place = h[order], row[order], place[order]
     start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, int)
     n = np.diff(np.append(start, len(h)))
     start, n = start[n > 1], n[n > 1]
     at = tk.ragged(start, n)
     col = np.repeat(np.arange(len(n)), n)
-    entry = np.unique(col * np.int64(len(key)) + row[at]) if len(at) else np.zeros(0, np.int64)
+    entry, one = np.unique(col * np.int64(len(key)) + row[at], return_index=True) if len(at) else (np.zeros(0, np.int64),) * 2
+    place = place[at][one].astype(np.int32)
     col, row, h = entry // max(len(key), 1), entry % max(len(key), 1), h[start]
     start = np.searchsorted(col, np.arange(len(h)))
     n = np.diff(np.append(start, len(col)))
@@ -194,8 +201,8 @@ def _block_pairs(rows):
             i, j = np.triu_indices(k, 1)
             a, b = members[:, i].ravel(), members[:, j].ravel()
             fit = 100 * np.minimum(size[a], size[b]).astype(np.int64) >= PERCENT * np.maximum(size[a], size[b]).astype(np.int64)
-            found.append(np.unique(a[fit] * np.int64(len(key)) + b[fit]))
-    pair = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]))
+            found.append(a[fit] * np.int64(len(key)) + b[fit])
+    pair, met = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
     a, b = pair // max(len(key), 1), pair % max(len(key), 1)
     big = np.flatnonzero(n > FEW)
     at = tk.ragged(start[big], n[big])
@@ -203,45 +210,48 @@ def _block_pairs(rows):
     band = np.floor(np.log(size[r]) / np.log(100 / PERCENT) + 1e-9).astype(np.int64)
     # a cell holds two neighbouring size bands, so rows that fit by size share a cell
     cell = np.concatenate([tk.mix(c * np.uint64(1024) + (band + k).astype(np.uint64)) for k in (0, 1)]).view(np.int64)
-    r = np.concatenate([r, r])
-    none = np.zeros(len(r), np.int64)
-    return pa.table({"a": np.concatenate([key[a], key[r]]), "b": np.concatenate([key[b], none]),
-                     "na": np.concatenate([size[a], size[r]]), "nb": np.concatenate([size[b], none.astype(np.int32)]),
+    r, c, place = np.concatenate([r, r]), np.concatenate([c, c]).view(np.int64), np.concatenate([place[at], place[at]])
+    none = np.zeros(len(r), np.int32)
+    return pa.table({"a": np.concatenate([key[a], key[r]]), "b": np.concatenate([key[b], c]),
+                     "na": np.concatenate([size[a], size[r]]), "nb": np.concatenate([size[b], place]),
+                     "met": np.concatenate([met.astype(np.int32), none]),
                      "cell": pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(cell)])})
 
 
-def _whole_sets(batches):
-    for b in batches:
-        cls = b.column("class")
-        for a, z, sets, first in _batch_sets(b):
-            # of rows that share a doc_id only those of the class asked for
-            out = pa.RecordBatch.from_arrays([cls.slice(a, z - a), tk.blobs(sets, first)], names=["class", "members"])
-            yield out.filter(pa.array(_class_keys(sets, first) == cls.slice(a, z - a).to_numpy()))
-
-
 def _overlaps(batches):
     for b in batches:
-        both = []
-        for x, y in zip(b.column("members_a"), b.column("members_b")):
-            both.append(len(np.intersect1d(np.frombuffer(x.as_buffer(), np.uint64),
-                                           np.frombuffer(y.as_buffer(), np.uint64), assume_unique=True)))
-        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(both, pa.int32())], names=["a", "b", "both"])
-
-
-def _counted(docs: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, na, nb) plus both, the overlap counted over the whole rows."""
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    one_doc = classes.join(wanted, "class").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
-    one_doc = one_doc.withColumnRenamed("doc_id", "_id")
-    texts = docs.join(one_doc, F.col("doc_id").eqNullSafe(F.col("_id"))).select("class", "text")
-    sets = texts.mapInArrow(_whole_sets, "class long, members binary").dropDuplicates(["class"])
-    a = sets.select(F.col("class").alias("a"), F.col("members").alias("members_a"))
-    b = sets.select(F.col("class").alias("b"), F.col("members").alias("members_b"))
-    both = pairs.select("a", "b").join(a, "a").join(b, "b").mapInArrow(_overlaps, "a long, b long, both int")
+        (x, xo), (y, yo) = tk.flat_text(b.column("text_a")), tk.flat_text(b.column("text_b"))
+        for i, j in tk.doc_groups(xo + yo):
+            a, af = shingle_sets(x[xo[i]:xo[j]], xo[i:j + 1] - xo[i])
+            c, cf = shingle_sets(y[yo[i]:yo[j]], yo[i:j + 1] - yo[i])
+            both = [len(np.intersect1d(a[p:q], c[r:s], assume_unique=True)) for p, q, r, s in zip(af, af[1:], cf, cf[1:])]
+            part = b.slice(i, j - i)
+            # of rows that share a doc_id only those of the classes asked for
+            right = (_class_keys(a, af) == part.column("a").to_numpy()) & (_class_keys(c, cf) == part.column("b").to_numpy())
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(both, pa.int32())],
+                                             names=["a", "b", "both"]).filter(pa.array(right))
+
+
+def _counted(docs: DataFrame, readers: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, na, nb) plus both, the overlap counted over the whole rows. A class is
+    read from its document in ``readers`` (class, reader)."""
+    p = pairs.select("a", "b").join(readers.select(F.col("class").alias("a"), F.col("reader").alias("ra")), "a") \
+        .join(readers.select(F.col("class").alias("b"), F.col("reader").alias("rb")), "b")
+    a = docs.select(F.col("doc_id").alias("ia"), F.col("text").alias("text_a"))
+    b = docs.select(F.col("doc_id").alias("ib"), F.col("text").alias("text_b"))
+    both = (p.join(a, F.col("ra").eqNullSafe(F.col("ia"))).select("a", "b", "rb", "text_a")
+            .join(b, F.col("rb").eqNullSafe(F.col("ib"))).select("a", "b", "text_a", "text_b")
+            .mapInArrow(_overlaps, "a long, b long, both int").dropDuplicates(["a", "b"]))
     return tk.stored(both.join(pairs, ["a", "b"]), "overlaps")
 
 
+# a pair that links has a first column in common, and the overlap is no more than the
+# entries of either row from there on
+_FIRST = f"{100 + PERCENT}L * least({{0}}, {{1}}) >= {PERCENT}L * ({{2}} + {{3}})"
 _FITS = f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)"
+# overlap needed for a link <= prefix columns met + entries behind the longer prefix
+_WITHIN_BOUND = (f"{100 + PERCENT} * (met + greatest(floor(({PERCENT} * na + 99) / 100), floor(({PERCENT} * nb + 99) / 100)) - 1)"
+                 f" >= {PERCENT} * (na + nb)")
 _LINKS = f"100L * both >= {PERCENT}L * (na + nb - both)"
 
 
@@ -262,51 +272,65 @@ def links(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     by_hash = np.argsort(top["h"].to_numpy(np.int64))
     common = top["h"].to_numpy(np.int64)[by_hash].view(np.uint64)
     table = spark.sparkContext.broadcast((common, len(by_hash) - by_hash))
-    dealt = texts.mapInArrow(_deal(n_blocks, table), "block int, keys binary, sizes binary, h binary, row binary")
+    dealt = texts.mapInArrow(_deal(n_blocks, table), "block int, keys binary, sizes binary, h binary, row binary, place binary")
     met = tk.stored(dealt.repartition(n_blocks, "block").groupBy("block").applyInArrow(_block_pairs, _PAIRS), "pairs")
 
-    cells = met.filter("cell IS NOT NULL").select("cell", F.col("a").alias("x"), F.col("na").alias("nx"))
-    pivots = cells.groupBy("cell").agg(F.min(F.struct("x", "nx")).alias("p"))
-    starred = cells.join(pivots, "cell").select("cell", "x", "nx", F.col("p.x").alias("p"), F.col("p.nx").alias("np"))
-    star = starred.filter("x <> p").select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b"),
-                                           F.expr("if(x < p, nx, np)").alias("na"), F.expr("if(x < p, np, nx)").alias("nb"))
-    pairs = met.filter("cell IS NULL").select("a", "b", "na", "nb").union(star.filter(_FITS)).distinct()
-    counted = _counted(docs, classes, tk.stored(pairs, "candidates"))
+    readers = tk.stored(classes.groupBy("class").agg(F.min("doc_id").alias("reader")), "readers")
+    cells = met.filter("cell IS NOT NULL").select("cell", F.col("b").alias("col"), F.col("a").alias("x"), F.col("na").alias("nx"),
+                                                   (F.col("na") - F.col("nb")).alias("rest_x"))
+    # columns a pair may meet in besides: no more than either row's entries in crowded columns
+    crowded = cells.groupBy("x").agg(F.countDistinct("col").alias("k"))
+    # no row of fitting size can reach the bound from here on: the entry can't be a first one
+    cells = cells.filter(f"100L * rest_x >= {PERCENT}L * nx")
+    # the pivot has the most entries behind the column: the best chance to link
+    pivots = cells.groupBy("cell").agg(F.max(F.struct("rest_x", "x", "nx")).alias("p"))
+    starred = cells.join(pivots, "cell").select("cell", "col", "x", "nx", "rest_x", F.col("p.x").alias("p"), F.col("p.nx").alias("np"),
+                                                F.col("p.rest_x").alias("rest_p"))
+    star = starred.filter("x <> p").filter(_FIRST.format("rest_x", "rest_p", "nx", "np")).select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b"),
+                                           F.expr("if(x < p, nx, np)").alias("na"), F.expr("if(x < p, np, nx)").alias("nb"),
+                                           F.lit(0).alias("met"))
+    small = met.filter("cell IS NULL").drop("cell").union(star.filter(_FITS).distinct()) \
+        .groupBy("a", "b", "na", "nb").agg(F.sum("met").alias("met"))
+    ka, kb = crowded.select(F.col("x").alias("a"), F.col("k").alias("ka")), crowded.select(F.col("x").alias("b"), F.col("k").alias("kb"))
+    most = small.join(ka, "a", "left").join(kb, "b", "left") \
+        .withColumn("met", F.col("met") + F.least(F.coalesce("ka", F.lit(0)), F.coalesce("kb", F.lit(0))))
+    pairs = tk.stored(most.filter(_WITHIN_BOUND).select("a", "b", "na", "nb"), "candidates")
+    counted = _counted(docs, readers, pairs)
     found = counted.filter(_LINKS).select(F.col("a").alias("u"), F.col("b").alias("v"))
     comp = components(found)
 
-    left = _left_over(starred, counted, comp)
-    if left is not None:
-        more = _counted(docs, classes, left).filter(_LINKS).select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if not more.isEmpty():
-            found = tk.stored(found.union(more), "links")
-            comp = components(found)
+    left = tk.stored(_left_over(starred, counted, comp), "candidates")
+    if not left.isEmpty():
+        more = tk.stored(_counted(docs, readers, left).filter(_LINKS).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+        found = found.unionByName(more)
+        if not more.isEmpty():  # the stars of the components stand for the links before
+            comp = components(comp.select(F.col("v").alias("u"), F.col("root").alias("v")).unionByName(more))
     return found, comp
 
 
-def _left_over(starred: DataFrame, counted: DataFrame, comp: DataFrame) -> DataFrame | None:
-    """Pairs of crowded cells that the pivots have neither joined nor ruled out."""
+def _left_over(starred: DataFrame, counted: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs of crowded cells that the pivots have neither joined nor ruled out: rows outside
+    a cell's largest component against the others of the cell."""
     root = comp.select(F.col("v").alias("x"), "root")
     known = counted.select("a", "b", (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("far"))
     m = (starred.withColumn("a", F.least("x", "p")).withColumn("b", F.greatest("x", "p"))
          .join(known, ["a", "b"], "left").join(root, "x", "left")
-         .select("cell", "x", "nx", F.coalesce("root", "x").alias("label"),
+         .select("cell", "x", "nx", "rest_x", F.coalesce("root", "x").alias("label"),
                  F.when(F.col("x") == F.col("p"), F.lit(0.0)).otherwise(F.col("far")).alias("far")))
     m = tk.stored(m, "cells")
     votes = m.groupBy("cell", "label").agg(F.count(F.lit(1)).alias("c"))
     split = votes.groupBy("cell").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
     m = m.join(split.select("cell", "most"), "cell")
-    few = m.filter("label <> most").select("cell", "x", "nx", "label", "far")
-    rest = m.select("cell", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("label").alias("label_y"), F.col("far").alias("far_y"), "most")
+    few = m.filter("label <> most").select("cell", "x", "nx", "rest_x", "label", "far")
+    rest = m.select("cell", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("rest_x").alias("rest_y"), F.col("label").alias("label_y"),
+                       F.col("far").alias("far_y"), "most")
     limit = 1 - PERCENT / 100
     pairs = few.join(rest, "cell").filter(
-        f"label <> label_y AND (label_y = most OR x < y) AND 100 * least(nx, ny) >= {PERCENT} * greatest(nx, ny) "
+        f"label <> label_y AND (label_y = most OR x < y) AND {_FIRST.format('rest_x', 'rest_y', 'nx', 'ny')} "
         f"AND coalesce(abs(far - far_y), 0) <= {limit + 1e-9}")
     pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-                         F.expr("if(x < y, nx, ny)").alias("na"), F.expr("if(x < y, ny, nx)").alias("nb"))
-    # several cells may offer one pair; those counted before are done
-    pairs = tk.stored(pairs.distinct().join(counted.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
-    return None if pairs.isEmpty() else pairs
+                         F.expr("if(x < y, nx, ny)").alias("na"), F.expr("if(x < y, ny, nx)").alias("nb")).distinct()
+    return pairs.join(counted.select("a", "b"), ["a", "b"], "left_anti")
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -322,8 +346,8 @@ def groups(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id names its component; rows with a null id stay."""
-    gone = groups(docs).filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = groups(docs.select("doc_id", "text")).filter("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
