@@ -33,6 +33,7 @@ CUTOFF = 35.9
 _CONSISTENT = 1.41
 _STEPS = 4
 LEAST = 50
+_SALTS = 32
 _SPACES = " \t\n\u000b\f\r"
 _SYMBOLS = "#*$%&|<>"
 #: (name, transformed statistic, least standard deviation)
@@ -105,9 +106,11 @@ def _median(df: DataFrame, value: str, name: str, bins: int = 256) -> DataFrame:
 
 def _start(x: DataFrame) -> DataFrame:
     """(grp, m0.., l00..): medians, and a diagonal factor from median absolute deviations."""
-    long = x.select("grp", F.posexplode(F.array(*_X)).alias("dim", "v"))
+    long = x.select("doc_id", "grp", F.posexplode(F.array(*_X)).alias("dim", "v"))
     med = tk.stored(_median(long, "v", "med"), "medians")
-    mad = _median(long.join(med, ["grp", "dim"]).withColumn("v", F.abs(F.col("v") - F.col("med"))), "v", "mad")
+    centre = med.groupBy("grp").agg(F.map_from_entries(F.collect_list(F.struct("dim", "med"))).alias("centre"))
+    off = _with_group(long, centre).withColumn("v", F.abs(F.col("v") - F.element_at("centre", F.col("dim"))))
+    mad = _median(off, "v", "mad")
     both = med.join(mad, ["grp", "dim"]).groupBy("grp")
     at = lambda c, k: F.max(F.when(F.col("dim") == k, F.col(c)))
     floors = [f for _, _, f in FLOORS]
@@ -128,9 +131,17 @@ def _factor(moments: DataFrame) -> DataFrame:
     return t.select("grp", *[f"m{k}" for k in range(_P)], *[f"l{i}{j}" for i in range(_P) for j in range(i + 1)])
 
 
+def _with_group(x: DataFrame, per_group: DataFrame, key: str = "grp", how: str = "inner") -> DataFrame:
+    """``x`` joined to a row for each group, the groups split by a salt so that a large one
+    is spread over tasks."""
+    salted = x.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(_SALTS)))
+    copies = per_group.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long"))))
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")
+
+
 def _distances(x: DataFrame, estimate: DataFrame) -> DataFrame:
     """``x`` plus d2, the squared Mahalanobis distance to its group's estimate."""
-    t = x.join(estimate, "grp", "left")
+    t = _with_group(x, estimate, how="left")
     for i in range(_P):
         rest = reduce(lambda a, k: a - F.col(f"l{i}{k}") * F.col(f"y{k}"), range(i), F.col(f"x{i}") - F.col(f"m{i}"))
         t = t.withColumn(f"y{i}", rest / F.col(f"l{i}{i}"))
@@ -142,7 +153,7 @@ def _concentrate(x: DataFrame, estimate: DataFrame) -> DataFrame:
     """One step: mean and covariance factor of each group's nearest share."""
     d = _distances(x, estimate).withColumn("_b", F.floor(F.log(F.col("d2") + 1e-6) * 64))
     edge = _quantile_bins(d, ["grp"], "_b", COVER).withColumnRenamed("_b", "_edge")
-    near = d.join(edge, "grp").filter("_b <= _edge")
+    near = _with_group(d, edge).filter("_b <= _edge")
     mean = [F.avg(c).alias(f"m{k}") for k, c in enumerate(_X)]
     cov = [(F.covar_pop(_X[i], _X[j]) * _CONSISTENT).alias(f"c{i}{j}") for i in range(_P) for j in range(i + 1)]
     m = near.groupBy("grp").agg(*mean, *cov)
@@ -160,15 +171,15 @@ def verdicts(docs: DataFrame) -> DataFrame:
     pool = F.sum(F.when(F.col("c") < LEAST, F.col("c"))).over(W.partitionBy("lang"))
     groups = sizes.select(own.alias("own"), F.when(F.col("c") >= LEAST, own).when(pool >= LEAST, lang).otherwise(F.lit("all")).alias("grp"), "c")
     known = groups.groupBy("grp").agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST).select("grp")
-    x = passed.withColumn("own", own).join(groups.select("own", "grp"), "own") \
+    x = _with_group(passed.withColumn("own", own), groups.join(known, "grp", "left_semi").select("own", "grp"), "own") \
         .select("doc_id", "grp", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                 *[F.expr(e).alias(name) for name, e, _ in FLOORS])
-    x = tk.stored(x.join(known, "grp", "left_semi"), "transformed")
+    x = tk.stored(x, "transformed")
     estimate = tk.stored(_start(x), "estimate")
     for _ in range(_STEPS):
         estimate = tk.stored(_concentrate(x, estimate), "estimate")
     grp = groups.select("own", "grp")
-    far = _distances(passed.withColumn("own", own).join(grp, "own", "left")
+    far = _distances(_with_group(passed.withColumn("own", own), grp, "own", "left")
                      .select("*", *[F.expr(e).alias(name) for name, e, _ in FLOORS]), estimate)
     columns = ["doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     judged = far.select(*columns, F.col("d2").alias("distance"), (F.coalesce("d2", F.lit(0.0)) <= CUTOFF).alias("kept"))
