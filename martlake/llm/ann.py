@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 
 from martlake.llm import textkit as tk
 
-LINES = 128
+LINES = 128  # 255 at most, as collisions are counted in a byte
 THRESHOLD = 0.7  # of LINES
 ENOUGH = 0.15  # of a block's vectors, and 64 at least
-_FIRST, _WIDEN = 0.35, 1.25  # first half width, in standard deviations of a projection
-_ROWS, _QUERIES, _CHUNK = 4096, 32768, 16
+_FIRST, _WIDEN = 1.2, 1.1  # first half width, in standard deviations of a projection
+_ROWS, _QUERIES = 4096, 32768
 
 
 def usable(v: Column) -> Column:
@@ -43,43 +43,39 @@ def nearest_in_block(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray,
     lines = np.random.default_rng(dim).standard_normal((LINES, dim))
     norm, qnorm = np.linalg.norm(vectors, axis=1), np.linalg.norm(queries, axis=1)
     places = (vectors / norm[:, None]) @ lines.T
-    order = np.argsort(places, axis=0, kind="stable").T.copy()
+    order = np.argsort(places, axis=0, kind="stable").T
     arrays = np.take_along_axis(places.T, order, axis=1)
+    # where each vector stands in each sorted array: a window is a range of these places
+    ranks = np.empty((LINES, n), np.uint16 if n < 1 << 16 else np.uint32)
+    np.put_along_axis(ranks, order, np.arange(n, dtype=ranks.dtype)[None, :], axis=1)
     spread = np.maximum(arrays.std(axis=1), 1e-12)
-    order = order.ravel()
+    # all arrays in one, each moved behind the one before: a window is clipped to its own array
+    wide = 4 * float(np.abs(arrays / spread[:, None]).max()) + 4
+    moved = np.arange(LINES) * wide
+    arrays = (arrays / spread[:, None] + moved[:, None]).ravel()
+    first = np.arange(LINES) * n
+    above, reached = np.empty_like(ranks), np.empty(ranks.shape, bool)
     least = int(np.ceil(THRESHOLD * LINES))
     enough = min(n, max(64, int(ENOUGH * n)))
-    base = np.arange(LINES) * n
     out = []
-    for c in range(0, len(queries), _CHUNK):
-        q = queries[c:c + _CHUNK]
-        at = (q / qnorm[c:c + _CHUNK, None]) @ lines.T
-        active = np.arange(len(q))
-        lo = np.stack([np.searchsorted(arrays[j], at[:, j]) for j in range(LINES)], axis=1)
-        hi, half = lo.copy(), _FIRST
-        hits = np.zeros(len(q) * n, np.int16)
-        while len(active):
-            a = at[active]
-            new_lo = np.stack([np.searchsorted(arrays[j], a[:, j] - half * spread[j], "left") for j in range(LINES)], axis=1)
-            new_hi = np.stack([np.searchsorted(arrays[j], a[:, j] + half * spread[j], "right") for j in range(LINES)], axis=1)
-            new_lo, new_hi = np.minimum(new_lo, lo[active]), np.maximum(new_hi, hi[active])
-            starts = np.concatenate([new_lo + base, hi[active] + base], axis=1).ravel()
-            sizes = np.concatenate([lo[active] - new_lo, new_hi - hi[active]], axis=1)
-            reached = order[tk.ragged(starts, sizes.ravel())]
-            owner = np.repeat(active * n, sizes.sum(axis=1))
-            hits += np.bincount(owner + reached, minlength=len(hits)).astype(np.int16)
-            lo[active], hi[active] = new_lo, new_hi
-            found = (hits.reshape(len(q), n)[active] >= least).sum(axis=1)
-            active = active[found < enough]
+    for c, (q, norm_q) in enumerate(zip(queries, qnorm)):
+        at = lines @ (q / norm_q) / spread + moved
+        half = _FIRST
+        while True:
+            lo = np.clip(np.searchsorted(arrays, at - half, "left") - first, 0, n)
+            hi = np.clip(np.searchsorted(arrays, at + half, "right") - first, 0, n)
+            # unsigned, so a place below the window is far above it
+            np.subtract(ranks, lo.astype(ranks.dtype)[:, None], out=above)
+            np.less(above, (hi - lo).astype(ranks.dtype)[:, None], out=reached)
+            hits = np.add.reduce(reached.view(np.uint8), axis=0, dtype=np.uint8)
+            found = np.flatnonzero(hits >= least)
+            if len(found) >= enough:
+                break
             half *= _WIDEN
-        qi, vi = np.nonzero(hits.reshape(len(q), n) >= least)
-        other = query_ids[c + qi] != ids[vi]
-        qi, vi = qi[other], vi[other]
-        score = np.einsum("ij,ij->i", q[qi], vectors[vi]) / (qnorm[c + qi] * norm[vi])
-        best = np.lexsort((ids[vi], -score, qi))
-        qi, vi, score = qi[best], vi[best], score[best]
-        top = np.arange(len(qi)) - np.searchsorted(qi, qi) < k
-        out.append((c + qi[top], vi[top], score[top]))
+        found = found[ids[found] != query_ids[c]]
+        score = np.einsum("j,ij->i", q, vectors[found]) / (norm_q * norm[found])
+        best = np.lexsort((ids[found], -score))[:k]
+        out.append((np.full(len(best), c), found[best], score[best]))
     return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
 
 
