@@ -108,7 +108,7 @@ def _stream(kind: str) -> Callable[[SparkSession, str], DataFrame]:
             path = f"{sf_dir}/events.parquet"
             src = S.Replay(spark, path, spark.read.parquet(path).schema, "ts", delay)
             df = (S.points_ledger_stream(t, src.rows, delay) if kind == "points"
-                  else S.pickup_lifecycle_stream(t, rq.pickup_events_from(src.rows), delay))
+                  else S.pickup_lifecycle_stream(t, rq.pickup_events_from(src.rows, sf_dir), delay))
         elif kind == "stock":
             d = f"{checkpoint_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
             S.with_order(t, t["order_item"]).write.parquet(d)

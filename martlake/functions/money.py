@@ -21,9 +21,10 @@ def cents(c) -> Column:
 
 def round_ratio(num: Column, den: Column, scale: int = 2) -> Column:
     """ROUND(num / den, scale) half away from zero, for integer ``num`` given in units of 10^-scale."""
-    n = num.cast("bigint")
-    d = den.cast("bigint")
-    q = ((F.abs(n) * 2 + d) / (d * 2)).cast("double")
-    whole = F.floor(q) * F.signum(n)
+    n, d = num.cast("bigint"), den.cast("bigint")
+    # whole decimals: (2 |n| + d) div 2d stays exact beyond the 53 bits of a double
+    twice = F.abs(n).cast("decimal(20,0)") * 2 + d
+    whole = F.call_function("div", twice, d.cast("decimal(20,0)") * 2)
     step = Decimal(1).scaleb(-scale)
-    return F.when(d != 0, (whole.cast(f"decimal(18,0)") * F.lit(step)).cast(f"decimal(18,{scale})"))
+    signed = F.when(n < 0, -whole).otherwise(whole)
+    return F.when(d != 0, (signed.cast("decimal(18,0)") * F.lit(step)).cast(f"decimal(18,{scale})"))

@@ -26,7 +26,7 @@ from martlake.session import checkpoint_dir
 
 def global_rank(df: DataFrame, order: list[Column], name: str = "rank",
                 kind: str = "rank", partitions: int | None = None,
-                partition_by: list[str] | None = None) -> DataFrame:
+                partition_by: list[str] | None = None, bounded: bool = False) -> DataFrame:
     """Add ``name`` = RANK() / ROW_NUMBER() over ``order`` (within ``partition_by`` groups).
 
     ``order`` is a list of sort columns (``F.col('x').desc()`` etc.). For ``row_number``
@@ -37,8 +37,8 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank",
     keys = list(partition_by or [])
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     fn = {"rank": F.rank, "row_number": F.row_number}[kind]
-    if n == 1:  # a bounded input (a top-k result): one small window
-        return df.withColumn(name, fn().over(Window.partitionBy(*keys).orderBy(*order)).cast("int"))
+    if bounded:  # a few rows by construction (a top-k result, one row a branch): one small window
+        return df.withColumn(name, fn().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
     checkpoint_dir(spark)
     parted = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
                 .withColumn("_pid", F.spark_partition_id())
@@ -50,7 +50,7 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank",
         F.sum("_n").over(Window.partitionBy(*keys).orderBy("_pid")
                          .rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
     out = local.join(offsets, ["_pid", *keys])
-    return (out.withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lr")).cast("int"))
+    return (out.withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_lr")).cast("bigint"))
                .drop("_pid", "_lr", "_off"))
 
 

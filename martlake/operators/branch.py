@@ -117,7 +117,7 @@ def branch_profitability(t, as_of: _dt.date, years: int = 2, prefix: str | None
 def branch_profit_ranked(t, as_of: _dt.date, years: int = 2, prefix: str | None = CHAIN_PREFIX) -> DataFrame:
     """Q34: Q33 by profit, highest first, numbered 1..n (branch id breaks ties)."""
     return global_rank(branch_profitability(t, as_of, years, prefix),
-                       [F.col("net_profit").desc(), F.col("branch_id")], name="rank", kind="row_number")
+                       [F.col("net_profit").desc(), F.col("branch_id")], name="rank", kind="row_number", bounded=True)
 
 
 def company_summary(t) -> DataFrame:

@@ -125,7 +125,7 @@ def top_members_with_items(t, m: int = 5, n: int = 3) -> DataFrame:
     top = (spent.join(t["member"].select("member_id", "name", "points_balance"), "member_id")
            .orderBy(F.col("spent").desc(), F.col("member_id")).limit(m))
     top = global_rank(top, [F.col("spent").desc(), F.col("member_id")], name="member_rank",
-                      kind="row_number", partitions=1)
+                      kind="row_number", bounded=True)
     items = (lines.join(top.select("member_id"), "member_id", "left_semi")
              .join(t["item"].select("item_id", "item_name"), "item_id")
              .groupBy("member_id", "item_name").agg(F.sum("quantity").cast("bigint").alias("units")))
@@ -154,7 +154,7 @@ def monthly_member_spending(t, as_of: _dt.date, n: int = 10, products: int = 5,
            .join(mem, "member_id"))
     top = per.orderBy(F.col("total_spent").desc(), F.col("member_id")).limit(n)
     top = global_rank(top, [F.col("total_spent").desc(), F.col("member_id")], name="member_rank",
-                      kind="row_number", partitions=1)
+                      kind="row_number", bounded=True)
     visits = (o.join(top.select("member_id"), "member_id", "left_semi")
               .join(t["branch"].select("branch_id", "branch_name"), "branch_id")
               .groupBy("member_id", "branch_name").agg(F.count("order_id").alias("visit_count")))

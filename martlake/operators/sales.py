@@ -88,7 +88,7 @@ def item_price_sales_top(t, as_of: _dt.date, k: int = 10, months: int = 24) -> D
     v = item_sales_window(t, as_of, months).join(t["item"].select("item_id", "item_name", "category"), "item_id")
     top = v.orderBy(F.col("total_sales").desc(), F.col("total_quantity").desc(), F.col("item_id")).limit(k)
     return global_rank(top, [F.col("total_sales").desc(), F.col("total_quantity").desc(), F.col("item_id")],
-                       name="rank", kind="row_number", partitions=1)
+                       name="rank", kind="row_number", bounded=True)
 
 
 def item_pair_frequency(t, min_support: int = 2) -> DataFrame:

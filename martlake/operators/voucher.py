@@ -43,7 +43,7 @@ def voucher_effectiveness_top(t, as_of: _dt.date, k: int = 10, months: int = 24,
          .join(t["voucher"].select("voucher_id", "voucher_type", "voucher_value"), "voucher_id"))
     order = [F.col("redemption_count").desc(), F.col("total_sales").desc(), F.col("voucher_id")]
     top = v.orderBy(*order).limit(k)
-    top = global_rank(top, order, name="rank", kind="row_number", partitions=1)
+    top = global_rank(top, order, name="rank", kind="row_number", bounded=True)
     return top.select("rank", "voucher_id", "voucher_type", "voucher_value", "redemption_count", "total_sales",
                       round_ratio(cents("total_sales"), F.col("order_count")).alias("avg_order_value"))
 

@@ -15,7 +15,7 @@ ADAPTER_CTES = {
     "r_order_item": """select l_orderkey as order_id, l_partkey as item_id, cast(sum(cast(floor((l_quantity+9)/10) as int)) as int) as quantity,
  cast(min(round(cast(cast(p_retailprice as decimal(8,2)) - 890 as decimal(8,2)) * (1-cast(l_discount as decimal(3,2))),2)) as decimal(8,2)) as unit_price
  from lineitem join part on p_partkey=l_partkey group by l_orderkey, l_partkey""",
-    "r_procurement": """select l_orderkey*100000+l_partkey as procurement_id, l_partkey as item_id, min(l_suppkey) as supplier_id,
+    "r_procurement": """select l_orderkey*100000000+l_partkey as procurement_id, l_partkey as item_id, min(l_suppkey) as supplier_id,
  1001 + (l_orderkey+l_partkey) % 25 as branch_id, cast(sum(l_quantity) as int) as quantity,
  cast(min(round((cast(p_retailprice as decimal(8,2)) - 890) * cast(0.55 + 0.01*(l_suppkey % 10) as decimal(3,2)),2)) as decimal(8,2)) as unit_cost,
  min(l_shipdate) as procurement_date from lineitem join part on p_partkey=l_partkey where l_returnflag='R' group by l_orderkey,l_partkey""",
@@ -40,22 +40,22 @@ ADAPTER_CTES = {
  case when event_type in ('click','error') then 'Used' else 'Earned' end as transaction_type, ts as redemption_date from events""",
     # request tables for the batch jobs
     "q_transfer": """select event_id as req_id, ts as req_ts, 1001+user_id % 25 as from_branch, 1001+(user_id+event_id) % 25 as to_branch,
- event_id % 200 as item_id, cast(floor(value) as int) % 40 as quantity from events where event_type='click'""",
-    "q_price": """select event_id as req_id, ts as req_ts, event_id % 210 as item_id, cast(cast(value as decimal(8,2)) - 20 as decimal(8,2)) as new_price
+ case when (event_id) % 3 = 0 then (event_id) % 20 else (event_id) * 7919 % ((select max(p_partkey) from part) + 50) end as item_id, cast(floor(value) as int) % 40 as quantity from events where event_type='click'""",
+    "q_price": """select event_id as req_id, ts as req_ts, case when (event_id) % 3 = 0 then (event_id) % 20 else (event_id) * 7919 % ((select max(p_partkey) from part) + 50) end as item_id, cast(cast(value as decimal(8,2)) - 20 as decimal(8,2)) as new_price
  from events where event_type='view'""",
-    "q_redeem": """select event_id as req_id, ts as req_ts, 'V'||cast(95+event_id % 32 as varchar(10)) as voucher_id, event_id % 1600 as order_id,
+    "q_redeem": """select event_id as req_id, ts as req_ts, 'V'||cast(95+event_id % 32 as varchar(10)) as voucher_id, case when event_id % 3 = 0 then event_id % 20 else event_id * 7919 % ((select max(o_orderkey) from orders) + 50) end as order_id,
  user_id as member_id from events where event_type='purchase'""",
-    "q_pickup": """select event_id as req_id, ts as req_ts, event_id % 1600 as order_id, case event_id % 6 when 0 then 'Preparing' when 1 then 'Ready'
+    "q_pickup": """select event_id as req_id, ts as req_ts, case when event_id % 3 = 0 then event_id % 20 else event_id * 7919 % ((select max(o_orderkey) from orders) + 50) end as order_id, case event_id % 6 when 0 then 'Preparing' when 1 then 'Ready'
  when 2 then 'Completed' when 3 then 'Expired' when 4 then 'Rescheduled' else 'Shipped' end as new_status from events where event_type='signup'""",
     "q_delivery": """select event_id as req_id, ts as req_ts, case when event_id % 4 = 0 then 'create' else 'update' end as action,
- case when event_id % 4 = 0 then 90001 + event_id else 50001 + event_id % 1600 end as delivery_id, event_id % 1600 as order_id,
+ case when event_id % 4 = 0 then -1 - event_id else 50001 + case when event_id % 3 = 0 then event_id % 20 else event_id * 7919 % ((select max(o_orderkey) from orders) + 50) end end as delivery_id, case when event_id % 3 = 0 then event_id % 20 else event_id * 7919 % ((select max(o_orderkey) from orders) + 50) end as order_id,
  2001 + event_id % 7 as company_id, case when event_id % 7 = 0 then null else 'Addr ' || cast(user_id as varchar) end as address,
  case event_id % 6 when 0 then 'Delivered' when 1 then 'Out for Delivery' when 2 then 'Pending' when 3 then 'Preparing'
  when 4 then 'Cancelled' else 'Lost' end as status from events where event_type = 'error'""",
     "q_promo_hdr": """select event_id as req_id, ts as req_ts, 7000000 + event_id as promotion_id,
  case when event_id % 9 = 0 then '' else 'Promo ' || cast(user_id as varchar) end as name, cast(null as varchar) as description,
  cast(ts as date) as start_date, cast(ts as date) + cast(event_id % 40 - 5 as int) as end_date from events where event_type = 'view'""",
-    "q_promo_lines": """select req_id, pos, (req_id * 7 + (pos % 3) * 13) % 2100 as item_id,
+    "q_promo_lines": """select req_id, pos, case when (req_id + (pos % 3) * 13) % 3 = 0 then (req_id + (pos % 3) * 13) % 20 else (req_id + (pos % 3) * 13) * 7919 % ((select max(p_partkey) from part) + 50) end as item_id,
  case when (req_id + pos) % 7 = 0 then 'Bogus' when (req_id + pos) % 7 < 4 then 'Percentage' else 'Amount' end as discount_type,
  cast(((req_id + pos * 17) % 130) - 10 as decimal(8,2)) as discount_value
  from (select event_id as req_id, unnest(range(0, event_id % 5)) as pos from events where event_type = 'view' and event_id % 5 > 0)""",

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,6 +33,10 @@ _SCALE_CONF = {
 }
 
 
+#: scratch folders of local sessions, by application
+_scratch: dict[str, str] = {}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app: str = "martlake", extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster the submitter's session is used as is."""
@@ -50,18 +57,16 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local runs and tests) a private scratch folder is
-    created and registered, so that ``DataFrame.checkpoint()`` works everywhere.
+    Executors must see it, so a cluster has to name one: without the setting this raises.
+    Only a local session (one process, as in tests) gets a scratch folder of its own, which is
+    removed when the process ends.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or _scratch.get(spark.sparkContext.applicationId)
     if not d:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir isn't set: name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="martlake-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # core setting fixed at start-up; the context setter below suffices
-            pass
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # no local SparkContext (remote session): the conf setting is used
-        pass
+        _scratch[spark.sparkContext.applicationId] = d
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(d)
     return d

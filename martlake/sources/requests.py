@@ -5,10 +5,31 @@ Every request carries ``req_id`` and ``req_ts``; jobs order requests by (req_ts,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: a multiplier without common factors with any key range in use, and how many numbers
+#: beyond the last key (unknown ones) requests may name
+_SPREAD, _BEYOND = 7919, 50
+
+
+def _key(spark: SparkSession, sf_dir: str, table: str, column: str, salt: Column | None = None) -> Column:
+    """A key for each event over the whole range of the table's keys, some beyond it; every
+    third event takes one of the twenty lowest keys, so that some keys are in demand."""
+    last = spark.read.parquet(f"{sf_dir}/{table}.parquet").agg(F.max(column)).first()[0] or 0
+    n = F.col("event_id") if salt is None else salt
+    return F.when(n % 3 == 0, n % 20).otherwise(n * _SPREAD % (last + _BEYOND)).cast("long")
+
+
+def _item(spark: SparkSession, sf_dir: str, salt: Column | None = None) -> Column:
+    return _key(spark, sf_dir, "part", "p_partkey", salt)
+
+
+def _order(spark: SparkSession, sf_dir: str) -> Column:
+    return _key(spark, sf_dir, "orders", "o_orderkey")
+
+
 def _events(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet").filter(F.col("event_type") == kind)
 
@@ -19,7 +40,7 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("req_id"), F.col("ts").alias("req_ts"),
         (F.lit(1001) + F.col("user_id") % 25).alias("from_branch"),
         (F.lit(1001) + (F.col("user_id") + F.col("event_id")) % 25).alias("to_branch"),
-        (F.col("event_id") % 200).alias("item_id"),
+        _item(spark, sf_dir).alias("item_id"),
         (F.floor("value").cast("int") % 40).alias("quantity"))
 
 
@@ -27,7 +48,7 @@ def price_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _events(spark, sf_dir, "view")
     return e.select(
         F.col("event_id").alias("req_id"), F.col("ts").alias("req_ts"),
-        (F.col("event_id") % 210).alias("item_id"),
+        _item(spark, sf_dir).alias("item_id"),
         (F.col("value").cast("decimal(8,2)") - 20).cast("decimal(8,2)").alias("new_price"))
 
 
@@ -36,22 +57,22 @@ def redemptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.col("event_id").alias("req_id"), F.col("ts").alias("req_ts"),
         F.concat(F.lit("V"), (F.lit(95) + F.col("event_id") % 32).cast("string")).alias("voucher_id"),
-        (F.col("event_id") % 1600).alias("order_id"),
+        _order(spark, sf_dir).alias("order_id"),
         F.col("user_id").alias("member_id"))
 
 
 def pickup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pickup_events_from(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return pickup_events_from(spark.read.parquet(f"{sf_dir}/events.parquet"), sf_dir)
 
 
-def pickup_events_from(events: DataFrame) -> DataFrame:
+def pickup_events_from(events: DataFrame, sf_dir: str) -> DataFrame:
     """Pickup status requests from an events frame (batch or stream, whose closing row has
     a time only)."""
     e = events.filter((F.col("event_type") == "signup") | F.col("event_id").isNull())
     k = F.col("event_id") % 6
     return e.select(
         F.col("event_id").alias("req_id"), F.col("ts").alias("req_ts"),
-        (F.col("event_id") % 1600).alias("order_id"),
+        _order(events.sparkSession, sf_dir).alias("order_id"),
         F.when(k == 0, "Preparing").when(k == 1, "Ready").when(k == 2, "Completed")
          .when(k == 3, "Expired").when(k == 4, "Rescheduled").otherwise("Shipped").alias("new_status"))
 
@@ -66,19 +87,19 @@ def receipts_from_procurement(t) -> DataFrame:
 def delivery_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivery create / status-update requests from the ``error`` events.
 
-    Every fourth event creates a delivery (new id 90001 + event) for order event mod 1600;
-    the others update delivery 50001 + (event mod 1600), which exists for open orders.
+    Every fourth event creates a delivery (a new id below zero) for an order; the others
+    update delivery 50001 + order, which exists for open orders.
     Couriers 2001-2007 (2006 and 2007 unknown), every seventh address missing, and the status
     cycles through the five known values and one unknown.
     """
     e = _events(spark, sf_dir, "error")
-    create = F.col("event_id") % 4 == 0
+    create, order = F.col("event_id") % 4 == 0, _order(spark, sf_dir)
     k = F.col("event_id") % 6
     return e.select(
         F.col("event_id").alias("req_id"), F.col("ts").alias("req_ts"),
         F.when(create, "create").otherwise("update").alias("action"),
-        F.when(create, F.lit(90001) + F.col("event_id")).otherwise(F.lit(50001) + F.col("event_id") % 1600).alias("delivery_id"),
-        (F.col("event_id") % 1600).alias("order_id"),
+        F.when(create, -1 - F.col("event_id")).otherwise(F.lit(50001) + order).alias("delivery_id"),
+        order.alias("order_id"),
         (F.lit(2001) + F.col("event_id") % 7).alias("company_id"),
         F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("Addr "), F.col("user_id").cast("string"))).alias("address"),
@@ -91,7 +112,7 @@ def promotion_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
 
     Header: promotion id 7000000 + event, name empty for every ninth event, dates from the
     event day to 5 days before .. 34 days after it (some reversed). Each request has
-    event mod 5 detail lines (0 = none): item (7 event + 13 (pos mod 3)) mod 2100, so the
+    event mod 5 detail lines (0 = none), the item by event + 13 (pos mod 3), so the
     fourth line repeats the first item; type and value cycle through valid and invalid ones.
     """
     e = _events(spark, sf_dir, "view")
@@ -106,7 +127,7 @@ def promotion_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     pos = F.explode(F.sequence(F.lit(0), (F.col("event_id") % 5 - 1).cast("int")))
     lines = (e.filter(F.col("event_id") % 5 > 0).select("event_id", pos.alias("pos"))
              .select(F.col("event_id").alias("req_id"), "pos",
-                     ((F.col("event_id") * 7 + (F.col("pos") % 3) * 13) % 2100).alias("item_id"),
+                     _item(spark, sf_dir, F.col("event_id") + (F.col("pos") % 3) * 13).alias("item_id"),
                      F.when((F.col("event_id") + F.col("pos")) % 7 == 0, "Bogus")
                       .when((F.col("event_id") + F.col("pos")) % 7 < 4, "Percentage").otherwise("Amount").alias("discount_type"),
                      (((F.col("event_id") + F.col("pos") * 17) % 130) - 10).cast("decimal(8,2)").alias("discount_value")))

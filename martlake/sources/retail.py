@@ -125,7 +125,7 @@ def procurement(src) -> DataFrame:
     price = src("part").select("p_partkey", F.expr("cast(p_retailprice as decimal(8,2)) - 890").alias("p"))
     j = lines.join(price, lines.l_partkey == price.p_partkey)
     return j.select(
-        (F.col("l_orderkey") * 100000 + F.col("l_partkey")).alias("procurement_id"),
+        (F.col("l_orderkey") * 100000000 + F.col("l_partkey")).alias("procurement_id"),
         F.col("l_partkey").alias("item_id"),
         F.col("supplier_id"),
         (F.lit(1001) + (F.col("l_orderkey") + F.col("l_partkey")) % 25).alias("branch_id"),

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from martlake import catalog
 from tests.helpers import canon, duck
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = catalog.queries()
+ORACLE = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +29,7 @@ def test_parity(spark, small_dir, con, name):
 def test_every_query_has_oracle_or_is_listed():
     no_oracle = set(QUERIES) - set(ORACLE)
     assert no_oracle <= set(E.NON_SQL_QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):

@@ -6,9 +6,9 @@ import io
 
 import pytest
 
-import __spark_entry__ as E
+from martlake import catalog
 
-QUERIES = E.queries()
+QUERIES = catalog.queries()
 STREAMS = {n for n in QUERIES if n.endswith("_stream")}
 # queries whose plan holds the ordered fold (mapInPandas over key-partitioned sorted input)
 FOLDS = {"validation_violations", "stock_ledger_violations", "low_stock_alerts", "points_ledger_violations", "member_points_balances",

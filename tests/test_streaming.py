@@ -69,7 +69,7 @@ def test_pickup_stream_matches_batch(spark, small_dir, n):
     t = retail(spark, small_dir)
     ev = spark.read.parquet(f"{small_dir}/events.parquet")
     src = _replay(spark, ev, "ts", n)
-    out = S.run_available(S.pickup_lifecycle_stream(t, rq.pickup_events_from(src.rows), DELAY), "s04", src)
+    out = S.run_available(S.pickup_lifecycle_stream(t, rq.pickup_events_from(src.rows, small_dir), DELAY), "s04", src)
     rows = out.collect()
     got = {r.req_id: r.code for r in rows if r.code != "TIMER"}
     exp = {r.req_id: r.code for r in jobs.apply_pickup_updates(t, rq.pickup_events(spark, small_dir))["decisions"].collect()}
