@@ -38,7 +38,7 @@ from martlake.llm import textkit as tk
 WINDOW = 100
 GRAM = 40
 SHARDS = 4
-_PART_TEXT = 48 << 20
+_PART_TEXT = 16 << 20
 _SEGMENT = 8 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 _LAST = np.iinfo(np.int64).max
