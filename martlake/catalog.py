@@ -270,6 +270,10 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                      "decisions", as_of=A),
         "receive_procurements_snapshot": _job(jobs.receive_procurements, lambda s, d, t: rq.receipts_from_procurement(t),
                                               "snapshot", as_of=A),
+        "receive_procurements_new": _job(jobs.receive_procurements, lambda s, d, t: rq.receipts_from_procurement(t),
+                                         "procurements", as_of=A),
+        "redeem_vouchers_new": _job(jobs.redeem_vouchers, lambda s, d, t: rq.redemptions(s, d), "redemptions", as_of=A),
+        "create_promotions_new": _promotions("promotions"),
         "apply_delivery_updates": _job(jobs.apply_delivery_updates, lambda s, d, t: rq.delivery_events(s, d), "decisions"),
         "apply_delivery_updates_snapshot": _job(jobs.apply_delivery_updates, lambda s, d, t: rq.delivery_events(s, d),
                                                 "snapshot"),
@@ -287,6 +291,10 @@ def _spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                                               "snapshot"),
         "place_orders": _replay(po, "decisions"),
         "place_orders_snapshot": _replay(po, "snapshot"),
+        "place_orders_orders": _replay(po, "orders"),
+        "place_orders_order_lines": _replay(po, "order_lines"),
+        "place_orders_deliveries": _replay(po, "deliveries"),
+        "place_orders_pickups": _replay(po, "pickups"),
         "place_orders_low_stock_alerts": _replay(po, "low_stock_alerts"),
         "points_ledger_stream": _stream("points"),
         "low_stock_stream": _stream("stock"),

@@ -29,6 +29,22 @@ ok2 as (select *, last_value(sets ignore nulls) over (partition by order_id orde
 dec as (select req_id, scode as code from r where scode is not null
   union all select req_id, case when new_status = 'Completed' and exp_in_force is not null and req_ts > exp_in_force then '-20640' end from ok2)"""
 
+_REDEEM = """
+with hist as (select distinct r.voucher_id, o.member_id from r_redemption r join r_orders o on o.order_id = r.order_id where o.member_id is not null),
+r as (
+  select q.*, o.member_id as owner,
+    case when v.voucher_id is null then '-20043' when v.exp_date < date '2001-08-01' then '-20040'
+         when m.member_id is null then '-20041' when o.order_id is null then '-20043'
+         when o.member_id is not null and o.member_id <> q.member_id then '-20042'
+         when h.voucher_id is not null then '-20044' end as scode
+  from q_redeem q left join r_voucher v on v.voucher_id = q.voucher_id left join r_member m on m.member_id = q.member_id
+  left join r_orders o on o.order_id = q.order_id left join hist h on h.voucher_id = q.voucher_id and h.member_id = q.member_id),
+dec as (
+  select req_id, scode as code from r where scode is not null
+  union all
+  select req_id, case when owner is not null and row_number() over (partition by voucher_id, owner order by req_ts, req_id) > 1
+                      then '-20044' end from r where scode is null)"""
+
 SQL = {
     "update_item_prices": _PRICE + "\nselect req_id, code is null as accepted, code from r",
 
@@ -45,21 +61,11 @@ select coalesce(bs.branch_id, d.branch_id) as branch_id, coalesce(bs.item_id, d.
   case when d.dq is not null then date '2001-08-01' else bs.last_restock_date end as last_restock_date
 from r_branch_stock bs full outer join d on d.branch_id = bs.branch_id and d.item_id = bs.item_id""",
 
-    "redeem_vouchers": """
-with hist as (select distinct r.voucher_id, o.member_id from r_redemption r join r_orders o on o.order_id = r.order_id where o.member_id is not null),
-r as (
-  select q.*, o.member_id as owner,
-    case when v.voucher_id is null then '-20043' when v.exp_date < date '2001-08-01' then '-20040'
-         when m.member_id is null then '-20041' when o.order_id is null then '-20043'
-         when o.member_id is not null and o.member_id <> q.member_id then '-20042'
-         when h.voucher_id is not null then '-20044' end as scode
-  from q_redeem q left join r_voucher v on v.voucher_id = q.voucher_id left join r_member m on m.member_id = q.member_id
-  left join r_orders o on o.order_id = q.order_id left join hist h on h.voucher_id = q.voucher_id and h.member_id = q.member_id)
-select req_id, code is null as accepted, code from (
-  select req_id, scode as code from r where scode is not null
-  union all
-  select req_id, case when owner is not null and row_number() over (partition by voucher_id, owner order by req_ts, req_id) > 1
-                      then '-20044' end from r where scode is null)""",
+    "redeem_vouchers": _REDEEM + "\nselect req_id, code is null as accepted, code from dec",
+
+    "redeem_vouchers_new": _REDEEM + """
+select q.req_id as redemption_id, q.voucher_id, q.order_id, q.req_ts as redeemed_date
+from q_redeem q join dec on dec.req_id = q.req_id where dec.code is null""",
 
     "price_order_lines": """
 with l as (select oi.order_id, oi.item_id, oi.quantity, o.order_date as priced_at, i.unit_price as price
@@ -206,6 +212,27 @@ run as (select acc.*, bs.stock_quantity - sum(acc.quantity) over (partition by a
 select branch_id, item_id, req_id as order_id, req_ts as order_date, cast(stock_after as bigint) as stock_after
 from run where stock_after < 20"""
 
+_ACCEPTED = ", a as (select h.* from dec join h on h.req_id = dec.req_id where dec.code is null)"
+
+SQL["place_orders_orders"] = _PLACE + _ACCEPTED + """
+select req_id as order_id, member_id, staff_id, branch_id, req_ts as order_date, order_type from a"""
+
+SQL["place_orders_pickups"] = _PLACE + _ACCEPTED + """
+select req_id as pickup_id, req_id as order_id, cast(null as timestamp) as pickup_datetime, 'Preparing' as pickup_status,
+  cast(null as timestamp) as pickup_exp_date from a where order_type = 'Self Pickup'"""
+
+SQL["place_orders_deliveries"] = _PLACE + _ACCEPTED + """
+, couriers as (select company_id, row_number() over (order by company_id) - 1 as i, count(*) over () as n from r_delivery_company)
+select req_id as delivery_id, req_id as order_id, c.company_id, a.address as delivery_address, cast(null as timestamp) as delivery_date,
+  'Preparing' as delivery_status from a join couriers c on a.req_id % c.n = c.i where a.order_type = 'Delivery'"""
+
+SQL["place_orders_order_lines"] = _PLACE + _ACCEPTED + ", p as (" + SQL["price_order_lines"] + """)
+select p.* from p join a on a.req_id = p.order_id"""
+
+SQL["receive_procurements_new"] = _RECEIVE + """
+select req_id as procurement_id, item_id, supplier_id, branch_id, quantity, unit_cost, date '2001-08-01' as procurement_date
+from r where code is null"""
+
 # S04 run to completion: every request with the status and expiry after it (W10 rules),
 # plus one TIMER row per pickup left Ready / Rescheduled whose expiry is not after the last
 # event of the input (in milliseconds, as Spark keeps the watermark).
@@ -293,6 +320,10 @@ dec as (select h.req_id, h.promotion_id,
 
 SQL["create_promotions"] = _PROMO + "\nselect req_id, code is null as accepted, code from dec"
 
+SQL["create_promotions_new"] = _PROMO + """
+select d.promotion_id, h.name as promotion_name, h.description, 'Active' as status, h.start_date, h.end_date
+from dec d join q_promo_hdr h on h.req_id = d.req_id where d.code is null"""
+
 SQL["create_promotions_details"] = _PROMO + """
 select d.promotion_id, l.item_id, l.discount_type, l.discount_value
 from dec d join q_promo_lines l on l.req_id = d.req_id where d.code is null"""
