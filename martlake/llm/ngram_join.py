@@ -35,7 +35,7 @@ PERCENT = 75
 #: shingles listed as common; their order matters for speed only
 COMMON = 1 << 17
 FEW = 12
-_BLOCK_TEXT = 32 << 20
+_BLOCK_TEXT = 16 << 20
 _SHIFT = np.uint64(48)
 _LOW = np.uint64((1 << 48) - 1)
 
