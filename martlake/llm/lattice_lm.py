@@ -29,7 +29,7 @@ from martlake.llm import textkit as tk
 VOCABULARY = "piece_bpe_32k.model"
 #: probability of the end token in the lattice's own distribution
 _END = 1e-3
-_CHUNK_TEXT = 16 << 20
+_CHUNK_TEXT = 8 << 20
 _WORDS = 25_000  # of one lattice
 
 
@@ -138,7 +138,7 @@ def _tokens(texts):
     buf, off = tk.flat_text(texts)
     buf = tk.TO_LOWER[buf]
     s, e, first, h = [], [], [np.zeros(1, np.int64)], []
-    for i, j in tk.doc_groups(off):
+    for i, j in tk.doc_groups(off, 1 << 20):
         part = buf[off[i]:off[j]]
         a, b, f = tk.words(part, off[i:j + 1] - off[i])
         h.append(tk.span_hashes(part, a, b))

@@ -40,6 +40,8 @@ GRAM = 40
 SHARDS = 4
 _PART_TEXT = 16 << 20
 _SEGMENT = 8 << 20
+#: text whose stretches a scanning task holds at once
+_BATCH_TEXT = 8 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 _LAST = np.iinfo(np.int64).max
 
@@ -115,28 +117,37 @@ _RUNS = "bucket int, ids binary, rows binary, anchor binary, text binary, doc bi
 def _scan(n_buckets):
     def run(batches):
         for b in batches:
-            buf, off = tk.flat_text(b.column("text"))
-            ids = b.column("doc_id").fill_null(_LAST).to_numpy()
-            row = b.column("row").to_numpy()
-            anchor, text, doc, start, more = _stretches(buf, off)
-            order, _, first = _copies([text], ids[doc], start)
-            for gone, rows in ((0, order[first]), (1, order[~first])):
-                bucket = (anchor[rows] % np.uint64(n_buckets)).astype(np.int64)
-                by = np.argsort(bucket, kind="stable")
-                rows, cut = rows[by], np.searchsorted(bucket[by], np.arange(n_buckets + 1))
-                used = np.flatnonzero(np.diff(cut))
-                ends = np.append(cut[used], len(rows))
-                docs = [np.unique(doc[rows[a:z]], return_inverse=True) for a, z in zip(ends, ends[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(used.astype(np.int32)), pa.array([ids[d].tobytes() for d, _ in docs], pa.binary()),
-                     pa.array([row[d].tobytes() for d, _ in docs], pa.binary()),
-                     tk.blobs((anchor[rows] // np.uint64(n_buckets)).astype(np.uint32), ends), tk.blobs(text[rows], ends),
-                     pa.array([i.astype(np.uint32).tobytes() for _, i in docs], pa.binary()), tk.blobs(start[rows].astype(np.uint32), ends),
-                     tk.blobs(more[rows].astype(np.uint8), ends), pa.array(np.full(len(used), gone, np.int32))],
-                    names=["bucket", "ids", "rows", "anchor", "text", "doc", "start", "more", "gone"])
+            size = tk.flat_text(b.column("text"))[1]
+            for i, j in tk.doc_groups(size, _BATCH_TEXT):
+                yield _runs(b.slice(i, j - i), n_buckets)
     return run
 
 
+def _runs(b, n_buckets: int):
+    """The stretches of a few documents by bucket, first those to be matched (gone 0), then
+    those that stand earlier among these documents already (gone 1)."""
+    buf, off = tk.flat_text(b.column("text"))
+    ids = b.column("doc_id").fill_null(_LAST).to_numpy()
+    row = b.column("row").to_numpy()
+    anchor, text, doc, start, more = _stretches(buf, off)
+    order, _, first = _copies([text], ids[doc], start)
+    gone = np.concatenate([np.zeros(int(first.sum()), np.int64), np.ones(int((~first).sum()), np.int64)])
+    rows = np.concatenate([order[first], order[~first]])
+    part = gone * n_buckets + (anchor[rows] % np.uint64(n_buckets)).astype(np.int64)
+    by = np.argsort(part, kind="stable")
+    rows, cut = rows[by], np.searchsorted(part[by], np.arange(2 * n_buckets + 1))
+    used = np.flatnonzero(np.diff(cut))
+    ends = np.append(cut[used], len(rows))
+    docs = [np.unique(doc[rows[a:z]], return_inverse=True) for a, z in zip(ends, ends[1:])]
+    return pa.RecordBatch.from_arrays(
+        [pa.array((used % n_buckets).astype(np.int32)), pa.array([ids[d].tobytes() for d, _ in docs], pa.binary()),
+         pa.array([row[d].tobytes() for d, _ in docs], pa.binary()),
+         tk.blobs((anchor[rows] // np.uint64(n_buckets)).astype(np.uint32), ends), tk.blobs(text[rows], ends),
+         pa.array([i.astype(np.uint32).tobytes() for _, i in docs], pa.binary()), tk.blobs(start[rows].astype(np.uint32), ends),
+         tk.blobs(more[rows].astype(np.uint8), ends), pa.array((used // n_buckets).astype(np.int32))],
+        names=["bucket", "ids", "rows", "anchor", "text", "doc", "start", "more", "gone"])
+
+
 _SPANS = "bucket int, doc_id long, row long, start long, stop long, judge boolean"
 
 

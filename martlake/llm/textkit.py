@@ -31,7 +31,7 @@ TO_LOWER[65:91] += 32
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _P_INV = np.uint64(pow(int(_P), -1, 2**64))
 #: bytes of text a worker handles at once
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
