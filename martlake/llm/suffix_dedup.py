@@ -359,22 +359,27 @@ def _strip(docs, spans):
     by = np.argsort(r, kind="stable")
     r, a, z = r[by], a[by], z[by]
     lo, hi = np.searchsorted(r, row, "left"), np.searchsorted(r, row, "right")
-    change = np.zeros(len(buf) + 1, np.int32)
-    n = hi - lo
-    at, doc = tk.ragged(lo, n), np.repeat(np.arange(len(row)), n)
-    np.add.at(change, off[doc] + a[at], 1)
-    np.add.at(change, off[doc] + z[at], -1)
-    gone = np.cumsum(change[:-1]) > 0
-    total = np.concatenate([[0], np.cumsum(gone)])
-    head = gone.copy()
-    head[1:] &= ~gone[:-1]
-    begin = off[:-1][np.diff(off) > 0]
-    head[begin] = gone[begin]
-    heads = np.concatenate([[0], np.cumsum(head)])
-    kept = buf[~gone]
-    to = off - total[off]
-    return pa.table({"doc_id": docs.column("doc_id"), "n_bytes": np.diff(off), "n_removed": np.diff(total[off]),
-                     "n_spans": np.diff(heads[off]), "kept": tk.blobs(kept, to)})
+    removed, spans_of, kept, to = [], [], [], [np.zeros(1, np.int64)]
+    for i, j in tk.doc_groups(off):
+        part, o = buf[off[i]:off[j]], off[i:j + 1] - off[i]
+        n = hi[i:j] - lo[i:j]
+        at, doc = tk.ragged(lo[i:j], n), np.repeat(np.arange(j - i), n)
+        change = np.zeros(len(part) + 1, np.int32)
+        np.add.at(change, o[doc] + a[at], 1)
+        np.add.at(change, o[doc] + z[at], -1)
+        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
+        head = gone.copy()
+        head[1:] &= ~gone[:-1]
+        begin = o[:-1][np.diff(o) > 0]
+        head[begin] = gone[begin]
+        total, heads = np.searchsorted(np.flatnonzero(gone), o), np.searchsorted(np.flatnonzero(head), o)
+        removed.append(np.diff(total))
+        spans_of.append(np.diff(heads))
+        kept.append(part[~gone])
+        to.append((o - total)[1:] + to[-1][-1])
+    join = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
+    return pa.table({"doc_id": docs.column("doc_id"), "n_bytes": np.diff(off), "n_removed": join(removed, np.int64),
+                     "n_spans": join(spans_of, np.int64), "kept": tk.blobs(join(kept, np.uint8), np.concatenate(to))})
 
 
 def strip_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
