@@ -6,11 +6,15 @@ A byte goes when a ``WINDOW``-byte string covers it that also starts earlier in
 Suffixes of a whole corpus can't be interleaved in one place, so they are first cut into
 independent buckets. A window's anchor is its ``GRAM``-byte string of least hash (leftmost);
 equal windows have equal anchors, and consecutive windows of one anchor form a stretch of
-at most WINDOW - GRAM + 1 windows. Stretches are grouped by anchor:
+at most WINDOW - GRAM + 1 windows. A first scan finds the strings that would anchor more than
+``CROWD`` differing stretches (a line shorter than a window that many documents hold in
+different surroundings) and the others such stretches have in common: a window takes one of
+these only if it has no other, so its anchor lies in the surroundings. Stretches are grouped by
+anchor:
 
 * of stretches with the same bytes the earliest stays to be judged, the others are repeats;
-  a partition settles its own copies before the shuffle, so a passage that every document
-  holds costs one entry for each partition;
+  a scanning task settles the copies among its own documents and deals them by document, so a
+  passage that every document holds costs its anchor's bucket one entry for each batch;
 * earliest stretches whose anchor no other stretch has are unique;
 * the rest, groups in which stretches differ, are read; those with a window hash in common
   are put in suffix order to find the repeated windows: they form shards, each shard's
@@ -42,11 +46,38 @@ _PART_TEXT = 16 << 20
 _SEGMENT = 8 << 20
 #: text whose stretches a scanning task holds at once
 _BATCH_TEXT = 8 << 20
+#: differing stretches beyond which a string is no anchor, and how many a batch must have to report it
+CROWD, _REPORT = 4096, 4
 _PLACE = np.uint64((1 << 24) - 1)
+_CROWDED = np.uint64(1 << 63)
 _LAST = np.iinfo(np.int64).max
 
 
-def _stretches(buf: np.ndarray, off: np.ndarray):
+def _gram_hashes(part: np.ndarray):
+    """(sums, hashes): prefix sums of the weighted bytes, and the hash of the gram at each place."""
+    n = len(part)
+    up, down = tk._powers(n)
+    sums = np.empty(n + 1, np.uint64)
+    sums[0] = 0
+    b = part.astype(np.uint64)
+    b += np.uint64(1)
+    b *= up[:n]
+    np.cumsum(b, out=sums[1:])
+    h = sums[GRAM:] - sums[:n + 1 - GRAM]
+    h *= down[:n + 1 - GRAM]
+    return sums, tk.mix(h)
+
+
+def _places_of(h: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """The places of ``h`` whose value is in ``among`` (sorted, not empty)."""
+    low = np.uint64((1 << 22) - 1)
+    table = np.zeros(1 << 22, bool)
+    table[among & low] = True
+    at = np.flatnonzero(table[h & low])
+    return at[among[np.minimum(np.searchsorted(among, h[at]), len(among) - 1)] == h[at]]
+
+
+def _stretches(buf: np.ndarray, off: np.ndarray, crowded: np.ndarray):
     """(anchor hash, hash of the bytes, document, start, windows - 1) of all stretches."""
     out = [[np.zeros(0, t)] for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64)]
 
@@ -54,18 +85,12 @@ def _stretches(buf: np.ndarray, off: np.ndarray):
         n = len(part)
         if n < WINDOW:
             return
-        up, down = tk._powers(n)
-        sums = np.empty(n + 1, np.uint64)
-        sums[0] = 0
-        b = part.astype(np.uint64)
-        b += np.uint64(1)
-        b *= up[:n]
-        np.cumsum(b, out=sums[1:])
-        h = sums[GRAM:] - sums[:n + 1 - GRAM]
-        h *= down[:n + 1 - GRAM]
-        tk.mix(h)
+        sums, h = _gram_hashes(part)
+        _, down = tk._powers(n)
         # the low bits give way to the place, which makes the leftmost of equal grams least
-        key = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
+        key = ((h >> np.uint64(1)) & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
+        if len(crowded):
+            key[_places_of(h, crowded)] |= _CROWDED
         reach, width = WINDOW - GRAM + 1, 1
         while width * 2 <= reach:
             key = np.minimum(key[:-width], key[width:])
@@ -114,26 +139,68 @@ def _copies(keys: list[np.ndarray], doc: np.ndarray, start: np.ndarray):
 _RUNS = "bucket int, ids binary, rows binary, anchor binary, text binary, doc binary, start binary, more binary, gone int"
 
 
-def _scan(n_buckets):
+def _few(batches):
+    for b in batches:
+        size = tk.flat_text(b.column("text"))[1]
+        for i, j in tk.doc_groups(size, _BATCH_TEXT):
+            yield b.slice(i, j - i)
+
+
+def _common(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(gram hash, occurrences) of the grams that stretches with different bytes and one anchor
+    have in common, of a few documents."""
+    anchor, text, doc, start, more = _stretches(buf, off, np.zeros(0, np.uint64))
+
+    def often(values):
+        _, of, c = np.unique(values, return_inverse=True, return_counts=True)
+        return c[of] >= _REPORT
+
+    rows = np.flatnonzero(often(anchor))
+    rows = rows[np.unique(text[rows], return_index=True)[1]]
+    rows = rows[often(anchor[rows])]
+    size = more[rows] + WINDOW
+    ends = np.concatenate([[0], np.cumsum(size)])
+    hashes = [np.zeros(0, np.uint64)]
+    for i, j in tk.doc_groups(ends):
+        data = buf[tk.ragged((off[doc] + start)[rows[i:j]], size[i:j])]
+        hashes.append(_gram_hashes(data)[1][tk.ragged(ends[i:j] - ends[i], size[i:j] - GRAM + 1)])
+    gram, c = np.unique(np.concatenate(hashes), return_counts=True)
+    return gram[c >= _REPORT], c[c >= _REPORT]
+
+
+def _reports(batches):
+    for b in _few(batches):
+        gram, c = _common(*tk.flat_text(b.column("text")))
+        yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(c.astype(np.int64))], names=["gram", "c"])
+
+
+def crowded_grams(docs: DataFrame) -> np.ndarray:
+    """Hashes, sorted, of the grams that more than ``CROWD`` differing stretches have in common.
+    They decide how stretches are dealt, not which windows are repeats."""
+    total = docs.select("text").mapInArrow(_reports, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    found = total.filter(F.col("c") > CROWD).select("gram").toArrow().column("gram").to_numpy()
+    return np.sort(found.astype(np.int64).view(np.uint64))
+
+
+def _scan(n_buckets, crowded):
     def run(batches):
-        for b in batches:
-            size = tk.flat_text(b.column("text"))[1]
-            for i, j in tk.doc_groups(size, _BATCH_TEXT):
-                yield _runs(b.slice(i, j - i), n_buckets)
+        for b in _few(batches):
+            yield _runs(b, n_buckets, crowded)
     return run
 
 
-def _runs(b, n_buckets: int):
-    """The stretches of a few documents by bucket, first those to be matched (gone 0), then
-    those that stand earlier among these documents already (gone 1)."""
+def _runs(b, n_buckets: int, crowded: np.ndarray):
+    """The stretches of a few documents by bucket, first those to be matched (gone 0, by anchor),
+    then those that stand earlier among these documents already (gone 1, by document)."""
     buf, off = tk.flat_text(b.column("text"))
     ids = b.column("doc_id").fill_null(_LAST).to_numpy()
     row = b.column("row").to_numpy()
-    anchor, text, doc, start, more = _stretches(buf, off)
+    anchor, text, doc, start, more = _stretches(buf, off, crowded)
     order, _, first = _copies([text], ids[doc], start)
     gone = np.concatenate([np.zeros(int(first.sum()), np.int64), np.ones(int((~first).sum()), np.int64)])
     rows = np.concatenate([order[first], order[~first]])
-    part = gone * n_buckets + (anchor[rows] % np.uint64(n_buckets)).astype(np.int64)
+    deal = np.where(gone > 0, row.view(np.uint64)[doc[rows]], anchor[rows]) % np.uint64(n_buckets)
+    part = gone * n_buckets + deal.astype(np.int64)
     by = np.argsort(part, kind="stable")
     rows, cut = rows[by], np.searchsorted(part[by], np.arange(2 * n_buckets + 1))
     used = np.flatnonzero(np.diff(cut))
@@ -338,7 +405,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     doc_id, text and row, a hash of both that tells rows of one doc_id apart."""
     _, size = tk.text_bytes(docs)
     n = tk.parts_for(size, _PART_TEXT, 12)
-    runs = docs.mapInArrow(_scan(n), _RUNS)
+    runs = docs.mapInArrow(_scan(n, crowded_grams(docs)), _RUNS)
     found = tk.stored(runs.repartition(n, "bucket").groupBy("bucket").applyInArrow(_match, _SPANS), "stretches")
     part = F.pmod(F.xxhash64("row"), F.lit(n)).cast("int")
     asked = found.filter("judge").withColumn("part", part)

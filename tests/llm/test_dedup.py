@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,6 +156,48 @@ def test_byte_strings_in_segments(spark, monkeypatch):
     assert strip(docs) == brute_strip(docs.collect())
 
 
+def licensed(n):
+    """Texts with one line, shorter than a window, in different surroundings."""
+    rnd = random.Random(n)
+    letters = lambda k: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=k))
+    return [f"{letters(150)}\n{'licensed to all readers under the usual terms of the house'}\n{letters(150)}" for _ in range(n)]
+
+
+def largest_group(texts, crowded):
+    buf, off = suffix_dedup.tk.flat_text(pa.array(texts))
+    anchor, text, *_ = suffix_dedup._stretches(buf, off, crowded)
+    pairs = np.unique(np.stack([anchor, text]), axis=1)
+    return int(np.unique(pairs[0], return_counts=True)[1].max())
+
+
+def test_a_common_line_is_no_anchor(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CROWD", 20)
+    texts = licensed(300)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    crowded = suffix_dedup.crowded_grams(docs)
+    assert largest_group(texts, np.zeros(0, np.uint64)) > 200
+    assert largest_group(texts, crowded) <= 20
+
+
+def test_byte_strings_with_crowded_anchors(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CROWD", 5)
+    texts = licensed(40)
+    texts += [texts[3][100:260], texts[5], "x" + texts[7][90:], texts[9][:205] + texts[11][150:], texts[3][160:] * 2]
+    docs = frames.table(spark, seed=6, n=24).select("doc_id", "text") \
+        .unionByName(spark.createDataFrame([(1000 + i, x) for i, x in enumerate(texts)], "doc_id long, text string"))
+    assert len(suffix_dedup.crowded_grams(docs.repartition(2)))
+    assert strip(docs) == brute_strip(docs.collect())
+
+
+def test_copies_are_dealt_by_document():
+    texts = ["".join(random.Random(1).choices("abcdefghij", k=400))] * 200
+    rows = np.random.default_rng(1).integers(-2**63, 2**63 - 1, 200)
+    b = pa.RecordBatch.from_pydict({"doc_id": list(range(200)), "text": texts, "row": rows})
+    runs = suffix_dedup._runs(b, 16, np.zeros(0, np.uint64)).to_pylist()
+    sizes = [len(r["doc"]) // 4 for r in runs if r["gone"]]
+    assert len(sizes) == 16 and max(sizes) < sum(sizes) / 4
+
+
 @pytest.mark.parametrize("wide", [40, 300])
 def test_interleave_orders_suffixes(wide):
     rng = np.random.default_rng(wide)
