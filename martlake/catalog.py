@@ -85,38 +85,29 @@ def _replay(po, output: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def _table_dir(t, name: str) -> str:
-    """A folder holding a retail table as parquet files (the snapshot, or written now)."""
-    if getattr(t, "snapshot_dir", None):
-        return f"{t.snapshot_dir}/{name}"
-    d = f"{checkpoint_dir(t.spark).rstrip('/')}/table-{name}-{uuid.uuid4().hex}"
-    t[name].write.parquet(d)
-    return d
-
-
 def _stream(kind: str) -> Callable[[SparkSession, str], DataFrame]:
     """A streaming job run to completion over files derived from the source folder."""
     from martlake.sources import requests as rq
     from martlake.streaming import jobs as S
 
-    # the tables' files are in no time order: a row may be as late as the whole span is long
-    delay = "3650 days"
-
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = retail(spark, sf_dir)
-        if kind in ("points", "pickup"):
-            path = f"{sf_dir}/events.parquet"
+        if kind == "pickup":
+            # the files are in no time order: a row may be as late as the whole span is long
+            path, delay = f"{sf_dir}/events.parquet", "3650 days"
             src = S.Replay(spark, path, spark.read.parquet(path).schema, "ts", delay)
-            df = (S.points_ledger_stream(t, src.rows, delay) if kind == "points"
-                  else S.pickup_lifecycle_stream(t, rq.pickup_events_from(src.rows, sf_dir), delay))
+            df = S.pickup_lifecycle_stream(t, rq.pickup_events_from(src.rows, sf_dir), delay)
+        elif kind == "points":
+            src = S.OrderedReplay(spark, spark.read.parquet(f"{sf_dir}/events.parquet"), "ts")
+            df = S.points_ledger_stream(t, src.rows, src.delay)
         elif kind == "stock":
             d = f"{checkpoint_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
             S.with_order(t, t["order_item"]).write.parquet(d)
-            src = S.Replay(spark, d, spark.read.parquet(d).schema, "order_date", delay)
-            df = S.low_stock_stream(t, src.rows, delay=delay)
+            src = S.OrderedReplay(spark, spark.read.parquet(d), "order_date")
+            df = S.low_stock_stream(t, src.rows, delay=src.delay)
         else:
-            src = S.Replay(spark, _table_dir(t, "redemption"), t["redemption"].schema, "redeemed_date", delay)
-            df = S.dedupe_redemptions_stream(t, src.rows, delay)
+            src = S.OrderedReplay(spark, t["redemption"], "redeemed_date")
+            df = S.dedupe_redemptions_stream(t, src.rows, src.delay)
         return S.run_available(df, kind, src)
     run.__name__ = f"{kind}_stream"
     return run

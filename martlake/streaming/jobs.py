@@ -19,7 +19,8 @@ pickup state machine has one state value per order.
 ``run_available(df, name)`` runs a stream over the files that are there (``availableNow``) into
 a parquet table under the shared checkpoint folder and returns that table. With a ``Replay``
 as its source, a closing row then moves the watermark past the last event, so that nothing
-stays waiting.
+stays waiting. An ``OrderedReplay`` lets a table in by slices of ascending event time and moves
+the watermark behind each, so that state holds the rows of two slices at most.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ from martlake.sources import retail as R
 
 #: keys held by one state value, about
 _PER_BUCKET = 200
+#: rows of a slice of an ordered replay, about
+_PER_SLICE = 250_000
 _STATE = "held binary, waiting binary"
 
 
@@ -64,7 +67,50 @@ class Replay:
             return
         n, unit = self.delay.split()
         end = last + dt.timedelta(**{unit.rstrip("s") + "s": int(n)}) + dt.timedelta(milliseconds=1)
-        self._write([tuple(end if f.name == self.time else None for f in self.schema.fields)])
+        self._mark(end)
+
+    def _mark(self, at: dt.datetime) -> None:
+        self._write([tuple(at if f.name == self.time else None for f in self.schema.fields)])
+
+    def feeds(self):
+        """Yields whenever there are new files to run over."""
+        yield
+
+
+class OrderedReplay(Replay):
+    """A ``Replay`` of a table in slices of ascending event time, of about ``per_slice`` rows (rows
+    of one event time are never parted; those without one come first). Each slice brings a row
+    that moves the watermark to just before the slice, so what came before is applied. ``delay``
+    is longer than the longest slice: no row is late, however a slice is cut into micro-batches."""
+
+    def __init__(self, spark: SparkSession, table: DataFrame, time: str, per_slice: int = _PER_SLICE, max_files: int = 8):
+        base = f"{checkpoint_dir(spark).rstrip('/')}/replay-{uuid.uuid4().hex}"
+        self.staged, landing = f"{base}/staged", f"{base}/landed"
+        at = F.col(time).cast("timestamp_ntz")
+        n = -(-table.count() // per_slice)
+        cuts = []
+        if n > 1:
+            cuts = table.agg(F.percentile_approx(at, [k / n for k in range(1, n)], 100 * n)).first()[0] or []
+        slice_ = F.lit(0)
+        if cuts:
+            bounds = F.array(*[F.lit(c).cast("timestamp_ntz") for c in sorted(set(cuts))])
+            slice_ = F.coalesce(F.size(F.filter(bounds, lambda c: c <= at)), F.lit(0))
+        table.withColumn("_slice", slice_).repartition("_slice", F.pmod(F.xxhash64(*table.columns), F.lit(max_files))) \
+            .write.partitionBy("_slice").parquet(self.staged)
+        staged = spark.read.schema(T.StructType([*table.schema.fields, T.StructField("_slice", T.IntegerType())])).parquet(self.staged)
+        spans = staged.groupBy("_slice").agg(F.min(at).alias("least"), F.max(at).alias("most")).orderBy("_slice").collect()
+        self.slices = [(r["_slice"], r["least"]) for r in spans]
+        longest = max((r["most"] - r["least"] for r in spans if r["least"] is not None), default=dt.timedelta())
+        spark.createDataFrame([], table.schema).write.parquet(landing)
+        super().__init__(spark, landing, table.schema, time, f"{longest // dt.timedelta(milliseconds=1) + 2} milliseconds", max_files)
+
+    def feeds(self):
+        n, unit = self.delay.split()
+        for k, least in self.slices:
+            if least is not None:
+                self._mark(least + dt.timedelta(**{unit: int(n)}) - dt.timedelta(milliseconds=1))
+            self.spark.read.schema(self.schema).parquet(f"{self.staged}/_slice={k}").write.mode("append").parquet(self.path)
+            yield
 
 
 def run_available(df: DataFrame, name: str, source: Replay | None = None) -> DataFrame:
@@ -78,7 +124,8 @@ def run_available(df: DataFrame, name: str, source: Replay | None = None) -> Dat
              .trigger(availableNow=True).start())
         q.awaitTermination()
 
-    run()
+    for _ in source.feeds() if source is not None else [None]:
+        run()
     if source is not None:
         source.close()
         run()

@@ -1,6 +1,9 @@
 """Batch = stream, however the input is cut: one file, several files and micro-batches in no
 time order, a folder of part files as Spark writes them (S04 adds timer rows on top)."""
 
+import glob
+import os
+import pickle
 import tempfile
 
 import pytest
@@ -10,6 +13,7 @@ from martlake.catalog import retail
 from martlake.operators import validations as V
 from martlake.plans import jobs
 from martlake.sources import requests as rq
+from martlake.session import checkpoint_dir
 from martlake.streaming import jobs as S
 
 DELAY = "3650 days"
@@ -87,6 +91,33 @@ def test_rows_wait_for_the_watermark(spark, small_dir):
     assert (last - out.agg(F.max("redemption_date")).first()[0]).days >= 9
 
 
+def test_ordered_replay_drains_as_it_goes(spark, small_dir):
+    """Results don't depend on the slices, and rows are applied before the last slice is in."""
+    t = retail(spark, small_dir)
+    ev = spark.read.parquet(f"{small_dir}/events.parquet").orderBy(F.xxhash64("event_id"))
+
+    class Watched(S.OrderedReplay):
+        seen = []
+
+        def feeds(self):
+            for _ in super().feeds():
+                yield
+                state = spark.read.format("statestore").load(self.state()).select("value.*").collect()
+                self.seen.append(sum(len(pickle.loads(r.groupState.waiting)) for r in state))
+
+        def state(self):
+            base = checkpoint_dir(spark)
+            return max(glob.glob(f"{base.removeprefix('file:')}/stream-s01slices-*/state"), key=os.path.getmtime)
+
+    src = Watched(spark, ev, "ts", per_slice=ev.count() // 6)
+    out = S.run_available(S.points_ledger_stream(t, src.rows, src.delay), "s01slices", src)
+    got = {r.point_redemption_id: (r.code, r.balance_after) for r in out.collect()}
+    exp = {r.point_redemption_id: (None if r.code is None else str(r.code), r.balance_after)
+           for r in V.points_ledger(t).collect()}
+    assert got == exp
+    assert len(src.slices) >= 6 and max(src.seen) < ev.count() / 2
+
+
 def test_no_input(spark, small_dir):
     t = retail(spark, small_dir)
     ev = spark.read.parquet(f"{small_dir}/events.parquet").limit(0)
