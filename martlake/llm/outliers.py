@@ -9,8 +9,8 @@ Mahalanobis distance. A document whose squared distance exceeds ``CUTOFF`` is re
 
 Medians and the cut of a concentration step come from counts of fine bins, so a group of any
 size is aggregated and never gathered; a step's share includes the whole bin at its edge.
-Each statistic's spread has a floor (``FLOORS``), without which a statistic that is constant
-in a group would reject every other value. Groups under ``LEAST`` documents are pooled by
+A statistic that is (nearly) constant in the share gets a spread of its own (``SPREADS``), without
+which it would reject every other value; elsewhere the estimated covariance holds. Groups under ``LEAST`` documents are pooled by
 language, then all together; if the pool is smaller still, nobody in it is rejected.
 
 Null and empty texts have no words and fail the base rule. Null langs and sources group
@@ -36,15 +36,18 @@ LEAST = 50
 _SALTS = 32
 _SPACES = " \t\n\u000b\f\r"
 _SYMBOLS = "#*$%&|<>"
-#: (name, transformed statistic, least standard deviation)
-FLOORS = (
-    ("x0", "ln(n_words)", 1.0),
-    ("x1", "ln(word_chars / n_words)", 0.15),
+#: (name, transformed statistic, standard deviation where the estimate is below NEAR_ZERO of it)
+SPREADS = (
+    ("x0", "ln(n_words)", 0.2),
+    ("x1", "ln(word_chars / n_words)", 0.03),
     ("x2", "ln(1 + 1000 * n_symbols / word_chars)", 0.6),
-    ("x3", "ln(1 + 1000 * n_dup_lines / n_words)", 1.0),
-    ("x4", "ln(1 + 100 * n_repeat_words / n_words)", 0.9),
+    ("x3", "ln(1 + 1000 * n_dup_lines / n_words)", 0.5),
+    ("x4", "ln(1 + 100 * n_repeat_words / n_words)", 0.5),
 )
-_X = [x for x, _, _ in FLOORS]
+NEAR_ZERO = 0.5
+#: part of a variance that stays when a covariance is singular
+_OWN = 0.05
+_X = [x for x, _, _ in SPREADS]
 _P = len(_X)
 
 
@@ -104,6 +107,12 @@ def _median(df: DataFrame, value: str, name: str, bins: int = 256) -> DataFrame:
     return b.select("grp", "dim", ((F.col("_b") + 0.5) / bins).alias(name))
 
 
+def _spread(deviation: Column, k: int) -> Column:
+    """A standard deviation of statistic k, replaced where it is near zero."""
+    given = SPREADS[k][2]
+    return F.when(deviation >= NEAR_ZERO * given, deviation).otherwise(F.lit(given))
+
+
 def _start(x: DataFrame) -> DataFrame:
     """(grp, m0.., l00..): medians, and a diagonal factor from median absolute deviations."""
     long = x.select("doc_id", "grp", F.posexplode(F.array(*_X)).alias("dim", "v"))
@@ -113,10 +122,9 @@ def _start(x: DataFrame) -> DataFrame:
     mad = _median(off, "v", "mad")
     both = med.join(mad, ["grp", "dim"]).groupBy("grp")
     at = lambda c, k: F.max(F.when(F.col("dim") == k, F.col(c)))
-    floors = [f for _, _, f in FLOORS]
     return both.agg(
         *[at("med", k).alias(f"m{k}") for k in range(_P)],
-        *[(F.greatest(1.4826 * at("mad", i), F.lit(floors[i])) if i == j else F.lit(0.0)).alias(f"l{i}{j}")
+        *[(_spread(1.4826 * at("mad", i), i) if i == j else F.lit(0.0)).alias(f"l{i}{j}")
           for i in range(_P) for j in range(i + 1)])
 
 
@@ -126,8 +134,7 @@ def _factor(moments: DataFrame) -> DataFrame:
     for j in range(_P):
         for i in range(j, _P):
             rest = reduce(lambda a, k: a - F.col(f"l{i}{k}") * F.col(f"l{j}{k}"), range(j), F.col(f"c{i}{j}"))
-            # a part of the floor's variance stays when a covariance is singular
-            t = t.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(FLOORS[i][2] ** 2 * 0.25))) if i == j else rest / F.col(f"l{j}{j}"))
+            t = t.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.col(f"c{i}{i}") * _OWN)) if i == j else rest / F.col(f"l{j}{j}"))
     return t.select("grp", *[f"m{k}" for k in range(_P)], *[f"l{i}{j}" for i in range(_P) for j in range(i + 1)])
 
 
@@ -157,8 +164,8 @@ def _concentrate(x: DataFrame, estimate: DataFrame) -> DataFrame:
     mean = [F.avg(c).alias(f"m{k}") for k, c in enumerate(_X)]
     cov = [(F.covar_pop(_X[i], _X[j]) * _CONSISTENT).alias(f"c{i}{j}") for i in range(_P) for j in range(i + 1)]
     m = near.groupBy("grp").agg(*mean, *cov)
-    for k, (_, _, floor) in enumerate(FLOORS):
-        m = m.withColumn(f"c{k}{k}", F.greatest(F.col(f"c{k}{k}"), F.lit(floor ** 2)))
+    for k in range(_P):
+        m = m.withColumn(f"c{k}{k}", F.pow(_spread(F.sqrt(f"c{k}{k}"), k), 2))
     return _factor(m)
 
 
@@ -173,14 +180,14 @@ def verdicts(docs: DataFrame) -> DataFrame:
     known = groups.groupBy("grp").agg(F.sum("c").alias("c")).filter(F.col("c") >= LEAST).select("grp")
     x = _with_group(passed.withColumn("own", own), groups.join(known, "grp", "left_semi").select("own", "grp"), "own") \
         .select("doc_id", "grp", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                *[F.expr(e).alias(name) for name, e, _ in FLOORS])
+                *[F.expr(e).alias(name) for name, e, _ in SPREADS])
     x = tk.stored(x, "transformed")
     estimate = tk.stored(_start(x), "estimate")
     for _ in range(_STEPS):
         estimate = tk.stored(_concentrate(x, estimate), "estimate")
     grp = groups.select("own", "grp")
     far = _distances(_with_group(passed.withColumn("own", own), grp, "own", "left")
-                     .select("*", *[F.expr(e).alias(name) for name, e, _ in FLOORS]), estimate)
+                     .select("*", *[F.expr(e).alias(name) for name, e, _ in SPREADS]), estimate)
     columns = ["doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     judged = far.select(*columns, F.col("d2").alias("distance"), (F.coalesce("d2", F.lit(0.0)) <= CUTOFF).alias("kept"))
     failed = stats.filter("base_failed").select(*columns, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))

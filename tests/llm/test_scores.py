@@ -128,3 +128,20 @@ def test_rules_reject_outliers_only(spark):
     assert not any(out[i].kept for i, *_ in junk)
     assert sum(out[i].kept or out[i].base_failed for i, *_ in plain) >= 299
     assert outliers.verdicts(frames.empty(spark)).count() == 0
+
+
+def test_rules_reject_each_kind_of_outlier(spark):
+    """In a group of usual spread: much repetition, long words, great length; no plain text."""
+    rng = __import__("random").Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda lo, hi: "".join(rng.choices(letters, k=rng.randrange(lo, hi)))
+    text = lambda n, lo=3, hi=8: " ".join(word(lo, hi) for _ in range(n))
+    plain = [(i, text(int(200 * 2 ** rng.gauss(0, 0.5)) + 60)) for i in range(300)]
+    phrase = text(12)
+    odd = [(1000, text(80) + " " + " ".join([phrase] * 5)), (1001, text(200, 6, 12)), (1002, text(20_000)),
+           (1003, "\n".join([text(4) for _ in range(40)] + ["more here"] * 8))]
+    docs = spark.createDataFrame([(i, x, "en", "s") for i, x in plain + odd], "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r for r in outliers.verdicts(docs).collect()}
+    assert not any(out[i].base_failed for i in range(1000, 1004))
+    assert [i for i, _ in odd if out[i].kept] == []
+    assert sum(out[i].kept for i, _ in plain) >= 298
