@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlake.llm import ann, bpe, lattice_lm, line_dedup, mixing, ngram_join, outliers, quality, suffix_dedup, token_files, whitening
+from martlake.llm import ann, bpe, hard_negatives, lattice_lm, line_dedup, mixing, ngram_join, outliers, quality, suffix_dedup, token_files, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -19,10 +19,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_ann": ann.op10_ann,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op4_mixing": mixing.ORACLE_SQL,
     "op8_line_dedup": line_dedup.ORACLE_SQL,
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
 }
