@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlake.llm import ann, bpe, hard_negatives, lattice_lm, line_dedup, mixing, ngram_join, outliers, quality, suffix_dedup, token_files, whitening
+from martlake.llm import ann, bpe, hard_negatives, lattice_lm, line_dedup, minhash_join, mixing, ngram_join, outliers, quality, suffix_dedup, \
+    token_files, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": quality.op1_quality_classifier,
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_ann": ann.op10_ann,
     "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_minhash": minhash_join.op12_minhash,
     "op13_whitening": whitening.op13_whitening,
 }
 

@@ -159,6 +159,42 @@ def words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return s, e, np.searchsorted(s, off)
 
 
+def shingle_sets(buf: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, first): the sorted distinct 64-bit hashes of the ``width``-word shingles of
+    document d are shingles[first[d]:first[d+1]]. A-Z are lower-cased; a document with fewer
+    words has its whole sequence as its one shingle, one without words none."""
+    buf = TO_LOWER[buf]
+    s, e, first = words(buf, off)
+    h = span_hashes(buf, s, e)
+    n = np.diff(first)
+    wide = np.minimum(n, width)
+    count = np.where(n > 0, n - wide + 1, 0)
+    at = ragged(first[:-1], count)
+    doc = np.repeat(np.arange(len(n), dtype=np.uint32), count)
+    wide = wide[doc]
+    total = np.zeros(len(at), np.uint64)
+    full = bool((wide == width).all())
+    for k in range(width):
+        use = slice(None) if full else wide > k
+        t = total[use] * np.uint64(0x9E3779B97F4A7C15) + h[at[use] + k]
+        total[use] = t ^ (t >> np.uint64(29))
+    total = mix(total + wide.astype(np.uint64))
+    # by hash, then (stable) by document
+    order = np.argsort(total)
+    order = order[np.argsort(doc[order].astype(np.uint16) if len(n) <= 1 << 16 else doc[order], kind="stable")]
+    total, doc = total[order], doc[order]
+    if len(total):
+        new = np.concatenate([[True], (total[1:] != total[:-1]) | (doc[1:] != doc[:-1])])
+        total, doc = total[new], doc[new]
+    return total, np.searchsorted(doc, np.arange(len(n) + 1))
+
+
+def set_keys(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """One 64-bit key for each set, from its members and size."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(sets + np.uint64(1)), dtype=np.uint64)])
+    return mix(sums[first[1:]] - sums[first[:-1]] + np.diff(first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenated index ranges start, start+1, ... of the given lengths."""
     total = int(lengths.sum())
