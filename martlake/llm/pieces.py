@@ -2,9 +2,11 @@
 
 The cuts are places where the public pre-tokenizer pattern always ends a match: before white
 space that follows a visible character, between an ASCII letter and ASCII punctuation, and
-between a line end and an ASCII letter. A piece may still hold several matches; whoever
-encodes a piece splits it by the pattern. Words repeat, so a worker encodes each distinct
-piece once and looks the rest up by 64-bit hash; the cache is bounded and refilled when full.
+between a single line end and an ASCII letter (of a longer run of white space the pattern's
+last match depends on what follows). Strings that a library treats as one token are never cut.
+A piece may still hold several matches; whoever encodes a piece splits it by the pattern. Words
+repeat, so a worker encodes each distinct piece once and looks the rest up by 64-bit hash; the
+cache is bounded and refilled when full.
 """
 
 from __future__ import annotations
@@ -26,9 +28,9 @@ for _a, _b in ((33, 48), (58, 65), (91, 97), (123, 127)):
 _KIND[128:] = _HIGH
 
 
-def cut(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+def cut(buf: np.ndarray, off: np.ndarray, literals: tuple[bytes, ...] = ()) -> np.ndarray:
     """Starts of all pieces, in order, and the end of the buffer. Every document that isn't
-    empty starts a piece."""
+    empty starts a piece; no piece starts inside one of ``literals``."""
     if not len(buf):
         return np.zeros(1, np.int64)
     kind = _KIND[buf]
@@ -37,9 +39,16 @@ def cut(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     lead = np.zeros(len(buf) - 1, bool)
     lead[1:] = (before[1:] == _HIGH) & (buf[:-2] >= 0xC3) & (buf[:-2] <= 0xDF)
     visible = (before == _LETTER) | (before == _PUNCT) | lead
-    at = (here == _SPACE) & visible
-    at |= (before == _LETTER) & (here == _PUNCT)
-    at |= (buf[:-1] == 0x0A) & (here == _LETTER)
+    line = (buf[:-1] == 0x0A) & (here == _LETTER)
+    line[:1] = False
+    line[1:] &= visible[:-1]
+    at = ((here == _SPACE) & visible) | ((before == _LETTER) & (here == _PUNCT)) | line
+    raw = buf.tobytes() if literals else b""
+    for literal in literals:
+        i = raw.find(literal)
+        while i >= 0:
+            at[i:i + len(literal) - 1] = False
+            i = raw.find(literal, i + 1)
     starts = off[:-1][np.diff(off) > 0]
     return np.concatenate([np.union1d(np.flatnonzero(at) + 1, starts), [len(buf)]])
 
@@ -48,9 +57,9 @@ class PieceCache:
     """Distinct pieces by hash, each with its encoding: rows of ``self.columns``, arrays of
     concatenated values with offsets."""
 
-    def __init__(self, encode, n_columns: int = 1, remember: int = REMEMBER):
+    def __init__(self, encode, n_columns: int = 1, remember: int = REMEMBER, literals: tuple[bytes, ...] = ()):
         """``encode(list of bytes)`` returns n_columns lists of one array for each piece."""
-        self.encode, self.n, self.remember = encode, n_columns, remember
+        self.encode, self.n, self.remember, self.literals = encode, n_columns, remember, literals
         self.clear()
 
     def clear(self):
@@ -96,7 +105,7 @@ class PieceCache:
 def encoded_docs(cache: PieceCache, buf: np.ndarray, off: np.ndarray):
     """For each column of the cache (values, first): those of document d are
     values[first[d]:first[d+1]]."""
-    bounds = cut(buf, off)
+    bounds = cut(buf, off, cache.literals)
     slots = cache.look_up(buf, bounds) if len(bounds) > 1 else np.zeros(0, np.int64)
     doc = np.searchsorted(bounds[:-1], off)
     out = []

@@ -7,8 +7,9 @@ data set: document ids, numbers of ids, coded bytes, bit-offset checkpoints. The
 (id, length) is written beside them. Reading needs the files only; blocks are independent
 and decoded by table, wherever Spark reads them.
 
-Strings of special tokens in a text are ordinary text. Null and empty texts hold the end id
-only. Rows that repeat a doc_id stand next to each other, in no fixed order; rows with a null
+The string of an added token in a text is that token, as in the library's plain call. Null and
+empty texts hold the end id only; very long texts are coded by pieces, one text's ids in a task
+at once. Empty tables give an empty codebook and no blocks. Rows that repeat a doc_id stand next to each other, in no fixed order; rows with a null
 doc_id come last. Extra columns are ignored.
 """
 
@@ -39,12 +40,12 @@ def _encoder(path: str) -> PieceCache:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
+        literals = tuple(token.content.encode() for token in t.get_added_tokens_decoder().values())
 
         def encode(pieces):
             texts = [p.decode("utf-8", "replace") for p in pieces]
             return [[np.array(e.ids, np.int32) for e in t.encode_batch_fast(texts, add_special_tokens=False)]]
-        held[path] = PieceCache(encode)
+        held[path] = PieceCache(encode, literals=literals)
     return held[path]
 
 

@@ -38,15 +38,47 @@ def test_bpe_is_the_librarys(spark, library):
     assert whole.decoded.decode() == docs.filter("doc_id = 105").first().text
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text(st.sampled_from("ab c'stll!?.,\n\r\t 12éß日\u0085  ~|<>"), max_size=120))
+PARTS = st.sampled_from(["a", "b", "Next", " ", " ", "  ", "\n", "\n", "\n\n", "\r\n", "\r", "\t", "'s", "'ll", "'", "st", "!", "?.", ",", "12", "é", "ß",
+                         "日本", "\u0085", "\u00a0", "\u2028", "\u3000", "\x1c", "~|<>", "<|", "|>", "<|endoftext|>", "endoftext"])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(PARTS, max_size=25).map("".join))
 def test_pieces_encode_like_the_text(codec, library, text):
-    buf, off = textkit.flat_text(__import__("pyarrow").array([text, "x", text]))
+    buf, off = textkit.flat_text(__import__("pyarrow").array([text, "x", text, "", "\n" + text]))
     (ids, at), (raw, to) = pieces.encoded_docs(codec.cache, buf, off)
     assert ids[at[0]:at[1]].tolist() == ids[at[2]:at[3]].tolist() == library.encode_ordinary(text)
+    assert ids[at[4]:].tolist() == library.encode_ordinary("\n" + text)
     assert raw[to[0]:to[1]].astype(np.uint8).tobytes() == text.encode()
 
 
+@pytest.fixture(scope="module")
+def plain():
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(textkit.tokenizer_path(token_files.VOCABULARY))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(PARTS, max_size=25).map("".join))
+def test_pieces_encode_like_the_plain_library_call(plain, text):
+    cache = token_files._encoder(textkit.tokenizer_path(token_files.VOCABULARY))
+    buf, off = textkit.flat_text(__import__("pyarrow").array([text, "x", text + "\n", "", text]))
+    (ids, at), = pieces.encoded_docs(cache, buf, off)
+    for i, t in enumerate([text, "x", text + "\n", "", text]):
+        assert ids[at[i]:at[i + 1]].tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
+def test_cache_runs_and_refills():
+    import pyarrow as pa
+    cache = pieces.PieceCache(lambda ps: [[np.frombuffer(p, np.uint8).astype(np.int32) for p in ps]], remember=300)
+    rng = np.random.default_rng(1)
+    for _ in range(40):
+        texts = [" ".join(f"w{k}" for k in rng.integers(0, 400, rng.integers(0, 60))) for _ in range(5)]
+        buf, off = textkit.flat_text(pa.array(texts))
+        (ids, at), = pieces.encoded_docs(cache, buf, off)
+        assert [bytes(ids[a:b].astype(np.uint8)).decode() for a, b in zip(at, at[1:])] == texts
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.text(st.sampled_from("abcdehilnorstu"), min_size=1, max_size=160))
 def test_contractions_agree(codec, word):
@@ -85,7 +117,8 @@ def test_code_is_optimal_without_a_limit():
 def test_token_files(spark, tmp_path):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(textkit.tokenizer_path(token_files.VOCABULARY))
-    docs = frames.table(spark)
+    more = [(200, "para\n\nNext"), (201, "\n\nfoo \n\nA"), (202, "<|endoftext|> hi<|endoftext|>there"), (203, "a <|endof"), (204, "text|> b")]
+    docs = frames.table(spark).select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
     token_files.write_files(docs, str(tmp_path / "a"))
     got = sorted(((r.doc_id is None, r.doc_id or 0, r.start, r.n_tokens, r.ids_crc32)
                   for r in token_files.with_starts(token_files.read_files(spark, str(tmp_path / "a"))).collect()))
