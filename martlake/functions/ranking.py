@@ -62,6 +62,12 @@ def running_sum(df: DataFrame, order: list[Column], value: str, name: str,
     each partition computes its local running sum, and the totals of the key's earlier
     partitions are added. ``order`` must be total within a key.
     """
+    return running_sums(df, order, {name: value}, partition_by, partitions)
+
+
+def running_sums(df: DataFrame, order: list[Column], values: dict[str, str],
+                 partition_by: list[str] | None = None, partitions: int | None = None) -> DataFrame:
+    """``running_sum`` of several columns in one pass: ``values`` maps new names to columns."""
     spark = df.sparkSession
     keys = list(partition_by or [])
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -70,12 +76,10 @@ def running_sum(df: DataFrame, order: list[Column], value: str, name: str,
                 .withColumn("_pid", F.spark_partition_id())
                 .checkpoint(eager=False))
     w = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = parted.withColumn("_ls", F.sum(value).over(w))
-    totals = parted.groupBy("_pid", *keys).agg(F.sum(value).alias("_t"))
-    offsets = totals.select(
-        "_pid", *keys,
-        F.sum("_t").over(Window.partitionBy(*keys).orderBy("_pid")
-                         .rowsBetween(Window.unboundedPreceding, -1)).alias("_off"))
+    local = parted.withColumns({f"_ls_{k}": F.sum(v).over(w) for k, v in values.items()})
+    totals = parted.groupBy("_pid", *keys).agg(*[F.sum(v).alias(f"_t_{k}") for k, v in values.items()])
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *keys, *[F.sum(f"_t_{k}").over(earlier).alias(f"_off_{k}") for k in values])
     out = local.join(offsets, ["_pid", *keys])
-    return (out.withColumn(name, F.coalesce(F.col("_off"), F.lit(0)) + F.col("_ls"))
-               .drop("_pid", "_ls", "_off"))
+    return (out.withColumns({k: F.coalesce(F.col(f"_off_{k}"), F.lit(0)) + F.col(f"_ls_{k}") for k in values})
+               .drop("_pid", *[f"_ls_{k}" for k in values], *[f"_off_{k}" for k in values]))

@@ -13,15 +13,14 @@ not positive (-20014), stock short after the order's own earlier lines (-20013),
 twice (-1, the primary key). A rejected order changes nothing (atomic per order).
 
 Contention is per (branch, item): a pair whose total demand in the batch never exceeds
-its opening stock cannot run short, whatever the order. Only orders holding a line on a
-contended pair are folded, per branch, in (req_ts, req_id) order, with the stock of that
-branch's contended pairs as state; all other orders are decided set-wise.
-
-The voucher's once-per-member rule counts accepted orders only, so it depends on the stock
-and the stock on it. Decisions start from the first order of each (voucher, member) that
-no other check rejects; while one of those fails on stock, the rule is judged anew by the
-decisions reached. An order depends on earlier orders alone, so this ends, and only at the
-sequential outcome.
+its opening stock cannot run short, whatever the order. A voucher that several orders of a
+member name is contended too: one unit of it, taken by the first accepted order. Orders that
+take from contended resources are settled in rounds, set-wise (``settle``): whatever the
+undecided orders before it take, an order is accepted if everything left after them suffices,
+and rejected if what the accepted ones leave doesn't. A round decides the earliest undecided
+order of every resource at least, in practice nearly all of them; what lies before a resource's
+first undecided order is settled and leaves the table. No order waits for a branch, and no task
+holds one. Codes then follow from the stock that each order met, line by line.
 
 Outputs: decisions, orders, order_lines (promotional prices at req_ts, W07), deliveries
 (status Preparing; courier chosen as pmod(order_id, couriers) over couriers sorted by id
@@ -31,73 +30,45 @@ snapshot (new branch stock) and low_stock_alerts (every accepted line leaving <
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from martlake.functions.ranking import running_sum
+from martlake.functions.ranking import running_sum, running_sums
 from martlake.plans import jobs
 
 LOW_STOCK = 20
 
-_FOLD_OUT = T.StructType([T.StructField("req_id", T.LongType()), T.StructField("code", T.StringType())])
-
-
-def _order_fold(batches):
-    """Per branch, orders in (req_ts, req_id) order, lines in line order.
 
-    Row kinds: 0 = opening stock of a contended pair, 1 = order line. Line flags:
-    ``stocked`` (a stock row exists), ``contended``. ``late_code`` is the order's code from
-    the checks between the stock loop and the line inserts -- such an order deducts nothing.
-    """
-    branch = None
-    stock: dict = {}
-    cur_req = None
-    lines: list = []
-
-    def close(req, late):
-        for it, q, stocked, contended in lines:
-            if not stocked:
-                return (req, "-20002")
-            if contended and q is not None and stock.get(it, 0) < q:
-                return (req, "-20001")
-        if late is not None:
-            return (req, late)
-        taken: dict = {}
-        for it, q, _, contended in lines:
-            if q is None or q <= 0:
-                return (req, "-20014")
-            if it in taken:
-                return (req, "-20013" if contended and stock.get(it, 0) - taken[it] < q else "-1")
-            taken[it] = q
-        for it, q, _, contended in lines:
-            if contended:
-                stock[it] -= q
-        return (req, None)
-
-    late = None
-    for pdf in batches:
-        out = []
-        columns = [pdf[c].tolist() for c in ("branch_id", "kind", "req_id", "item_id", "quantity", "stocked", "contended", "late_code")]
-        for b, kind, req, item, q, stocked, contended, late_code in zip(*columns):
-            if b != branch:
-                if cur_req is not None:
-                    out.append(close(cur_req, late))
-                branch, stock, cur_req, lines = b, {}, None, []
-            if kind == 0:
-                stock[item] = int(q)
-                continue
-            if req != cur_req:
-                if cur_req is not None:
-                    out.append(close(cur_req, late))
-                cur_req, lines = req, []
-                late = late_code
-            lines.append((item, None if q is None or q != q else int(q), bool(stocked), bool(contended)))
-        if out:
-            yield pd.DataFrame(out, columns=["req_id", "code"])
-    if cur_req is not None:
-        yield pd.DataFrame([close(cur_req, late)], columns=["req_id", "code"])
+def settle(entries: DataFrame) -> tuple[DataFrame, list[int]]:
+    """(req_id, accepted) of the requests in ``entries`` (req_id, req_ts, resource, q, opening):
+    a request is accepted if each resource it names still holds its q when its turn comes, in
+    (req_ts, req_id) order, and then takes all of them; a request names a resource once, q > 0.
+    Also the number of entries that each round began with."""
+    entries = jobs._materialize(entries.withColumn("fixed", F.lit(False)))
+    at, decided, sizes = F.struct("req_ts", "req_id"), [], []
+    while True:
+        sizes.append(entries.count())
+        taken = F.when(F.col("fixed"), F.col("q")).otherwise(0)
+        run = running_sums(entries.withColumns({"_t": taken, "_u": F.col("q") - taken}), [F.col("req_ts"), F.col("req_id")],
+                           {"_taken": "_t", "_open": "_u"}, ["resource"])
+        left = F.col("opening") - F.col("_taken")  # after the accepted requests before this one
+        own = run.filter("NOT fixed").groupBy("req_id").agg(
+            F.min(left - F.col("_open") >= 0).alias("accepted"), F.max(left < F.col("q")).alias("_short"))
+        done = jobs._materialize(own.filter("accepted OR _short").select("req_id", "accepted"))
+        decided.append(done)
+        entries = entries.join(done, "req_id", "left").filter(F.coalesce("accepted", F.lit(True))) \
+            .withColumn("fixed", F.col("fixed") | F.col("accepted").isNotNull()).drop("accepted")
+        first = entries.filter("NOT fixed").groupBy("resource").agg(F.min(at).alias("_first"))
+        entries = entries.join(first, "resource").withColumn("_past", F.col("fixed") & (at < F.col("_first")))
+        past = entries.filter("_past").groupBy("resource").agg(F.sum("q").alias("_gone"))
+        entries = jobs._materialize(entries.filter("NOT _past").join(past, "resource", "left").withColumn(
+            "opening", F.col("opening") - F.coalesce("_gone", F.lit(0))).drop("_first", "_past", "_gone"))
+        if entries.isEmpty():
+            break
+    out = decided[0]
+    for d in decided[1:]:
+        out = out.unionByName(d)
+    return out, sizes
 
 
 def explode_lines(requests: DataFrame, col: str = "lines") -> DataFrame:
@@ -126,28 +97,6 @@ class _Outputs(dict):
         return iter(self.keys())
 
 
-def _decide(h: DataFrame, li: DataFrame, contended_pairs: DataFrame, lost: DataFrame) -> DataFrame:
-    """(req_id, code) of the orders ``h``, given the orders that ``lost`` their voucher."""
-    h = h.join(lost, "req_id", "left").withColumn("late", F.coalesce("late", "_dupv"))
-    # set-wise decisions for orders without a contended line
-    simple = h.filter(F.col("_touch").isNull())
-    simple_dec = simple.select("req_id", F.coalesce(F.when(F.col("_unst") == 1, F.lit("-20002")), F.col("late"), F.col("_lines")).alias("code"))
-    # ordered fold for the rest, per branch
-    fold_lines = (li.join(lost, "req_id", "left")
-                  .select(F.lit(1).alias("kind"), F.col("branch_id").cast("long"), "req_ts", "req_id", "line_no", F.col("item_id").cast("long"),
-                          F.col("quantity").cast("long").alias("quantity"), "stocked", "contended",
-                          F.coalesce("late0", "_dupv").alias("late_code")))
-    open_rows = (contended_pairs.join(fold_lines.select("branch_id").distinct(), "branch_id", "left_semi")
-                 .select(F.lit(0).alias("kind"), F.col("branch_id").cast("long"), F.lit(None).cast("timestamp_ntz").alias("req_ts"),
-                         F.lit(None).cast("long").alias("req_id"), F.lit(None).cast("int").alias("line_no"), F.col("item_id").cast("long"),
-                         F.col("opening").cast("long").alias("quantity"), F.lit(True).alias("stocked"),
-                         F.lit(True).alias("contended"), F.lit(None).cast("string").alias("late_code")))
-    stream = (open_rows.unionByName(fold_lines.withColumn("req_ts", F.col("req_ts").cast("timestamp_ntz")))
-              .repartition(F.xxhash64("branch_id"))  # derived key: see jobs.transfer_stock
-              .sortWithinPartitions("branch_id", "kind", "req_ts", "req_id", "line_no"))
-    return simple_dec.unionByName(stream.mapInPandas(_order_fold, _FOLD_OUT))
-
-
 def place_orders(t, headers: DataFrame, lines: DataFrame, as_of) -> dict:
     """Place multi-line orders all or nothing (see the module docstring for the rules
     and outputs)."""
@@ -204,26 +153,45 @@ def place_orders(t, headers: DataFrame, lines: DataFrame, as_of) -> dict:
                                    "_addr", "early", "late", "_unst", "_lines", "_touch"))
 
     open_h = h.filter(F.col("early").isNull())
-    li = jobs._materialize(li.join(open_h.filter(F.col("_touch").isNotNull()).select("req_id", F.col("late").alias("late0")), "req_id"))
-    # orders that use a voucher of theirs at the same time as others of the batch
     order = F.struct("req_ts", "req_id")
+    # only an order that no rule of its own rejects can take anything
+    clean = open_h.filter("late IS NULL AND _lines IS NULL AND coalesce(_unst, 0) = 0").select("req_id", "req_ts", "voucher_id", "member_id")
     rivals = open_h.filter(F.col("late").isNull() & F.col("voucher_id").isNotNull())
-    several = rivals.groupBy("voucher_id", "member_id").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").drop("_k")
-    rivals = jobs._materialize(rivals.join(several, ["voucher_id", "member_id"])
-                               .select("req_id", "voucher_id", "member_id", order.alias("_o"), "_lines"))
-
-    def beaten(winners: DataFrame) -> DataFrame:
-        first = winners.groupBy("voucher_id", "member_id").agg(F.min("_o").alias("_first"))
-        return rivals.join(first, ["voucher_id", "member_id"]).filter("_o > _first").select("req_id", F.lit("-20044").alias("_dupv"))
-
-    lost = jobs._materialize(beaten(rivals.filter(F.col("_lines").isNull())))
-    while True:
-        codes = jobs._materialize(_decide(open_h, li, contended_pairs, lost))
-        again = jobs._materialize(beaten(rivals.join(codes.filter(F.col("code").isNull()).select("req_id"), "req_id", "left_semi")))
-        if again.join(lost, "req_id", "left_anti").isEmpty() and lost.join(again, "req_id", "left_anti").isEmpty():
-            break
-        lost = again
-    codes = codes.unionByName(h.filter(F.col("early").isNotNull()).select("req_id", F.col("early").alias("code")))
+    several = clean.filter(F.col("voucher_id").isNotNull()).groupBy("voucher_id", "member_id").agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").drop("_k")
+    stock_entries = li.filter("contended").join(clean.select("req_id"), "req_id", "left_semi").select(
+        "req_id", "req_ts", F.concat_ws("|", F.lit("stock"), "branch_id", "item_id").alias("resource"), F.col("quantity").cast("long").alias("q"),
+        F.col("opening").cast("long").alias("opening"))
+    voucher_entries = clean.join(several, ["voucher_id", "member_id"], "left_semi").select(
+        "req_id", "req_ts", F.concat_ws("|", F.lit("voucher"), "voucher_id", "member_id").alias("resource"), F.lit(1).cast("long").alias("q"),
+        F.lit(1).cast("long").alias("opening"))
+    settled, rounds = settle(stock_entries.unionByName(voucher_entries))
+    refused = settled.filter("NOT accepted").select("req_id")
+    took = clean.select("req_id").join(refused, "req_id", "left_anti")  # the accepted orders
+
+    # codes: the stock that the lines on contended pairs met, and the vouchers already used
+    met = li.filter("contended").join(took.withColumn("_took", F.lit(True)), "req_id", "left")
+    met = met.withColumn("_takes", F.when(F.col("_took"), F.col("quantity").cast("long")).otherwise(0))
+    met = running_sum(met, [F.col("req_ts"), F.col("req_id"), F.col("line_no")], "_takes", "_gone", partition_by=["branch_id", "item_id"])
+    same = Window.partitionBy("req_id", "item_id").orderBy("line_no")
+    met = (met.withColumn("_stock", F.col("opening") - F.col("_gone") + F.sum("_takes").over(same))  # before the order's own lines
+           .withColumn("_before", F.first("quantity").over(same)))
+    short = F.col("_stock") < F.col("quantity")
+    again = F.when(F.col("_bad") == "-1", F.when(F.col("_stock") - F.col("_before") < F.col("quantity"), F.lit("-20013")).otherwise(F.lit("-1"))) \
+        .otherwise(F.col("_bad"))
+    plain = li.filter("NOT contended")
+    line_codes = (met.select("req_id", "line_no", F.when(short, F.lit("-20001")).alias("_loop"), again.alias("_insert"))
+                  .unionByName(plain.select("req_id", "line_no", F.when(~F.col("stocked"), F.lit("-20002")).alias("_loop"), F.col("_bad").alias("_insert"))))
+    touched = open_h.filter(F.col("_touch").isNotNull()).select("req_id")
+    by_line = line_codes.join(touched, "req_id", "left_semi").groupBy("req_id").agg(
+        F.min_by("_loop", F.when(F.col("_loop").isNotNull(), F.col("line_no"))).alias("_loop"),
+        F.min_by("_insert", F.when(F.col("_insert").isNotNull(), F.col("line_no"))).alias("_insert"))
+    used = rivals.join(took, "req_id", "left_semi").groupBy("voucher_id", "member_id").agg(F.min(order).alias("_first"))
+    lost = rivals.join(used, ["voucher_id", "member_id"]).filter(order > F.col("_first")).select("req_id", F.lit("-20044").alias("_dupv"))
+    judged = open_h.join(lost, "req_id", "left").join(by_line, "req_id", "left")
+    codes = judged.select("req_id", F.coalesce(
+        F.when(F.col("_touch").isNotNull(), F.col("_loop")).when(F.col("_unst") == 1, F.lit("-20002")), "late", "_dupv",
+        F.when(F.col("_touch").isNotNull(), F.col("_insert")).otherwise(F.col("_lines"))).alias("code"))
+    codes = jobs._materialize(codes.unionByName(h.filter(F.col("early").isNotNull()).select("req_id", F.col("early").alias("code"))))
     decisions = codes.select("req_id", F.col("code").isNull().alias("accepted"), "code")
     acc = h.join(codes.filter(F.col("code").isNull()).select("req_id"), "req_id", "left_semi")
 
@@ -265,7 +233,7 @@ def place_orders(t, headers: DataFrame, lines: DataFrame, as_of) -> dict:
                            "stock_after"))
 
     return _Outputs({"decisions": decisions, "orders": orders, "order_lines": priced, "deliveries": dl, "pickups": pk,
-                     "redemptions": red, "points": points, "snapshot": snap}, {"low_stock_alerts": alerts})
+                     "redemptions": red, "points": points, "snapshot": snap, "rounds": rounds}, {"low_stock_alerts": alerts})
 
 
 def replay_orders(t):

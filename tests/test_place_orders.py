@@ -1,10 +1,11 @@
 """W11 place_orders: the reference's order-placement cases and a sequential loop."""
 
 import datetime as dt
+import random
 from decimal import Decimal
 
 from martlake.catalog import retail
-from martlake.plans.orders import place_orders, replay_orders
+from martlake.plans.orders import place_orders, replay_orders, settle
 from martlake.sources.retail import RETAIL_AS_OF, from_frames
 
 D = Decimal
@@ -122,3 +123,41 @@ def test_delivery_with_given_address(spark):
     (d,) = res["deliveries"].collect()
     assert (d.order_id, d.company_id, d.delivery_address, d.delivery_status) == (100, 2001, "1 Jalan Test", "Preparing")
     assert res["pickups"].count() == 0
+
+
+def test_settle_in_rounds(spark):
+    """Requests for several scarce resources equal the loop in a few rounds, each with fewer
+    entries; one resource holds a third of all entries."""
+    rnd = random.Random(9)
+    opening = {f"r{k}": rnd.randint(5, 60) for k in range(60)} | {"hot": 900}
+    rows = []
+    for i in range(1500):
+        names = set(rnd.sample(sorted(opening), rnd.randint(1, 4))) | ({"hot"} if rnd.random() < 0.6 else set())
+        rows += [(i, NOW + dt.timedelta(seconds=i * 7919 % 1013), n, rnd.randint(1, 4), opening[n]) for n in sorted(names)]
+    entries = spark.createDataFrame(rows, "req_id long, req_ts timestamp_ntz, resource string, q long, opening long")
+    out, rounds = settle(entries)
+    left, exp = dict(opening), {}
+    by_req = {}
+    for i, ts, n, q, _ in rows:
+        by_req.setdefault((ts, i), []).append((n, q))
+    for (_, i), wants in sorted(by_req.items()):
+        exp[i] = all(left[n] >= q for n, q in wants)
+        if exp[i]:
+            for n, q in wants:
+                left[n] -= q
+    assert {r.req_id: r.accepted for r in out.collect()} == exp and 0 < sum(exp.values()) < len(exp)
+    assert len(rounds) <= 25 and all(a > b for a, b in zip(rounds, rounds[1:]))
+
+
+def test_long_chain_of_voucher_rivals(spark):
+    """Forty orders of one member with one voucher, each short of stock but the last: the voucher
+    goes to the last, and the rounds don't follow the chain."""
+    t = base(spark)
+    n = 40
+    h = spark.createDataFrame([(100 + i, NOW + dt.timedelta(minutes=i), 9001, 9001, 9001, "In Store", "V9001", None) for i in range(n)]
+                              + [(900, NOW + dt.timedelta(hours=5), 9001, 9001, 9001, "In Store", "V9001", None)], HDR)
+    ln = spark.createDataFrame([(100 + i, 0, 2, 11 + i if i < n - 1 else 3) for i in range(n)] + [(900, 0, 1, 1)], LIN)
+    res = place_orders(t, h, ln, NOW.date())
+    codes = {r.req_id: r.code for r in res["decisions"].collect()}
+    assert codes == {100 + i: "-20001" for i in range(n - 1)} | {100 + n - 1: None, 900: "-20044"}
+    assert len(res["rounds"]) <= 3

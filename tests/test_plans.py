@@ -12,9 +12,7 @@ QUERIES = catalog.queries()
 STREAMS = {n for n in QUERIES if n.endswith("_stream")}
 # queries whose plan holds the ordered fold (mapInPandas over key-partitioned sorted input)
 FOLDS = {"validation_violations", "stock_ledger_violations", "low_stock_alerts", "points_ledger_violations", "member_points_balances",
-         "transfer_stock", "transfer_stock_snapshot", "place_orders", "place_orders_snapshot",
-         "place_orders_low_stock_alerts", "place_orders_orders", "place_orders_order_lines", "place_orders_deliveries",
-         "place_orders_pickups"}
+         "transfer_stock", "transfer_stock_snapshot"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "AggregateInPandas")
 
