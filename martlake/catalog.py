@@ -86,29 +86,27 @@ def _replay(po, output: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _stream(kind: str) -> Callable[[SparkSession, str], DataFrame]:
-    """A streaming job run to completion over files derived from the source folder."""
+    """A streaming job run to completion over a replay, in event-time order, of a table."""
     from martlake.sources import requests as rq
+    from martlake.sources.replay import TimeOrdered
     from martlake.streaming import jobs as S
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = retail(spark, sf_dir)
+        events = spark.read.parquet(f"{sf_dir}/events.parquet")
         if kind == "pickup":
-            # the files are in no time order: a row may be as late as the whole span is long
-            path, delay = f"{sf_dir}/events.parquet", "3650 days"
-            src = S.Replay(spark, path, spark.read.parquet(path).schema, "ts", delay)
-            df = S.pickup_lifecycle_stream(t, rq.pickup_events_from(src.rows, sf_dir), delay)
+            src = TimeOrdered(spark, events.filter("event_type = 'signup'"), "ts")
+            df = S.pickup_lifecycle_stream(t, rq.pickup_events_from(src.rows, sf_dir), src.delay)
         elif kind == "points":
-            src = S.OrderedReplay(spark, spark.read.parquet(f"{sf_dir}/events.parquet"), "ts")
+            src = TimeOrdered(spark, events, "ts")
             df = S.points_ledger_stream(t, src.rows, src.delay)
         elif kind == "stock":
-            d = f"{checkpoint_dir(spark).rstrip('/')}/lines-{uuid.uuid4().hex}"
-            S.with_order(t, t["order_item"]).write.parquet(d)
-            src = S.OrderedReplay(spark, spark.read.parquet(d), "order_date")
+            src = TimeOrdered(spark, S.with_order(t, t["order_item"]), "order_date")
             df = S.low_stock_stream(t, src.rows, delay=src.delay)
         else:
-            src = S.OrderedReplay(spark, t["redemption"], "redeemed_date")
+            src = TimeOrdered(spark, t["redemption"], "redeemed_date")
             df = S.dedupe_redemptions_stream(t, src.rows, src.delay)
-        return S.run_available(df, kind, src)
+        return S.run(df, kind, src)
     run.__name__ = f"{kind}_stream"
     return run
 

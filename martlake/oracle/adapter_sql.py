@@ -46,7 +46,8 @@ ADAPTER_CTES = {
     "q_redeem": """select event_id as req_id, ts as req_ts, 'V'||cast(95+event_id % 32 as varchar(10)) as voucher_id, case when event_id % 3 = 0 then event_id % 20 else event_id * 7919 % ((select max(o_orderkey) from orders) + 50) end as order_id,
  user_id as member_id from events where event_type='purchase'""",
     "q_pickup": """select event_id as req_id, ts as req_ts, case when event_id % 3 = 0 then event_id % 20 else event_id * 7919 % ((select max(o_orderkey) from orders) + 50) end as order_id, case event_id % 6 when 0 then 'Preparing' when 1 then 'Ready'
- when 2 then 'Completed' when 3 then 'Expired' when 4 then 'Rescheduled' else 'Shipped' end as new_status from events where event_type='signup'""",
+ when 2 then 'Completed' when 3 then 'Expired' when 4 then 'Rescheduled' else 'Shipped' end as new_status,
+ case when event_id % 6 = 4 and event_id % 5 = 1 then ts - interval 1 day when event_id % 6 = 4 and event_id % 5 > 1 then ts + to_days(cast(event_id % 7 as int)) end as reschedule_date from events where event_type='signup'""",
     "q_delivery": """select event_id as req_id, ts as req_ts, case when event_id % 4 = 0 then 'create' else 'update' end as action,
  case when event_id % 4 = 0 then -1 - event_id else 50001 + case when event_id % 3 = 0 then event_id % 20 else event_id * 7919 % ((select max(o_orderkey) from orders) + 50) end end as delivery_id, case when event_id % 3 = 0 then event_id % 20 else event_id * 7919 % ((select max(o_orderkey) from orders) + 50) end as order_id,
  2001 + event_id % 7 as company_id, case when event_id % 7 = 0 then null else 'Addr ' || cast(user_id as varchar) end as address,

@@ -21,9 +21,11 @@ with r as (
     case when q.order_id is null then 'IGNORED'
          when q.new_status not in ('Preparing', 'Ready', 'Completed', 'Expired', 'Rescheduled') then '-20638'
          when o.order_id is null then '-20641' when lower(o.order_type) != 'self pickup' then '-20639'
-         when sp.order_id is null then '-20641' end as scode
+         when sp.order_id is null then '-20641'
+         when q.new_status = 'Rescheduled' and q.reschedule_date < q.req_ts then '-20003' end as scode
   from q_pickup q left join r_orders o on o.order_id = q.order_id left join r_self_pickup sp on sp.order_id = q.order_id),
-ok as (select *, case when new_status in ('Ready', 'Rescheduled') then req_ts + interval 3 day end as sets from r where scode is null),
+ok as (select *, case when new_status = 'Ready' then req_ts + interval 3 day
+                     when new_status = 'Rescheduled' then coalesce(reschedule_date, req_ts + interval 3 day) end as sets from r where scode is null),
 ok2 as (select *, last_value(sets ignore nulls) over (partition by order_id order by req_ts, req_id
           rows between unbounded preceding and 1 preceding) as exp_in_force from ok),
 dec as (select req_id, scode as code from r where scode is not null
@@ -32,18 +34,22 @@ dec as (select req_id, scode as code from r where scode is not null
 _REDEEM = """
 with hist as (select distinct r.voucher_id, o.member_id from r_redemption r join r_orders o on o.order_id = r.order_id where o.member_id is not null),
 r as (
-  select q.*, o.member_id as owner,
+  select q.*, o.member_id as owner, coalesce(o.order_date > v.exp_date, false) as dated_after,
     case when v.voucher_id is null then '-20043' when v.exp_date < date '2001-08-01' then '-20040'
          when m.member_id is null then '-20041' when o.order_id is null then '-20043'
          when o.member_id is not null and o.member_id <> q.member_id then '-20042'
-         when h.voucher_id is not null then '-20044' end as scode
+         when h.voucher_id is not null then '-20044'
+         when exists (select 1 from r_redemption x where x.voucher_id = q.voucher_id and x.order_id = q.order_id) then '-20031' end as scode
   from q_redeem q left join r_voucher v on v.voucher_id = q.voucher_id left join r_member m on m.member_id = q.member_id
   left join r_orders o on o.order_id = q.order_id left join hist h on h.voucher_id = q.voucher_id and h.member_id = q.member_id),
+taken as (select a.req_id as later_id, min(a.owner) as owner from r a join r b on b.voucher_id = a.voucher_id
+            and (b.owner = a.owner or (a.owner is null and b.owner is null and b.order_id = a.order_id))
+            and (b.req_ts, b.req_id) < (a.req_ts, a.req_id)
+          where a.scode is null and b.scode is null and not b.dated_after group by a.req_id),
 dec as (
-  select req_id, scode as code from r where scode is not null
-  union all
-  select req_id, case when owner is not null and row_number() over (partition by voucher_id, owner order by req_ts, req_id) > 1
-                      then '-20044' end from r where scode is null)"""
+  select r.req_id, case when scode is not null then scode when t.later_id is not null and r.owner is not null then '-20044'
+                        when t.later_id is not null then '-20031' when dated_after then '-20032' end as code
+  from r left join taken t on t.later_id = r.req_id)"""
 
 SQL = {
     "update_item_prices": _PRICE + "\nselect req_id, code is null as accepted, code from r",
@@ -82,8 +88,9 @@ from l left join c on c.order_id = l.order_id and c.item_id = l.item_id""",
     "award_points": """
 select o.order_id, o.member_id, cast(floor(sum(oi.quantity * oi.unit_price)) as bigint) as amount, 'Earned' as transaction_type,
   o.order_date as redemption_date
-from r_orders o join r_order_item oi on oi.order_id = o.order_id
+from r_orders o join r_order_item oi on oi.order_id = o.order_id left join r_member m on m.member_id = o.member_id
 where o.member_id is not null and o.order_id not in (select order_id from r_redemption)
+  and (m.expiry_date is null or m.expiry_date >= cast(o.order_date as date))
 group by o.order_id, o.member_id, o.order_date
 having sum(oi.quantity * oi.unit_price) > 0 and floor(sum(oi.quantity * oi.unit_price)) > 0""",
 
@@ -233,31 +240,35 @@ SQL["receive_procurements_new"] = _RECEIVE + """
 select req_id as procurement_id, item_id, supplier_id, branch_id, quantity, unit_cost, date '2001-08-01' as procurement_date
 from r where code is null"""
 
-# S04 run to completion: every request with the status and expiry after it (W10 rules),
-# plus one TIMER row per pickup left Ready / Rescheduled whose expiry is not after the last
-# event of the input (in milliseconds, as Spark keeps the watermark).
+# S04 run to completion: every request with the status and expiry after it (W10 rules), plus
+# one TIMER row for each Ready / Rescheduled whose expiry passes before the order's next event
+# that counts, and is not after the last event of the input (in milliseconds, as Spark keeps the
+# watermark); from then on the status is Expired.
 SQL["pickup_lifecycle_stream"] = _PICKUP + """
 , ok3 as (select *, case when new_status = 'Completed' and exp_in_force is not null and req_ts > exp_in_force
                          then 'Expired' else new_status end as eff,
                     case when new_status = 'Completed' and exp_in_force is not null and req_ts > exp_in_force
-                         then '-20640' end as code
+                         then '-20640' end as code,
+                    last_value(sets ignore nulls) over (partition by order_id order by req_ts, req_id
+                      rows between unbounded preceding and current row) as exp_now,
+                    lead(req_ts) over (partition by order_id order by req_ts, req_id) as next_ts
           from ok2),
-allrows as (select r.req_id, r.order_id, r.req_ts, r.new_status, coalesce(r.scode, ok3.code) as code, ok3.eff, ok3.sets,
-              r.pickup_status as status0
-            from (select q.*, sp.pickup_status, x.scode from q_pickup q left join r_self_pickup sp on sp.order_id = q.order_id
-                  join r x on x.req_id = q.req_id) r
-            left join ok3 on ok3.req_id = r.req_id),
+timers as (select order_id, req_ts as since_ts, req_id as since_id, exp_now from ok3
+           where eff in ('Ready', 'Rescheduled') and exp_now is not null and (next_ts is null or next_ts > exp_now)
+             and floor(epoch_us(exp_now) / 1000) <= floor(epoch_us((select max(req_ts) from q_pickup)) / 1000)),
+allrows as (select q.req_id, q.order_id, q.req_ts, q.new_status, coalesce(x.scode, ok3.code) as code, ok3.eff, ok3.sets,
+              sp.pickup_status as status0
+            from q_pickup q left join r_self_pickup sp on sp.order_id = q.order_id join r x on x.req_id = q.req_id
+            left join ok3 on ok3.req_id = q.req_id),
 per as (select req_id, order_id, req_ts, new_status, code,
           coalesce(last_value(eff ignore nulls) over w, status0) as status_after,
           last_value(sets ignore nulls) over w as exp_after
-        from allrows window w as (partition by order_id order by req_ts, req_id rows between unbounded preceding and current row)),
-fin as (select order_id, arg_max(status_after, (req_ts, req_id)) as st, arg_max(exp_after, (req_ts, req_id)) as ex
-        from per where order_id is not null group by order_id)
-select cast(req_id as bigint) as req_id, cast(order_id as bigint) as order_id, req_ts, new_status, code, status_after, exp_after from per
+        from allrows window w as (partition by order_id order by req_ts, req_id rows between unbounded preceding and current row))
+select cast(p.req_id as bigint) as req_id, cast(p.order_id as bigint) as order_id, p.req_ts, p.new_status, p.code,
+  case when p.status_after in ('Ready', 'Rescheduled') and p.exp_after < p.req_ts then 'Expired' else p.status_after end as status_after,
+  p.exp_after from per p
 union all
-select cast(null as bigint), cast(order_id as bigint), ex, 'Expired', 'TIMER', 'Expired', ex from fin
-where st in ('Ready', 'Rescheduled') and ex is not null
-  and floor(epoch_us(ex) / 1000) <= floor(epoch_us((select max(ts) from events)) / 1000)"""
+select cast(null as bigint), cast(order_id as bigint), exp_now, 'Expired', 'TIMER', 'Expired', exp_now from timers"""
 
 
 _DELIVERY = """

@@ -51,7 +51,7 @@ select f.order_id, f.item_id, f.branch_id, f.order_date, cast(ev.quantity as big
 from f join ev on ev.branch_id = f.branch_id and ev.item_id = f.item_id and ev.rn = f.rn""",
 
     "dedupe_redemptions_stream": """
-select redemption_id, voucher_id, order_id, redeemed_date from (
+select redemption_id, voucher_id, order_id, redeemed_date, cast(null as varchar) as code from (
   select r.*, row_number() over (partition by r.voucher_id, r.order_id order by r.redeemed_date asc nulls last, r.redemption_id) as rn
   from r_redemption r where r.order_id in (select order_id from r_orders)) where rn = 1""",
 

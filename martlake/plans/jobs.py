@@ -372,29 +372,36 @@ def redeem_vouchers(t, requests: DataFrame, as_of) -> dict:
     Voucher missing (-20043); expired before ``as_of`` (-20040); member missing (-20041);
     order missing (-20043); order of another member (-20042; guest orders pass); member
     already redeemed the voucher (-20044). History is matched on the order's member, so
-    redemptions on guest orders never count; inside the batch the first otherwise-valid
-    request per (voucher, order owner) wins.
+    redemptions on guest orders never count. Then the insert's own rules: the voucher already
+    redeemed on the order (-20031), the order dated after the voucher's expiry (-20032).
+
+    Inside the batch the first request per (voucher, order owner), on guest orders per
+    (voucher, order), that no rule rejects wins; those after it get -20044 or -20031.
     """
     v = t["voucher"].select("voucher_id", "exp_date", F.lit(True).alias("_v"))
-    o = t["orders"].select("order_id", F.col("member_id").alias("_owner"), F.lit(True).alias("_o"))
+    o = t["orders"].select("order_id", F.col("member_id").alias("_owner"), "order_date", F.lit(True).alias("_o"))
     hist = (t["redemption"].join(t["orders"].select("order_id", "member_id"), "order_id")
             .filter(F.col("member_id").isNotNull()).select("voucher_id", "member_id").distinct()
             .withColumn("_used", F.lit(True)))
+    on_order = t["redemption"].select("voucher_id", "order_id").distinct().withColumn("_again", F.lit(True))
     r = (requests.join(v, "voucher_id", "left")
          .join(_exists(t["member"], "member_id", "_m"), "member_id", "left")
          .join(o, "order_id", "left")
-         .join(hist, ["voucher_id", "member_id"], "left"))
+         .join(hist, ["voucher_id", "member_id"], "left")
+         .join(on_order, ["voucher_id", "order_id"], "left"))
     r = r.withColumn("code", _first((F.col("_v").isNull(), -20043), (F.col("exp_date") < lit_date(as_of), -20040),
                                     (F.col("_m").isNull(), -20041), (F.col("_o").isNull(), -20043),
                                     (F.col("_owner").isNotNull() & (F.col("_owner") != F.col("member_id")), -20042),
-                                    (F.col("_used").isNotNull(), -20044)))
-    ok = r.filter(F.col("code").isNull())
-    # first-wins only among requests on member orders; guest-order requests never block each
-    # other and stay out of the window (a NULL key would put all of them in one task)
-    w = Window.partitionBy("voucher_id", "_owner").orderBy("req_ts", "req_id")
-    owned = ok.filter(F.col("_owner").isNotNull()).withColumn(
-        "code", F.when(F.row_number().over(w) > 1, F.lit("-20044")))
-    ok = owned.unionByName(ok.filter(F.col("_owner").isNull()))
+                                    (F.col("_used").isNotNull(), -20044), (F.col("_again").isNotNull(), -20031)))
+    r = r.withColumn("_late", F.coalesce(F.col("order_date") > F.col("exp_date").cast("timestamp_ntz"), F.lit(False)))
+    # the first request of a group that the insert takes; a group is a member's or an order's
+    # requests for one voucher, so it is small
+    ok = r.filter(F.col("code").isNull()).withColumn("_place", F.when(F.col("_owner").isNull(), F.col("order_id")))
+    at = F.struct("req_ts", "req_id")
+    w = Window.partitionBy("voucher_id", "_owner", "_place")
+    ok = ok.withColumn("_won", F.min(F.when(~F.col("_late"), at)).over(w)).withColumn("code", F.when(
+        F.col("_won") < at, F.when(F.col("_owner").isNull(), F.lit("-20031")).otherwise(F.lit("-20044")))
+        .when(F.col("_late"), F.lit("-20032")))
     dec = r.filter(F.col("code").isNotNull()).select("req_id", "code").unionByName(ok.select("req_id", "code"))
     new_red = ok.filter(F.col("code").isNull()).select(F.col("req_id").alias("redemption_id"), "voucher_id", "order_id",
                                                        F.col("req_ts").alias("redeemed_date"))
@@ -438,9 +445,12 @@ def price_order_lines(t, lines: DataFrame) -> dict:
 def award_points(t, lines: DataFrame, orders: DataFrame, voucher_orders: DataFrame) -> DataFrame:
     """Earned points rows for orders without a voucher, with a member and a positive
     total: TRUNC(sum of quantity x price). A total below 1 would give 0 points, which the
-    amount check forbids, so no row is written for it."""
+    amount check forbids, so no row is written for it; nor for a member whose membership
+    ended before the order's day (-20033 of the insert)."""
     tot = lines.groupBy("order_id").agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("_t"))
+    ended = t["member"].filter(F.col("expiry_date").isNotNull()).select("member_id", "expiry_date")
     o = orders.filter(F.col("member_id").isNotNull()).join(voucher_orders.select("order_id"), "order_id", "left_anti")
+    o = o.join(ended, "member_id", "left").filter(F.col("expiry_date").isNull() | (F.col("expiry_date") >= F.to_date("order_date")))
     j = o.join(tot, "order_id").filter(F.col("_t") > 0)
     pts = F.floor(F.col("_t")).cast("bigint")
     return (j.filter(pts > 0)
@@ -519,7 +529,8 @@ def apply_pickup_updates(t, requests: DataFrame) -> dict:
     not accepted here, NULL passes and becomes the status); order missing (-20641); not a Self Pickup order (-20639); no pickup
     row (-20641). Completed after the pickup's expiry sets status Expired and is rejected
     (-20640). Ready sets expiry to req_ts + 3 days; Rescheduled to the given date or
-    req_ts + 3 days; Completed stamps pickup_datetime = req_ts.
+    req_ts + 3 days; Completed stamps pickup_datetime = req_ts. A given date before req_ts is
+    rejected and changes nothing (-20003, the row's expiry rule).
 
     The one state-dependent check needs the expiry in force at the request: the expiry set
     by the latest earlier Ready / Rescheduled request of the order (those are never
@@ -539,7 +550,8 @@ def apply_pickup_updates(t, requests: DataFrame) -> dict:
                                     (~F.col("new_status").isin(*PICKUP_STATUSES), -20638),
                                     (F.col("order_type").isNull(), -20641),
                                     (F.lower("order_type") != "self pickup", -20639),
-                                    (F.col("_p").isNull(), -20641)))
+                                    (F.col("_p").isNull(), -20641),
+                                    ((F.col("new_status") == "Rescheduled") & (F.col("reschedule_date") < F.col("req_ts")), -20003)))
     ok = r.filter(F.col("code").isNull())
     three = F.expr("INTERVAL 3 DAYS")
     sets = (F.when(F.col("new_status") == "Ready", F.col("req_ts") + three)

@@ -67,14 +67,17 @@ def pickup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pickup_events_from(events: DataFrame, sf_dir: str) -> DataFrame:
     """Pickup status requests from an events frame (batch or stream, whose closing row has
-    a time only)."""
+    a time only). Of five Rescheduled events one names no date, one the day before, the others
+    one up to six days on."""
     e = events.filter((F.col("event_type") == "signup") | F.col("event_id").isNull())
     k = F.col("event_id") % 6
     return e.select(
         F.col("event_id").alias("req_id"), F.col("ts").alias("req_ts"),
         _order(events.sparkSession, sf_dir).alias("order_id"),
         F.when(k == 0, "Preparing").when(k == 1, "Ready").when(k == 2, "Completed")
-         .when(k == 3, "Expired").when(k == 4, "Rescheduled").otherwise("Shipped").alias("new_status"))
+         .when(k == 3, "Expired").when(k == 4, "Rescheduled").otherwise("Shipped").alias("new_status"),
+        F.when((k == 4) & (F.col("event_id") % 5 == 1), F.expr("ts - INTERVAL 1 DAY"))
+         .when((k == 4) & (F.col("event_id") % 5 > 1), F.expr("ts + make_dt_interval(cast(event_id % 7 as int))")).alias("reschedule_date"))
 
 
 def receipts_from_procurement(t) -> DataFrame:

@@ -1,54 +1,39 @@
 """Structured Streaming versions of four row triggers.
 
-Each stream shares its rule code with the batch form: the static checks are the same
-column expressions, and the order-dependent part runs in ``applyInPandasWithState``.
-
-Order: a row is applied once the watermark (latest event time minus ``delay``) has passed
-it; until then it waits in the state of its key, and an event-time timer wakes the key. What
-the watermark has passed is applied in (event time, id) order, so the result doesn't depend
-on how the input is cut into files or micro-batches, as long as no row is more than ``delay``
-behind the newest one. Rows later than that are dropped by Spark's watermark and counted in
-the query's progress (numRowsDroppedByWatermark).
-
-State lives in the state store, partitioned by key across executors and checkpointed, so a
-lost executor is replayed from the checkpoint. The ledgers and the de-duplication hold the
-keys of a hash bucket in one state value, since Python is entered once per state value; the
-number of buckets follows the number of members, items or redemptions (``_PER_BUCKET``). The
-pickup state machine has one state value per order.
-
-``run_available(df, name)`` runs a stream over the files that are there (``availableNow``) into
-a parquet table under the shared checkpoint folder and returns that table. With a ``Replay``
-as its source, a closing row then moves the watermark past the last event, so that nothing
-stays waiting. An ``OrderedReplay`` lets a table in by slices of ascending event time and moves
-the watermark behind each, so that state holds the rows of two slices at most.
+Each stream shares its rule code with the batch form: the static checks are the same column
+expressions, and the order-dependent part is the fold's step, run by ``ordered.Ordered`` on the
+state store (``transformWithState``): rows wait until the watermark (latest event time minus
+``delay``) has passed them and are then applied in (event time, id) order, so the result doesn't
+depend on how the input is cut into files or micro-batches, as long as no row is more than
+``delay`` behind the newest one. Rows later than that come out with code LATE.
+
+Opening balances and stock are streams too (``table_stream``): every row of those tables enters
+the state once, when it appears, and micro-batches touch only the entries of their own rows. A
+table that grows while a query is stopped is read on from where the query was.
+
+``run(df, name, source)`` runs a stream to the end of a replay (``sources.replay``), or over the
+files that are there, into a parquet table under the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import pickle
 import uuid
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
+from martlake.plans.jobs import PICKUP_STATUSES
 from martlake.session import checkpoint_dir
 from martlake.sources import retail as R
-
-#: keys held by one state value, about
-_PER_BUCKET = 200
-#: rows of a slice of an ordered replay, about
-_PER_SLICE = 250_000
-_STATE = "held binary, waiting binary"
+from martlake.sources.replay import TimeOrdered
+from martlake.streaming.ordered import LATE, Rules, bucket, from_micros, micros, ordered
 
 
 class Replay:
-    """A stream over the files of ``path`` (one file or a folder of part files) that can be
-    closed: ``rows`` is the streaming DataFrame, ``close()`` adds a row with nothing but an event
-    time, ``delay`` behind which the watermark has passed every event."""
+    """A stream over the files of ``path`` (one file or a folder of part files), in no time order,
+    that can be closed: ``rows`` is the streaming DataFrame, ``close()`` adds a row with nothing
+    but an event time, ``delay`` behind which the watermark has passed every event."""
 
     def __init__(self, spark: SparkSession, path: str, schema, time: str, delay: str, max_files: int = 8):
         self.spark, self.schema, self.time, self.delay = spark, schema, time, delay
@@ -67,182 +52,126 @@ class Replay:
             return
         n, unit = self.delay.split()
         end = last + dt.timedelta(**{unit.rstrip("s") + "s": int(n)}) + dt.timedelta(milliseconds=1)
-        self._mark(end)
-
-    def _mark(self, at: dt.datetime) -> None:
-        self._write([tuple(at if f.name == self.time else None for f in self.schema.fields)])
-
-    def feeds(self):
-        """Yields whenever there are new files to run over."""
-        yield
-
-
-class OrderedReplay(Replay):
-    """A ``Replay`` of a table in slices of ascending event time, of about ``per_slice`` rows (rows
-    of one event time are never parted; those without one come first). Each slice brings a row
-    that moves the watermark to just before the slice, so what came before is applied. ``delay``
-    is longer than the longest slice: no row is late, however a slice is cut into micro-batches."""
-
-    def __init__(self, spark: SparkSession, table: DataFrame, time: str, per_slice: int = _PER_SLICE, max_files: int = 8):
-        base = f"{checkpoint_dir(spark).rstrip('/')}/replay-{uuid.uuid4().hex}"
-        self.staged, landing = f"{base}/staged", f"{base}/landed"
-        at = F.col(time).cast("timestamp_ntz")
-        n = -(-table.count() // per_slice)
-        cuts = []
-        if n > 1:
-            cuts = table.agg(F.percentile_approx(at, [k / n for k in range(1, n)], 100 * n)).first()[0] or []
-        slice_ = F.lit(0)
-        if cuts:
-            bounds = F.array(*[F.lit(c).cast("timestamp_ntz") for c in sorted(set(cuts))])
-            slice_ = F.coalesce(F.size(F.filter(bounds, lambda c: c <= at)), F.lit(0))
-        table.withColumn("_slice", slice_).repartition("_slice", F.pmod(F.xxhash64(*table.columns), F.lit(max_files))) \
-            .write.partitionBy("_slice").parquet(self.staged)
-        staged = spark.read.schema(T.StructType([*table.schema.fields, T.StructField("_slice", T.IntegerType())])).parquet(self.staged)
-        spans = staged.groupBy("_slice").agg(F.min(at).alias("least"), F.max(at).alias("most")).orderBy("_slice").collect()
-        self.slices = [(r["_slice"], r["least"]) for r in spans]
-        longest = max((r["most"] - r["least"] for r in spans if r["least"] is not None), default=dt.timedelta())
-        spark.createDataFrame([], table.schema).write.parquet(landing)
-        super().__init__(spark, landing, table.schema, time, f"{longest // dt.timedelta(milliseconds=1) + 2} milliseconds", max_files)
-
-    def feeds(self):
-        n, unit = self.delay.split()
-        for k, least in self.slices:
-            if least is not None:
-                self._mark(least + dt.timedelta(**{unit: int(n)}) - dt.timedelta(milliseconds=1))
-            self.spark.read.schema(self.schema).parquet(f"{self.staged}/_slice={k}").write.mode("append").parquet(self.path)
-            yield
+        self._write([tuple(end if f.name == self.time else None for f in self.schema.fields)])
 
 
-def run_available(df: DataFrame, name: str, source: Replay | None = None) -> DataFrame:
-    """Run a streaming DataFrame until its input is exhausted; return what it wrote."""
+def run(df: DataFrame, name: str, source: Replay | TimeOrdered | None = None, base: str | None = None) -> DataFrame:
+    """Run a streaming DataFrame until its input is exhausted; return what it wrote. ``base`` names
+    the folder of its results and checkpoint, to go on with a query stopped before."""
     spark = df.sparkSession
-    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex}"
-
-    def run() -> None:
-        q = (df.writeStream.format("parquet").outputMode("append")
-             .option("path", f"{base}/out").option("checkpointLocation", f"{base}/state")
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-
-    for _ in source.feeds() if source is not None else [None]:
-        run()
-    if source is not None:
-        source.close()
-        run()
+    base = base or f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex}"
+    writer = (df.writeStream.format("parquet").outputMode("append")
+              .option("path", f"{base}/out").option("checkpointLocation", f"{base}/state"))
+    if isinstance(source, TimeOrdered):
+        source.run(writer.trigger(processingTime="0 seconds").start())
+    else:
+        writer.trigger(availableNow=True).start().awaitTermination()
+        if source is not None:
+            source.close()
+            writer.trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
-def read_files(spark: SparkSession, path: str, schema, max_files: int = 8) -> DataFrame:
+def read_files(spark: SparkSession, path: str, schema, max_files: int | None = 8) -> DataFrame:
     """A stream over a parquet file or a folder of part files; ``max_files`` bounds a
     micro-batch. The path is given as a pattern, which matches either."""
     at = path.rstrip("/")
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(f"{at[:-1]}[{at[-1]}]")
-
-
-def _buckets(keys: DataFrame, *columns: str) -> Column:
-    n = max(64, keys.count() // _PER_BUCKET)
-    return F.pmod(F.xxhash64(*columns), F.lit(n)).alias("_bucket")
-
-
-def _ms(ts) -> int:
-    return pd.Timestamp(ts).value // 1_000_000
-
-
-def _in_order(columns: list[str], apply, out: T.StructType, timers=None):
-    """A state function that applies rows in (first column: event time, second: id) order
-    behind the watermark. ``apply(held, row)`` changes the key's dict and gives an output row;
-    ``timers(key, held, watermark)`` may give further rows and the time to wake at."""
-    names = [f.name for f in out.fields]
-
-    def fn(key, pdfs, state):
-        held, waiting = (pickle.loads(x) for x in state.get) if state.exists else ({}, [])
-        if not state.hasTimedOut:
-            for pdf in pdfs:
-                waiting += zip(*[pdf[c].astype(object).where(pdf[c].notna(), None).tolist() for c in columns])
-        mark = state.getCurrentWatermarkMs()
-        ready = sorted((r for r in waiting if _ms(r[0]) < mark), key=lambda r: r[:2])
-        waiting = [r for r in waiting if _ms(r[0]) >= mark]
-        rows = [apply(held, r) for r in ready]
-        wake = [_ms(r[0]) + 1 for r in waiting]
-        if timers is not None:
-            more, at = timers(key, held, mark)
-            rows += more
-            wake += at
-        state.update((pickle.dumps(held), pickle.dumps(waiting)))
-        if wake:
-            state.setTimeoutTimestamp(max(min(wake), mark + 1))
-        rows = [r for r in rows if r is not None]
-        if rows:
-            frame = pd.DataFrame(rows, columns=names, dtype=object)
-            for f in out.fields:
-                if isinstance(f.dataType, T.LongType):
-                    frame[f.name] = pd.array(frame[f.name], dtype="Int64")
-                elif isinstance(f.dataType, T.TimestampNTZType):
-                    frame[f.name] = pd.to_datetime(frame[f.name])
-            yield frame
-    return fn
-
-
-def _stateful(rows: DataFrame, keys: list[str], time: str, delay: str, fn, out: T.StructType) -> DataFrame:
-    # watermarks need TIMESTAMP; read in UTC, so that it compares with the rows' own time
-    rows = rows.filter(F.col(time).isNotNull())
-    marked = rows.withColumn("_event_time", F.to_utc_timestamp(F.col(time).cast("timestamp"), "UTC")).withWatermark("_event_time", delay)
-    return marked.groupBy(*keys).applyInPandasWithState(fn, out, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(f"{at[:-1]}[{at[-1]}]")
 
 
-# ------------------------------------------------------------------ S01 points ledger
+def table_stream(table: DataFrame) -> DataFrame:
+    """A table as a stream: itself where it is one, else the rows it holds now."""
+    if table.isStreaming:
+        return table
+    path = f"{checkpoint_dir(table.sparkSession).rstrip('/')}/opening-{uuid.uuid4().hex}"
+    table.write.parquet(path)
+    return table.sparkSession.readStream.schema(table.schema).parquet(path)
+
+
+def _null(kind: str, name: str):
+    return F.lit(None).cast(kind).alias(name)
 
-_POINTS_OUT = T.StructType([
-    T.StructField("point_redemption_id", T.LongType()), T.StructField("member_id", T.LongType()),
-    T.StructField("amount", T.LongType()), T.StructField("transaction_type", T.StringType()),
-    T.StructField("redemption_date", T.TimestampNTZType()), T.StructField("code", T.StringType()),
-    T.StructField("balance_after", T.LongType())])
 
+# ------------------------------------------------------------------ S01 points ledger
 
-def _apply_points(held, row):
-    ts, pid, member, amount, kind, code, opening = row
-    if amount is None and kind is None:  # the closing row
-        return None
+def _apply_points(get, put, row, due):
+    at, pid, member, amount, kind, code, _ = row
     balance = None
     if code is None:
-        balance = held.get(member, opening)
-        moved = balance + (int(amount) if kind == "Earned" else -int(amount) if kind == "Used" else 0)
-        if moved >= 0:
-            balance = moved
+        held = get((member,))
+        if held is None:
+            code = "-20022"
         else:
-            code = "-20023"
-        held[member] = balance
-    return pid, member, amount, kind, ts, code, balance
+            balance = held[0] + (amount if kind == "Earned" else -amount if kind == "Used" else 0)
+            if balance < 0:
+                code, balance = "-20023", held[0]
+            put((member,), (balance,))
+    return [(pid, member, amount, kind, at, code, balance)]
+
+
+_POINTS = Rules(
+    row="at long, id long, member_id long, amount long, kind string, code string, opening long",
+    key="member_id long", value="balance long",
+    out="point_redemption_id long, member_id long, amount long, transaction_type string, at long, code string, balance_after long",
+    apply=_apply_points,
+    refuse=lambda row, code: [(*row[1:5], row[0], row[5] if code != LATE and row[5] else code, None)],
+    opens=lambda row: None if row[6] is None else ((row[2],), (row[6],)))
 
 
 def points_ledger_stream(t, events: DataFrame, delay: str = "1 hours") -> DataFrame:
     """Per-member balance with overdraft rejects over a stream of ``events``.
 
-    Events become point rows with the batch adapter's expressions; the opening balance comes
-    from the member table (stream-static join). Codes as V02 (-20020..-20023).
+    Events become point rows with the batch adapter's expressions; the opening balances come
+    from the member table (a table or a stream). Codes as V02 (-20020..-20023), LATE, NO_TIME.
     """
     ph = R.point_history(lambda _: events)
-    mem = t["member"].select("member_id", F.col("points_balance").cast("bigint").alias("opening"), F.lit(True).alias("_m"))
-    j = ph.join(mem, "member_id", "left")
     code = (F.when(F.col("amount").isNull() | (F.col("amount") <= 0), "-20020")
-             .when(~F.col("transaction_type").isin("Earned", "Used"), "-20021")
-             .when(F.col("_m").isNull(), "-20022"))
-    kind = F.when(F.col("point_redemption_id").isNotNull(), F.col("transaction_type")).alias("transaction_type")
-    j = j.select(F.col("point_redemption_id").cast("long"), F.col("member_id").cast("long"), F.col("amount").cast("long"),
-                 kind, F.col("redemption_date").cast("timestamp_ntz"), code.alias("code"), "opening",
-                 _buckets(t["member"], "member_id"))
-    fn = _in_order(["redemption_date", "point_redemption_id", "member_id", "amount", "transaction_type", "code", "opening"],
-                   _apply_points, _POINTS_OUT)
-    return _stateful(j, ["_bucket"], "redemption_date", delay, fn, _POINTS_OUT)
+             .when(~F.col("transaction_type").isin("Earned", "Used"), "-20021"))
+    rows = ph.select(bucket("member_id"), micros("redemption_date").alias("at"), F.col("point_redemption_id").cast("long").alias("id"),
+                     F.col("member_id").cast("long").alias("member_id"), F.col("amount").cast("long").alias("amount"),
+                     F.col("transaction_type").alias("kind"), code.alias("code"), _null("long", "opening"))
+    openings = table_stream(t["member"].select("member_id", "points_balance")).filter("member_id IS NOT NULL").select(
+        bucket("member_id"), _null("long", "at"), _null("long", "id"), F.col("member_id").cast("long").alias("member_id"), _null("long", "amount"),
+        _null("string", "kind"), _null("string", "code"), F.coalesce(F.col("points_balance").cast("long"), F.lit(0)).alias("opening"))
+    out = ordered(rows, openings, _POINTS, delay)
+    return out.select("point_redemption_id", "member_id", "amount", "transaction_type", from_micros("at").alias("redemption_date"), "code", "balance_after")
 
 
 # ------------------------------------------------------------------ S02 low stock
 
-_STOCK_OUT = T.StructType([
-    T.StructField("order_id", T.LongType()), T.StructField("item_id", T.LongType()),
-    T.StructField("branch_id", T.LongType()), T.StructField("order_date", T.TimestampNTZType()),
-    T.StructField("quantity", T.LongType()), T.StructField("code", T.StringType()),
-    T.StructField("stock_after", T.LongType()), T.StructField("low_stock", T.BooleanType())])
+_ITEM = -1  # the branch of the entry that says an item exists
+
+
+def _stock_rules(threshold: int) -> Rules:
+    def apply(get, put, row, due):
+        at, order, item, branch, quantity, code, _ = row
+        left, low = None, False
+        if code is None:
+            held = get((branch, item))
+            if held is None:
+                code = "-20011" if get((_ITEM, item)) is None else "-20012"
+            elif get((_ITEM, item)) is None:
+                code = "-20011"
+            else:
+                left = held[0]
+                if left >= quantity:
+                    left -= quantity
+                    low = left < threshold
+                    put((branch, item), (left,))
+                else:
+                    code = "-20013"
+        return [(order, item, branch, at, quantity, code, left, low)]
+
+    return Rules(
+        row="at long, id long, item_id long, branch_id long, quantity long, code string, opening long",
+        key="branch_id long, item_id long", value="stock long",
+        out="order_id long, item_id long, branch_id long, at long, quantity long, code string, stock_after long, low_stock boolean",
+        apply=apply,
+        refuse=lambda row, code: [(row[1], row[2], row[3], row[0], row[4], row[5] if code != LATE and row[5] else code, None, False)],
+        opens=lambda row: None if row[6] is None else ((row[3], row[2]), (row[6],)))
 
 
 def with_order(t, lines: DataFrame) -> DataFrame:
@@ -253,115 +182,109 @@ def with_order(t, lines: DataFrame) -> DataFrame:
 def low_stock_stream(t, lines: DataFrame, threshold: int = 20, delay: str = "1 hours") -> DataFrame:
     """A stream of order lines (order_id, item_id, quantity, branch_id, order_date)
     deducts branch stock (V01 rules); ``low_stock`` marks every accepted deduction leaving
-    fewer than ``threshold`` units (V06). A line of an unknown order has no date to be ordered
-    by and is dropped.
+    fewer than ``threshold`` units (V06). A line of an unknown order has no branch and no date
+    to be ordered by: it is returned at once with -20010. Items and opening stock come from
+    their tables (tables or streams). Also LATE, NO_TIME.
     """
-    stock = t["branch_stock"].select("branch_id", "item_id", F.col("stock_quantity").cast("bigint").alias("opening"))
-    j = (lines.select("order_id", "item_id", "quantity", "branch_id", "order_date")
-         .join(t["item"].select("item_id", F.lit(True).alias("_i")), "item_id", "left")
-         .join(stock, ["branch_id", "item_id"], "left"))
-    code = (F.when(F.col("quantity").isNull() | (F.col("quantity") <= 0), "-20014")
-             .when(F.col("branch_id").isNull(), "-20010").when(F.col("_i").isNull(), "-20011")
-             .when(F.col("opening").isNull(), "-20012"))
-    j = j.select(F.col("order_id").cast("long"), F.col("item_id").cast("long"), F.col("branch_id").cast("long"),
-                 F.col("order_date").cast("timestamp_ntz"), F.col("quantity").cast("long"), code.alias("code"), "opening",
-                 _buckets(t["branch_stock"], "branch_id", "item_id"))
-
-    def apply(held, row):
-        ts, oid, item, branch, q, code, opening = row
-        if oid is None:  # the closing row
-            return None
-        left, low = None, False
-        if code is None:
-            left = held.get((branch, item), opening)
-            if left >= q:
-                left -= int(q)
-                low = left < threshold
-            else:
-                code = "-20013"
-            held[branch, item] = left
-        return oid, item, branch, ts, q, code, left, low
-
-    fn = _in_order(["order_date", "order_id", "item_id", "branch_id", "quantity", "code", "opening"], apply, _STOCK_OUT)
-    return _stateful(j, ["_bucket"], "order_date", delay, fn, _STOCK_OUT)
+    code = F.when(F.col("quantity").isNull() | (F.col("quantity") <= 0), "-20014").when(F.col("branch_id").isNull() | F.col("order_date").isNull(), "-20010")
+    rows = lines.select(bucket("item_id"), micros("order_date").alias("at"), F.col("order_id").cast("long").alias("id"), F.col("item_id").cast("long").alias("item_id"),
+                        F.col("branch_id").cast("long").alias("branch_id"), F.col("quantity").cast("long").alias("quantity"),
+                        code.alias("code"), _null("long", "opening"))
+    stock = table_stream(t["branch_stock"].select("branch_id", "item_id", F.col("stock_quantity").cast("long").alias("opening")))
+    items = table_stream(t["item"].select(F.lit(_ITEM).cast("long").alias("branch_id"), "item_id", F.lit(0).cast("long").alias("opening")))
+    openings = stock.select("branch_id", "item_id", "opening").unionByName(items).filter("branch_id IS NOT NULL AND item_id IS NOT NULL").select(
+        bucket("item_id"), _null("long", "at"), _null("long", "id"), F.col("item_id").cast("long").alias("item_id"),
+        F.col("branch_id").cast("long").alias("branch_id"), _null("long", "quantity"), _null("string", "code"),
+        F.coalesce("opening", F.lit(0)).alias("opening"))
+    out = ordered(rows, openings, _stock_rules(threshold), delay)
+    return out.select("order_id", "item_id", "branch_id", from_micros("at").alias("order_date"), "quantity", "code", "stock_after", "low_stock")
 
 
 # ------------------------------------------------------------------ S03 redemption de-duplication
 
-_RED_OUT = T.StructType([
-    T.StructField("redemption_id", T.LongType()), T.StructField("voucher_id", T.StringType()),
-    T.StructField("order_id", T.LongType()), T.StructField("redeemed_date", T.TimestampNTZType())])
+def _apply_first(get, put, row, due):
+    at, rid, voucher, order = row
+    if get((voucher, order)) is not None:
+        return []
+    put((voucher, order), (True,))
+    return [(rid, voucher, order, at, None)]
 
 
-def _apply_first(held, row):
-    ts, rid, voucher, order = row
-    if rid is None or (voucher, order) in held:
-        return None
-    held[voucher, order] = True
-    return rid, voucher, order, ts
+_FIRST = Rules(row="at long, id long, voucher_id string, order_id long", key="voucher_id string, order_id long", value="seen boolean",
+               out="redemption_id long, voucher_id string, order_id long, at long, code string",
+               apply=_apply_first, refuse=lambda row, code: [(row[1], row[2], row[3], row[0], code)])
 
 
 def dedupe_redemptions_stream(t, redemptions: DataFrame, delay: str = "1 hours", within: str | None = None) -> DataFrame:
     """Keep the first redemption per (voucher, order) -- earliest (redeemed date, id),
-    whenever the others arrive; rows of unknown orders are dropped (V03 -20030).
+    whenever the others arrive; rows of unknown orders are dropped (V03 -20030). Late rows and
+    rows without a time are returned with a code and aren't kept.
 
-    The memory of seen keys is state. With ``within`` (e.g. '7 days') it is bounded by a
-    watermark on ``redeemed_date`` instead (``dropDuplicatesWithinWatermark``: the first to
-    arrive stays, duplicates further apart are no longer caught)."""
+    The memory of seen pairs is state, an entry for each. With ``within`` (e.g. '7 days') it is
+    bounded by a watermark on ``redeemed_date`` instead (``dropDuplicatesWithinWatermark``: the
+    first to arrive stays, duplicates further apart are no longer caught)."""
     orders = t["orders"].select("order_id", F.lit(True).alias("_o"))
     r = redemptions.join(orders, "order_id", "left").filter(F.col("_o").isNotNull() | F.col("redemption_id").isNull())
     if within:
         return (r.drop("_o").withColumn("_event_time", F.col("redeemed_date").cast("timestamp"))
                  .withWatermark("_event_time", within)
                  .dropDuplicatesWithinWatermark(["voucher_id", "order_id"]).drop("_event_time"))
-    r = r.select(F.col("redemption_id").cast("long"), "voucher_id", F.col("order_id").cast("long"),
-                 F.col("redeemed_date").cast("timestamp_ntz"), _buckets(t["redemption"], "voucher_id", "order_id"))
-    fn = _in_order(["redeemed_date", "redemption_id", "voucher_id", "order_id"], _apply_first, _RED_OUT)
-    return _stateful(r, ["_bucket"], "redeemed_date", delay, fn, _RED_OUT)
+    r = r.select(bucket("voucher_id", "order_id"), micros("redeemed_date").alias("at"), F.col("redemption_id").cast("long").alias("id"), "voucher_id",
+                 F.col("order_id").cast("long").alias("order_id"))
+    return ordered(r, None, _FIRST, delay).select("redemption_id", "voucher_id", "order_id", from_micros("at").alias("redeemed_date"), "code")
 
 
 # ------------------------------------------------------------------ S04 pickup lifecycle
 
-_PICKUP_OUT = T.StructType([
-    T.StructField("req_id", T.LongType()), T.StructField("order_id", T.LongType()),
-    T.StructField("req_ts", T.TimestampNTZType()), T.StructField("new_status", T.StringType()),
-    T.StructField("code", T.StringType()), T.StructField("status_after", T.StringType()),
-    T.StructField("exp_after", T.TimestampNTZType())])
-THREE_DAYS = pd.Timedelta(days=3)
-
-
-def _apply_pickup(held, row):
-    ts, rid, order, s, reschedule, code, status0, exp0 = row
-    if rid is None:  # the closing row
-        return None
-    status, exp = held.get("pickup", (status0, exp0))
+_THREE_DAYS = 3 * 86_400_000_000
+_OPEN = ("Ready", "Rescheduled")
+
+
+def _expire(get, put, key, at):
+    """The Expired row of an order whose expiry ``at`` has passed, if it still stands."""
+    status, exp, order = get(key) or (None, None, None)
+    if status not in _OPEN or exp != at:
+        return []
+    put(key, ("Expired", exp, order))
+    return [(None, order, exp, "Expired", "TIMER", "Expired", exp)]
+
+
+def _apply_pickup(get, put, row, due):
+    at, rid, order, new, reschedule, code, status0, exp0 = row
+    out = []
+    key = (-1 if order is None else order,)
+    if get(key) is None:
+        put(key, (status0, exp0, order))
+    status, exp, _ = get(key)
+    if status in _OPEN and exp is not None and exp < at:  # it expired before this event
+        out = _expire(get, put, key, exp)
+        status = "Expired"
     if code is None:
-        if s == "Completed" and exp is not None and ts > exp:
+        if new == "Completed" and exp is not None and at > exp:
             status, code = "Expired", "-20640"
         else:
-            if s == "Ready":
-                exp = ts + THREE_DAYS
-            elif s == "Rescheduled":
-                exp = reschedule if reschedule is not None else ts + THREE_DAYS
-            status = s
-    held["pickup"] = status, exp
-    return rid, order, ts, s, code, status, exp
+            if new == "Ready":
+                exp = at + _THREE_DAYS
+            elif new == "Rescheduled":
+                exp = reschedule if reschedule is not None else at + _THREE_DAYS
+            status = new
+        put(key, (status, exp, order))
+        if status in _OPEN and exp is not None:
+            due.append((exp, *key))
+    return out + [(rid, order, at, new, code, status, exp)]
 
 
-def _expire(key, held, mark):
-    status, exp = held.get("pickup", (None, None))
-    if status not in ("Ready", "Rescheduled") or exp is None:
-        return [], []
-    if _ms(exp) >= mark:
-        return [], [_ms(exp) + 1]
-    held["pickup"] = "Expired", exp
-    return [(None, key[0], exp, "Expired", "TIMER", "Expired", exp)], []
+_PICKUPS = Rules(row="at long, id long, order_id long, new_status string, reschedule long, code string, status0 string, exp0 long",
+                 key="order_id long", value="status string, exp long, order_id long",
+                 out="req_id long, order_id long, at long, new_status string, code string, status_after string, exp long",
+                 apply=_apply_pickup, refuse=lambda row, code: [(row[1], row[2], row[0], row[3], row[5] if code != LATE and row[5] else code, None, None)],
+                 wake=_expire)
 
 
 def pickup_lifecycle_stream(t, requests: DataFrame, delay: str = "1 hours") -> DataFrame:
     """Pickup status events (W10 rules) as a per-order state machine; additionally an
-    event-time timer emits ``Expired`` (code TIMER) for a Ready / Rescheduled order whose
-    expiry the watermark passes -- the batch job only expires on a completion attempt."""
+    event-time timer emits ``Expired`` (code TIMER) for a Ready / Rescheduled order when its
+    expiry passes before its next event -- the batch job only expires on a completion attempt."""
     if "reschedule_date" not in requests.columns:
         requests = requests.withColumn("reschedule_date", F.lit(None).cast("timestamp_ntz"))
     sp = t["self_pickup"]
@@ -370,13 +293,11 @@ def pickup_lifecycle_stream(t, requests: DataFrame, delay: str = "1 hours") -> D
     r = (requests.join(t["orders"].select("order_id", "order_type"), "order_id", "left")
          .join(sp.select("order_id", F.col("pickup_status").alias("status0"), F.col("pickup_exp_date").alias("exp0"),
                          F.lit(True).alias("_p")), "order_id", "left"))
-    code = (F.when(F.col("order_id").isNull(), "IGNORED")
-             .when(~F.col("new_status").isin("Preparing", "Ready", "Completed", "Expired", "Rescheduled"), "-20638")
+    code = (F.when(F.col("order_id").isNull(), "IGNORED").when(~F.col("new_status").isin(*PICKUP_STATUSES), "-20638")
              .when(F.col("order_type").isNull(), "-20641").when(F.lower("order_type") != "self pickup", "-20639")
-             .when(F.col("_p").isNull(), "-20641"))
-    r = r.select(F.col("req_id").cast("long"), F.col("order_id").cast("long"), F.col("req_ts").cast("timestamp_ntz"),
-                 "new_status", F.col("reschedule_date").cast("timestamp_ntz"), code.alias("code"),
-                 "status0", F.col("exp0").cast("timestamp_ntz"))
-    fn = _in_order(["req_ts", "req_id", "order_id", "new_status", "reschedule_date", "code", "status0", "exp0"],
-                   _apply_pickup, _PICKUP_OUT, _expire)
-    return _stateful(r, ["order_id"], "req_ts", delay, fn, _PICKUP_OUT)
+             .when(F.col("_p").isNull(), "-20641")
+             .when((F.col("new_status") == "Rescheduled") & (F.col("reschedule_date") < F.col("req_ts")), "-20003"))
+    r = r.select(bucket("order_id"), micros("req_ts").alias("at"), F.col("req_id").cast("long").alias("id"), F.col("order_id").cast("long").alias("order_id"),
+                 "new_status", micros("reschedule_date").alias("reschedule"), code.alias("code"), "status0", micros("exp0").alias("exp0"))
+    out = ordered(r, None, _PICKUPS, delay)
+    return out.select("req_id", "order_id", from_micros("at").alias("req_ts"), "new_status", "code", "status_after", from_micros("exp").alias("exp_after"))

@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from martlake.session import build_session
-    s = build_session("local[4]", shuffle_partitions=8,
+    s = build_session(os.environ.get("MARTLAKE_TEST_MASTER", "local[4]"), shuffle_partitions=8,
                       extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="martlake-test-ckpt-")})
     from martlake.session import checkpoint_dir
     checkpoint_dir(s)
