@@ -182,12 +182,35 @@ def _row_rules(df: DataFrame, table: str, checks) -> list:
     return out
 
 
+NOT_CHECKED = "NOT_CHECKED"
+
+
+def not_checked(table: str, columns, checks) -> list[tuple]:
+    """Rows (check_id, constraint name, table, NOT_CHECKED) for the rules on columns that the
+    table doesn't have: those constraints hold or not unseen."""
+    cols, out = set(columns), []
+    if "C03" in checks:
+        out += [("C03", name) for name, tb, c in UNIQUES if tb == table and c not in cols]
+    if "C04" in checks:
+        for c, n, nn in COLUMNS.get(table, ()):
+            if c not in cols:
+                out += [("C04", f"nn_{table}_{c}")] * bool(nn) + [("C04", f"len_{table}_{c}")] * (n is not None)
+    if "C05" in checks:
+        out += [("C05", name) for name, tb, c, _ in PATTERNS if tb == table and c not in cols]
+    if "C06" in checks:
+        out += [("C06", name) for name, tb, c, _ in DOMAINS if tb == table and c not in cols]
+    if "C07" in checks:
+        out += [("C07", name) for name, tb, _ in RANGES if tb == table and not set(RANGE_COLUMNS[name]) <= cols]
+    return [(*r, table, NOT_CHECKED) for r in out]
+
+
 def _empty(spark):
     return spark.createDataFrame([], OUT_SCHEMA)
 
 
 def constraint_violations(t, checks=ALL_CHECKS) -> DataFrame:
-    """All violations of the requested check classes over the retail tables."""
+    """All violations of the requested check classes over the retail tables, and a row with
+    row_key NOT_CHECKED for each rule on a column that a table at hand doesn't have."""
     from martlake.sources.retail import TABLES
     checks = set(checks)
     have = set(t.available()) if hasattr(t, "available") else set(TABLES)
@@ -234,6 +257,9 @@ def constraint_violations(t, checks=ALL_CHECKS) -> DataFrame:
                      .select(F.lit("C03").alias("check_id"), F.lit(name).alias("constraint_name"),
                              F.lit(table).alias("table_name"), F.col(col).cast("string").alias("row_key")))
             parts.append(dup)
+    unseen = [r for table in TABLES if table in have for r in not_checked(table, t[table].columns, checks)]
+    if unseen:
+        parts.append(t.spark.createDataFrame(unseen, OUT_SCHEMA))
     if not parts:
         return _empty(t.spark)
     out = parts[0]

@@ -270,18 +270,24 @@ RULES = {
     "V11": voucher_expiry_past, "V12": pickup_expiry_past, "V13": expired_member_order,
     "V14": expired_member_points, "V15": member_age,
 }
-_NEEDS = {"V07": ("member", ("ic", "date_of_birth")), "V15": ("member", ("date_of_birth",))}
+_NEEDS = {"V07": ("member", ("ic", "date_of_birth")), "V12": ("self_pickup", ("pickup_exp_date",)), "V15": ("member", ("date_of_birth",))}
+NOT_CHECKED = "NOT_CHECKED"
 
 
 def run_rules(t, as_of: _dt.date, rules=None) -> DataFrame:
-    """Union of the violation frames of all rules whose input columns are present."""
-    out = None
+    """Union of the violation frames of all rules; a rule whose input columns are absent gives
+    one row with row_key NOT_CHECKED and no code."""
+    out, unseen = None, []
     for rid, fn in RULES.items():
         if rules is not None and rid not in rules:
             continue
         need = _NEEDS.get(rid)
         if need and not set(need[1]) <= set(t[need[0]].columns):
+            unseen.append((rid, need[0], NOT_CHECKED, None))
             continue
         v = fn(t, as_of)
         out = v if out is None else out.unionByName(v)
+    if unseen:
+        rows = t.spark.createDataFrame(unseen, "rule_id string, table_name string, row_key string, code int")
+        out = rows if out is None else out.unionByName(rows)
     return out

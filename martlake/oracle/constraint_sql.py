@@ -82,6 +82,32 @@ def _violations(check: str) -> str:
                 parts.append(f"select 'C03' as check_id, '{name}' as constraint_name, '{table}' as table_name, "
                              f"cast({col} as varchar) as row_key from r_{table} "
                              f"where {col} is not null group by {col} having count(*) > 1")
+    # rules on columns that the adapter doesn't give
+    def unseen(name, table):
+        parts.append(f"select '{check}' as check_id, '{name}' as constraint_name, '{table}' as table_name, 'NOT_CHECKED' as row_key")
+    for table, cols in ADAPTER_COLUMNS.items():
+        if check == "C03":
+            for name, tb, c in UNIQUES:
+                if tb == table and c not in cols:
+                    unseen(name, table)
+        if check == "C04":
+            for c, n, nn in COLUMNS.get(table, ()):
+                if c not in cols and nn:
+                    unseen(f"nn_{table}_{c}", table)
+                if c not in cols and n is not None:
+                    unseen(f"len_{table}_{c}", table)
+        if check == "C05":
+            for name, tb, c, _ in PATTERNS:
+                if tb == table and c not in cols:
+                    unseen(name, table)
+        if check == "C06":
+            for name, tb, c, _ in DOMAINS:
+                if tb == table and c not in cols:
+                    unseen(name, table)
+        if check == "C07":
+            for name, tb, _ in RANGES:
+                if tb == table and any(c not in cols for c in RANGE_COLUMNS[name]):
+                    unseen(name, table)
     if not parts:
         return ("select cast(null as varchar) as check_id, cast(null as varchar) as constraint_name, "
                 "cast(null as varchar) as table_name, cast(null as varchar) as row_key where false")

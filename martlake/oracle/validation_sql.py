@@ -128,7 +128,9 @@ _RULE_QUERIES = ("stock_ledger_violations", "points_ledger_violations", "duplica
                  "expired_member_order", "expired_member_points")
 SQL["validation_violations"] = "\nunion all\n".join(
     f"select rule_id, table_name, row_key, cast(code as integer) as code from ({SQL[n]}) v_{i}"
-    for i, n in enumerate(_RULE_QUERIES))
+    for i, n in enumerate(_RULE_QUERIES)) + """
+union all select * from (values ('V07', 'member', 'NOT_CHECKED', cast(null as integer)), ('V12', 'self_pickup', 'NOT_CHECKED', cast(null as integer)),
+                                ('V15', 'member', 'NOT_CHECKED', cast(null as integer))) unseen(rule_id, table_name, row_key, code)"""
 
 
 # V07 / V15 over the member rows of the registration requests (they carry IC and birth date)

@@ -448,9 +448,10 @@ def award_points(t, lines: DataFrame, orders: DataFrame, voucher_orders: DataFra
     amount check forbids, so no row is written for it; nor for a member whose membership
     ended before the order's day (-20033 of the insert)."""
     tot = lines.groupBy("order_id").agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("_t"))
-    ended = t["member"].filter(F.col("expiry_date").isNotNull()).select("member_id", "expiry_date")
     o = orders.filter(F.col("member_id").isNotNull()).join(voucher_orders.select("order_id"), "order_id", "left_anti")
-    o = o.join(ended, "member_id", "left").filter(F.col("expiry_date").isNull() | (F.col("expiry_date") >= F.to_date("order_date")))
+    if "member" in t.available() if hasattr(t, "available") else "member" in t:
+        ended = t["member"].filter(F.col("expiry_date").isNotNull()).select("member_id", "expiry_date")
+        o = o.join(ended, "member_id", "left").filter(F.col("expiry_date").isNull() | (F.col("expiry_date") >= F.to_date("order_date")))
     j = o.join(tot, "order_id").filter(F.col("_t") > 0)
     pts = F.floor(F.col("_t")).cast("bigint")
     return (j.filter(pts > 0)

@@ -156,3 +156,37 @@ def test_write_snapshot_new_version(spark, small_dir, tmp_path):
     p2 = write_snapshot(res["snapshot"], str(tmp_path))
     assert p1 != p2
     assert spark.read.parquet(p1).count() == spark.read.parquet(p2).count() == res["snapshot"].count()
+
+
+def test_insert_rules_of_redemption_and_pickup(spark):
+    """The redemption table's own rules: one voucher once an order, guests included, and no order
+    dated after the voucher's expiry; a pickup isn't moved into the past."""
+    at = lambda d, h=0: dt.datetime(2026, 7, d, h)
+    voucher = ([("V1", dt.date(2026, 7, 20)), ("V2", dt.date(2026, 7, 20))], "voucher_id string, exp_date date")
+    member = ([(7, None), (8, None)], "member_id long, expiry_date date")
+    orders = ([(1, None, at(10)), (2, None, at(20)), (3, None, at(20, 1)), (4, 7, at(25)), (5, 7, at(11)), (6, 8, at(12)), (9, None, at(9)), (10, 7, at(12))],
+              "order_id long, member_id long, order_date timestamp_ntz")
+    redemption = ([(1, "V2", 9, at(9))], "redemption_id long, voucher_id string, order_id long, redeemed_date timestamp_ntz")
+    t = _t(spark, voucher=voucher, member=member, orders=orders, redemption=redemption)
+    req = spark.createDataFrame([
+        (1, at(15, 1), "V1", 1, 7), (2, at(15, 2), "V1", 1, 8),  # the guest order's voucher again
+        (3, at(15, 3), "V1", 2, 7),  # dated at the expiry's midnight: still valid
+        (4, at(15, 4), "V1", 3, 7),  # an hour later
+        (5, at(15, 5), "V1", 4, 7),  # a member's order dated after the expiry ...
+        (6, at(15, 6), "V1", 5, 7),  # ... doesn't use up the voucher
+        (7, at(15, 7), "V1", 4, 7), (8, at(15, 8), "V1", 10, 7),  # once a member, before the other rule
+        (9, at(15, 9), "V2", 9, 7),  # in the history
+        (10, at(15, 10), "V1", 6, 8)],
+        "req_id long, req_ts timestamp_ntz, voucher_id string, order_id long, member_id long")
+    res = jobs.redeem_vouchers(t, req, dt.date(2026, 7, 15))
+    assert {r.req_id: r.code for r in res["decisions"].collect()} == {
+        1: None, 2: "-20031", 3: None, 4: "-20032", 5: "-20032", 6: None, 7: "-20044", 8: "-20044", 9: "-20031", 10: None}
+    assert {r.redemption_id for r in res["redemptions"].collect()} == {1, 3, 6, 10}
+
+    t = _t(spark, orders=([(1, "Self Pickup")], "order_id long, order_type string"),
+           self_pickup=([(11, 1, None, "Preparing", at(30))], "pickup_id long, order_id long, pickup_datetime timestamp_ntz, pickup_status string, pickup_exp_date timestamp_ntz"))
+    req = spark.createDataFrame([(1, at(15), 1, "Rescheduled", at(14)), (2, at(15), 1, "Rescheduled", at(15)), (3, at(16), 1, "Rescheduled", at(1))],
+                                "req_id long, req_ts timestamp_ntz, order_id long, new_status string, reschedule_date timestamp_ntz")
+    res = jobs.apply_pickup_updates(t, req)
+    assert {r.req_id: r.code for r in res["decisions"].collect()} == {1: "-20003", 2: None, 3: "-20003"}
+    assert [(r.pickup_status, r.pickup_exp_date) for r in res["snapshot"].collect()] == [("Rescheduled", at(15))]
