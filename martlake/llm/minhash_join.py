@@ -28,11 +28,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window as W
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.llm import textkit as tk
-from martlake.llm.components import components
+from martlake.llm.components import Reader, class_names, components, groups_sql, named, rows_of, settle
 
 WIDTH = 4
 #: a link: PERCENT * union <= 100 * intersection
@@ -44,7 +44,7 @@ RADIUS = 30
 ERRORS = (1,) * 15 + (0,)
 #: rows of a key that are compared with each other at once
 FEW = 12
-PLANES = 4
+PLANES, MASKS = 4, 8
 
 _MULTIPLIERS = np.random.default_rng(20_04).integers(1, 1 << 32, SYMBOLS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _SALTS = np.random.default_rng(20_05).integers(0, 1 << 63, (SYMBOLS // CHUNK, CHUNK + 1), dtype=np.uint64)
@@ -82,8 +82,8 @@ def chunk_keys(signature: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1).view(np.int64)
 
 
-_PLANES = [f"p{b}" for b in range(PLANES)]
-_SIGNED = "doc_id long, rid long, class long, n long, signature binary, " + ", ".join(f"{p} long" for p in _PLANES)
+_PLANES, _MASKS = [f"p{b}" for b in range(PLANES)], [f"m{b}" for b in range(MASKS)]
+_SIGNED = "doc_id long, rid long, class long, n long, signature binary, " + ", ".join(f"{p} long" for p in _PLANES + _MASKS)
 
 
 def _sign(batches):
@@ -99,10 +99,11 @@ def _sign(batches):
             rows = np.zeros((len(one), SYMBOLS), np.uint16)
             rows[n[one] > 0] = signed
             rows = rows[each]
+            masks = tk.parity_masks(sets, first, MASKS)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").slice(i, j - i), b.column("rid").slice(i, j - i), pa.array(key), pa.array(n),
-                 tk.blobs(rows.ravel(), np.arange(len(rows) + 1) * SYMBOLS), *map(pa.array, planes(rows))],
-                names=["doc_id", "rid", "class", "n", "signature", *_PLANES])
+                 tk.blobs(rows.ravel(), np.arange(len(rows) + 1) * SYMBOLS), *map(pa.array, planes(rows)),
+                 *map(pa.array, np.ascontiguousarray(masks.T))], names=["doc_id", "rid", "class", "n", "signature", *_PLANES, *_MASKS])
 
 
 def _list_keys(batches):
@@ -128,99 +129,59 @@ def _overlaps(batches):
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["u", "v"]).filter(pa.array(right))
 
 
-def _named(table: DataFrame, suffix: str, *keep: str) -> DataFrame:
-    return table.select(*[c if c in keep else F.col(c).alias(f"{c}_{suffix}") for c in table.columns])
-
-
-#: a pair's sizes allow a link, and no more than RADIUS symbols differ in the planes
+#: a pair's sizes allow a link, no more than RADIUS symbols differ in the planes, and the masks in
+#: no more bits than a link has members not in common
 _FITS = (f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b) AND bit_count("
-         + " | ".join(f"({p}_a ^ {p}_b)" for p in _PLANES) + f") <= {RADIUS}")
+         + " | ".join(f"({p}_a ^ {p}_b)" for p in _PLANES) + f") <= {RADIUS} AND {100 + PERCENT}L * ("
+         + " + ".join(f"bit_count({m}_a ^ {m}_b)" for m in _MASKS) + f") <= {100 - PERCENT}L * (n_a + n_b)")
 
 
 class Join:
-    """The multi-index over the documents' classes, and what is known of them so far."""
+    """The multi-index over the documents' classes."""
 
     def __init__(self, docs: DataFrame):
-        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        # a row is found again by its id, or where it has none by its text
-        self.docs = docs.withColumn("rid", F.coalesce("doc_id", F.xxhash64("text")))
-        self.signed = tk.stored(self.docs.mapInArrow(_sign, _SIGNED), "signatures")
-        first = [F.first(c).alias(c) for c in ("n", "signature", *_PLANES)]
+        docs = rows_of(docs)
+        self.signed = tk.stored(docs.mapInArrow(_sign, _SIGNED), "signatures")
+        first = [F.first(c).alias(c) for c in ("n", "signature", *_PLANES, *_MASKS)]
         self.classes = tk.stored(self.signed.filter("n > 0").groupBy("class").agg(F.min("rid").alias("rid"), *first), "classes")
-        self.sides = self.classes.select("class", "n", *_PLANES)
+        self.sides = self.classes.select("class", "n", *_PLANES, *_MASKS)
         keys = self.classes.select("class", "signature").mapInArrow(_list_keys, "key long, class long")
         counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("class").alias("pivot")).filter("c > 1")
         self.cells = tk.stored(keys.join(counts, "key"), "cells")
-        # the texts that may be read to confirm a pair
         wanted = self.cells.select("class").distinct().join(self.classes.select("class", "rid"), "class")
-        self.texts = tk.stored(self.docs.select("rid", "text").join(wanted, "rid").select("class", "text"), "texts")
-        self.tried = None
-
-    def confirm(self, pairs: DataFrame) -> DataFrame:
-        """The links (u, v) among the pairs (a, b), a < b, not tried before."""
-        if self.tried is not None:
-            pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
-        pairs = tk.stored(pairs, "pairs")
-        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
-        # the side that may be shared by many pairs is joined last, so its text isn't shuffled for each
-        read = (pairs.join(_named(self.texts, "b").withColumnRenamed("class_b", "b"), "b")
-                .join(_named(self.texts, "a").withColumnRenamed("class_a", "a"), "a").select("a", "b", "text_a", "text_b"))
-        return tk.stored(read.mapInArrow(_overlaps, "u long, v long").distinct(), "links")
+        self.reader = Reader(docs, wanted, _overlaps)
 
     def small_cells(self) -> DataFrame:
         rows = self.cells.filter(F.col("c") <= FEW).select("key", "class").join(self.sides, "class")
-        return _named(rows, "a", "key").join(_named(rows, "b", "key"), "key").filter(f"class_a < class_b AND {_FITS}") \
+        return named(rows, "a", "key").join(named(rows, "b", "key"), "key").filter(f"class_a < class_b AND {_FITS}") \
             .select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
 
     def stars(self) -> DataFrame:
         """Every row of a crowded key with its first class."""
         rows = self.cells.filter((F.col("c") > FEW) & (F.col("class") > F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("class").alias("b"))
-        return self._fitting(rows.distinct())
-
-    def _fitting(self, pairs: DataFrame) -> DataFrame:
-        return (pairs.join(_named(self.sides, "b").withColumnRenamed("class_b", "b"), "b")
-                .join(_named(self.sides, "a").withColumnRenamed("class_a", "a"), "a").filter(_FITS).select("a", "b"))
+        b, a = (named(self.sides, x).withColumnRenamed(f"class_{x}", x) for x in ("b", "a"))
+        return rows.distinct().join(b, "b").join(a, "a").filter(_FITS).select("a", "b")
 
     def components(self) -> DataFrame:
         """(v, root) of the classes that aren't their component's root."""
-        links = self.confirm(self.small_cells().unionByName(self.stars()).distinct())
-        comp = components(links)
-        crowded = self.cells.filter(F.col("c") > FEW).select("key", "class", "pivot")
-        had = crowded.select("key", F.col("pivot").alias("last")).distinct()  # the last row of a key that had its turn
-        width = 4
-        while True:
-            rows = crowded.join(comp.select(F.col("v").alias("class"), "root"), "class", "left") \
-                .select("key", "class", "pivot", F.coalesce("root", "class").alias("label"))
-            home = rows.filter("class = pivot").select("key", F.col("label").alias("home"))
-            open_ = tk.stored(rows.join(home, "key").withColumn("outside", F.col("label") != F.col("home")).drop("pivot", "home"), "open")
-            waiting = open_.filter("outside").join(had, "key").filter("class > last")
-            nth = F.row_number().over(W.partitionBy("key").orderBy("class"))
-            turn = tk.stored(waiting.withColumn("nth", nth).filter(F.col("nth") <= width).select("key", F.col("class").alias("x"), F.col("label").alias("label_x")), "turn")
-            if turn.isEmpty():
-                return comp
-            met = turn.join(open_.select("key", "class", "label"), "key").filter("label <> label_x") \
-                .select(F.least("x", "class").alias("a"), F.greatest("x", "class").alias("b")).distinct()
-            links = self.confirm(self._fitting(met))
-            if not links.isEmpty():  # the components' stars stand for the links before
-                comp = components(comp.select(F.col("v").alias("u"), F.col("root").alias("v")).unionByName(links))
-            had = turn.groupBy("key").agg(F.max("x").alias("last"))  # keys without a turn have none left
-            width *= 4
+        links = self.reader.confirm(self.small_cells().unionByName(self.stars()).distinct())
+        crowded = self.cells.filter(F.col("c") > FEW).select("key", "class", "pivot", "c")
+        return settle(crowded, self.sides, components(links), _FITS, self.reader.confirm)
 
 
 def groups(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document: its component's smallest
     doc_id, kept where that is its own."""
     join = Join(docs)
-    root = join.components()
-    ids = join.signed.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    named = ids.join(root.withColumnRenamed("v", "class"), "class", "left").select("class", "least", F.coalesce("root", "class").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "root").select("class", "component_id")
     rows = join.signed.select("doc_id", "class", "n")
-    out = rows.filter("n > 0").join(named, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id") \
+    names = class_names(rows.filter("n > 0"), join.components())
+    out = rows.filter("n > 0").join(names, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id") \
         .unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
 def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups(tk.read_table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = f"SELECT *, doc_id = component_id AS kept FROM ({groups_sql(WIDTH, PERCENT)})"

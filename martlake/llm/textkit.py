@@ -52,6 +52,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def narrow(df: DataFrame, rows: int, per_task: int = 100_000) -> DataFrame:
+    """``df``, which has ``rows`` rows at most, in no more tasks than they are worth."""
+    return df.coalesce(max(1, -(-rows // per_task)))
+
+
 def crc_bucket(doc_id: Column, n: int = 5) -> Column:
     """crc32(doc_id as text) mod n; a null id gives null."""
     return F.crc32(doc_id.cast("string")) % F.lit(n)
@@ -195,6 +200,22 @@ def set_keys(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix(sums[first[1:]] - sums[first[:-1]] + np.diff(first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
 
 
+def parity_masks(sets: np.ndarray, first: np.ndarray, words: int) -> np.ndarray:
+    """A row of ``words`` 64-bit words for each set: for each bit the parity of the number of
+    members hashed to it. The masks of two sets differ in at most as many bits as the sets have
+    members not in common."""
+    bits = 64 * words
+    out = np.zeros((len(first) - 1, words), np.int64)
+    step = max(1, (1 << 18) // bits)
+    for i in range(0, len(out), step):
+        j = min(i + step, len(out))
+        doc = np.repeat(np.arange(j - i), np.diff(first[i:j + 1]))
+        at = ((sets[first[i]:first[j]] >> np.uint64(20)) % np.uint64(bits)).astype(np.int64)
+        odd = np.bincount(doc * bits + at, minlength=(j - i) * bits).reshape(j - i, bits) & 1
+        out[i:j] = np.packbits(odd.astype(np.uint8), axis=1, bitorder="little").view(np.int64)
+    return out
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenated index ranges start, start+1, ... of the given lengths."""
     total = int(lengths.sum())

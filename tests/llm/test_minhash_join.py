@@ -139,5 +139,9 @@ def test_shingle_sets(texts, width):
     for i in range(len(texts)):
         for j in range(i):
             assert len(np.intersect1d(sets[first[i]:first[i + 1]], sets[first[j]:first[j + 1]])) == len(want[i] & want[j])
+    masks = tk.parity_masks(sets, first, 2)
+    for i in range(len(texts)):
+        for j in range(i):
+            assert np.bitwise_count(masks[i] ^ masks[j]).sum() <= len(want[i] ^ want[j])
     keys = tk.set_keys(sets, first)
     assert all((keys[i] == keys[j]) == (want[i] == want[j]) for i in range(len(texts)) for j in range(i))
