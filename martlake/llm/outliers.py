@@ -14,7 +14,9 @@ which it would reject every other value; elsewhere the estimated covariance hold
 language, then all together; if the pool is smaller still, nobody in it is rejected.
 
 Null and empty texts have no words and fail the base rule. Null langs and sources group
-like values. Repeated rows count each. Extra columns are ignored.
+like values, apart from all others. Repeated rows count each, equal texts of one group get equal
+verdicts. Very long texts are rows like any other. An empty table gives no rows. Extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -172,7 +174,9 @@ def _concentrate(x: DataFrame, estimate: DataFrame) -> DataFrame:
 def verdicts(docs: DataFrame) -> DataFrame:
     """``statistics`` plus distance (squared Mahalanobis, null without an estimate) and kept."""
     stats = tk.stored(statistics(docs), "statistics")
-    own, lang = F.to_json(F.struct("lang", "source")), F.to_json(F.struct("lang"))
+    # nulls are written out, and the levels have names of their own: no two groups share a key
+    key = lambda *c: F.to_json(F.struct(*c), {"ignoreNullFields": "false"})
+    own, lang = key("lang", "source"), F.concat(F.lit("pool "), key("lang"))
     passed = stats.filter("NOT base_failed")
     sizes = passed.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("c"))
     pool = F.sum(F.when(F.col("c") < LEAST, F.col("c"))).over(W.partitionBy("lang"))

@@ -145,3 +145,17 @@ def test_rules_reject_each_kind_of_outlier(spark):
     assert not any(out[i].base_failed for i in range(1000, 1004))
     assert [i for i, _ in odd if out[i].kept] == []
     assert sum(out[i].kept for i, _ in plain) >= 298
+
+
+def test_rules_keep_null_keys_apart(spark):
+    """The group (en, null) and the pool of small groups of en are different populations."""
+    rng = __import__("random").Random(11)
+    words = [f"w{k:03d}" for k in range(400)]
+    plain = [(i, " ".join(rng.choices(words, k=rng.randrange(90, 110))), "en", None) for i in range(80)]
+    # the pool: small groups of another length, usual among themselves
+    pool = [(200 + i, " ".join(rng.choices(words, k=rng.randrange(900, 1100))), "en", f"s{i % 4}") for i in range(80)]
+    odd = [(900, pool[0][1], "en", None), (901, plain[0][1], "en", "s1")]
+    docs = spark.createDataFrame(plain + pool + odd, "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r.kept for r in outliers.verdicts(docs).collect()}
+    assert not out[900] and not out[901]
+    assert sum(out[i] for i, *_ in plain) >= 78 and sum(out[i] for i, *_ in pool) >= 78
