@@ -12,7 +12,7 @@ Directions come from a fixed seed, so reruns agree and nothing is fitted. Vector
 null, zero, empty or hold null or non-finite components take no part; only vectors of one
 length are compared. Rows that repeat a vec_id are one row for "the query's own" and both
 found as candidates. Ties go to the smaller vec_id. Extra columns are ignored; rows with a
-null id take no part.
+null id take no part. An empty table gives no rows.
 """
 
 from __future__ import annotations

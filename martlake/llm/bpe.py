@@ -11,7 +11,8 @@ The recursion keeps every step's rows, which for one word grow with the square o
 words of more than ``LONG`` bytes are contracted by the same rule with a heap instead.
 
 Null and empty texts have no ids and decode to no bytes. Rows, repeated or with a null
-doc_id, are encoded each. Extra columns are ignored.
+doc_id, are encoded each, equal texts alike. Very long texts are rows like any other. An empty
+table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ probability of its own words. So a frequent word costs one entry for each chunk,
 holds the whole vocabulary.
 
 Null and empty texts hold the end token only. Rows with a null doc_id are neither held out
-nor learned from. Repeated rows count each. Extra columns are ignored.
+nor learned from. Repeated rows count each, equal texts get equal scores. Very long texts are
+rows like any other, a chunk holds one at least; a word of any length has a lattice. An empty table
+gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations

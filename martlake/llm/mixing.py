@@ -11,7 +11,8 @@ Targets: the sources in code point order (null last) weigh 3, 1, 2, repeating, a
 150 % of all tokens; a target stops at twice its source's size and the excess is shared by
 weight among the others. Null and empty texts have size 0 and nothing is taken of them.
 Repeated rows are documents of their own. Rows with a null doc_id share one key. Extra
-columns pass through ``mix``.
+columns pass through ``mix``. Equal keys are ordered by doc_id and size; rows that agree in these
+are interchangeable. Very long texts are rows like any other. An empty table gives no rows.
 """
 
 from __future__ import annotations

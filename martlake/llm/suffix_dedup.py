@@ -24,8 +24,8 @@ anchor:
   repeated string.
 
 Texts are UTF-8 bytes, null and empty ones hold none. Rows that share a doc_id stand at the
-same place: neither is earlier than the other. Null doc_ids come after all others. Extra
-columns are ignored.
+same place: neither is earlier than the other. Null doc_ids come after all others. Very long
+texts are rows like any other. An empty table gives no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
