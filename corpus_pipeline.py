@@ -3,6 +3,12 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a
 DataFrame. ``run`` applies them to ``documents``, writing each stage's rows as Parquet in the
 shared folder and rereading them as the next stage's input.
+
+Odd rows. Null, empty and wordless texts go through every stage: the classifier scores them by its
+intercept, line dedup leaves them, they link with nothing, mixing takes nothing of them. Rows
+with a null doc_id are judged by their text. Repeated rows are scored and cleaned alike; of linked
+rows, repeated ones included, one stays. Very long texts are rows like any other. Columns besides
+``COLUMNS`` don't leave the second stage. Empty tables pass as empty tables.
 """
 
 from __future__ import annotations
