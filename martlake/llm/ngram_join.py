@@ -1,22 +1,25 @@
 """N-gram Jaccard join: blocked sparse product of the document by n-gram incidence matrix.
 
 A row of the matrix is a class of documents with one shingle set, a column a distinct 5-word
-shingle (48-bit hash of the lower-cased words). Sets that link share 75 % of the larger one,
+shingle (64-bit hash of the lower-cased words). Sets that link share 75 % of the larger one,
 so each row only needs its size-derived prefix: its first n - ceil(0.75 n) + 1 shingles in one
 global order (common shingles last, each other by hash). The prefix entries are dealt to
 column blocks; a block sorts its columns and emits the row pairs that meet in a column and
 fit by size. Overlaps of those pairs are then counted over the whole rows, and pairs under
 the bound are discarded.
 
-Columns with more than ``FEW`` rows are not squared. Their rows are cut into cells of
-neighbouring sizes; every row of a cell is compared with one pivot. Rows of a cell that
-are then in another component than most of it are compared with the others too, unless
-Jaccard distance's triangle inequality over the pivot rules a link out. No link between
-components is lost, and copies are never expanded into pairs.
-
-Null, empty and wordless texts have no shingles and link with nothing. Rows with a null
-doc_id take part but can't name a component unless all its ids are null. Repeated rows
-are one class. Extra columns are ignored.
+Columns with more than ``FEW`` rows are not squared, and those known to be hot never meet in a
+block. Their rows are cut into cells of neighbouring sizes; every row of a cell is compared with
+one pivot, and rows outside the pivot's component, in rounds, with the rows of other components
+(``components.settle``). A pair counts only where the column can be its first one in common, and
+where the parity bitmaps of its rows differ in no more bits than a link allows: the symmetric
+difference has at least as many members. No link between components is lost, and copies are
+never expanded into pairs.
+
+Null, empty and wordless texts have no shingles and link with nothing. Very long texts are rows
+like any other; a task holds the set of one text at least. Rows with a null doc_id take part but
+can't name a component unless all its ids are null. Repeated rows are one class. Empty tables
+give no rows. Extra columns are ignored, or kept by ``keep_one``.
 """
 
 from __future__ import annotations
@@ -27,99 +30,110 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.llm import textkit as tk
-from martlake.llm.components import components
+from martlake.llm.components import Reader, class_names, components, groups_sql, named, rows_of, settle
 
 WIDTH = 5
 #: a link: PERCENT * union <= 100 * intersection
 PERCENT = 75
-#: shingles listed as common; their order matters for speed only
-COMMON = 1 << 17
+#: shingles listed as common at most; their order matters for speed only
+COMMON = 1 << 20
+#: a listed shingle counted so often (in more than FEW classes surely, or in copies) skips the blocks
+HOT = 512
 FEW = 12
 _BLOCK_TEXT = 16 << 20
-_SHIFT = np.uint64(48)
-_LOW = np.uint64((1 << 48) - 1)
-
-
-def shingle_sets(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles, first): the sorted distinct shingle hashes (48 bits) of document d are
-    shingles[first[d]:first[d+1]]. At most 65,536 documents at once."""
-    buf = tk.TO_LOWER[buf]
-    s, e, first = tk.words(buf, off)
-    h = tk.span_hashes(buf, s, e)
-    n = np.diff(first)
-    width = np.minimum(n, WIDTH)
-    count = np.where(n > 0, n - width + 1, 0)
-    at = tk.ragged(first[:-1], count)
-    doc = np.repeat(np.arange(len(n)), count)
-    total = np.zeros(len(at), np.uint64)
-    wide = width[doc]
-    for k in range(WIDTH):
-        use = wide > k
-        total[use] = total[use] * np.uint64(0x9E3779B97F4A7C15) + h[at[use] + k]
-        total[use] ^= total[use] >> np.uint64(29)
-    total += wide.astype(np.uint64)
-    key = (tk.mix(total) >> np.uint64(16)) | (doc.astype(np.uint64) << _SHIFT)
-    key.sort()
-    if len(key):
-        key = key[np.concatenate([[True], key[1:] != key[:-1]])]
-    return key & _LOW, np.searchsorted(key >> _SHIFT, np.arange(len(n) + 1).astype(np.uint64))
-
-
-def _class_keys(sets: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each set, from its members and size."""
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tk.mix(sets + np.uint64(1)), dtype=np.uint64)])
-    key = sums[first[1:]] - sums[first[:-1]] + np.diff(first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return tk.mix(key).view(np.int64)
+#: shingles a task holds before it reports those it has seen twice
+_HELD = 3 << 20
+_MASKS = 8
 
 
 def _batch_sets(b):
     buf, off = tk.flat_text(b.column("text"))
     for i, j in tk.doc_groups(off):
-        for a in range(i, j, 60_000):
-            z = min(j, a + 60_000)
-            yield a, z, *shingle_sets(buf[off[a]:off[z]], off[a:z + 1] - off[a])
+        yield i, j, *tk.shingle_sets(buf[off[i]:off[j]], off[i:j + 1] - off[i], WIDTH)
+
+
+_MASK_NAMES = [f"m{k}" for k in range(_MASKS)]
+_CLASSIFIED = "doc_id long, rid long, text_hash long, class long, n long, " + ", ".join(f"{m} long" for m in _MASK_NAMES)
 
 
 def _classify(batches):
     for b in batches:
-        ids = b.column("doc_id")
-        for a, z, sets, first in _batch_sets(b):
-            yield pa.RecordBatch.from_arrays([ids.slice(a, z - a), pa.array(_class_keys(sets, first)),
-                                              pa.array(np.diff(first))], names=["doc_id", "class", "n"])
+        for i, j, sets, first in _batch_sets(b):
+            masks = tk.parity_masks(sets, first, _MASKS)
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c).slice(i, j - i) for c in ("doc_id", "rid", "text_hash")), pa.array(tk.set_keys(sets, first)), pa.array(np.diff(first)),
+                 *map(pa.array, np.ascontiguousarray(masks.T))], names=["doc_id", "rid", "text_hash", "class", "n", *_MASK_NAMES])
 
 
-def _local_repeats(batches):
-    """Shingles that two or more classes of this partition hold, with their number."""
-    seen, held = np.zeros(0, np.int64), []
+def _new_classes(batches):
+    """(keys, sets, first) of the classes of every piece of text that this task hasn't seen."""
+    seen = np.zeros(0, np.int64)
     for b in batches:
         for _, _, sets, first in _batch_sets(b):
-            keys, at = np.unique(_class_keys(sets, first), return_index=True)
-            at = at[~np.isin(keys, seen)]
-            seen = np.union1d(seen, keys)
-            held.append(sets[tk.ragged(first[at], np.diff(first)[at])])
-    u, c = np.unique(np.concatenate(held or [np.zeros(0, np.uint64)]), return_counts=True)
-    u, c = u[c > 1].view(np.int64), c[c > 1]
-    for i in range(0, len(u), 1 << 16):
-        yield pa.RecordBatch.from_arrays([pa.array(u[i:i + (1 << 16)]), pa.array(c[i:i + (1 << 16)])], names=["h", "c"])
+            keys, at = np.unique(tk.set_keys(sets, first), return_index=True)
+            new = (np.diff(first)[at] > 0) & ~np.isin(keys, seen)
+            keys, at = keys[new], at[new]
+            if len(keys):
+                seen = np.concatenate([seen, keys])
+                n = np.diff(first)[at]
+                yield keys, sets[tk.ragged(first[at], n)], np.concatenate([[0], np.cumsum(n)])
+
+
+def _local_repeats(batches):
+    """Shingles that two or more classes among some millions of entries hold, with their number."""
+    def report(held):
+        u, c = np.unique(np.concatenate(held), return_counts=True)
+        u, c = u[c > 1].view(np.int64), c[c > 1]
+        for i in range(0, len(u), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(u[i:i + (1 << 16)]), pa.array(c[i:i + (1 << 16)])], names=["h", "c"])
+
+    held, size = [], 0
+    for _, sets, _ in _new_classes(batches):
+        held.append(sets)
+        size += len(sets)
+        if size > _HELD:
+            yield from report(held)
+            held, size = [], 0
+    if held:
+        yield from report(held)
+
+
+def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shingles in ascending order, rank by falling count, whether hot) of the most common ones,
+    COMMON at most: those above a count that a histogram of counts gives."""
+    counts = tk.stored(texts.mapInArrow(_local_repeats, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "counts")
+    step = F.floor(F.log2("c") * 8).cast("int")
+    total, least = 0, None
+    for r in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):  # 512 rows at most
+        total += r["count"]
+        if total > COMMON:
+            break
+        least = r.step
+    top = counts.filter(step >= least) if least is not None else counts.limit(0)
+    top = top.toPandas()
+    rank = np.empty(len(top), np.int64)
+    rank[np.lexsort((top["h"], -top["c"]))] = np.arange(len(top))
+    order = np.argsort(top["h"].to_numpy(np.int64).view(np.uint64))
+    return top["h"].to_numpy(np.int64).view(np.uint64)[order], len(top) - rank[order], (top["c"].to_numpy(np.int64) >= HOT)[order]
 
 
 def _prefixes(sets, first, common, rank):
-    """(entries, doc, place) of the prefix of every set; place counts the set's entries that
-    come before in the global order."""
+    """(entries, doc, place, listed) of the prefix of every set; place counts the set's entries
+    that come before in the global order, listed is an entry's place among the common ones or -1."""
     n = np.diff(first)
     need = np.where(n > 0, n - (n * PERCENT + 99) // 100 + 1, 0)
     doc = np.repeat(np.arange(len(n)), n)
     if len(common):
         at = np.minimum(np.searchsorted(common, sets), len(common) - 1)
-        hot = common[at] == sets
+        listed = common[at] == sets
     else:
-        at, hot = np.zeros(len(sets), int), np.zeros(len(sets), bool)
-    rare = np.concatenate([[0], np.cumsum(~hot)])
+        at, listed = np.zeros(len(sets), int), np.zeros(len(sets), bool)
+    rare = np.concatenate([[0], np.cumsum(~listed)])
     turn = rare[:-1] - rare[first[:-1]][doc]
-    pick = ~hot & (turn < need[doc])
+    pick = ~listed & (turn < need[doc])
     place = turn.copy()
     short = need - (rare[first[1:]] - rare[first[:-1]])
-    more = np.flatnonzero(hot & (short > 0)[doc])
+    more = np.flatnonzero(listed & (short > 0)[doc])
     if len(more):
         more = more[np.lexsort((rank[at[more]], doc[more]))]
         d = doc[more]
@@ -127,228 +141,205 @@ def _prefixes(sets, first, common, rank):
         pick[more[nth < short[d]]] = True
         place[more] = nth + (rare[first[1:]] - rare[first[:-1]])[d]
     where = np.flatnonzero(pick)
-    return where, doc[where], place[where]
+    return where, doc[where], place[where], np.where(listed, at, -1)[where]
+
+
+_DEALT = "block int, keys binary, sizes binary, h binary, row binary, place binary"
 
 
 def _deal(n_blocks, table):
+    """The prefix entries of each piece of text, a row for each block they go to, with the keys
+    and sizes of the classes that have entries there. Hot entries go to a block by their piece."""
     def run(batches):
-        common, rank = table.value
-        seen = np.zeros(0, np.int64)
-        for b in batches:
-            for _, _, sets, first in _batch_sets(b):
-                keys, at = np.unique(_class_keys(sets, first), return_index=True)
-                new = np.diff(first)[at] > 0
-                new &= ~np.isin(keys, seen)
-                keys, at = keys[new], at[new]
-                if not len(keys):
-                    continue
-                seen = np.union1d(seen, keys)
-                n = np.diff(first)[at]
-                sets = sets[tk.ragged(first[at], n)]
-                first = np.concatenate([[0], np.cumsum(n)])
-                where, doc, place = _prefixes(sets, first, common, rank)
-                h = sets[where]
-                block = (h % np.uint64(n_blocks)).astype(np.int64)
-                order = np.argsort(block, kind="stable")
-                cut = np.searchsorted(block[order], np.arange(n_blocks + 1))
-                h, doc = h[order], doc[order].astype(np.uint32)
-                place = np.minimum(place[order], 65535).astype(np.uint16)  # a lower place only filters less
-                used = np.flatnonzero(np.diff(cut))
-                rows = pa.array([keys.tobytes()] * len(used), pa.binary())
-                sizes = pa.array([n.astype(np.int32).tobytes()] * len(used), pa.binary())
-                ends = np.append(cut[used], len(h))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(used.astype(np.int32)), rows, sizes, tk.blobs(h, ends), tk.blobs(doc, ends), tk.blobs(place, ends)],
-                    names=["block", "keys", "sizes", "h", "row", "place"])
+        common, rank, hot = table.value
+        for keys, sets, first in _new_classes(batches):
+            n = np.diff(first)
+            where, doc, place, listed = _prefixes(sets, first, common, rank)
+            h = sets[where]
+            block = (h % np.uint64(n_blocks)).astype(np.int64)
+            if len(hot):
+                block[(listed >= 0) & hot[listed]] = n_blocks + int(keys[0]) % n_blocks
+            order = np.lexsort((doc, block))
+            h, doc, block, place = h[order], doc[order], block[order], place[order]
+            new = np.concatenate([[True], (block[1:] != block[:-1]) | (doc[1:] != doc[:-1])])
+            start = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))  # of each block
+            member = np.cumsum(new) - 1
+            row = (member - member[start][np.searchsorted(start, np.arange(len(h)), "right") - 1]).astype(np.uint32)
+            ends, members = np.append(start, len(h)), np.append(member[start], member[-1] + 1)
+            held = doc[new]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block[start].astype(np.int32)), tk.blobs(keys[held], members), tk.blobs(n[held].astype(np.int32), members),
+                 tk.blobs(h, ends), tk.blobs(row, ends), tk.blobs(np.minimum(place, 65535).astype(np.uint16), ends)],  # a lower place only filters less
+                names=["block", "keys", "sizes", "h", "row", "place"])
     return run
 
 
 _PAIRS = "a long, b long, na int, nb int, met int, cell long"
 
 
-def _block_pairs(rows):
-    """Row pairs of one column block with the number of columns they meet in; with cell set,
-    the entry of row a in cell ``cell`` of crowded column b, nb its place in the row."""
-    def column(name, kind):
-        return [np.frombuffer(x.as_buffer(), kind) for x in rows.column(name)]
-
-    keys = column("keys", np.int64)
-    base = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
-    key, size, h = np.concatenate(keys), np.concatenate(column("sizes", np.int32)), np.concatenate(column("h", np.uint64))
-    row = np.concatenate([x.astype(np.int64) + s for x, s in zip(column("row", np.uint32), base)])
-    key_order, one = np.unique(key, return_index=True)  # one row number for each class
-    rank = np.searchsorted(key_order, key)
-    key, size = key_order, size[one]
-    row = rank[row]
-    place = np.concatenate(column("place", np.uint16))
-    order = np.argsort(h, kind="stable")
-    h, row, place = h[order], row[order], place[order]
-    start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, int)
-    n = np.diff(np.append(start, len(h)))
-    start, n = start[n > 1], n[n > 1]
-    at = tk.ragged(start, n)
-    col = np.repeat(np.arange(len(n)), n)
-    entry, one = np.unique(col * np.int64(len(key)) + row[at], return_index=True) if len(at) else (np.zeros(0, np.int64),) * 2
-    place = place[at][one].astype(np.int32)
-    col, row, h = entry // max(len(key), 1), entry % max(len(key), 1), h[start]
-    start = np.searchsorted(col, np.arange(len(h)))
-    n = np.diff(np.append(start, len(col)))
-    found = []
-    for k in range(2, FEW + 1):
-        s = start[n == k]
-        if len(s):
-            members = row[s[:, None] + np.arange(k)]
-            i, j = np.triu_indices(k, 1)
-            a, b = members[:, i].ravel(), members[:, j].ravel()
-            fit = 100 * np.minimum(size[a], size[b]).astype(np.int64) >= PERCENT * np.maximum(size[a], size[b]).astype(np.int64)
-            found.append(a[fit] * np.int64(len(key)) + b[fit])
-    pair, met = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
-    a, b = pair // max(len(key), 1), pair % max(len(key), 1)
-    big = np.flatnonzero(n > FEW)
-    at = tk.ragged(start[big], n[big])
-    r, c = row[at], np.repeat(h[big], n[big])
-    band = np.floor(np.log(size[r]) / np.log(100 / PERCENT) + 1e-9).astype(np.int64)
-    # a cell holds two neighbouring size bands, so rows that fit by size share a cell
-    cell = np.concatenate([tk.mix(c * np.uint64(1024) + (band + k).astype(np.uint64)) for k in (0, 1)]).view(np.int64)
-    r, c, place = np.concatenate([r, r]), np.concatenate([c, c]).view(np.int64), np.concatenate([place[at], place[at]])
-    none = np.zeros(len(r), np.int32)
-    return pa.table({"a": np.concatenate([key[a], key[r]]), "b": np.concatenate([key[b], c]),
-                     "na": np.concatenate([size[a], size[r]]), "nb": np.concatenate([size[b], place]),
-                     "met": np.concatenate([met.astype(np.int32), none]),
-                     "cell": pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(cell)])})
+def _cells(key, size, h, place):
+    """Entries of crowded columns h as rows of two cells each: (class, column, size, place, cell).
+    A cell holds two neighbouring size bands, so rows that fit by size share a cell."""
+    band = np.floor(np.log(size) / np.log(100 / PERCENT) + 1e-9).astype(np.int64)
+    cell = np.concatenate([tk.mix(h * np.uint64(1024) + (band + k).astype(np.uint64)) for k in (0, 1)]).view(np.int64)
+    return [np.concatenate([x, x]) for x in (key, h.view(np.int64), size, place)] + [cell]
+
+
+def _block_pairs(n_blocks):
+    """Row pairs of one column block with the number of columns they meet in; with cell set, the
+    entry of row a in cell ``cell`` of crowded column b, nb its place in the row."""
+    def run(rows):
+        def column(name, kind):
+            return [np.frombuffer(x.as_buffer(), kind) for x in rows.column(name)]
+
+        keys = column("keys", np.int64)
+        base = np.concatenate([[0], np.cumsum([len(x) for x in keys])])
+        key, size, h = np.concatenate(keys), np.concatenate(column("sizes", np.int32)), np.concatenate(column("h", np.uint64))
+        row = np.concatenate([x.astype(np.int64) + s for x, s in zip(column("row", np.uint32), base)])
+        place = np.concatenate(column("place", np.uint16)).astype(np.int32)
+        if rows.column("block")[0].as_py() >= n_blocks:
+            return table([], [], _cells(key[row], size[row], h, place))
+        key_order, one = np.unique(key, return_index=True)  # one row number for each class
+        row = np.searchsorted(key_order, key)[row]
+        key, size = key_order, size[one]
+        order = np.lexsort((row, h))
+        h, row, place = h[order], row[order], place[order]
+        new = np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])])
+        h, row, place = h[new], row[new], place[new]
+        start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        n = np.diff(np.append(start, len(h)))
+        found = []
+        for k in range(2, FEW + 1):
+            s = start[n == k]
+            if len(s):
+                members = row[s[:, None] + np.arange(k)]
+                i, j = np.triu_indices(k, 1)
+                a, b = members[:, i].ravel(), members[:, j].ravel()
+                fit = 100 * np.minimum(size[a], size[b]).astype(np.int64) >= PERCENT * np.maximum(size[a], size[b]).astype(np.int64)
+                found.append(a[fit] * np.int64(len(key)) + b[fit])
+        pair, met = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
+        a, b = pair // len(key), pair % len(key)
+        at = tk.ragged(start[n > FEW], n[n > FEW])
+        return table([key[a], key[b], size[a], size[b]], met, _cells(key[row[at]], size[row[at]], h[at], place[at]))
+
+    def table(pairs, met, cells):
+        pairs = pairs or [np.zeros(0, np.int64)] * 4
+        none = pa.nulls(len(pairs[0]), pa.int64())
+        columns = [np.concatenate([x, y]) for x, y in zip(pairs, cells)]
+        met = np.concatenate([met, np.zeros(len(cells[4]))]).astype(np.int32)
+        return pa.table({"a": columns[0], "b": columns[1], "na": columns[2].astype(np.int32), "nb": columns[3].astype(np.int32), "met": met,
+                         "cell": pa.concat_arrays([none, pa.array(cells[4])])})
+    return run
 
 
 def _overlaps(batches):
+    """The links among pairs of classes with a text of each: overlaps counted over whole rows."""
     for b in batches:
         (x, xo), (y, yo) = tk.flat_text(b.column("text_a")), tk.flat_text(b.column("text_b"))
         for i, j in tk.doc_groups(xo + yo):
-            a, af = shingle_sets(x[xo[i]:xo[j]], xo[i:j + 1] - xo[i])
-            c, cf = shingle_sets(y[yo[i]:yo[j]], yo[i:j + 1] - yo[i])
-            both = [len(np.intersect1d(a[p:q], c[r:s], assume_unique=True)) for p, q, r, s in zip(af, af[1:], cf, cf[1:])]
+            a, af = tk.shingle_sets(x[xo[i]:xo[j]], xo[i:j + 1] - xo[i], WIDTH)
+            c, cf = tk.shingle_sets(y[yo[i]:yo[j]], yo[i:j + 1] - yo[i], WIDTH)
+            both = np.array([len(np.intersect1d(a[p:q], c[r:s], assume_unique=True)) for p, q, r, s in zip(af, af[1:], cf, cf[1:])], np.int64)
             part = b.slice(i, j - i)
-            # of rows that share a doc_id only those of the classes asked for
-            right = (_class_keys(a, af) == part.column("a").to_numpy()) & (_class_keys(c, cf) == part.column("b").to_numpy())
-            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(both, pa.int32())],
-                                             names=["a", "b", "both"]).filter(pa.array(right))
-
-
-def _counted(docs: DataFrame, readers: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, na, nb) plus both, the overlap counted over the whole rows. A class is
-    read from its document in ``readers`` (class, reader)."""
-    p = pairs.select("a", "b").join(readers.select(F.col("class").alias("a"), F.col("reader").alias("ra")), "a") \
-        .join(readers.select(F.col("class").alias("b"), F.col("reader").alias("rb")), "b")
-    a = docs.select(F.col("doc_id").alias("ia"), F.col("text").alias("text_a"))
-    b = docs.select(F.col("doc_id").alias("ib"), F.col("text").alias("text_b"))
-    both = (p.join(a, F.col("ra").eqNullSafe(F.col("ia"))).select("a", "b", "rb", "text_a")
-            .join(b, F.col("rb").eqNullSafe(F.col("ib"))).select("a", "b", "text_a", "text_b")
-            .mapInArrow(_overlaps, "a long, b long, both int").dropDuplicates(["a", "b"]))
-    return tk.stored(both.join(pairs, ["a", "b"]), "overlaps")
+            # of rows that share a row id only those of the classes asked for
+            right = (tk.set_keys(a, af) == part.column("a").to_numpy()) & (tk.set_keys(c, cf) == part.column("b").to_numpy())
+            right &= 100 * both >= PERCENT * (np.diff(af) + np.diff(cf) - both)
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["u", "v"]).filter(pa.array(right))
 
 
+_FITS = f"100 * least(n_a, n_b) >= {PERCENT} * greatest(n_a, n_b)"
 # a pair that links has a first column in common, and the overlap is no more than the
 # entries of either row from there on
-_FIRST = f"{100 + PERCENT}L * least({{0}}, {{1}}) >= {PERCENT}L * ({{2}} + {{3}})"
-_FITS = f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)"
+_FIRST = f"{100 + PERCENT}L * least(rest_a, rest_b) >= {PERCENT}L * (n_a + n_b)"
+# members of one row only, of a link: at most (100 - PERCENT) / (100 + PERCENT) of both sizes
+_MASKED = (f"{100 + PERCENT}L * (" + " + ".join(f"bit_count({m}_a ^ {m}_b)" for m in _MASK_NAMES) + f") <= {100 - PERCENT}L * (n_a + n_b)")
 # overlap needed for a link <= prefix columns met + entries behind the longer prefix
-_WITHIN_BOUND = (f"{100 + PERCENT} * (met + greatest(floor(({PERCENT} * na + 99) / 100), floor(({PERCENT} * nb + 99) / 100)) - 1)"
-                 f" >= {PERCENT} * (na + nb)")
-_LINKS = f"100L * both >= {PERCENT}L * (na + nb - both)"
+_WITHIN_BOUND = (f"{100 + PERCENT} * (met + greatest(floor(({PERCENT} * n_a + 99) / 100), floor(({PERCENT} * n_b + 99) / 100)) - 1)"
+                 f" >= {PERCENT} * (n_a + n_b)")
 
 
 def classes_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, class, n): every document's class key and number of shingles."""
-    return docs.select("doc_id", "text").mapInArrow(_classify, "doc_id long, class long, n long")
+    """(doc_id, rid, text_hash, class, n, masks): every document's class key, number of shingles
+    and bitmap."""
+    return rows_of(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(_classify, _CLASSIFIED)
 
 
-def links(docs: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Links (u, v) between classes, enough of them to connect every component, and the
-    components themselves (v, root)."""
+def class_components(docs: DataFrame, classified: DataFrame) -> DataFrame:
+    """(v, root): the components of the classes of ``docs`` (doc_id, text), of those that
+    aren't their component's root; ``classified`` is ``classes_of(docs)``, stored."""
     spark = docs.sparkSession
     _, size = tk.text_bytes(docs)
     n_blocks = tk.parts_for(size, _BLOCK_TEXT, 12)
     texts = docs.select("text")
-    repeats = texts.mapInArrow(_local_repeats, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
-    top = repeats.orderBy(F.desc("c"), "h").limit(COMMON).toPandas()
-    by_hash = np.argsort(top["h"].to_numpy(np.int64))
-    common = top["h"].to_numpy(np.int64)[by_hash].view(np.uint64)
-    table = spark.sparkContext.broadcast((common, len(by_hash) - by_hash))
-    dealt = texts.mapInArrow(_deal(n_blocks, table), "block int, keys binary, sizes binary, h binary, row binary, place binary")
-    met = tk.stored(dealt.repartition(n_blocks, "block").groupBy("block").applyInArrow(_block_pairs, _PAIRS), "pairs")
-
-    readers = tk.stored(classes.groupBy("class").agg(F.min("doc_id").alias("reader")), "readers")
-    cells = met.filter("cell IS NOT NULL").select("cell", F.col("b").alias("col"), F.col("a").alias("x"), F.col("na").alias("nx"),
-                                                   (F.col("na") - F.col("nb")).alias("rest_x"))
+    listed = spark.sparkContext.broadcast(common_shingles(texts))
+    dealt = texts.mapInArrow(_deal(n_blocks, listed), _DEALT)
+    met = tk.stored(dealt.groupBy("block").applyInArrow(_block_pairs(n_blocks), _PAIRS), "pairs")
+
+    sides = tk.stored(classified.filter("n > 0").groupBy("class").agg(F.min("rid").alias("rid"), *[F.first(c).alias(c) for c in ("n", *_MASK_NAMES)]), "sides")
+    masks = sides.select("class", *_MASK_NAMES)
+    # where no row of fitting size can reach the bound from here on, the entry can't be a first one
+    entries = (met.filter("cell IS NOT NULL").select(F.col("cell").alias("key"), F.col("b").alias("col"), F.col("a").alias("class"),
+                                                     F.col("na").cast("long").alias("n"), (F.col("na") - F.col("nb")).alias("rest")).distinct())
+    entries = tk.stored(entries, "entries")
     # columns a pair may meet in besides: no more than either row's entries in crowded columns
-    crowded = cells.groupBy("x").agg(F.countDistinct("col").alias("k"))
-    # no row of fitting size can reach the bound from here on: the entry can't be a first one
-    cells = cells.filter(f"100L * rest_x >= {PERCENT}L * nx")
-    # the pivot has the most entries behind the column: the best chance to link
-    pivots = cells.groupBy("cell").agg(F.max(F.struct("rest_x", "x", "nx")).alias("p"))
-    starred = cells.join(pivots, "cell").select("cell", "col", "x", "nx", "rest_x", F.col("p.x").alias("p"), F.col("p.nx").alias("np"),
-                                                F.col("p.rest_x").alias("rest_p"))
-    star = starred.filter("x <> p").filter(_FIRST.format("rest_x", "rest_p", "nx", "np")).select(F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b"),
-                                           F.expr("if(x < p, nx, np)").alias("na"), F.expr("if(x < p, np, nx)").alias("nb"),
-                                           F.lit(0).alias("met"))
-    small = met.filter("cell IS NULL").drop("cell").union(star.filter(_FITS).distinct()) \
-        .groupBy("a", "b", "na", "nb").agg(F.sum("met").alias("met"))
-    ka, kb = crowded.select(F.col("x").alias("a"), F.col("k").alias("ka")), crowded.select(F.col("x").alias("b"), F.col("k").alias("kb"))
-    most = small.join(ka, "a", "left").join(kb, "b", "left") \
-        .withColumn("met", F.col("met") + F.least(F.coalesce("ka", F.lit(0)), F.coalesce("kb", F.lit(0))))
-    pairs = tk.stored(most.filter(_WITHIN_BOUND).select("a", "b", "na", "nb"), "candidates")
-    counted = _counted(docs, readers, pairs)
-    found = counted.filter(_LINKS).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    comp = components(found)
-
-    left = tk.stored(_left_over(starred, counted, comp), "candidates")
-    if not left.isEmpty():
-        more = tk.stored(_counted(docs, readers, left).filter(_LINKS).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-        found = found.unionByName(more)
-        if not more.isEmpty():  # the stars of the components stand for the links before
-            comp = components(comp.select(F.col("v").alias("u"), F.col("root").alias("v")).unionByName(more))
-    return found, comp
-
-
-def _left_over(starred: DataFrame, counted: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs of crowded cells that the pivots have neither joined nor ruled out: rows outside
-    a cell's largest component against the others of the cell."""
-    root = comp.select(F.col("v").alias("x"), "root")
-    known = counted.select("a", "b", (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("far"))
-    m = (starred.withColumn("a", F.least("x", "p")).withColumn("b", F.greatest("x", "p"))
-         .join(known, ["a", "b"], "left").join(root, "x", "left")
-         .select("cell", "x", "nx", "rest_x", F.coalesce("root", "x").alias("label"),
-                 F.when(F.col("x") == F.col("p"), F.lit(0.0)).otherwise(F.col("far")).alias("far")))
-    m = tk.stored(m, "cells")
-    votes = m.groupBy("cell", "label").agg(F.count(F.lit(1)).alias("c"))
-    split = votes.groupBy("cell").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
-    m = m.join(split.select("cell", "most"), "cell")
-    few = m.filter("label <> most").select("cell", "x", "nx", "rest_x", "label", "far")
-    rest = m.select("cell", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("rest_x").alias("rest_y"), F.col("label").alias("label_y"),
-                       F.col("far").alias("far_y"), "most")
-    limit = 1 - PERCENT / 100
-    pairs = few.join(rest, "cell").filter(
-        f"label <> label_y AND (label_y = most OR x < y) AND {_FIRST.format('rest_x', 'rest_y', 'nx', 'ny')} "
-        f"AND coalesce(abs(far - far_y), 0) <= {limit + 1e-9}")
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-                         F.expr("if(x < y, nx, ny)").alias("na"), F.expr("if(x < y, ny, nx)").alias("nb")).distinct()
-    return pairs.join(counted.select("a", "b"), ["a", "b"], "left_anti")
+    crowded = entries.groupBy("class").agg(F.countDistinct("col").alias("k"))
+    cells = entries.filter(f"100L * rest >= {PERCENT}L * n").drop("col")
+    cells = cells.join(cells.groupBy("key").agg(F.min("class").alias("pivot"), F.count(F.lit(1)).alias("c")).filter("c > 1"), "key")
+    cells = tk.stored(cells, "cells")
+
+    pairs = met.filter("cell IS NULL").groupBy("a", "b", F.col("na").alias("n_a"), F.col("nb").alias("n_b")).agg(F.sum("met").alias("met"))
+    also = lambda x: crowded.select(F.col("class").alias(x), F.col("k").alias(f"k{x}"))
+    side = lambda x: named(masks, x).withColumnRenamed(f"class_{x}", x)
+    pairs = (pairs.join(also("a"), "a", "left").join(also("b"), "b", "left")
+             .withColumn("met", F.col("met") + F.least(F.coalesce("ka", F.lit(0)), F.coalesce("kb", F.lit(0)))).filter(_WITHIN_BOUND)
+             .join(side("a"), "a").join(side("b"), "b").filter(_MASKED).select("a", "b"))
+    pivots = named(cells.filter("class = pivot").drop("pivot", "c"), "a", "key").dropDuplicates(["key"])
+    stars = (pivots.join(named(cells.filter("class <> pivot").drop("pivot", "c"), "b", "key"), "key").filter(f"{_FITS} AND {_FIRST}")
+             .select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), "n_a", "n_b").distinct()
+             .join(side("a"), "a").join(side("b"), "b").filter(_MASKED).select("a", "b"))
+    pairs = tk.stored(pairs.unionByName(stars).distinct(), "candidates")
+
+    wanted = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).unionByName(cells.select("class")).distinct()
+    reader = Reader(rows_of(docs), wanted.join(sides.select("class", "rid"), "class"), _overlaps)
+    return settle(cells, masks, components(reader.confirm(pairs)), f"{_FITS} AND {_FIRST} AND {_MASKED}", reader.confirm)
 
 
 def groups(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    classes = tk.stored(classes_of(docs), "classes")
-    _, comp = links(docs.select("doc_id", "text"), classes)
-    whole = classes.filter("n > 0").join(comp.withColumnRenamed("v", "class"), "class", "left") \
-        .select("doc_id", "n", F.coalesce("root", "class").alias("root"))
-    first = whole.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = whole.join(first, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return out.unionByName(classes.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    classified = tk.stored(classes_of(docs), "classes")
+    rows = classified.select("doc_id", "class", "n")
+    names = class_names(rows.filter("n > 0"), class_components(docs.select("doc_id", "text"), classified))
+    return (rows.filter("n > 0").join(names, "class").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+            .unionByName(rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its component; rows with a null id stay."""
-    gone = groups(docs.select("doc_id", "text")).filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of linked documents: the smallest doc_id's (a null id comes last,
+    then the text decides), once where it repeats. Rows without words all stay."""
+    classified = tk.stored(classes_of(docs), "classes")
+    rows = classified.filter("n > 0").groupBy("class", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
+    comp = class_components(docs.select("doc_id", "text"), classified)
+    name = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    least = rows.groupBy("class").agg(F.min(name).alias("least")).join(comp.withColumnRenamed("v", "class"), "class", "left") \
+        .withColumn("root", F.coalesce("root", "class"))
+    first = least.groupBy("root").agg(F.min("least").alias("first"))
+    judged = rows.join(least.join(first, "root").select("class", "first"), "class").withColumn("stays", name == F.col("first"))
+    judged = tk.stored(judged.select(F.col("doc_id").alias("id"), "text_hash", "stays", "copies"), "judged")
+
+    def among(table):
+        return F.col("doc_id").cast("long").eqNullSafe(table["id"]) & (F.xxhash64("text") == table["text_hash"])
+
+    gone, twice = judged.filter("NOT stays").select("id", "text_hash").distinct(), judged.filter("stays AND copies > 1")
+    named_docs = docs.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(docs.columns)], F.col("doc_id"), F.col("text"))
+    kept = named_docs.join(gone, among(gone), "left_anti")
+    if not twice.isEmpty():
+        kept = kept.join(twice, among(twice), "left_anti") \
+            .unionByName(kept.join(twice, among(twice), "left_semi").dropDuplicates(["doc_id", "text"]))
+    return kept.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups(tk.read_table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL = groups_sql(WIDTH, PERCENT)

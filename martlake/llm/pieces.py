@@ -42,15 +42,28 @@ def cut(buf: np.ndarray, off: np.ndarray, literals: tuple[bytes, ...] = ()) -> n
     line = (buf[:-1] == 0x0A) & (here == _LETTER)
     line[:1] = False
     line[1:] &= visible[:-1]
-    at = ((here == _SPACE) & visible) | ((before == _LETTER) & (here == _PUNCT)) | line
+    edge = np.zeros(len(buf) + 1, bool)
+    edge[1:-1] = ((here == _SPACE) & visible) | ((before == _LETTER) & (here == _PUNCT)) | line
     raw = buf.tobytes() if literals else b""
     for literal in literals:
         i = raw.find(literal)
         while i >= 0:
-            at[i:i + len(literal) - 1] = False
+            edge[i + 1:i + len(literal)] = False
             i = raw.find(literal, i + 1)
-    starts = off[:-1][np.diff(off) > 0]
-    return np.concatenate([np.union1d(np.flatnonzero(at) + 1, starts), [len(buf)]])
+    edge[off[:-1][np.diff(off) > 0]] = True
+    edge[-1] = True
+    return np.flatnonzero(edge)
+
+
+def _grown(held: np.ndarray | None, used: int, more: np.ndarray) -> np.ndarray:
+    """``held`` with ``more`` behind its first ``used`` values; its room doubles when it ends."""
+    if held is None or used + len(more) > len(held):
+        wide = np.empty(max(1 << 16, 2 * (used + len(more))), more.dtype)
+        if used:
+            wide[:used] = held[:used]
+        held = wide
+    held[used:used + len(more)] = more
+    return held
 
 
 class PieceCache:
@@ -63,36 +76,47 @@ class PieceCache:
         self.clear()
 
     def clear(self):
-        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        # two sorted runs of hashes with their slots: new ones go to the short run, which is
+        # merged into the long one when it has a quarter of its length
+        self.runs = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2
+        self.count = 0
         self.values = [None] * self.n
         self.offsets = [np.zeros(1, np.int64) for _ in range(self.n)]
 
     def look_up(self, buf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """The slot of every piece; pieces not seen yet are encoded."""
-        if len(self.keys) > self.remember:
+        if self.count > self.remember:
             self.clear()
         h = tk.span_hashes(buf, bounds[:-1], bounds[1:])
         u, one, each = np.unique(h, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.keys, u)
-        known = np.zeros(len(u), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == u[inside]
-        slot = np.empty(len(u), np.int64)
-        slot[known] = self.slots[at[known]]
-        if not known.all():
+        slot = np.full(len(u), -1)
+        for keys, slots in self.runs:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, u), len(keys) - 1)
+                known = keys[at] == u
+                slot[known] = slots[at[known]]
+        fresh = slot < 0
+        if fresh.any():
             raw = buf.tobytes()
-            new = [raw[bounds[i]:bounds[i + 1]] for i in one[~known]]
-            first = len(self.offsets[0]) - 1
-            slot[~known] = np.arange(first, first + len(new))
+            new = [raw[bounds[i]:bounds[i + 1]] for i in one[fresh]]
+            slot[fresh] = np.arange(self.count, self.count + len(new))
             for k, rows in enumerate(self.encode(new)):
-                flat = np.concatenate(rows)
-                self.values[k] = flat if self.values[k] is None else np.concatenate([self.values[k], flat])
-                ends = np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows))) + self.offsets[k][-1]
-                self.offsets[k] = np.concatenate([self.offsets[k], ends])
-            self.keys = np.insert(self.keys, at[~known], u[~known])
-            self.slots = np.insert(self.slots, at[~known], slot[~known])
+                used = int(self.offsets[k][self.count])
+                self.values[k] = _grown(self.values[k], used, np.concatenate(rows))
+                ends = np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows))) + used
+                self.offsets[k] = _grown(self.offsets[k], self.count + 1, ends)
+            self.count += len(new)
+            self.runs[1] = self._merged(self.runs[1], (u[fresh], slot[fresh]))
+            if 4 * len(self.runs[1][0]) > len(self.runs[0][0]):
+                self.runs = [self._merged(*self.runs), (np.zeros(0, np.uint64), np.zeros(0, np.int64))]
         return slot[each]
 
+    @staticmethod
+    def _merged(a, b):
+        keys, slots = (np.concatenate(x) for x in zip(a, b))
+        order = np.argsort(keys, kind="stable")
+        return keys[order], slots[order]
+
     def rows(self, slots: np.ndarray, column: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """(values of the slots one after another, number of values of each)."""
         off = self.offsets[column]

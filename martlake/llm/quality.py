@@ -9,7 +9,9 @@ weight table, whose size is fixed by ``bits`` and therefore broadcast.
 
 Null and empty texts have no n-gram and score the intercept. Repeated rows are scored each;
 repeated labels are learned from once per distinct (doc_id, label). Extra columns are
-ignored. With no usable labels every score is 0.5.
+ignored. With no usable labels every score is 0.5. Equal texts get equal scores; labels of one
+doc_id that contradict each other are both learned from. A very long text is one row of n-grams
+like any other. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ def _classes() -> np.ndarray:
 def features(buf: np.ndarray, off: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashed n-gram ids, first): the n-grams of document d are ids[first[d]:first[d+1]]."""
     kind = _classes()[buf]
-    cuts = np.union1d(off, np.flatnonzero(kind[1:] != kind[:-1]) + 1)
+    cuts = np.concatenate([off, np.flatnonzero(kind[1:] != kind[:-1]) + 1])
     s, e = tk.runs(kind > 0, cuts)
     h = tk.span_hashes(buf, s, e)
     doc = np.searchsorted(off, s, "right") - 1

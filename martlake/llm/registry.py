@@ -27,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_mixing": mixing.ORACLE_SQL,
+    "op6_ngram_jaccard": ngram_join.ORACLE_SQL,
     "op8_line_dedup": line_dedup.ORACLE_SQL,
     "op11_hard_negatives": hard_negatives.ORACLE_SQL,
     "op12_minhash": minhash_join.ORACLE_SQL,

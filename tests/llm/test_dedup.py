@@ -95,13 +95,79 @@ def test_groups_of_many_near_copies(spark, monkeypatch):
     assert got == brute_groups(docs.collect())
 
 
+def stock_texts(n, seed=5, of=30, take=8):
+    """Texts of ``take`` out of ``of`` stock sentences: they share columns and link with nothing."""
+    rng = random.Random(seed)
+    stock = [" ".join(f"s{k}v{rng.randrange(900)}" for _ in range(12)) for k in range(of)]
+    return [(i, " ".join(rng.sample(stock, take))) for i in range(n)]
+
+
+@pytest.mark.parametrize("hot", [3, ngram_join.HOT])
+def test_hot_columns(spark, monkeypatch, hot):
+    """Columns that skip the blocks give the same components."""
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    rng = random.Random(8)
+    base = [f"b{rng.randrange(4000)}" for _ in range(90)]
+    rows = [t for _, t in stock_texts(60, of=12, take=6)]
+    for _ in range(60):
+        words = list(base)
+        for _ in range(rng.randrange(1, 6)):
+            words[rng.randrange(90)] = f"x{rng.randrange(10**6)}"
+        rows.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in ngram_join.groups(docs).collect())
+    assert got == brute_groups(docs.collect())
+
+
+def test_unlinked_texts_of_stock_sentences_make_few_pairs(spark, monkeypatch):
+    """Candidate pairs grow no faster than the texts where nothing links."""
+    confirm, tried = ngram_join.Reader.confirm, []
+
+    def counting(self, pairs):
+        out = confirm(self, pairs)
+        tried[-1] += pairs.count()
+        return out
+
+    monkeypatch.setattr(ngram_join.Reader, "confirm", counting)
+    for n in (300, 600):
+        docs = spark.createDataFrame(stock_texts(n), "doc_id long, text string")
+        tried.append(0)
+        ngram_join.groups(docs).count()
+    assert tried[0] <= 300 and tried[1] <= 600
+
+
+def test_a_piece_sends_its_own_rows_only():
+    """What a piece of text sends to the blocks is bounded by its entries, for any number of blocks."""
+    from types import SimpleNamespace
+    texts = pa.table({"text": [" ".join(f"{i}w{k}" for k in range(200)) for i in range(300)]}).to_batches()
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+    sent = {}
+    for n_blocks in (12, 1920, 30_000):
+        sent[n_blocks] = sum(b.get_total_buffer_size() for b in ngram_join._deal(n_blocks, SimpleNamespace(value=none))(texts))
+    entries = 300 * 50
+    assert all(s < entries * 60 for s in sent.values()) and sent[30_000] < 4 * sent[12]
+
+
 def test_keep_one(spark):
     docs = frames.table(spark)
     kept = ngram_join.keep_one(docs)
-    ids = [r.doc_id for r in kept.select("doc_id").collect()]
     groups = {r.doc_id: r.component_id for r in ngram_join.groups(docs).collect()}
     assert kept.columns == docs.columns
-    assert set(ids) - {None} == {i for i, c in groups.items() if i is not None and c == i}
+    ids = [r.doc_id for r in kept.select("doc_id").collect()]
+    # the repeated row 7 stays once; the row with a null id links with none
+    assert sorted(map(str, ids)) == sorted(["None", *(str(i) for i, c in groups.items() if i is not None and c == i)])
+    assert ngram_join.keep_one(frames.empty(spark)).count() == 0
+
+
+def test_keep_one_of_rows_that_share_an_id(spark):
+    long = lambda k: " ".join(f"{k}w{i}" for i in range(40))
+    rows = [(1, long("a"), "x"), (5, long("a"), "y"), (5, long("b"), "z"), (9, long("b"), "z"), (9, long("b"), "z"),
+            (7, long("c"), "q"), (7, long("c"), "q"), (None, long("d"), "n"), (None, long("d"), "n"), (None, long("a"), "n"),
+            (3, "", "e"), (3, "", "e"), (4, None, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string")
+    got = sorted((str(r.doc_id), r.text, r.id) for r in ngram_join.keep_one(docs).collect() if r.text)
+    assert got == sorted([("1", long("a"), "x"), ("5", long("b"), "z"), ("7", long("c"), "q"), ("None", long("d"), "n")])
+    assert ngram_join.keep_one(docs).filter("text = '' OR text IS NULL").count() == 3
 
 
 def test_components_of_chains_and_stars(spark):
