@@ -161,6 +161,7 @@ def _codec(path: str) -> Codec:
 def encode_decode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, ids binary: little-endian uint32, decoded binary) of every document."""
     path = tk.tokenizer_path(vocabulary)
+    tk.small_batches(docs.sparkSession)
 
     def run(batches):
         codec = _codec(path)
@@ -172,13 +173,14 @@ def encode_decode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                     [b.column("doc_id").slice(i, j - i), tk.blobs(ids.astype("<u4"), at), tk.blobs(text.astype(np.uint8), to)],
                     names=["doc_id", "ids", "decoded"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary, decoded binary")
+    return docs.select("doc_id", "text").mapInArrow(tk.tidy(run), "doc_id long, ids binary, decoded binary")
 
 
 def digests(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): ``encode_decode`` digested in the
     worker, so that ids and texts don't travel."""
     path = tk.tokenizer_path(vocabulary)
+    tk.small_batches(docs.sparkSession)
 
     def run(batches):
         codec = _codec(path)
@@ -193,7 +195,7 @@ def digests(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                      pa.array([hashlib.sha256(text[x:y]).hexdigest() for x, y in zip(to, to[1:])])],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(tk.tidy(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,8 +140,9 @@ class Join:
     """The multi-index over the documents' classes."""
 
     def __init__(self, docs: DataFrame):
+        tk.small_batches(docs.sparkSession)
         docs = rows_of(docs)
-        self.signed = tk.stored(docs.mapInArrow(_sign, _SIGNED), "signatures")
+        self.signed = tk.stored(docs.mapInArrow(tk.tidy(_sign), _SIGNED), "signatures")
         first = [F.first(c).alias(c) for c in ("n", "signature", *_PLANES, *_MASKS)]
         self.classes = tk.stored(self.signed.filter("n > 0").groupBy("class").agg(F.min("rid").alias("rid"), *first), "classes")
         self.sides = self.classes.select("class", "n", *_PLANES, *_MASKS)

@@ -42,7 +42,7 @@ HOT = 512
 FEW = 12
 _BLOCK_TEXT = 16 << 20
 #: shingles a task holds before it reports those it has seen twice
-_HELD = 3 << 20
+_HELD = 1 << 20
 _MASKS = 8
 
 
@@ -101,7 +101,7 @@ def _local_repeats(batches):
 def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(shingles in ascending order, rank by falling count, whether hot) of the most common ones,
     COMMON at most: those above a count that a histogram of counts gives."""
-    counts = tk.stored(texts.mapInArrow(_local_repeats, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "counts")
+    counts = tk.stored(texts.mapInArrow(tk.tidy(_local_repeats), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "counts")
     step = F.floor(F.log2("c") * 8).cast("int")
     total, least = 0, None
     for r in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):  # 512 rows at most
@@ -261,7 +261,8 @@ _WITHIN_BOUND = (f"{100 + PERCENT} * (met + greatest(floor(({PERCENT} * n_a + 99
 def classes_of(docs: DataFrame) -> DataFrame:
     """(doc_id, rid, text_hash, class, n, masks): every document's class key, number of shingles
     and bitmap."""
-    return rows_of(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(_classify, _CLASSIFIED)
+    tk.small_batches(docs.sparkSession)
+    return rows_of(docs).withColumn("text_hash", F.xxhash64("text")).mapInArrow(tk.tidy(_classify), _CLASSIFIED)
 
 
 def class_components(docs: DataFrame, classified: DataFrame) -> DataFrame:
@@ -272,7 +273,7 @@ def class_components(docs: DataFrame, classified: DataFrame) -> DataFrame:
     n_blocks = tk.parts_for(size, _BLOCK_TEXT, 12)
     texts = docs.select("text")
     listed = spark.sparkContext.broadcast(common_shingles(texts))
-    dealt = texts.mapInArrow(_deal(n_blocks, listed), _DEALT)
+    dealt = texts.mapInArrow(tk.tidy(_deal(n_blocks, listed)), _DEALT)
     met = tk.stored(dealt.groupBy("block").applyInArrow(_block_pairs(n_blocks), _PAIRS), "pairs")
 
     sides = tk.stored(classified.filter("n > 0").groupBy("class").agg(F.min("rid").alias("rid"), *[F.first(c).alias(c) for c in ("n", *_MASK_NAMES)]), "sides")

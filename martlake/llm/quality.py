@@ -103,11 +103,12 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
     """Weights (2**bits hashed n-grams, then the intercept) learned from ``labels``
     (doc_id, y) joined to ``docs`` (doc_id, text); at most ``max_labelled`` label rows, those
     with the smallest hash of (doc_id, y), are learned from."""
+    tk.small_batches(docs.sparkSession)
     sample = (labels.select("doc_id", F.col("y").cast("double").alias("y")).dropna().distinct()
               .select("*", F.xxhash64("doc_id", "y").alias("turn")).orderBy("turn", "doc_id").limit(max_labelled))
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     rows = rows.select(F.pmod("turn", F.lit(shards)).cast("int").alias("shard"), "turn", "y", "text")
-    models = (rows.mapInArrow(_featurize(bits), "shard int, turn long, y double, idx binary, val binary")
+    models = (rows.mapInArrow(tk.tidy(_featurize(bits)), "shard int, turn long, y double, idx binary, val binary")
               .groupBy("shard").applyInPandas(_ftrl(bits), "w binary").collect())
     if not models:
         return np.zeros((1 << bits) + 1, np.float32)
@@ -132,7 +133,7 @@ def score(docs: DataFrame, weights: np.ndarray, keep: list[str], bits: int = BIT
 
     picked = docs.select(*keep) if "text" in keep else docs.select(*keep, "text")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return picked.mapInArrow(run, f"{schema}, score double")
+    return picked.mapInArrow(tk.tidy(run), f"{schema}, score double")
 
 
 def quality_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:

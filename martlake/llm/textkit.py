@@ -7,6 +7,7 @@ a batch, so a word costs a few vector operations and no Python object.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import sys
 import types
@@ -78,6 +79,32 @@ def worker_cache(name: str) -> dict:
     return mod.__dict__.setdefault(name, {})
 
 
+def release() -> None:
+    """Gives memory that a worker no longer uses back to the system: workers are kept between
+    tasks and stages, and what one stage once took would count in the next."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run):
+    """``run`` (a function for mapInArrow) that releases memory when its task ends."""
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return tidied
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts travel to workers in Arrow batches of a few MB, however long they are: the batches'
+    buffers lie beside the JVM's heap, for every running task."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def flat_text(column) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of an Arrow string or binary column; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
