@@ -32,7 +32,9 @@ from martlake.llm.pieces import PieceCache, encoded_docs
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG = 100
 #: words of one recursive query
-_WORDS = 60_000
+_WORDS = 20_000
+#: distinct pieces a worker remembers, with ids and bytes
+_REMEMBER = 400_000
 
 # a position's id is word * 128 + its place in the word's bytes
 _CONTRACT = """
@@ -73,11 +75,11 @@ class Codec:
         merges = [(self.rank[t[:i]], self.rank[t[i:]], r) for t, r in self.rank.items()
                   for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank]
         a, b, made = (np.array(x, np.int64) for x in zip(*merges))
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self._table("merges", a=a, b=b, made=made)
         self._table("vocabulary", tok=np.array(list(self.rank.values()), np.int64),
                     hex=np.array([t.hex() for t in self.rank]))
-        self.cache = PieceCache(self.encode_pieces, 2)
+        self.cache = PieceCache(self.encode_pieces, 2, remember=_REMEMBER)
         self.known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
     def _table(self, name, **columns):
@@ -141,7 +143,7 @@ class Codec:
     def encode_pieces(self, pieces: list[bytes]):
         """(ids, decoded bytes) of every piece."""
         split = [self.pattern.findall(p.decode("utf-8", "surrogateescape")) for p in pieces]
-        if len(self.known) > 300_000:
+        if len(self.known) > _REMEMBER // 3:
             self.known.clear()
         new = list({w for ws in split for w in ws} - self.known.keys())
         ids = self.encode_words([w.encode("utf-8", "surrogateescape") for w in new])
