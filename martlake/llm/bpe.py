@@ -24,7 +24,6 @@ import heapq
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from martlake.llm import textkit as tk
 from martlake.llm.pieces import PieceCache, encoded_docs

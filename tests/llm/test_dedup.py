@@ -8,7 +8,6 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from martlake.llm import components, line_dedup, ngram_join, suffix_dedup
 from tests.llm import frames

@@ -9,7 +9,7 @@ import tiktoken
 
 import __spark_entry__ as E
 import corpus_pipeline
-from martlake.llm import bpe, line_dedup, mixing, ngram_join, quality, registry, textkit
+from martlake.llm import bpe, line_dedup, mixing, quality, registry, textkit
 from tests.helpers import canon
 from tests.llm import frames
 from tests.llm.test_dedup import brute_groups

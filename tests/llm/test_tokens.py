@@ -1,6 +1,5 @@
 """BPE, token files and mixing: library results, exact round trips, budgets."""
 
-import base64
 import hashlib
 import zlib
 
