@@ -94,3 +94,38 @@ def test_large_components(spark):
     ints = [(i, y, [int(256 * x) for x in v]) for i, y, v in data]
     assert mined(frame, "id % 40 = 0") == brute_force(ints, lambda i: i % 40 == 0)
     assert hn.integers(frame.withColumn("embedding", F.array(F.lit(1e300), F.lit(-1e300))), "vec_id", "label", "embedding").first().z == [1 << 27, -(1 << 27)]
+
+
+def test_components_beyond_27_bits(spark):
+    """Neither components nor anchors much larger than a block's rows saturate or lose digits."""
+    rng = np.random.default_rng(9)
+    scale = np.where(np.arange(360) % 9 == 0, 1e9, np.where(np.arange(360) % 4 == 0, 1e6, 3.0))  # wide, beyond 2^27, small
+    data = [(i, i % 3, (rng.random(5) * scale[i]).astype(np.float32).tolist()) for i in range(360)]
+    data += [(1001 + i, i % 3, (rng.random(5) * 1e4).astype(np.float32).tolist()) for i in range(300)]
+    frame = spark.createDataFrame([r + ("z", 1, "a", 2, 3) for r in data], SCHEMA)
+    most = max(abs(x) for _, _, v in as_integers(data) for x in v)
+    assert most >= 1 << 31 and 5 * most * most < 1 << 127
+    exact = brute_force(as_integers(data), lambda i: i % 20 == 0)
+    fit = {r[0] for r in exact} - {r[0] for r in exact if max(abs(r[4]), abs(r[5])) >= 1 << 63}
+    got = sorted(tuple(r) for r in hn.mine(hn.integers(frame, "vec_id", "label", "embedding", limit=hn.LONG), "id % 20 = 0").collect())
+    assert len(fit) > 5 and [r for r in got if r[0] in fit] == [r for r in exact if r[0] in fit]
+    assert {r[0] for r in exact} >= {r[0] for r in got}
+
+
+def test_sums_that_wrap():
+    """Partial sums beyond a long cancel exactly; a score beyond it stands at its end."""
+    z = np.array([[1 << 40, 1 << 40, 3], [1 << 40, -(1 << 40), 3], [5, 6, 7]])
+    block = hn.Block(np.arange(3), np.zeros(3, int), z, *hn.encode(z.astype(float), z.mean(axis=0)), z.mean(axis=0))
+    q = np.array([[1 << 40, 1 << 40, 2], [1, 1, 1]])
+    assert block.scorer(q)(0, np.arange(3)).tolist() == [(1 << 63) - 1, 6, 11 * (1 << 40) + 14]
+    assert block.scorer(q)(1, np.arange(3)).tolist() == [(1 << 41) + 3, 3, 18]
+
+
+def test_query_keeps_large_components(spark, tmp_path):
+    """The query's scores of vectors beyond 2^19 are those of its contract."""
+    rng = np.random.default_rng(10)
+    data = [(i, i % 10, (rng.random(8) * 4e6).astype(np.float32).tolist()) for i in range(400)]
+    spark.createDataFrame(data, "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows = [(i, (y + 1) % 10 if i % 7 == 0 else y, z) for i, y, z in as_integers(data)]
+    got = sorted(tuple(r) for r in hn.op11_hard_negatives(spark, str(tmp_path)).collect())
+    assert got == brute_force(rows, lambda i: i % 100 == 0)
