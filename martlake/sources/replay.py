@@ -22,6 +22,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.streaming import StreamingQuery
 
@@ -119,13 +120,15 @@ class TimeOrdered:
         """With ``path``, a folder staged before is replayed; ``table`` then gives the schema."""
         self.path = path or f"{checkpoint_dir(spark).rstrip('/')}/replay-{uuid.uuid4().hex}"
         at = F.col(time).cast("timestamp_ntz")
+        # the closing row has nulls in every other column
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in table.schema.fields])
         if path is None:
             n_files = max(1, -(-table.count() // per_file))
             table.repartitionByRange(n_files, at.asc_nulls_first()).write.parquet(self.path)
-        last = spark.read.schema(table.schema).parquet(self.path).agg(F.max(at)).first()[0]
+        last = spark.read.schema(schema).parquet(self.path).agg(F.max(at)).first()[0]
         spark.dataSource.register(TimeOrderedSource)
         closing = (last or dt.datetime(1970, 1, 1)) + dt.timedelta(milliseconds=1)
-        self.rows = (spark.readStream.format(TimeOrderedSource.name()).schema(table.schema)
+        self.rows = (spark.readStream.format(TimeOrderedSource.name()).schema(schema)
                      .options(path=self.path, files=str(files), time=time, closing=closing.isoformat()).load())
 
     def run(self, query: StreamingQuery) -> None:

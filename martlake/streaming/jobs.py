@@ -215,6 +215,11 @@ _FIRST = Rules(row="at long, id long, voucher_id string, order_id long", key="vo
                apply=_apply_first, refuse=lambda row, code: [(row[1], row[2], row[3], row[0], code)])
 
 
+def with_known_order(t, redemptions: DataFrame) -> DataFrame:
+    """Redemptions with ``_o``, true where the order exists."""
+    return redemptions.join(t["orders"].select("order_id", F.lit(True).alias("_o")), "order_id", "left")
+
+
 def dedupe_redemptions_stream(t, redemptions: DataFrame, delay: str = "1 hours", within: str | None = None) -> DataFrame:
     """Keep the first redemption per (voucher, order) -- earliest (redeemed date, id),
     whenever the others arrive; rows of unknown orders are dropped (V03 -20030). Late rows and
@@ -222,9 +227,12 @@ def dedupe_redemptions_stream(t, redemptions: DataFrame, delay: str = "1 hours",
 
     The memory of seen pairs is state, an entry for each. With ``within`` (e.g. '7 days') it is
     bounded by a watermark on ``redeemed_date`` instead (``dropDuplicatesWithinWatermark``: the
-    first to arrive stays, duplicates further apart are no longer caught)."""
-    orders = t["orders"].select("order_id", F.lit(True).alias("_o"))
-    r = redemptions.join(orders, "order_id", "left").filter(F.col("_o").isNotNull() | F.col("redemption_id").isNull())
+    first to arrive stays, duplicates further apart are no longer caught).
+
+    Redemptions that carry ``_o`` (``with_known_order``) aren't looked up; others are, against the
+    whole order table in each micro-batch."""
+    r = redemptions if "_o" in redemptions.columns else with_known_order(t, redemptions)
+    r = r.filter(F.col("_o").isNotNull() | F.col("redemption_id").isNull())
     if within:
         return (r.drop("_o").withColumn("_event_time", F.col("redeemed_date").cast("timestamp"))
                  .withWatermark("_event_time", within)
@@ -281,18 +289,26 @@ _PICKUPS = Rules(row="at long, id long, order_id long, new_status string, resche
                  wake=_expire)
 
 
+def with_pickup(t, requests: DataFrame) -> DataFrame:
+    """Requests with the type of their order and the status and expiry of its pickup, at first."""
+    sp = t["self_pickup"]
+    if "pickup_exp_date" not in sp.columns:
+        sp = sp.withColumn("pickup_exp_date", F.lit(None).cast("timestamp_ntz"))
+    return (requests.join(t["orders"].select("order_id", "order_type"), "order_id", "left")
+            .join(sp.select("order_id", F.col("pickup_status").alias("status0"), F.col("pickup_exp_date").alias("exp0"),
+                            F.lit(True).alias("_p")), "order_id", "left"))
+
+
 def pickup_lifecycle_stream(t, requests: DataFrame, delay: str = "1 hours") -> DataFrame:
     """Pickup status events (W10 rules) as a per-order state machine; additionally an
     event-time timer emits ``Expired`` (code TIMER) for a Ready / Rescheduled order when its
-    expiry passes before its next event -- the batch job only expires on a completion attempt."""
+    expiry passes before its next event -- the batch job only expires on a completion attempt.
+
+    Requests that carry their order and pickup (``with_pickup``) aren't looked up; others are,
+    against both whole tables in each micro-batch."""
     if "reschedule_date" not in requests.columns:
         requests = requests.withColumn("reschedule_date", F.lit(None).cast("timestamp_ntz"))
-    sp = t["self_pickup"]
-    if "pickup_exp_date" not in sp.columns:
-        sp = sp.withColumn("pickup_exp_date", F.lit(None).cast("timestamp_ntz"))
-    r = (requests.join(t["orders"].select("order_id", "order_type"), "order_id", "left")
-         .join(sp.select("order_id", F.col("pickup_status").alias("status0"), F.col("pickup_exp_date").alias("exp0"),
-                         F.lit(True).alias("_p")), "order_id", "left"))
+    r = requests if "_p" in requests.columns else with_pickup(t, requests)
     code = (F.when(F.col("order_id").isNull(), "IGNORED").when(~F.col("new_status").isin(*PICKUP_STATUSES), "-20638")
              .when(F.col("order_type").isNull(), "-20641").when(F.lower("order_type") != "self pickup", "-20639")
              .when(F.col("_p").isNull(), "-20641")

@@ -36,3 +36,13 @@ def test_listing_keeps_every_branch(spark):
     assert sorted(map(tuple, branch_stock_listing(t).collect()), key=str) == [
         (1, "a", "OK", 7, "i", "k", 1, 5), (2, "b", "NO STOCK", *none), (3, "c", "NO STOCK", *none)]
     assert [tuple(r) for r in branch_stock_listing(t, 9).collect()] == [(9, None, "UNKNOWN BRANCH", *none)]
+
+
+@pytest.mark.parametrize("name", ["pickup_lifecycle_stream", "dedupe_redemptions_stream"])
+def test_a_micro_batch_reads_no_whole_table(spark, small_dir, name, monkeypatch):
+    """What the streams look up in other tables is staged with their rows."""
+    from martlake.streaming import jobs
+    plans = []
+    monkeypatch.setattr(jobs, "run", lambda df, *a: plans.append(df._jdf.queryExecution().logical().toString()))
+    catalog.queries()[name](spark, small_dir)
+    assert "Join" not in plans[0] and "StreamingRelation" in plans[0]
