@@ -28,8 +28,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from martlake.session import checkpoint_dir
 
-#: rows of a staged file, about, and files a micro-batch admits
-PER_FILE, FILES = 64_000, 8
+#: rows of a staged file, about, files a micro-batch admits at least, and micro-batches at most:
+#: each has a price of its own, and a larger table's read more of the state anyway
+PER_FILE, FILES, BATCHES = 64_000, 8, 32
 _NOTE = "_position"
 
 
@@ -57,7 +58,8 @@ def _position(uri: str) -> int | None:
 class _Reader(DataSourceStreamReader):
     def __init__(self, schema, options):
         self.schema, self.options = schema, options
-        self.files, self.step = _files(options["path"]), int(options["files"])
+        self.files = _files(options["path"])
+        self.step = max(int(options["files"]), -(-len(self.files) // BATCHES))
         self.end = len(self.files) + bool(self.files)  # one more for the closing row
         # the last offset handed out, which is never before the one in the query's checkpoint; a
         # restarted query is handed it once more before the next

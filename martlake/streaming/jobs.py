@@ -27,7 +27,7 @@ from martlake.plans.jobs import PICKUP_STATUSES
 from martlake.session import checkpoint_dir
 from martlake.sources import retail as R
 from martlake.sources.replay import TimeOrdered
-from martlake.streaming.ordered import LATE, Rules, bucket, from_micros, micros, ordered
+from martlake.streaming.ordered import BUCKETS, LATE, Rules, bucket, from_micros, micros, ordered
 
 
 class Replay:
@@ -60,6 +60,18 @@ def run(df: DataFrame, name: str, source: Replay | TimeOrdered | None = None, ba
     the folder of its results and checkpoint, to go on with a query stopped before."""
     spark = df.sparkSession
     base = base or f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}-{uuid.uuid4().hex}"
+    shuffles = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(shuffles)
+    # a state store for each partition, all of them written with every micro-batch
+    spark.conf.set(shuffles, str(min(int(before), BUCKETS // 4)))
+    try:
+        _run(df, source, base)
+    finally:
+        spark.conf.set(shuffles, before)
+    return spark.read.schema(df.schema).parquet(f"{base}/out")
+
+
+def _run(df: DataFrame, source: Replay | TimeOrdered | None, base: str) -> None:
     writer = (df.writeStream.format("parquet").outputMode("append")
               .option("path", f"{base}/out").option("checkpointLocation", f"{base}/state"))
     if isinstance(source, TimeOrdered):
@@ -69,7 +81,6 @@ def run(df: DataFrame, name: str, source: Replay | TimeOrdered | None = None, ba
         if source is not None:
             source.close()
             writer.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
 def read_files(spark: SparkSession, path: str, schema, max_files: int | None = 8) -> DataFrame:

@@ -1,18 +1,22 @@
 """A stateful processor that applies rows in event-time order behind the watermark.
 
 Keys of a table (members, stock pairs, orders) are dealt to ``BUCKETS`` virtual buckets by hash,
-a fixed number: where a key's state lies never depends on how large a table is, so a query may
-be stopped, its tables may grow, and it goes on from its checkpoint. Python is entered once for
-each bucket and micro-batch; inside, every key has a state entry of its own, and only the entries
-of the rows applied are read and written.
-
-A row waits in its bucket's list until the watermark has passed it. A row that the watermark has
+and those of a bucket to ``PAGES`` pages, both fixed numbers: where a key's state lies never
+depends on how large a table is, so a query may be stopped, its tables may grow, and it goes on
+from its checkpoint. Python is entered once for each bucket and micro-batch. A page is one state
+entry, the keys and values of its part of the bucket; a micro-batch reads and writes the pages of
+the rows it applies, each once. (With an entry for every key each row went to the state store
+three or four times, a message and an answer each, which took nearly all of the time.)
+
+A row waits in its bucket's list, packed with the rows it came with, until the watermark has passed it. A row that the watermark has
 passed before it arrives is returned at once with code LATE and changes nothing. Rows without an
 event time can't be ordered: they are returned with their own code, or NO_TIME.
 """
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -22,7 +26,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from pyspark.sql.types import Row
 
 #: for the life of a checkpoint
-BUCKETS = 256
+BUCKETS, PAGES = 256, 256
 LATE, NO_TIME = "LATE", "NO_TIME"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -47,7 +51,7 @@ class Rules:
     """What a stream does with its rows; every function gets plain tuples.
 
     Rows are ``row`` (DDL of "at long, id long, ..."; a row without an id is a closing row),
-    state entries ``key`` -> ``value``, results ``out``.
+    state entries ``key`` -> ``value``, results ``out``; waiting rows and entries are stored packed.
     """
     row: str
     key: str
@@ -63,6 +67,32 @@ class Rules:
     wake: Callable | None = None
 
 
+class Pages:
+    """The state entries of a bucket that one call touches: their pages, each read and written once."""
+
+    def __init__(self, held):
+        self.held, self.pages, self.changed = held, {}, set()
+
+    def _page(self, key: tuple) -> int:
+        n = zlib.crc32(repr(key).encode()) % PAGES
+        if n not in self.pages:
+            stored = self.held.getValue((n,))
+            self.pages[n] = {} if stored is None else pickle.loads(bytes(stored[0]))
+        return n
+
+    def get(self, key: tuple) -> tuple | None:
+        return self.pages[self._page(key)].get(key)
+
+    def put(self, key: tuple, value: tuple) -> None:
+        n = self._page(key)
+        self.pages[n][key] = value
+        self.changed.add(n)
+
+    def write(self) -> None:
+        for n in self.changed:
+            self.held.updateValue((n,), (pickle.dumps(self.pages[n]),))
+
+
 class Ordered(StatefulProcessor):
     def __init__(self, rules: Rules):
         self.rules = rules
@@ -71,8 +101,8 @@ class Ordered(StatefulProcessor):
     def init(self, handle):
         r = self.rules
         self.handle = handle
-        self.waiting = handle.getListState("waiting", r.row)
-        self.held = handle.getMapState("held", r.key, r.value)
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.held = handle.getMapState("held", "page int", "entries binary")
         self.next = handle.getValueState("next", "at long")
         self.due = handle.getListState("due", f"at long, {r.key}") if r.wake else None
 
@@ -92,16 +122,19 @@ class Ordered(StatefulProcessor):
                 out += self.rules.refuse(row, LATE)
             else:
                 fresh.append(row)
-        if opened:
-            known = self.held.exists()
-            for k, value in opened.items():
-                if not (known and self.held.containsKey(k)):
-                    self.held.updateValue(k, value)
-        out += self._pass(mark, fresh)
+        held = Pages(self.held)
+        for k, value in opened.items():
+            if held.get(k) is None:
+                held.put(k, value)
+        out += self._pass(mark, fresh, held)
+        held.write()
         yield from (self.result(*r) for r in out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield from (self.result(*r) for r in self._pass(self._mark(timerValues), []))
+        held = Pages(self.held)
+        out = self._pass(self._mark(timerValues), [], held)
+        held.write()
+        yield from (self.result(*r) for r in out)
 
     @staticmethod
     def _mark(timer_values) -> float:
@@ -109,31 +142,21 @@ class Ordered(StatefulProcessor):
         ms = timer_values.getCurrentWatermarkInMs()
         return ms * 1000 if ms > 0 else float("-inf")
 
-    def _pass(self, mark, fresh) -> list[tuple]:
+    def _pass(self, mark, fresh, held: Pages) -> list[tuple]:
         """Applies what the watermark has passed and stores what hasn't."""
         next_ = self.next.get() if self.next.exists() else None
         next_ = None if next_ is None else next_[0]
         wake = min([r[0] for r in fresh], default=None)
         out = []
         if next_ is not None and next_ < mark:
-            held, changed = {}, set()
-
-            def get(k):
-                if k not in held:
-                    held[k] = self.held.getValue(k)
-                return held[k]
-
-            def put(k, value):
-                held[k] = value
-                changed.add(k)
-
-            waiting = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
+            get, put = held.get, held.put
+            waiting = [r for packed in self.waiting.get() for r in pickle.loads(bytes(packed[0]))] if self.waiting.exists() else []
             kept = [r for r in waiting if r[0] >= mark] + fresh
             due = []
             for row in sorted((r for r in waiting if r[0] < mark), key=lambda r: r[:2]):
                 out += self.rules.apply(get, put, row, due)
             if kept:
-                self.waiting.put(kept)
+                self.waiting.put([(pickle.dumps(kept),)])
             elif waiting:
                 self.waiting.clear()
             times = [r[0] for r in kept]
@@ -147,12 +170,10 @@ class Ordered(StatefulProcessor):
                 elif self.due.exists():
                     self.due.clear()
                 times += [d[0] for d in due]
-            for k in changed:
-                self.held.updateValue(k, held[k])
             wake = next_ = min(times, default=None)
         else:
             if fresh:
-                self.waiting.appendList(fresh)
+                self.waiting.appendValue((pickle.dumps(fresh),))
             next_ = wake if next_ is None else min(next_, wake) if wake is not None else next_
             wake = next_ if wake is not None else None
         if next_ is None:
