@@ -2,7 +2,7 @@
 
 import pytest
 
-from martlake import catalog
+from martlake import catalog, session
 from martlake.sources.retail import from_frames, load_retail
 
 
@@ -20,6 +20,18 @@ def test_measured_sides_are_still_broadcast(spark, small_dir):
     assert "BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("came, left", [("64MB", 2 << 20), ("10485760b", 2 << 20), ("256k", 256 << 10), ("-1", None)])
+def test_a_session_cannot_send_large_sides_through_the_driver(spark, came, left):
+    s = spark.newSession()
+    s.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    s.conf.set("spark.sql.autoBroadcastJoinThreshold", came)
+    session.measure_joins(s)
+    session.measure_joins(s)
+    held = s.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold", None)
+    assert s.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    assert held is None if left is None else session._bytes(held) == left
+
+
 def test_parts_are_dealt_out_before_they_multiply(spark, small_dir):
     t = load_retail(spark, small_dir)
     for name in ("branch_stock", "promotion_details"):
