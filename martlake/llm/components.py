@@ -140,7 +140,10 @@ class Reader:
     def __init__(self, docs: DataFrame, wanted: DataFrame, overlaps):
         """``docs`` (rid, text); ``wanted`` (class, rid). Texts of other classes with the same
         rid are left to ``overlaps`` to see."""
-        self.texts = tk.stored(docs.select("rid", "text").join(wanted, "rid").select("class", "text").distinct(), "texts")
+        wanted = tk.stored(wanted.select("class", "rid"), "wanted")
+        # distinct while dealt by rid, which each class has one of
+        texts = tk.screened(docs.select("rid", "text"), "rid", wanted).join(wanted, "rid").select("rid", "class", "text").distinct()
+        self.texts = tk.stored(texts.select("class", "text"), "texts")
         self.overlaps, self.tried = overlaps, None
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
@@ -149,9 +152,12 @@ class Reader:
             pairs = pairs.join(self.tried, ["a", "b"], "left_anti")
         pairs = tk.stored(pairs, "pairs")
         n = pairs.count()
+        if not n:
+            return pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
         self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
         # the side that may be shared by many pairs is joined last, so its text isn't shuffled for each
-        b, a = (named(self.texts, x).withColumnRenamed(f"class_{x}", x) for x in ("b", "a"))
+        b, a = (named(tk.screened(self.texts, "class", pairs.select(F.col(x).alias("class")).distinct()), x).withColumnRenamed(f"class_{x}", x)
+                for x in ("b", "a"))
         read = pairs.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
         return tk.stored(tk.narrow(tk.narrow(read, n, 1000).mapInArrow(self.overlaps, "u long, v long").distinct(), n), "links")
 

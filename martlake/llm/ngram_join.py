@@ -174,7 +174,7 @@ def _deal(n_blocks, table):
     return run
 
 
-_PAIRS = "a long, b long, na int, nb int, met int, cell long"
+_PAIRS = "a long, b long, na int, nb int, met int, lead boolean, cell long"
 
 
 def _cells(key, size, h, place):
@@ -186,8 +186,9 @@ def _cells(key, size, h, place):
 
 
 def _block_pairs(n_blocks):
-    """Row pairs of one column block with the number of columns they meet in; with cell set, the
-    entry of row a in cell ``cell`` of crowded column b, nb its place in the row."""
+    """Row pairs of one column block with the number of columns they meet in, and whether one of
+    these can be their first in common; with cell set, the entry of row a in cell ``cell`` of
+    crowded column b, nb its place in the row."""
     def run(rows):
         def column(name, kind):
             return [np.frombuffer(x.as_buffer(), kind) for x in rows.column(name)]
@@ -198,7 +199,7 @@ def _block_pairs(n_blocks):
         row = np.concatenate([x.astype(np.int64) + s for x, s in zip(column("row", np.uint32), base)])
         place = np.concatenate(column("place", np.uint16)).astype(np.int32)
         if rows.column("block")[0].as_py() >= n_blocks:
-            return table([], [], _cells(key[row], size[row], h, place))
+            return table([], [], [], _cells(key[row], size[row], h, place))
         key_order, one = np.unique(key, return_index=True)  # one row number for each class
         row = np.searchsorted(key_order, key)[row]
         key, size = key_order, size[one]
@@ -208,26 +209,32 @@ def _block_pairs(n_blocks):
         h, row, place = h[new], row[new], place[new]
         start = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         n = np.diff(np.append(start, len(h)))
-        found = []
+        found, leads = [], []
         for k in range(2, FEW + 1):
             s = start[n == k]
             if len(s):
-                members = row[s[:, None] + np.arange(k)]
+                at = s[:, None] + np.arange(k)
+                members, rest = row[at], size[row[at]].astype(np.int64) - place[at]
                 i, j = np.triu_indices(k, 1)
                 a, b = members[:, i].ravel(), members[:, j].ravel()
                 fit = 100 * np.minimum(size[a], size[b]).astype(np.int64) >= PERCENT * np.maximum(size[a], size[b]).astype(np.int64)
                 found.append(a[fit] * np.int64(len(key)) + b[fit])
-        pair, met = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
+                lead = (100 + PERCENT) * np.minimum(rest[:, i], rest[:, j]).ravel() >= PERCENT * (size[a].astype(np.int64) + size[b])
+                leads.append(lead[fit])
+        pair, each, met = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_inverse=True, return_counts=True)
+        lead = np.zeros(len(pair), bool)
+        lead[each[np.concatenate(leads or [np.zeros(0, bool)])]] = True
         a, b = pair // len(key), pair % len(key)
         at = tk.ragged(start[n > FEW], n[n > FEW])
-        return table([key[a], key[b], size[a], size[b]], met, _cells(key[row[at]], size[row[at]], h[at], place[at]))
+        return table([key[a], key[b], size[a], size[b]], met, lead, _cells(key[row[at]], size[row[at]], h[at], place[at]))
 
-    def table(pairs, met, cells):
+    def table(pairs, met, lead, cells):
         pairs = pairs or [np.zeros(0, np.int64)] * 4
         none = pa.nulls(len(pairs[0]), pa.int64())
         columns = [np.concatenate([x, y]) for x, y in zip(pairs, cells)]
         met = np.concatenate([met, np.zeros(len(cells[4]))]).astype(np.int32)
-        return pa.table({"a": columns[0], "b": columns[1], "na": columns[2].astype(np.int32), "nb": columns[3].astype(np.int32), "met": met,
+        lead = np.concatenate([lead, np.zeros(len(cells[4]))]).astype(bool)
+        return pa.table({"a": columns[0], "b": columns[1], "na": columns[2].astype(np.int32), "nb": columns[3].astype(np.int32), "met": met, "lead": lead,
                          "cell": pa.concat_arrays([none, pa.array(cells[4])])})
     return run
 
@@ -288,11 +295,16 @@ def class_components(docs: DataFrame, classified: DataFrame) -> DataFrame:
     cells = cells.join(cells.groupBy("key").agg(F.min("class").alias("pivot"), F.count(F.lit(1)).alias("c")).filter("c > 1"), "key")
     cells = tk.stored(cells, "cells")
 
-    pairs = met.filter("cell IS NULL").groupBy("a", "b", F.col("na").alias("n_a"), F.col("nb").alias("n_b")).agg(F.sum("met").alias("met"))
+    # a pair whose first column in common is crowded is found there
+    pairs = met.filter("cell IS NULL").groupBy("a", "b", F.col("na").alias("n_a"), F.col("nb").alias("n_b")) \
+        .agg(F.sum("met").alias("met"), F.max("lead").alias("lead")).filter("lead").drop("lead")
+    pairs = tk.stored(pairs, "met")
     also = lambda x: crowded.select(F.col("class").alias(x), F.col("k").alias(f"k{x}"))
     side = lambda x: named(masks, x).withColumnRenamed(f"class_{x}", x)
-    pairs = (pairs.join(also("a"), "a", "left").join(also("b"), "b", "left")
-             .withColumn("met", F.col("met") + F.least(F.coalesce("ka", F.lit(0)), F.coalesce("kb", F.lit(0)))).filter(_WITHIN_BOUND)
+    # only the pairs below the bound need what their rows have in crowded columns
+    more = (pairs.filter(f"NOT ({_WITHIN_BOUND})").join(also("a"), "a").withColumn("own", F.col("met")).withColumn("met", F.col("own") + F.col("ka"))
+            .filter(_WITHIN_BOUND).join(also("b"), "b").withColumn("met", F.col("own") + F.least("ka", "kb")).filter(_WITHIN_BOUND))
+    pairs = (pairs.filter(_WITHIN_BOUND).select("a", "b", "n_a", "n_b").unionByName(more.select("a", "b", "n_a", "n_b"))
              .join(side("a"), "a").join(side("b"), "b").filter(_MASKED).select("a", "b"))
     pivots = named(cells.filter("class = pivot").drop("pivot", "c"), "a", "key").dropDuplicates(["key"])
     stars = (pivots.join(named(cells.filter("class <> pivot").drop("pivot", "c"), "b", "key"), "key").filter(f"{_FITS} AND {_FIRST}")

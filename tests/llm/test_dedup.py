@@ -169,6 +169,20 @@ def test_keep_one_of_rows_that_share_an_id(spark):
     assert ngram_join.keep_one(docs).filter("text = '' OR text IS NULL").count() == 3
 
 
+def test_texts_that_no_pair_names_stay_where_they_are(spark):
+    """Only texts of the classes asked for are dealt out, in each round."""
+    docs = spark.range(20_000).selectExpr("id AS rid", "concat('text ', id) AS text")
+    wanted = spark.range(0, 20_000, 50).selectExpr("id AS rid", "id + 7 AS class")
+    kept = {r.rid for r in components.tk.screened(docs, "rid", wanted).collect()}
+    assert kept >= set(range(0, 20_000, 50)) and len(kept) < 1000
+    crowded = {r.rid for r in components.tk.screened(docs, "rid", wanted, 256).collect()}  # a bitmap too small loses nothing
+    assert crowded >= set(range(0, 20_000, 50))
+    reader = components.Reader(docs, wanted.unionByName(wanted.selectExpr("rid + 1 AS rid", "class")), None)
+    assert reader.texts.count() == 800
+    pairs = spark.createDataFrame([(7, 57)], "a long, b long")
+    assert components.tk.screened(reader.texts, "class", pairs.selectExpr("a AS class")).count() < 20
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (203, 201), (202, 203)]
     got = {r.v: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
