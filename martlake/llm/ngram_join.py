@@ -37,11 +37,13 @@ WIDTH = 5
 PERCENT = 75
 #: shingles listed as common at most; their order matters for speed only
 COMMON = 1 << 20
+#: a shingle counted so often may be listed
+LEAST = 9
 #: a listed shingle counted so often (in more than FEW classes surely, or in copies) skips the blocks
 HOT = 512
 FEW = 12
 _BLOCK_TEXT = 16 << 20
-#: shingles a task holds before it reports those it has seen twice
+#: shingles a task holds before it reports them
 _HELD = 1 << 20
 _MASKS = 8
 
@@ -79,29 +81,42 @@ def _new_classes(batches):
                 yield keys, sets[tk.ragged(first[at], n)], np.concatenate([[0], np.cumsum(n)])
 
 
-def _local_repeats(batches):
-    """Shingles that two or more classes among some millions of entries hold, with their number."""
+def _tally(bits):
+    """The shingles of every class that a task sees, a row for each of 2^bits spans of their values
+    that a piece of some million entries touches. Shingles go by their first 32 + bits bits, the
+    last 32 of these beside the span."""
+    cuts = np.arange((1 << bits) + 1, dtype=np.uint64) << np.uint64(32)
+
     def report(held):
-        u, c = np.unique(np.concatenate(held), return_counts=True)
-        u, c = u[c > 1].view(np.int64), c[c > 1]
-        for i in range(0, len(u), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(u[i:i + (1 << 16)]), pa.array(c[i:i + (1 << 16)])], names=["h", "c"])
-
-    held, size = [], 0
-    for _, sets, _ in _new_classes(batches):
-        held.append(sets)
-        size += len(sets)
-        if size > _HELD:
-            yield from report(held)
-            held, size = [], 0
-    if held:
-        yield from report(held)
-
-
-def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(shingles in ascending order, rank by falling count, whether hot) of the most common ones,
-    COMMON at most: those above a count that a histogram of counts gives."""
-    counts = tk.stored(texts.mapInArrow(tk.tidy(_local_repeats), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "counts")
+        held = np.sort(np.concatenate(held))
+        at = np.searchsorted(held, cuts)
+        span = np.flatnonzero(np.diff(at))
+        return pa.RecordBatch.from_arrays([pa.array(span.astype(np.int32)), tk.blobs(held.astype(np.uint32), np.append(at[span], len(held)))], names=["span", "h"])
+
+    def run(batches):
+        held, size = [], 0
+        for _, sets, _ in _new_classes(batches):
+            held.append(sets >> np.uint64(32 - bits))
+            size += len(sets)
+            if size > _HELD:
+                yield report(held)
+                held, size = [], 0
+        if held:
+            yield report(held)
+    return run
+
+
+def _counts(rows):
+    """(h, c) of the shingles of one span that LEAST classes or more hold (or their copies in other tasks)."""
+    h, c = np.unique(np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in rows.column("h")]), return_counts=True)
+    h, c = h[c >= LEAST], c[c >= LEAST]
+    return pa.table({"h": h.astype(np.int64) + (rows.column("span")[0].as_py() << 32), "c": c})
+
+
+def common_shingles(texts: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first 32 + bits bits of shingles in ascending order, rank by falling count, whether hot) of
+    the most common ones, COMMON at most: those above a count that a histogram of counts gives."""
+    counts = tk.stored(texts.mapInArrow(tk.tidy(_tally(bits)), "span int, h binary").groupBy("span").applyInArrow(_counts, "h long, c long"), "counts")
     step = F.floor(F.log2("c") * 8).cast("int")
     total, least = 0, None
     for r in sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True):  # 512 rows at most
@@ -110,22 +125,26 @@ def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarra
             break
         least = r.step
     top = counts.filter(step >= least) if least is not None else counts.limit(0)
-    top = top.toPandas()
-    rank = np.empty(len(top), np.int64)
-    rank[np.lexsort((top["h"], -top["c"]))] = np.arange(len(top))
-    order = np.argsort(top["h"].to_numpy(np.int64).view(np.uint64))
-    return top["h"].to_numpy(np.int64).view(np.uint64)[order], len(top) - rank[order], (top["c"].to_numpy(np.int64) >= HOT)[order]
+    top = top.toArrow()
+    h, c = top["h"].to_numpy(), top["c"].to_numpy()
+    order = np.argsort(h)
+    h, c = h[order], c[order]
+    rank = np.empty(len(h), np.int64)
+    rank[np.lexsort((h, -c))] = np.arange(len(h))
+    return h.view(np.uint64), len(h) - rank, c >= HOT
 
 
-def _prefixes(sets, first, common, rank):
+def _prefixes(sets, first, common, rank, shift=0):
     """(entries, doc, place, listed) of the prefix of every set; place counts the set's entries
-    that come before in the global order, listed is an entry's place among the common ones or -1."""
+    that come before in the global order, listed is an entry's place among the common ones or -1.
+    Common ones go by their bits but the last ``shift``; of the same bits, the order is the hash's."""
     n = np.diff(first)
     need = np.where(n > 0, n - (n * PERCENT + 99) // 100 + 1, 0)
     doc = np.repeat(np.arange(len(n)), n)
     if len(common):
-        at = np.minimum(np.searchsorted(common, sets), len(common) - 1)
-        listed = common[at] == sets
+        short = sets >> np.uint64(shift)
+        at = np.minimum(np.searchsorted(common, short), len(common) - 1)
+        listed = common[at] == short
     else:
         at, listed = np.zeros(len(sets), int), np.zeros(len(sets), bool)
     rare = np.concatenate([[0], np.cumsum(~listed)])
@@ -147,14 +166,14 @@ def _prefixes(sets, first, common, rank):
 _DEALT = "block int, keys binary, sizes binary, h binary, row binary, place binary"
 
 
-def _deal(n_blocks, table):
+def _deal(n_blocks, table, shift=0):
     """The prefix entries of each piece of text, a row for each block they go to, with the keys
     and sizes of the classes that have entries there. Hot entries go to a block by their piece."""
     def run(batches):
         common, rank, hot = table.value
         for keys, sets, first in _new_classes(batches):
             n = np.diff(first)
-            where, doc, place, listed = _prefixes(sets, first, common, rank)
+            where, doc, place, listed = _prefixes(sets, first, common, rank, shift)
             h = sets[where]
             block = (h % np.uint64(n_blocks)).astype(np.int64)
             if len(hot):
@@ -279,8 +298,9 @@ def class_components(docs: DataFrame, classified: DataFrame) -> DataFrame:
     _, size = tk.text_bytes(docs)
     n_blocks = tk.parts_for(size, _BLOCK_TEXT, 12)
     texts = docs.select("text")
-    listed = spark.sparkContext.broadcast(common_shingles(texts))
-    dealt = texts.mapInArrow(tk.tidy(_deal(n_blocks, listed)), _DEALT)
+    bits = (n_blocks - 1).bit_length()
+    listed = spark.sparkContext.broadcast(common_shingles(texts, bits))
+    dealt = texts.mapInArrow(tk.tidy(_deal(n_blocks, listed, 32 - bits)), _DEALT)
     met = tk.stored(dealt.groupBy("block").applyInArrow(_block_pairs(n_blocks), _PAIRS), "pairs")
 
     sides = tk.stored(classified.filter("n > 0").groupBy("class").agg(F.min("rid").alias("rid"), *[F.first(c).alias(c) for c in ("n", *_MASK_NAMES)]), "sides")

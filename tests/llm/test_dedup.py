@@ -147,6 +147,24 @@ def test_a_piece_sends_its_own_rows_only():
     assert all(s < entries * 60 for s in sent.values()) and sent[30_000] < 4 * sent[12]
 
 
+def test_a_passage_is_counted_over_all_tasks(spark, monkeypatch):
+    """A passage of many texts crowds no column, also where no task sees it twice."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(10**7)}"
+    passage = [word() for _ in range(30)]
+    rows = [(i, " ".join([word() for _ in range(150)] + passage)) for i in range(40)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 40), "doc_id long, text string")
+    settle, crowded = ngram_join.settle, []
+
+    def counting(cells, *rest):
+        crowded.append(cells.count())
+        return settle(cells, *rest)
+
+    monkeypatch.setattr(ngram_join, "settle", counting)
+    got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in ngram_join.groups(docs).collect())
+    assert crowded == [0] and got == brute_groups(docs.collect())
+
+
 def test_keep_one(spark):
     docs = frames.table(spark)
     kept = ngram_join.keep_one(docs)
