@@ -4,8 +4,8 @@ Spark deals the documents; each task turns its texts into distinct pieces, split
 pre-tokenizer pattern and hands the distinct matches to an in-memory DuckDB as a table of
 token positions (word, pos, token), one token for each byte. A recursive query joins
 neighbouring positions to the merge table, contracts each word's leftmost pair of minimum
-rank, and repeats until no pair of the word merges. The ids are turned back into bytes by an
-ordered aggregation over the vocabulary. Documents are put together from their pieces.
+rank, and repeats until no pair of the word merges. The ids are turned back into bytes by the
+vocabulary's bytes and their offsets. Documents are put together from their pieces.
 
 The recursion keeps every step's rows, which for one word grow with the square of its length;
 words of more than ``LONG`` bytes are contracted by the same rule with a heap instead.
@@ -36,26 +36,22 @@ _WORDS = 20_000
 _REMEMBER = 400_000
 
 # a position's id is word * 128 + its place in the word's bytes
+# a word without a pair left is done: it's given out once more and not looked at again
 _CONTRACT = """
-WITH RECURSIVE step(n, id, tok) AS (
-  SELECT 0, id, tok FROM start
+WITH RECURSIVE step(done, id, tok) AS (
+  SELECT false, id, tok FROM start
   UNION ALL
   (WITH pairs AS MATERIALIZED (
-     SELECT p.n, p.id, p.tok, p.next_id, m.made
-     FROM (SELECT *, lead(tok) OVER (ORDER BY id) AS next, lead(id) OVER (ORDER BY id) AS next_id FROM step) p
+     SELECT p.id, p.tok, p.next_id, m.made
+     FROM (SELECT id, tok, lead(tok) OVER (ORDER BY id) AS next, lead(id) OVER (ORDER BY id) AS next_id FROM step WHERE NOT done) p
      LEFT JOIN merges m ON m.a = p.tok AND m.b = p.next AND p.id >> 7 = p.next_id >> 7),
    least AS MATERIALIZED (
      SELECT id >> 7 AS word, min(made * 128 + (id & 127)) AS pair, arg_min(next_id, made * 128 + (id & 127)) AS gone
-     FROM pairs WHERE made IS NOT NULL GROUP BY id >> 7)
-   SELECT n + 1, id, CASE WHEN id & 127 = pair & 127 THEN pair >> 7 ELSE tok END
-   FROM pairs JOIN least ON id >> 7 = word WHERE id <> gone)
+     FROM pairs GROUP BY id >> 7)
+   SELECT pair IS NULL, id, CASE WHEN id & 127 = pair & 127 THEN pair >> 7 ELSE tok END
+   FROM pairs JOIN least ON id >> 7 = word WHERE pair IS NULL OR id <> gone)
 )
-SELECT id >> 7 AS word, tok FROM (SELECT *, max(n) OVER (PARTITION BY id >> 7) AS last FROM step) WHERE n = last
-ORDER BY id
-"""
-_DECODE = """
-SELECT word, unhex(string_agg(v.hex, '' ORDER BY pos)) AS bytes FROM ids JOIN vocabulary v ON v.tok = ids.tok
-GROUP BY word ORDER BY word
+SELECT id >> 7 AS word, tok FROM step WHERE done ORDER BY id
 """
 
 
@@ -76,8 +72,11 @@ class Codec:
         a, b, made = (np.array(x, np.int64) for x in zip(*merges))
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self._table("merges", a=a, b=b, made=made)
-        self._table("vocabulary", tok=np.array(list(self.rank.values()), np.int64),
-                    hex=np.array([t.hex() for t in self.rank]))
+        # the bytes of id i are vocabulary[first[i]:first[i + 1]]
+        size = np.zeros(max(self.rank.values()) + 1, np.int64)
+        size[list(self.rank.values())] = [len(t) for t in self.rank]
+        self.first = np.concatenate([[0], np.cumsum(size)])
+        self.vocabulary = np.frombuffer(b"".join(sorted(self.rank, key=self.rank.get)), np.uint8)
         self.cache = PieceCache(self.encode_pieces, 2, remember=_REMEMBER)
         self.known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -123,33 +122,38 @@ class Codec:
             raw = np.frombuffer(b"".join(words[i] for i in part), np.uint8)
             self._table("start", id=tk.ragged(np.arange(len(part)) * 128, size), tok=self.byte[raw])
             r = self.db.execute(_CONTRACT).fetchnumpy()
-            ids = np.split(r["tok"].astype(np.int32), np.searchsorted(r["word"], np.arange(1, len(part))))
-            for i, x in zip(part, ids):
+            ids = r["tok"].astype(np.int32)
+            for i, x in zip(part, _cut(ids, np.bincount(r["word"], minlength=len(part)))):
                 out[i] = x
         return out
 
     def decode_words(self, ids: list[np.ndarray]) -> list[np.ndarray]:
         """The bytes of every list of ids."""
-        out = []
-        for k in range(0, len(ids), _WORDS):
-            part = ids[k:k + _WORDS]
-            size = np.fromiter(map(len, part), np.int64, len(part))
-            self._table("ids", word=np.repeat(np.arange(len(part)), size), pos=tk.ragged(np.zeros(len(part), np.int64), size),
-                        tok=np.concatenate(part).astype(np.int64))
-            out += [np.frombuffer(x, np.uint8) for (x,) in self.db.execute(f"SELECT bytes FROM ({_DECODE})").fetchall()]
-        return out
+        if not ids:
+            return []
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.concatenate(ids)
+        size = self.first[flat + 1] - self.first[flat]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(n)]
+        return _cut(self.vocabulary[tk.ragged(self.first[flat], size)], np.diff(ends, prepend=0))
 
     def encode_pieces(self, pieces: list[bytes]):
         """(ids, decoded bytes) of every piece."""
         split = [self.pattern.findall(p.decode("utf-8", "surrogateescape")) for p in pieces]
         if len(self.known) > _REMEMBER // 3:
             self.known.clear()
-        new = list({w for ws in split for w in ws} - self.known.keys())
+        known = self.known
+        new = list({w: None for ws in split for w in ws if w not in known})
         ids = self.encode_words([w.encode("utf-8", "surrogateescape") for w in new])
-        self.known.update(zip(new, zip(ids, self.decode_words(ids))))
-        rows = [[self.known[w] for w in ws] for ws in split]
-        return ([r[0][0] if len(r) == 1 else np.concatenate([x for x, _ in r]) for r in rows],
-                [r[0][1] if len(r) == 1 else np.concatenate([y for _, y in r]) for r in rows])
+        known.update(zip(new, zip(ids, self.decode_words(ids))))
+        rows = [known[ws[0]] if len(ws) == 1 else tuple(map(np.concatenate, zip(*[known[w] for w in ws]))) for ws in split]
+        return [x for x, _ in rows], [y for _, y in rows]
+
+
+def _cut(values: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """``values`` in parts of the given sizes."""
+    ends = np.cumsum(sizes).tolist()
+    return [values[i:j] for i, j in zip([0, *ends], ends)]
 
 
 def _codec(path: str) -> Codec:

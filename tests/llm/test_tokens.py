@@ -84,6 +84,30 @@ def test_contractions_agree(codec, word):
     assert codec.contract_long(word.encode()) == codec.encode_words([word.encode()])[0].tolist()
 
 
+def test_words_are_asked_of_duckdb_once(codec, monkeypatch):
+    """New words take one recursive query; decoding them, and meeting them again, takes none."""
+    asked = []
+
+    class Counting:
+        def __init__(self, db):
+            self.db = db
+
+        def __getattr__(self, name):
+            return getattr(self.db, name)
+
+        def execute(self, sql):
+            if not sql.startswith("CREATE"):
+                asked.append(sql)
+            return self.db.execute(sql)
+
+    monkeypatch.setattr(codec, "db", Counting(codec.db))
+    given = [f" qz{i}xv don't \u00e9{i}\u4e2d".encode() for i in range(300)]
+    for _ in range(2):
+        ids, text = codec.encode_pieces(given)
+        assert [t.tobytes() for t in text] == given and all(len(x) for x in ids)
+        assert len(asked) == 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 2000), max_size=300), st.integers(4, 15), st.integers(0, 9))
 def test_huffman_round_trip(counts, limit, seed):
