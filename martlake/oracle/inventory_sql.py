@@ -42,7 +42,8 @@ select branch_id, cast(sum(stock_quantity) as bigint) as total_stock from r_bran
 select bs.branch_id, i.item_id, i.item_name, i.category, bs.stock_quantity,
   upper(strftime(bs.last_restock_date, '%d-%b-%Y')) as last_restock_date,
   case when bs.stock_quantity < 50 then 'LOW STOCK' else 'OK' end as stock_status
-from r_branch_stock bs join r_item i on i.item_id = bs.item_id""",
+from r_branch_stock bs join r_item i on i.item_id = bs.item_id
+order by bs.stock_quantity asc nulls last, i.item_id, bs.branch_id""",
 
     "branch_stock_by_category": """
 select bs.branch_id, i.category, count(i.item_id) as item_count, cast(sum(bs.stock_quantity) as bigint) as total_qty,
