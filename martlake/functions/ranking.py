@@ -12,7 +12,7 @@ broadcast hint is given: AQE measures that table at run time and broadcasts it o
 it is small (few groups), otherwise it is a plain shuffle join.
 
 The range-partitioned frame is read twice (rank, counts). Two exchanges would each sample
-their own range bounds, so the frame is checkpointed (lazily, into the shared
+their own range bounds, so the frame is stored (as Parquet, in the shared
 ``spark.checkpoint.dir``): both reads see one partitioning, and lineage is cut there.
 """
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlake.session import checkpoint_dir
+from martlake.session import stored
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str = "rank",
@@ -39,10 +39,8 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank",
     fn = {"rank": F.rank, "row_number": F.row_number}[kind]
     if bounded:  # a few rows by construction (a top-k result, one row a branch): one small window
         return df.withColumn(name, fn().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
-    checkpoint_dir(spark)
-    parted = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
-                .withColumn("_pid", F.spark_partition_id())
-                .checkpoint(eager=False))
+    parted = stored(df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+                      .withColumn("_pid", F.spark_partition_id()))
     local = parted.withColumn("_lr", fn().over(Window.partitionBy("_pid", *keys).orderBy(*order)))
     counts = parted.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
@@ -55,26 +53,29 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank",
 
 
 def running_sum(df: DataFrame, order: list[Column], value: str, name: str,
-                partition_by: list[str] | None = None, partitions: int | None = None) -> DataFrame:
+                partition_by: list[str] | None = None, partitions: int | None = None,
+                steps: list[DataFrame] | None = None) -> DataFrame:
     """Add ``name`` = SUM(value) OVER (PARTITION BY keys ORDER BY order ROWS UNBOUNDED PRECEDING).
 
     Same scheme as ``global_rank``: a hot key is spread over consecutive range partitions,
     each partition computes its local running sum, and the totals of the key's earlier
     partitions are added. ``order`` must be total within a key.
     """
-    return running_sums(df, order, {name: value}, partition_by, partitions)
+    return running_sums(df, order, {name: value}, partition_by, partitions, steps)
 
 
 def running_sums(df: DataFrame, order: list[Column], values: dict[str, str],
-                 partition_by: list[str] | None = None, partitions: int | None = None) -> DataFrame:
-    """``running_sum`` of several columns in one pass: ``values`` maps new names to columns."""
+                 partition_by: list[str] | None = None, partitions: int | None = None,
+                 steps: list[DataFrame] | None = None) -> DataFrame:
+    """``running_sum`` of several columns in one pass: ``values`` maps new names to columns. What
+    it stores is added to ``steps``, for a caller that drops it once the result is stored."""
     spark = df.sparkSession
     keys = list(partition_by or [])
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    checkpoint_dir(spark)
-    parted = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
-                .withColumn("_pid", F.spark_partition_id())
-                .checkpoint(eager=False))
+    parted = stored(df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+                      .withColumn("_pid", F.spark_partition_id()))
+    if steps is not None:
+        steps.append(parted)
     w = Window.partitionBy("_pid", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = parted.withColumns({f"_ls_{k}": F.sum(v).over(w) for k, v in values.items()})
     totals = parted.groupBy("_pid", *keys).agg(*[F.sum(v).alias(f"_t_{k}") for k, v in values.items()])

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake.functions.ranking import global_rank, running_sum
-from martlake.session import checkpoint_dir
+from martlake.session import stored
 
 #: events of one key that a task folds in order
 SEGMENT = 100_000
@@ -133,8 +133,7 @@ def _segmented(tail: DataFrame, keys: list[str], order: list[str], segment: int)
     """``tail`` with ``_seg`` and, in place of the key's, the segment's ``_start``."""
     # the plain path has one segment a key; this one costs another pass over the tails
     nth = global_rank(tail, [F.col(c) for c in order], "_nth", "row_number", partition_by=keys)
-    checkpoint_dir(tail.sparkSession)
-    cut = nth.withColumn("_seg", F.floor((F.col("_nth") - 1) / segment).cast("long")).drop("_nth").checkpoint(eager=False)
+    cut = stored(nth.withColumn("_seg", F.floor((F.col("_nth") - 1) / segment).cast("long")).drop("_nth"))
     long = cut.filter("_seg > 0").select(*keys).distinct()  # keys of more than one segment
     key_fields = [f for f in tail.schema.fields if f.name in keys]
     key_fields = [next(f for f in key_fields if f.name == k) for k in keys]
