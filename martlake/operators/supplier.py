@@ -20,6 +20,7 @@ from pyspark.sql import Window
 
 from martlake.functions.dates import add_months_oracle, month_start
 from martlake.functions.ranking import global_rank
+from martlake.session import stored
 
 MONEY = "decimal(18,2)"
 
@@ -140,18 +141,20 @@ def supplier_item_sales_monthly(t) -> DataFrame:
 
     Quantities and sales carry the view's fan-out (each sale counted once per procurement
     row of the supplier for that item, D1); the repeated rows themselves are never built:
-    sales are first summed per (item, month), then multiplied by the repeat count.
+    sales are first summed per (item, month) and stored, then multiplied by the repeat count.
+    Names are joined to the repeat counts: the view's rows, many for each of both, aren't dealt
+    out once they are built.
     """
     sales = (t["order_item"].join(t["orders"].select("order_id", "order_date"), "order_id")
-             .groupBy("item_id", F.date_format("order_date", "yyyy-MM").alias("month"))
+             .groupBy("item_id", F.trunc("order_date", "MM").alias("_month"))
              .agg(F.sum("quantity").alias("_q"),
                   F.sum(F.col("quantity") * F.col("unit_price")).alias("_s"),
                   F.count(F.lit(1)).alias("_lines")))
-    m = _procurement_multiplicity(t)
-    j = m.join(sales, "item_id")
+    sales = stored(sales.select("item_id", F.date_format("_month", "yyyy-MM").alias("month"), "_q", "_s", "_lines"))
     items = t["item"].select("item_id", "item_name", "category")
     sup = t["supplier"].select("supplier_id", "supplier_name")
-    return (j.join(items, "item_id").join(sup, "supplier_id")
+    m = _procurement_multiplicity(t).join(sup, "supplier_id").join(items, "item_id")
+    return (m.join(sales, "item_id")
              .select("supplier_id", "supplier_name", "item_id", "item_name", "category", "month",
                      "procurement_rows",
                      (F.col("_lines") * F.col("procurement_rows")).alias("view_rows"),

@@ -56,3 +56,9 @@ def test_a_running_sum_names_what_it_stores(spark):
     for i in range(500):
         total[i % 3] += i % 7
         assert got[i] == total[i % 3]
+
+
+def test_the_sales_view_is_not_dealt_out(spark, small_dir):
+    """Names are joined to the repeat counts; the last join makes the view's rows."""
+    plan = catalog.queries()["supplier_item_sales_monthly"](spark, small_dir)._jdf.queryExecution().sparkPlan().toString()
+    assert re.search(r"Join \[(\w+?)#", plan).group(1) == "item_id"
