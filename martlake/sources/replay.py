@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 from pyspark.sql.streaming import StreamingQuery
 
-from martlake.session import checkpoint_dir
+from martlake.session import checkpoint_dir, drop, stored
 
 #: rows of a staged file, about, files a micro-batch admits at least, and micro-batches at most:
 #: each has a price of its own, and a larger table's read more of the state anyway
@@ -125,8 +125,11 @@ class TimeOrdered:
         # the closing row has nulls in every other column
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in table.schema.fields])
         if path is None:
-            n_files = max(1, -(-table.count() // per_file))
-            table.repartitionByRange(n_files, at.asc_nulls_first()).write.parquet(self.path)
+            # counted, sampled for its ranges and dealt out: derived once
+            rows = stored(table)
+            n_files = max(1, -(-rows.count() // per_file))
+            rows.repartitionByRange(n_files, at.asc_nulls_first()).write.parquet(self.path)
+            drop(rows)
         last = spark.read.schema(schema).parquet(self.path).agg(F.max(at)).first()[0]
         spark.dataSource.register(TimeOrderedSource)
         closing = (last or dt.datetime(1970, 1, 1)) + dt.timedelta(milliseconds=1)
