@@ -32,10 +32,13 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 LONG = 100
 #: words of one recursive query
 _WORDS = 20_000
+#: bytes of text whose new pieces are encoded at once: their words and the recursion's steps are what a
+#: worker holds most of
+_CHUNK = 1 << 20
 #: distinct pieces a worker remembers, with ids and bytes
 _REMEMBER = 400_000
 
-# a position's id is word * 128 + its place in the word's bytes
+# a position's id is word * 128 + its place in the word's bytes; a pair of tokens goes by one number
 # a word without a pair left is done: it's given out once more and not looked at again
 _CONTRACT = """
 WITH RECURSIVE step(done, id, tok) AS (
@@ -43,8 +46,9 @@ WITH RECURSIVE step(done, id, tok) AS (
   UNION ALL
   (WITH pairs AS MATERIALIZED (
      SELECT p.id, p.tok, p.next_id, m.made
-     FROM (SELECT id, tok, lead(tok) OVER (ORDER BY id) AS next, lead(id) OVER (ORDER BY id) AS next_id FROM step WHERE NOT done) p
-     LEFT JOIN merges m ON m.a = p.tok AND m.b = p.next AND p.id >> 7 = p.next_id >> 7),
+     FROM (SELECT id, tok, next_id, CASE WHEN id >> 7 = next_id >> 7 THEN tok::BIGINT << 32 | next END AS pair
+           FROM (SELECT id, tok, lead(tok) OVER w AS next, lead(id) OVER w AS next_id FROM step WHERE NOT done WINDOW w AS (ORDER BY id))) p
+     LEFT JOIN merges m ON m.pair = p.pair),
    least AS MATERIALIZED (
      SELECT id >> 7 AS word, min(made * 128 + (id & 127)) AS pair, arg_min(next_id, made * 128 + (id & 127)) AS gone
      FROM pairs GROUP BY id >> 7)
@@ -65,20 +69,26 @@ class Codec:
         with open(path, "rb") as f:
             self.rank = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.byte = np.array([self.rank[bytes([i])] for i in range(256)], np.int64)
+        self.byte = np.array([self.rank[bytes([i])] for i in range(256)], np.int32)
         # every way in which a token's bytes are two tokens' bytes merges to it
-        merges = [(self.rank[t[:i]], self.rank[t[i:]], r) for t, r in self.rank.items()
-                  for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank]
-        a, b, made = (np.array(x, np.int64) for x in zip(*merges))
+        merges = np.array([(self.rank[t[:i]], self.rank[t[i:]], r) for t, r in self.rank.items()
+                           for i in range(1, len(t)) if t[:i] in self.rank and t[i:] in self.rank], np.int64)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        self._table("merges", a=a, b=b, made=made)
+        self._table("merges", pair=merges[:, 0] << 32 | merges[:, 1], made=merges[:, 2].astype(np.int32))
         # the bytes of id i are vocabulary[first[i]:first[i + 1]]
         size = np.zeros(max(self.rank.values()) + 1, np.int64)
         size[list(self.rank.values())] = [len(t) for t in self.rank]
         self.first = np.concatenate([[0], np.cumsum(size)])
         self.vocabulary = np.frombuffer(b"".join(sorted(self.rank, key=self.rank.get)), np.uint8)
-        self.cache = PieceCache(self.encode_pieces, 2, remember=_REMEMBER)
-        self.known: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        self.cache = PieceCache(self.flat_pieces, 2, remember=_REMEMBER)
+        self._forget()
+        del merges
+        tk.release()  # the table was built of some hundred thousand Python objects
+
+    def _forget(self):
+        # the ids of the word of slot i are ids[ends[i]:ends[i + 1]]
+        self.known: dict[str, int] = {}
+        self.ids, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def _table(self, name, **columns):
         self.db.register("given", pa.table(columns))
@@ -105,49 +115,63 @@ class Codec:
                     heapq.heappush(heap, (r, p, len(tok[p]) + len(tok[q])))
         return [self.rank[t] for t in tok if t]
 
-    def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of distinct pre-tokenizer matches."""
-        out: list = [None] * len(words)
-        todo = []
+    def flat_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after another, number of ids of each), of distinct pre-tokenizer
+        matches."""
+        n = np.zeros(len(words), np.int64)
+        whole, todo, found = {}, [], []  # found: words, their ids
         for i, w in enumerate(words):
             if (r := self.rank.get(w)) is not None:
-                out[i] = np.array([r], np.int32)
+                whole[i] = r
             elif len(w) > LONG:
-                out[i] = np.array(self.contract_long(w), np.int32)
+                ids = self.contract_long(w)
+                n[i] = len(ids)
+                found.append(([i], ids))
             else:
                 todo.append(i)
+        n[list(whole)] = 1
+        found.append((list(whole), list(whole.values())))
         for k in range(0, len(todo), _WORDS):
             part = todo[k:k + _WORDS]
             size = np.fromiter((len(words[i]) for i in part), np.int64, len(part))
             raw = np.frombuffer(b"".join(words[i] for i in part), np.uint8)
-            self._table("start", id=tk.ragged(np.arange(len(part)) * 128, size), tok=self.byte[raw])
+            self._table("start", id=tk.ragged(np.arange(len(part)) * 128, size).astype(np.int32), tok=self.byte[raw])
             r = self.db.execute(_CONTRACT).fetchnumpy()
-            ids = r["tok"].astype(np.int32)
-            for i, x in zip(part, _cut(ids, np.bincount(r["word"], minlength=len(part)))):
-                out[i] = x
-        return out
-
-    def decode_words(self, ids: list[np.ndarray]) -> list[np.ndarray]:
-        """The bytes of every list of ids."""
-        if not ids:
-            return []
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate(ids)
-        size = self.first[flat + 1] - self.first[flat]
-        ends = np.concatenate([[0], np.cumsum(size)])[np.cumsum(n)]
-        return _cut(self.vocabulary[tk.ragged(self.first[flat], size)], np.diff(ends, prepend=0))
+            n[part] = np.bincount(r["word"], minlength=len(part))
+            found.append((part, r["tok"]))
+        first = np.cumsum(n) - n
+        out = np.empty(int(n.sum()), np.int32)
+        for part, ids in found:
+            out[tk.ragged(first[part], n[part])] = ids
+        return out, n
 
-    def encode_pieces(self, pieces: list[bytes]):
-        """(ids, decoded bytes) of every piece."""
+    def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
+        """Token ids of distinct pre-tokenizer matches."""
+        return _cut(*self.flat_words(words))
+
+    def flat_pieces(self, pieces: list[bytes]):
+        """(values, number of them) of every piece's ids and of its decoded bytes."""
         split = [self.pattern.findall(p.decode("utf-8", "surrogateescape")) for p in pieces]
         if len(self.known) > _REMEMBER // 3:
-            self.known.clear()
+            self._forget()
         known = self.known
-        new = list({w: None for ws in split for w in ws if w not in known})
-        ids = self.encode_words([w.encode("utf-8", "surrogateescape") for w in new])
-        known.update(zip(new, zip(ids, self.decode_words(ids))))
-        rows = [known[ws[0]] if len(ws) == 1 else tuple(map(np.concatenate, zip(*[known[w] for w in ws]))) for ws in split]
-        return [x for x, _ in rows], [y for _, y in rows]
+        words = [w for ws in split for w in ws]
+        new = list({w: None for w in words if w not in known})
+        if new:
+            ids, n = self.flat_words([w.encode("utf-8", "surrogateescape") for w in new])
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            self.ids, self.ends = np.concatenate([self.ids, ids]), np.concatenate([self.ends, self.ends[-1] + np.cumsum(n)])
+        slot = np.fromiter((known[w] for w in words), np.int64, len(words))
+        n = self.ends[slot + 1] - self.ends[slot]
+        ids = self.ids[tk.ragged(self.ends[slot], n)]
+        size = self.first[ids + 1] - self.first[ids]
+        ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum(np.fromiter(map(len, split), np.int64, len(split)))]
+        return (ids, np.diff(ends, prepend=0)), \
+            (self.vocabulary[tk.ragged(self.first[ids], size)], np.diff(np.concatenate([[0], np.cumsum(size)])[ends], prepend=0))
+
+    def encode_pieces(self, pieces: list[bytes]):
+        """(ids, decoded bytes) of every piece."""
+        return tuple(_cut(*x) for x in self.flat_pieces(pieces))
 
 
 def _cut(values: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
@@ -172,7 +196,7 @@ def encode_decode(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         codec = _codec(path)
         for b in batches:
             buf, off = tk.flat_text(b.column("text"))
-            for i, j in tk.doc_groups(off):
+            for i, j in tk.doc_groups(off, _CHUNK):
                 (ids, at), (text, to) = encoded_docs(codec.cache, buf[off[i]:off[j]], off[i:j + 1] - off[i])
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(i, j - i), tk.blobs(ids.astype("<u4"), at), tk.blobs(text.astype(np.uint8), to)],
@@ -191,7 +215,7 @@ def digests(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         codec = _codec(path)
         for b in batches:
             buf, off = tk.flat_text(b.column("text"))
-            for i, j in tk.doc_groups(off):
+            for i, j in tk.doc_groups(off, _CHUNK):
                 (ids, at), (text, to) = encoded_docs(codec.cache, buf[off[i]:off[j]], off[i:j + 1] - off[i])
                 ids, text = ids.astype("<u4"), text.astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(

@@ -99,7 +99,7 @@ def _sign(batches):
             rows = np.zeros((len(one), SYMBOLS), np.uint16)
             rows[n[one] > 0] = signed
             rows = rows[each]
-            masks = tk.parity_masks(sets, first, MASKS)
+            masks = tk.parity_masks(sets, first, MASKS).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").slice(i, j - i), b.column("rid").slice(i, j - i), pa.array(key), pa.array(n),
                  tk.blobs(rows.ravel(), np.arange(len(rows) + 1) * SYMBOLS), *map(pa.array, planes(rows)),

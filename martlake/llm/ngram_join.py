@@ -61,7 +61,7 @@ _CLASSIFIED = "doc_id long, rid long, text_hash long, class long, n long, " + ",
 def _classify(batches):
     for b in batches:
         for i, j, sets, first in _batch_sets(b):
-            masks = tk.parity_masks(sets, first, _MASKS)
+            masks = tk.parity_masks(sets, first, _MASKS).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c).slice(i, j - i) for c in ("doc_id", "rid", "text_hash")), pa.array(tk.set_keys(sets, first)), pa.array(np.diff(first)),
                  *map(pa.array, np.ascontiguousarray(masks.T))], names=["doc_id", "rid", "text_hash", "class", "n", *_MASK_NAMES])

@@ -71,7 +71,8 @@ class PieceCache:
     concatenated values with offsets."""
 
     def __init__(self, encode, n_columns: int = 1, remember: int = REMEMBER, literals: tuple[bytes, ...] = ()):
-        """``encode(list of bytes)`` returns n_columns lists of one array for each piece."""
+        """``encode(list of bytes)`` returns for each of n_columns a list of one array for each piece,
+        or (their values one after another, number of values of each)."""
         self.encode, self.n, self.remember, self.literals = encode, n_columns, remember, literals
         self.clear()
 
@@ -102,8 +103,9 @@ class PieceCache:
             slot[fresh] = np.arange(self.count, self.count + len(new))
             for k, rows in enumerate(self.encode(new)):
                 used = int(self.offsets[k][self.count])
-                self.values[k] = _grown(self.values[k], used, np.concatenate(rows))
-                ends = np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows))) + used
+                values, n = rows if isinstance(rows, tuple) else (np.concatenate(rows), np.fromiter(map(len, rows), np.int64, len(rows)))
+                self.values[k] = _grown(self.values[k], used, values)
+                ends = np.cumsum(n) + used
                 self.offsets[k] = _grown(self.offsets[k], self.count + 1, ends)
             self.count += len(new)
             self.runs[1] = self._merged(self.runs[1], (u[fresh], slot[fresh]))
