@@ -23,7 +23,7 @@ first undecided order is settled and leaves the table. No order waits for a bran
 holds one. Codes then follow from the stock that each order met, line by line.
 
 Every step that later ones read is stored with the columns they need and dropped after the last of
-them, and a statement deals all lines out twice at most: a job over all stored orders holds no more
+them, and a statement deals all lines out once: a job over all stored orders holds no more
 than a few times their size on disk.
 
 Outputs: decisions, orders, order_lines (promotional prices at req_ts, W07), deliveries
